@@ -124,3 +124,29 @@ def runs(data: np.ndarray, off: np.ndarray, inside: np.ndarray) -> tuple[np.ndar
     after[:-1] = ok[1:]
     end = np.flatnonzero(ok & (~after | first[1:] | (np.arange(len(data)) == len(data) - 1))) + 1
     return start, end, np.searchsorted(off, start, "right") - 1
+
+
+#: The byte values with A-Z lower-cased, and those inside words: of letters, digits and all that is not ASCII; of all
+#: but white space.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+ALNUM = np.zeros(256, bool)
+ALNUM[48:58] = ALNUM[65:91] = ALNUM[97:123] = ALNUM[128:] = True
+SOLID = np.ones(256, bool)
+SOLID[[9, 10, 11, 12, 13, 32]] = False
+
+
+def word_hashes(column: pa.Array, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each word, lower-cased in A-Z, of all rows in order, and how many words each row has."""
+    data, off = buffers(column)
+    start, end, row = runs(data, off, inside)
+    return ByteHash(LOWER[data]).of(start, end), np.bincount(row, minlength=len(column))
+
+
+def shingles(words: np.ndarray, k: int) -> np.ndarray:
+    """A hash of each k words in a row."""
+    n = max(0, len(words) - k + 1)
+    out = np.zeros(n, U64)
+    for i in range(k):
+        out = mix(out * U64(0x9FB21C651E98DF25) + words[i : i + n])
+    return out

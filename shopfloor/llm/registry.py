@@ -7,13 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopfloor.llm import packing, tokenfile
+from shopfloor.llm import licenses, packing, quality, tokenfile, topk
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents"))
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = quality.fit(docs, read(spark, sf_dir, "labels"))
+    return quality.score(docs.select("doc_id", "text"), model).select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+
+
+def op5_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings")
+    return topk.top_k(rows, rows.where("vec_id % 100 = 0"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(read(spark, sf_dir, "documents"))
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket")
@@ -25,6 +40,9 @@ def op9_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_license_scan": op3_license_scan,
+    "op4_quality_classifier": op4_quality_classifier,
+    "op5_top_k_search": op5_top_k_search,
     "op6_packing": op6_packing,
     "op9_token_file": op9_token_file,
 }
