@@ -78,7 +78,7 @@ def lists(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa.Arra
 
 
 def mix(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finaliser, so that all bits of a hash depend on all of its input."""
+    """A 64-bit finaliser, so that all bits of a hash depend on all of its input; for arrays."""
     x = x ^ (x >> U64(30))
     x = x * U64(0xBF58476D1CE4E5B9)
     x = x ^ (x >> U64(27))

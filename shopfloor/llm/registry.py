@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopfloor.llm import licenses, packing, quality, tokenfile, topk
+from shopfloor.llm import licenses, neardup, packing, quality, tokenfile, topk
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -34,6 +34,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket")
 
 
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op9_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = tokenfile.token_file(read(spark, sf_dir, "documents"))
     return ids.select("doc_id", "start", (F.length("ids") / 4).cast("bigint").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
@@ -44,6 +48,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_classifier": op4_quality_classifier,
     "op5_top_k_search": op5_top_k_search,
     "op6_packing": op6_packing,
+    "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_token_file": op9_token_file,
 }
 
