@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopfloor.llm import licenses, neardup, packing, quality, tokenfile, topk
+from shopfloor.llm import licenses, neardup, packing, quality, suffixes, tokenfile, topk
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -43,6 +43,10 @@ def op9_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ids.select("doc_id", "start", (F.length("ids") / 4).cast("bigint").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.deduplicate(read(spark, sf_dir, "documents")).drop("spans")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_license_scan": op3_license_scan,
     "op4_quality_classifier": op4_quality_classifier,
@@ -50,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_packing": op6_packing,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_token_file": op9_token_file,
+    "op10_suffix_array_dedup": op10_suffix_array_dedup,
 }
 
 ORACLES: dict[str, str] = {}
