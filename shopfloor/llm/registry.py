@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopfloor.llm import decontaminate, licenses, linededup, neardup, packing, quality, suffixes, tokenfile, topk
+from shopfloor.llm import decontaminate, licenses, linededup, maintext, neardup, packing, quality, suffixes, tokenfile, topk
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -42,6 +42,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket")
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maintext.extract(read(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_classifier": op4_quality_classifier,
     "op5_top_k_search": op5_top_k_search,
     "op6_packing": op6_packing,
+    "op7_html_extraction": op7_html_extraction,
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_token_file": op9_token_file,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
