@@ -150,3 +150,27 @@ def shingles(words: np.ndarray, k: int) -> np.ndarray:
     for i in range(k):
         out = mix(out * U64(0x9FB21C651E98DF25) + words[i : i + n])
     return out
+
+
+class Among:
+    """A Bloom filter over ids, to leave out rows before they are shuffled to an exact join. Its size is bounded: past
+    that it lets more through, which costs time alone."""
+
+    MOST = 1 << 26
+
+    def __init__(self, ids: DataFrame):
+        """``ids`` has one column, without nulls."""
+        column, n = ids.columns[0], ids.count()
+        self.bits = min(self.MOST, 1 << max(16, (12 * n).bit_length()))
+        each = ids.select(F.explode(self.places(column)).alias("p"))
+        words = each.groupBy((F.col("p") / 64).cast("int").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("set")).toArrow()
+        self.set = np.zeros(self.bits // 64, np.int64)
+        self.set[words.column("word").to_numpy()] = words.column("set").to_numpy()
+
+    def places(self, column: str) -> Column:
+        """The three bits of an id, as an array; for rows to be tested, as column ``places``."""
+        return F.array(*[F.pmod(F.xxhash64(F.col(column), F.lit(i)), F.lit(self.bits)) for i in range(3)])
+
+    def mask(self, batch: pa.RecordBatch) -> pa.Array:
+        at = batch.column("places").flatten().to_numpy()
+        return pa.array(((self.set[at >> 6] >> (at & 63)) & 1).reshape(-1, 3).all(1))
