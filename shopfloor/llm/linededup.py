@@ -20,35 +20,45 @@ DOCUMENTS, WORDS, FIXED = 10, 6, 0.7
 MASK = "<*>"
 
 
+def spaced(line: Column) -> Column:
+    """A line with its words single-spaced."""
+    odd = line.contains("  ") | line.contains("\t") | line.contains("\r")
+    return F.trim(F.when(odd, F.regexp_replace(line, r"[ \t\r]+", " ")).otherwise(line))
+
+
 def masked(line: Column) -> Column:
-    """The words of a line, single-spaced, with those that hold a digit masked."""
-    return F.regexp_replace(F.trim(F.regexp_replace(line, r"[ \t\r]+", " ")), r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*", MASK)
+    """A single-spaced line with the words that hold a digit masked."""
+    return F.regexp_replace(line, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*", MASK)
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """A row per line of WORDS words or more: doc_id, row_key, n (line number from 0), line (masked), leaf."""
+    """A row per line of WORDS words or more: doc_id, row_key, n (line number from 0), line (single-spaced), leaf."""
     each = docs.select("doc_id", common.text_key().alias("row_key"), F.posexplode(F.split("text", "\n")).alias("n", "line"))
-    each = each.withColumn("line", masked(F.col("line")))
+    each = each.withColumn("line", spaced(F.col("line")))
     size = F.length("line") - F.length(F.replace("line", F.lit(" "))) + 1
     each = each.withColumn("size", size).where(F.col("size") >= WORDS)
-    return each.withColumn("leaf", F.xxhash64("size", F.substring_index("line", " ", DEPTH))).drop("size")
+    return each.withColumn("leaf", F.xxhash64("size", masked(F.substring_index("line", " ", DEPTH)))).drop("size")
 
 
-def templates(docs: DataFrame, documents: int = DOCUMENTS, fixed: float = FIXED) -> DataFrame:
-    """The lines of recurring templates: line_key (hash of the masked line), template, documents, and the place of the
-    template's first line (doc_id, row_key, n)."""
+def placed_lines(docs: DataFrame, documents: int) -> DataFrame:
+    """The lines, masked, of leaves that ``documents`` lines or more reach, as a stored table."""
     lines = lines_of(docs)
-    # copies of a line inside one document count once
     leaves = lines.groupBy("leaf").agg(F.count("*").alias("lines")).where(F.col("lines") >= documents).select("leaf")
-    first = F.min(F.struct("doc_id", "row_key", "n")).alias("first")
+    kept = lines.join(leaves, "leaf", "left_semi").withColumn("line", masked(F.col("line")))
+    return common.stored(kept.withColumn("line_key", F.xxhash64("line")), "lines")
+
+
+def templates(lines: DataFrame, documents: int = DOCUMENTS, fixed: float = FIXED) -> DataFrame:
+    """Of placed lines, those of recurring templates: line_key (hash of the masked line), template, documents, and the place of the
+    template's first line (doc_id, row_key, n)."""
+    # copies of a line inside one document count once
     once = (
-        lines.join(leaves, "leaf", "left_semi")
-        .groupBy("leaf", "line", "doc_id", "row_key")
+        lines.groupBy("leaf", "line", "line_key", "doc_id", "row_key")
         .agg(F.min("n").alias("n"))
-        .groupBy("leaf", "line")
-        .agg(F.count("*").alias("documents"), first)
+        .groupBy("leaf", "line", "line_key")
+        .agg(F.count("*").alias("documents"), F.min(F.struct("doc_id", "row_key", "n")).alias("first"))
     )
-    once = common.stored(once.withColumn("line_key", F.xxhash64("line")), "lines")
+    once = common.stored(once, "once")
     words = once.select("leaf", "line_key", "documents", F.posexplode(F.split("line", " ")).alias("at", "word"))
     kept = words.groupBy("leaf", "at", "word").agg(F.sum("documents").alias("d")).where((F.col("d") >= documents) & (F.col("word") != MASK)).select("leaf", "at", "word", F.lit(1).alias("fixed"))
     form = words.join(kept, ["leaf", "at", "word"], "left").groupBy("line_key").agg(
@@ -62,8 +72,8 @@ def templates(docs: DataFrame, documents: int = DOCUMENTS, fixed: float = FIXED)
 
 def dropped_lines(docs: DataFrame, documents: int = DOCUMENTS, fixed: float = FIXED) -> DataFrame:
     """doc_id, row_key and gone, the numbers of the lines that are dropped."""
-    found = templates(docs, documents, fixed)
-    lines = lines_of(docs).withColumn("line_key", F.xxhash64("line")).join(found.select("line_key", "first"), "line_key")
+    lines = placed_lines(docs, documents)
+    lines = lines.join(templates(lines, documents, fixed).select("line_key", "first"), "line_key")
     lines = lines.where(~F.col("first").eqNullSafe(F.struct("doc_id", "row_key", "n")))
     return lines.groupBy("doc_id", "row_key").agg(F.collect_set("n").alias("gone"))
 
