@@ -33,6 +33,7 @@ OUTER = frozenset({"ul", "ol", "dl", "table", "select", "body", "html", "article
 # The classifier's words. Elements and the parts of class, id and role names that speak for either side.
 CHROME_TAGS = frozenset("nav footer header aside form button select menu dialog search".split())
 MAIN_TAGS = frozenset("article main".split())
+PROSE = frozenset("p pre blockquote".split())
 CHROME_NAMES = frozenset("ad ads advert advertisement banner breadcrumb breadcrumbs byline comment comments complementary consent contentinfo cookie cookies copyright disqus dropdown footer form gdpr header hidden login masthead menu meta modal nav navbar navigation newsletter notice outbrain pager pagination pagelinks popup privacy promo promoted promotion related replies reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe taboola tags toolbar topbar widget".split())
 MAIN_NAMES = frozenset("article body content entry main post story text".split())
 
@@ -41,7 +42,7 @@ ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'
 SPACE = re.compile(r"[\s ]+")
 
 # Weights of the classifier, and capacities of the edges: between blocks next to each other, and of one parent.
-WEIGHTS = {"bias": -0.4, "chrome": -6.0, "main": 3.5, "links": -3.0, "length": 0.5, "stops": 0.25, "heading": 0.6, "item": -0.3, "head": -9.0}
+WEIGHTS = {"bias": -0.4, "chrome": -6.0, "main": 3.5, "links": -3.0, "length": 0.5, "stops": 0.25, "heading": 0.6, "prose": 0.9, "item": -0.3, "head": -9.0}
 NEXT, SIBLING = 0.4, 0.6
 
 
@@ -160,7 +161,7 @@ def preference(block: Block, text: str, has_main: bool) -> float:
     share = min(1.0, block.linked / max(1, n))
     w = WEIGHTS
     value = w["bias"] + w["length"] * min(4.0, n / 60) + w["stops"] * min(4, len(re.findall(r"[.!?,;:]", text))) + w["links"] * share
-    value += w["chrome"] * e.chrome + w["heading"] * e.heading + w["item"] * e.item * (1 + 2 * share)
+    value += w["prose"] * (e.tag in PROSE) + w["chrome"] * e.chrome + w["heading"] * e.heading + w["item"] * e.item * (1 + 2 * share)
     return value + (w["main"] if e.main else -1.5 if has_main else 0.0)
 
 

@@ -20,11 +20,11 @@ SCALE, BLOCK, QUERIES, TOGETHER = 1024, 4096, 1024, 64
 
 def quantised(embedding: str = "embedding", scale: int = SCALE) -> Column:
     """floor(scale * x) of every component, x as double."""
-    return F.transform(F.col(embedding), lambda x: F.floor(x.cast("double") * scale).cast("int"))
+    return F.transform(F.col(embedding), lambda x: F.floor(x.cast("double") * scale))
 
 
 def usable(embedding: str = "embedding") -> Column:
-    bad = F.exists(F.col(embedding), lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    bad = F.exists(F.col(embedding), lambda x: x.isNull() | F.isnan(x) | (F.abs(x) >= 2.0**31 / SCALE))
     return F.coalesce((F.size(embedding) > 0) & ~bad, F.lit(False))
 
 
@@ -116,7 +116,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, block: int = BLOC
     """query_id, rank, vec_id, score: each query's k greatest integer inner products, ties to the smaller vec_id.
 
     Both frames have vec_id and embedding. Null ids, and vectors that are null, empty or hold null or non-finite
-    components, take no part; vectors of different lengths do not meet. Rows that share the query's vec_id are not its
+    components (or such as don't fit 31 bits once scaled), take no part; vectors of different lengths do not meet. Rows that share the query's vec_id are not its
     candidates; other repeated rows each count. A repeated query row is one query. Empty tables give no rows.
     """
     schema = "query_id bigint, form bigint, vec_id bigint, score bigint"

@@ -1,0 +1,292 @@
+"""Each operator against brute force or exact round trips, on edge cases and small frames."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from shopfloor.llm import common, decontaminate, licenses, linededup, maintext, neardup, packing, quality, suffixes, tokenfile, tokens, topk
+
+SF = "/root/testdata/sf0.001"
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def words(rng, n):
+    return " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(n))
+
+
+def frame(spark, texts):
+    return spark.createDataFrame([(i, t, None, "s", None) for i, t in texts], DOCS)
+
+
+@pytest.fixture(scope="module")
+def edge(spark):
+    """Null and empty texts, null ids, repeated rows, one very long text, and columns with the operators' own names."""
+    rng = random.Random(3)
+    texts = [(1, None), (2, ""), (3, "  \n\t "), (None, words(rng, 30)), (4, words(rng, 40)), (4, None), (5, words(rng, 6000)), (6, "same text here again and again"), (6, "same text here again and again"), (7, "É ß — 漢字 😀 " * 5)]
+    return frame(spark, texts).withColumns({"score": F.lit(9), "key": F.lit("k"), "n": F.lit(1)})
+
+
+OPERATORS = {
+    "line": lambda d: linededup.deduplicate(d),
+    "license": licenses.scan,
+    "quality": lambda d: quality.score(d, quality.Model(np.zeros(quality.BUCKETS, np.float32), 0.0)),
+    "pack": packing.pack,
+    "near": neardup.near_duplicates,
+    "file": tokenfile.token_file,
+    "suffix": suffixes.deduplicate,
+    "clean": lambda d: decontaminate.clean(d, d.select(F.col("doc_id").alias("item_id"), "text").where("doc_id = 6").distinct()),
+}
+ROWS = {"pack": None, "clean": 8}
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_edge_cases(spark, edge, name):
+    n = OPERATORS[name](edge).count()
+    assert ROWS.get(name, 10) in (None, n)
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_empty_table(spark, edge, name):
+    assert OPERATORS[name](edge.limit(0)).count() == 0
+
+
+def test_line_templates_keep_the_first(spark):
+    rng = random.Random(1)
+    docs = frame(spark, [(k, f"{words(rng, 12)}\nposted on {k}-01-02 by the editor of the day\nshort line") for k in range(12)])
+    got = {r.doc_id: r for r in linededup.deduplicate(docs).collect()}
+    assert got[0].n_dropped == 0 and all(got[k].n_dropped == 1 and "posted" not in got[k].text for k in range(1, 12))
+
+
+def test_decontamination_by_brute_force(spark):
+    docs, items = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, items).collect()}
+    held = {(d.doc_id, i.item_id) for d in docs.collect() for i in items.collect() if i.text in d.text}
+    assert held <= got and len(got) <= len(held) + 1
+
+
+def test_decontamination_scores_are_bm25():
+    rng = random.Random(2)
+    items = [(k, words(rng, rng.randint(5, 30))) for k in range(40)]
+    index = decontaminate.build(items)
+    text = f"{words(rng, 70)} {items[7][1]} {words(rng, 90)} {items[9][1]}"
+    w = decontaminate.hashed_words(text)
+    got = {(i, at): s for _, at, i, s in decontaminate.search(w, np.array([len(w)]), index)}
+    want = {}
+    for at in range(0, len(w), index.stride):
+        own = np.isin(index.terms, w[at : at + 2 * index.stride])
+        for i, s in enumerate(index.impacts[own].sum(0)):
+            if s >= decontaminate.LEAST:
+                want[i, at] = s
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-5 for k in want)
+    assert {index.ids[i] for i, _ in got} >= {7, 9}
+
+
+def test_item_split():
+    assert decontaminate.question_and_answer("What is it?\nA stone.") == ("What is it?\n", "A stone.")
+    assert decontaminate.question_and_answer("One. Two is.") == ("One. ", "Two is.")
+    assert decontaminate.question_and_answer("Alone") == ("Alone", "")
+
+
+def test_licenses_by_brute_force(spark):
+    texts = ["Under the MIT License", "under the mit-license, UNDER THE MIT LICENSE", "cc by nc cc by nc", "cc by", "Apache License, Version 2.0", None, "é under the mit licenseé", "CC-BY-NC under the mit"]
+    got = {r.doc_id: r for r in licenses.scan(frame(spark, list(enumerate(texts)))).collect()}
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    for k, t in enumerate(texts):
+        w = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", (t or "").translate(lower))
+        at = {lab: [i for i in range(len(w)) if w[i : i + len(p.split())] == p.split()] for lab, p in licenses.BASE.items()}
+        all_at = sorted(x for v in at.values() for x in v)
+        r = got[k]
+        assert (r.n_words, r.n_base, r.first_word, r.last_word) == (len(w), len(all_at), *((all_at[0], all_at[-1]) if all_at else (None, None)))
+        assert r.base_labels == ",".join(sorted(x for x in at if at[x])) and set(r.base_labels.split(",")) <= set(r.labels.split(",")) | {""}
+
+
+def test_license_with_changed_words_is_found(spark):
+    text = licenses.TEMPLATES[0][1].replace("of charge", "of any charge").replace("sublicense", "license")
+    assert licenses.scan(frame(spark, [(1, text)])).first().labels == "mit"
+
+
+def test_quality_learns_and_never_sees_held_out(spark):
+    rng = random.Random(5)
+    noisy = lambda t: " ".join(w + rng.choice(["!!", "###", "$$$"]) for w in t.split())
+    texts = [(k, words(rng, 60) if k % 3 else noisy(words(rng, 60))) for k in range(300)]
+    docs = frame(spark, texts)
+    labels = spark.createDataFrame([(k, int(k % 3 > 0)) for k in range(300)], "doc_id bigint, quality int")
+    model = quality.fit(docs, labels)
+    got = quality.score(docs, model).withColumn("held_out", quality.held_out()).collect()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in got)
+    held = [r for r in got if r.held_out]
+    assert np.mean([r.predicted == int(r.doc_id % 3 > 0) for r in held]) > 0.95
+    flipped = labels.withColumn("quality", F.when(quality.held_out(), 1 - F.col("quality")).otherwise(F.col("quality")))
+    assert np.array_equal(model.odds, quality.fit(docs, flipped).odds)
+
+
+def test_quality_score_is_the_mean_of_embeddings(spark):
+    rng = np.random.default_rng(0)
+    model = quality.Model(rng.normal(size=quality.BUCKETS).astype(np.float32), 0.3)
+    for text in ("one two two three", "x", ""):
+        ids, share = quality.document_features(text)
+        want = 1 / (1 + np.exp(-(float(share @ model.odds[ids]) + 0.3)))
+        assert abs(quality.score(frame(spark, [(1, text)]), model).first().score - want) < 1e-5
+
+
+@pytest.mark.parametrize("block,per", [(7, 3), (4096, 1024)])
+def test_top_k_by_brute_force(spark, block, per):
+    rng = np.random.default_rng(1)
+    v = rng.normal(size=(90, 6)).round(1)
+    v[40:60] = v[3]  # ties
+    rows = [(int(i), [float(x) for x in row]) for i, row in enumerate(v)] + [(200, None), (201, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (202, [float("nan")] * 6), (203, [float("inf")] * 6), (204, []), (None, [1.0] * 6), (205, [1.0, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(df, df.where("vec_id % 10 = 0"), 5, block, per).collect())
+    q = np.floor(1024 * v.astype(np.float32).astype(np.float64)).astype(np.int64)
+    want = []
+    for i in range(0, 90, 10):
+        s = q @ q[i]
+        order = sorted((k for k in range(90) if k != i), key=lambda k: (-s[k], k))[:5]
+        want += [(i, n + 1, k, int(s[k])) for n, k in enumerate(order)]
+    assert got == want
+
+
+def test_packing_round_trip(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(40)
+    rows = packing.pack(docs).collect()
+    library = tokens.encoder(packing.VOCABULARY).library
+    for d in docs.collect():
+        own = sorted((r for r in rows if r.doc_id == d.doc_id), key=lambda r: r.start)
+        ids = [*library.encode(d.text or "", add_special_tokens=False).ids, packing.END]
+        assert b"".join(bytes(r.ids) for r in own) == np.array(ids, "<u4").tobytes()
+        assert all(r.length & (r.length - 1) == 0 and r.length <= 4096 and r.doc_tokens == len(ids) and r.offset == 0 for r in own)
+        assert [r.start for r in own] == [sum(x.length for x in own[:k]) for k in range(len(own))]
+    assert len({r.sequence_id for r in rows}) == len(rows)
+
+
+def test_decompose():
+    for n in (1, 2, 3, 4095, 4096, 4097, 12345):
+        parts = packing.decompose(n)
+        assert sum(parts) == n and parts == sorted(parts, reverse=True) and all(p & (p - 1) == 0 for p in parts)
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_encoder_is_the_library(name):
+    e = tokens.encoder(name)
+    texts = ["", " a  b\tc\n\n d", "it's I'll 12ab ½ x²", "Á \x1c a", "İstanbul ß <|endoftext|> !!'s", "  a\r\n  b  ", "日本語 text 😀", "'t'test 'S's"]
+    ids, counts = e.encode(texts)
+    want = [e.library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert ids.tolist() == [x for w in want for x in w] and counts.tolist() == [len(w) for w in want]
+
+
+def test_html():
+    page = """<body><header><h1>Site</h1></header><nav><a href=x>Home</a></nav><div class="post-content"><h2>T&eacute;st</h2><p>First para with <a href=y>link</a> text, ok.<p>Second&nbsp;para
+    of it.<ul><li>item one, short<li>item two</ul></div><div class="sidebar"><p>Popular posts here, read more.</p></div><section id="comments"><p>Great post, thanks! I liked it.</p></section>
+    <form>Name <input><button>Go</button></form><script>var a="<p>no</p>";</script><footer>(c) 2020</footer></body>"""
+    assert maintext.main_text(page) == "Tést\nFirst para with link text, ok.\nSecond para of it.\nitem one, short\nitem two"
+    assert maintext.main_text(None) == maintext.main_text("") == maintext.main_text("<nav>only</nav>") == ""
+    assert maintext.main_text("<p>broken <b>markup") == "broken markup"
+
+
+def test_minimum_cut_by_brute_force():
+    rng = random.Random(0)
+    for _ in range(40):
+        n = rng.randint(1, 7)
+        source, sink = ([rng.randint(0, 9) for _ in range(n)] for _ in range(2))
+        edges = [(a, b, rng.randint(1, 5)) for a in range(n) for b in range(a) if rng.random() < 0.5]
+        cost = lambda side, n=n, source=source, sink=sink, edges=edges: sum(sink[i] if side >> i & 1 else source[i] for i in range(n)) + sum(c for a, b, c in edges if (side >> a & 1) != (side >> b & 1))
+        kept = maintext.minimum_cut([float(x) for x in source], [float(x) for x in sink], edges)
+        assert cost(sum(1 << i for i, k in enumerate(kept) if k)) == min(map(cost, range(1 << n)))
+
+
+def test_html_rows(spark):
+    pages = spark.createDataFrame([(1, "u", "<article><p>Hello there, reader.</p></article>"), (2, None, None), (None, "u", "")], "page_id bigint, url string, html string").withColumn("text", F.lit("old"))
+    got = {r.page_id: (r.text, r.n_chars) for r in maintext.extract(pages).collect()}
+    assert got == {1: ("Hello there, reader.", 20), 2: ("", 0), None: ("", 0)}
+
+
+def shingle_set(text):
+    w = [x for x in re.split(r"[\x20\x09-\x0d]+", (text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))) if x]
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+
+
+def test_near_duplicates_by_brute_force(spark):
+    rng = random.Random(4)
+    texts = []
+    for base in range(12):
+        own = words(rng, 80).split()
+        for _ in range(6):
+            copy = list(own)
+            for _ in range(rng.randint(0, 4)):
+                copy[rng.randrange(len(copy))] = words(rng, 1)
+            texts.append(" ".join(copy).upper() if rng.random() < 0.3 else " ".join(copy))
+    texts += ["a b", "A  b", "a b c", "", None, " "]
+    sets = [shingle_set(t) for t in texts]
+    label = list(range(len(texts)))
+    for _ in texts:
+        for i in range(len(texts)):
+            for j in range(i):
+                both = len(sets[i] & sets[j])
+                if sets[i] and sets[j] and 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both):
+                    label[i] = label[j] = min(label[i], label[j])
+    got = {r.doc_id: r for r in neardup.near_duplicates(frame(spark, list(enumerate(texts)))).collect()}
+    assert [got[i].component_id for i in range(len(texts))] == label
+    assert [got[i].n_shingles for i in range(len(texts))] == [len(s) for s in sets]
+    assert all(got[i].kept == (label[i] == i) for i in range(len(texts)))
+
+
+def test_components(spark):
+    chain = [(k, k + 1) for k in range(50)] + [(100, 101), (103, 101)]
+    got = dict(map(tuple, neardup.components(spark.createDataFrame(chain, "a bigint, b bigint")).collect()))
+    assert got == {k: 0 for k in range(51)} | {100: 100, 101: 100, 103: 100}
+
+
+def test_wavelet_matrix():
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 63, 64, 65, 3000):
+        ids = rng.integers(0, 300, n).astype(np.uint32)
+        m = tokenfile.WaveletMatrix.from_bytes(tokenfile.WaveletMatrix.build(ids).to_bytes())
+        assert np.array_equal(m.ids(), ids)
+        for i in rng.integers(0, max(n, 1), min(n, 20)).tolist():
+            v = int(ids[i])
+            assert m.access(i) == v and m.count(v, 0, i + 1) == int((ids[: i + 1] == v).sum())
+            assert m.occurrence(v, int((ids[:i] == v).sum())) == i
+        assert m.count(70000, 0, n) == 0 and m.occurrence(70000, 0) == -1
+
+
+def test_token_file_round_trip(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").repartition(5)
+    got = sorted(tokenfile.read_shards(common.stored(tokenfile.write_shards(docs, shard=5000), "t")).collect())
+    library, at = tokens.encoder(tokenfile.VOCABULARY).library, 0
+    for r, d in zip(got, sorted(docs.collect()), strict=True):
+        ids = np.array([*library.encode(d.text, add_special_tokens=False).ids, tokenfile.END], "<u4")
+        assert (r.doc_id, r.start, bytes(r.ids)) == (d.doc_id, at, ids.tobytes())
+        at += len(ids)
+
+
+def brute_removal(texts, n=400):
+    raw = [(t or "").encode() for t in texts]
+    seen = {}
+    for d, b in enumerate(raw):
+        for i in range(len(b) - n + 1):
+            seen.setdefault(b[i : i + n], []).append((d, i))
+    gone = [bytearray(len(b)) for b in raw]
+    for places in seen.values():
+        if len(places) > 1:
+            for d, i in places:
+                gone[d][i : i + n] = b"\x01" * n
+    return [(len(b), sum(g), len(re.findall(b"\x01+", bytes(g))), hashlib.sha256(bytes(x for x, k in zip(b, g, strict=True) if not k)).hexdigest()) for b, g in zip(raw, gone, strict=True)]
+
+
+def test_suffix_dedup_by_brute_force(spark):
+    rng = random.Random(6)
+    passage, other = words(rng, 120), words(rng, 70)
+    texts = [None, "", "short", words(rng, 200), words(rng, 40) + passage + words(rng, 40), passage[:405] + words(rng, 90), words(rng, 60) + passage[3:402], words(rng, 60) + passage[3:403], other * 3, "ab" * 500, "x" * 900, words(rng, 30) + other + words(rng, 9), passage, passage, "é" * 250 + words(rng, 10)]
+    for _ in range(25):  # pieces of the passage with changes, about the length of a match
+        a = rng.randrange(0, max(1, len(passage) - 500))
+        piece = list(passage[a : a + rng.randint(390, 520)])
+        if rng.random() < 0.5:
+            piece[rng.randrange(len(piece))] = "#"
+        texts.append(words(rng, 20) + "".join(piece) + words(rng, 20))
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffixes.deduplicate(frame(spark, list(enumerate(texts)))).collect()}
+    assert [got[i] for i in range(len(texts))] == brute_removal(texts)
