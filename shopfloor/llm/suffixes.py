@@ -75,37 +75,54 @@ def phrases(rows: DataFrame) -> DataFrame:
     return rows.where(F.octet_length("text") >= LENGTH).select("key", "text").mapInArrow(run, "key bigint, at array<int>, names array<bigint>")
 
 
-def repeated_runs(found: DataFrame) -> DataFrame:
-    """A row per repeated phrase inside a run of such that holds INSIDE bytes or more: key, j, at, pre (names from here
-    on, over ENOUGH bytes at most) and ends (bytes from here to the end of each)."""
+def repeated(found: DataFrame) -> DataFrame:
+    """key, at, names and js (numbers of the phrases that repeat) of texts with repeated phrases, as a stored table."""
     often = found.select(F.explode("names").alias("name")).groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
+    often = common.stored(often, "often")  # both sides of the join are then plain shuffles, and a hot name can be split
     each = found.select("key", F.posexplode("names").alias("j", "name")).join(often, "name", "left_semi")
-    own = each.groupBy("key").agg(F.collect_list("j").alias("js")).join(found, "key")
+    return common.stored(each.groupBy("key").agg(F.collect_list("j").alias("js")).join(found, "key"), "repeated")
+
+
+def spans_of(at: np.ndarray, js: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The phrases inside runs of repeated ones that hold INSIDE bytes or more, and where the prefix of each stops: at the
+    run's end or past ENOUGH bytes."""
+    js = np.sort(js)
+    first = np.concatenate([[True], np.diff(js) > 1])
+    run = np.cumsum(first) - 1
+    starts, ends = js[first], js[np.concatenate([first[1:], [True]])] + 1
+    kept = (at[ends] + GRAM - at[starts] >= INSIDE)[run]
+    js, run = js[kept], run[kept]
+    return js, np.minimum(ends[run], np.searchsorted(at, at[js] + ENOUGH))
+
+
+def suffixes_of(own: DataFrame) -> DataFrame:
+    """A row per suffix: key, j, at, form (hash of its prefix's names), pair (of its first two, if it has two), span (bytes
+    of the prefix) and its first three names, 0 past the run."""
+    names = ["key", "j", "at", "form", "pair", "span", "n0", "n1", "n2"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys, out = b.column("key").to_pylist(), []
+            keys, parts = b.column("key").to_numpy(), []
             for i in range(b.num_rows):
-                at, names = b.column("at")[i].values.to_numpy(), b.column("names")[i].values.to_numpy()
-                js = np.sort(b.column("js")[i].values.to_numpy())
-                cut = np.flatnonzero(np.diff(js) > 1) + 1
-                for a, z in zip(np.concatenate([[0], cut]), np.concatenate([cut, [len(js)]]), strict=True):
-                    first, last = int(js[a]), int(js[z - 1])
-                    if at[last + 1] + GRAM - at[first] < INSIDE:
-                        continue
-                    for j in range(first, last + 1):
-                        stop = min(last + 1, int(np.searchsorted(at, at[j] + ENOUGH)))
-                        out.append((keys[i], j, int(at[j]), names[j:stop], at[j + 1 : stop + 1] + GRAM - at[j]))
-            cols = list(zip(*out, strict=True)) or [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32())), strict=True)], names=["key", "j", "at", "pre", "ends"])
-
-    return own.select("key", "js", "at", "names").mapInArrow(run, "key bigint, j int, at int, pre array<bigint>, ends array<int>")
+                at, name = b.column("at")[i].values.to_numpy(), b.column("names")[i].values.to_numpy().view(U64)
+                js, stops = spans_of(at, b.column("js")[i].values.to_numpy())
+                power, inverse = (common.powers(x, len(name) + 1) for x in (common.BASE, common.BASE_INV))
+                sums = np.concatenate([np.zeros(1, U64), np.cumsum(common.mix(name) * power[:-1])])
+                form = common.mix((sums[stops] - sums[js]) * inverse[js] + (stops - js).astype(U64))
+                padded = np.concatenate([name, np.zeros(2, U64)])
+                first = [np.where(js + k < stops, padded[js + k], U64(0)) for k in range(3)]
+                parts.append((np.full(len(js), keys[i]), js, at[js], form, common.mix(first[0] * U64(31) + common.mix(first[1])), at[stops] + GRAM - at[js], *first))
+            cols = [np.concatenate([p[k] for p in parts]) for k in range(len(names))] if parts else [np.zeros(0, np.int64)] * len(names)
+            none = cols[7] == 0
+            yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64) if c.dtype == U64 else c.astype(np.int32) if n in ("j", "at", "span") else c, mask=none if n == "pair" else None) for n, c in zip(names, cols, strict=True)], names=names)
+
+    schema = "key bigint, j int, at int, form bigint, pair bigint, span int, n0 bigint, n1 bigint, n2 bigint"
+    return own.select("key", "at", "names", "js").mapInArrow(run, schema)
 
 
 def ranked(rows: DataFrame) -> DataFrame:
     """key, j, rank of the sampled suffixes (j modulo 3 is 1 or 2), in the order of their names over ENOUGH bytes."""
-    name = lambda i: F.coalesce(F.get("pre", F.lit(i)), F.lit(0))
-    level = rows.where("j % 3 <> 0").select("key", "j", "at", *[name(i).alias(f"n{i}") for i in range(3)])
+    level = rows.where("j % 3 <> 0").select("key", "j", "at", "n0", "n1", "n2")
     step = 1
     while True:
         order = level.select("n0", "n1", "n2").distinct().repartitionByRange("n0", "n1", "n2").sortWithinPartitions("n0", "n1", "n2")
@@ -118,21 +135,41 @@ def ranked(rows: DataFrame) -> DataFrame:
             return F.when(F.lead("j", steps).over(here) == F.col("j") + 3 * steps, F.lead(column, steps).over(here))
 
         # a name reaches over 3 * step phrases: short ones must be named again
-        more = level.withColumn("over", ahead("at", step) - F.col("at"))
-        if more.where(F.col("over") < ENOUGH).isEmpty():
+        reach = level.select("key", "j", "at", F.col("rank").alias("n0"), F.coalesce(ahead("rank", step), F.lit(0)).alias("n1"), F.coalesce(ahead("rank", 2 * step), F.lit(0)).alias("n2"), (ahead("at", step) - F.col("at")).alias("over"))
+        if reach.where(F.col("over") < ENOUGH).isEmpty():
             return level.select("key", "j", "rank")
-        level = level.select("key", "j", "at", F.col("rank").alias("n0"), F.coalesce(ahead("rank", step), F.lit(0)).alias("n1"), F.coalesce(ahead("rank", 2 * step), F.lit(0)).alias("n2"))
+        level = reach.drop("over")
         step *= 3
 
 
-def reaches(rows: DataFrame) -> DataFrame:
-    """key, j, reach: the bytes from each anchor over the longest run of phrases that it shares with another."""
+def prefixes(own: DataFrame, wanted: DataFrame) -> DataFrame:
+    """key, j, pre (the prefix's names) and ends (bytes from the suffix's start to the end of each) of wanted suffixes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys, parts = b.column("key").to_numpy(), []
+            for i in range(b.num_rows):
+                at, name = b.column("at")[i].values.to_numpy(), b.column("names")[i].values.to_numpy()
+                js, stops = spans_of(at, b.column("js")[i].values.to_numpy())
+                some = np.isin(js, b.column("wanted")[i].values.to_numpy())
+                js, lens = js[some], (stops - js)[some]
+                each = np.repeat(js - (np.cumsum(lens) - lens), lens) + np.arange(lens.sum())
+                parts.append((np.full(len(js), keys[i]), js, lens, name[each], at[each + 1] + GRAM - np.repeat(at[js], lens)))
+            key, js, lens, pre, ends = (np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64) for k in range(5))
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(js.astype(np.int32)), common.lists(pre, lens, pa.int64()), common.lists(ends.astype(np.int32), lens, pa.int32())], names=["key", "j", "pre", "ends"])
+
+    asked = wanted.groupBy("key").agg(F.collect_list("j").alias("wanted"))
+    return own.join(asked, "key").select("key", "at", "names", "js", "wanted").mapInArrow(run, "key bigint, j int, pre array<bigint>, ends array<int>")
+
+
+def reaches(own: DataFrame, rows: DataFrame) -> DataFrame:
+    """form, reach: the bytes over the longest run of phrases that suffixes of this form share with others. A form that
+    stands in several places reaches over all of its prefix; one of each form takes part in the sorts."""
+    forms = common.stored(rows.groupBy("form").agg(F.count("*").alias("n"), F.min(F.struct("key", "j")).alias("first"), F.first("span").alias("span")), "forms")
     ranks = ranked(rows)
-    base = rows.withColumn("r", F.col("j") % 3)
-    to = lambda d: ranks.select("key", (F.col("j") - d).alias("j"), F.col("rank").alias(f"rank{d}"))
-    all_ranks = base
+    all_ranks = common.stored(prefixes(own, forms.select("first.key", "first.j")), "prefixes").withColumn("r", F.col("j") % 3)
     for d in range(3):
-        all_ranks = all_ranks.join(to(d), ["key", "j"], "left")
+        all_ranks = all_ranks.join(ranks.select("key", (F.col("j") - d).alias("j"), F.col("rank").alias(f"rank{d}")), ["key", "j"], "left")
     first, second = F.get("pre", F.lit(0)), F.coalesce(F.get("pre", F.lit(1)), F.lit(0))
     zero = F.lit(0).cast("bigint")
     orders = F.array(
@@ -171,7 +208,9 @@ def reaches(rows: DataFrame) -> DataFrame:
     same = F.aggregate(F.zip_with("pre", "next.pre", lambda p, q: F.coalesce((p == q), F.lit(False))), F.struct(F.lit(0).alias("n"), F.lit(True).alias("go")), lambda s, e: F.struct((s.n + (s.go & e).cast("int")).alias("n"), (s.go & e).alias("go"))).n
     met = following.withColumn("same", same).where("same > 0").withColumn("reach", F.element_at("ends", F.col("same")).cast("bigint"))
     pairs = met.select(F.explode(F.array(F.struct("key", "j"), F.struct("next.key", "next.j"))).alias("s"), "reach").select("s.key", "s.j", "reach")
-    return found.where("part is null").select("key", "j", "reach").unionByName(pairs).groupBy("key", "j").agg(F.max("reach").alias("reach"))
+    best = found.where("part is null").select("key", "j", "reach").unionByName(pairs).groupBy("key", "j").agg(F.max("reach").alias("reach"))
+    alone = forms.select("form", "n", "span", "first.key", "first.j").join(best, ["key", "j"], "left")
+    return alone.select("form", F.when(F.col("n") > 1, F.col("span")).otherwise(F.coalesce("reach", F.lit(0))).cast("bigint").alias("reach"))
 
 
 def shared(a: tuple, b: tuple) -> int:
@@ -195,8 +234,7 @@ def windows(rows: DataFrame, reach: DataFrame) -> tuple[DataFrame, DataFrame]:
     and some after the last; that first one lies under SPREAD bytes from the start, and phrases match from it on to
     SPREAD bytes before the end.
     """
-    met = rows.select("key", "j", "at", F.when(F.size("pre") > 1, F.xxhash64(F.get("pre", F.lit(0)), F.get("pre", F.lit(1)))).alias("pair")).join(reach, ["key", "j"], "left").fillna(0, ["reach"])
-    met = common.stored(met, "met")
+    met = common.stored(rows.select("key", "at", "pair", "form").join(common.stored(reach, "reaches"), "form").drop("form"), "met")
     settled = met.where(F.col("reach") >= LENGTH).select("key", F.col("at").alias("start"), (F.col("at") + F.col("reach")).cast("int").alias("end"))
 
     def unsettled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,6 +259,7 @@ def windows(rows: DataFrame, reach: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     own = met.groupBy("key").agg(F.collect_list(F.struct("at", "reach", "pair")).alias("own")).select("own")
     ranges = own.mapInArrow(unsettled, "pair bigint, lo int, hi int").groupBy("pair").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    ranges = common.stored(ranges, "ranges")
     return settled, met.join(ranges, "pair").select("key", "at", "lo", "hi")
 
 
@@ -236,29 +275,55 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     twice = common.stored(rows.where(F.octet_length("text") >= LENGTH).groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "twice")
     if not twice.isEmpty():
         found = common.stored(found.dropDuplicates(["key"]), "phrases")
-    runs = common.stored(repeated_runs(found), "runs")
-    settled, open_ = windows(runs, reaches(runs))
+    own = repeated(found)
+    ends = common.stored(suffixes_of(own), "suffixes")
+    settled, open_ = windows(ends, reaches(own, ends))
     settled = settled.unionByName(rows.join(twice, "key", "left_semi").select("key", F.lit(0).alias("start"), F.octet_length("text").alias("end")).distinct())
     parts = settled.groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("settled")).join(open_.groupBy("key").agg(F.collect_list(F.struct("at", "lo", "hi")).alias("open")), "key", "full")
-    texts = common.stored(rows.join(parts, "key").dropDuplicates(["key"]).select("key", "text", "settled", "open"), "texts")
+    parts = common.stored(parts, "parts")
+    among = common.Among(parts.select("key"))
+
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(among.mask(b)).select(["key", "text"])
+
+    few = rows.where(F.octet_length("text") >= LENGTH).select("key", "text", among.places("key").alias("places")).mapInArrow(likely, "key bigint, text string")
+    texts = common.stored(few.join(parts, "key").dropDuplicates(["key"]).select("key", "text", "settled", "open"), "texts")
+
+    def clipped(b: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+        """Bytes, where rows start, and of each open anchor: row, position, and lo and hi of the windows inside the text."""
+        data, off = common.buffers(b.column("text"))
+        open_ = b.column("open")
+        at, lo, hi = (open_.flatten().field(i).to_numpy().astype(np.int64) for i in range(3))
+        row = np.repeat(np.arange(b.num_rows), [len(x) for x in open_])
+        lo, hi = np.maximum(lo, at + LENGTH - np.diff(off)[row]), np.minimum(hi, at)
+        ok = lo <= hi
+        return data, off, row[ok], at[ok], lo[ok], hi[ok]
+
+    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in (x for y in batches for x in common.slices(y, "text", 1 << 20)):
+            data, off, row, at, lo, hi = clipped(b)
+            where = at + off[row]
+            form = common.ByteHash(data).of(where - hi, where - lo + LENGTH) + common.mix((lo * SPREAD + hi).astype(U64))
+            yield pa.RecordBatch.from_arrays([b.column("key").take(pa.array(row)), *(pa.array(x.astype(np.int32)) for x in (at, lo, hi)), pa.array(form.view(np.int64))], names=["key", "at", "lo", "hi", "form"])
+
+    # anchors with all their windows' bytes alike: if there are two, all of these repeat; one of them stands for the rest
+    around = common.stored(texts.where("open is not null").mapInArrow(contexts, "key bigint, at int, lo int, hi int, form bigint"), "contexts")
+    forms = common.stored(around.groupBy("form").agg(F.count("*").alias("n"), F.min(F.struct("key", "at", "lo", "hi")).alias("first")), "forms")
+    alike = around.join(forms.where("n > 1").select("form"), "form").groupBy("key").agg(F.collect_list(F.struct((F.col("at") - F.col("hi")).alias("start"), (F.col("at") - F.col("lo") + LENGTH).alias("end"))).alias("alike"))
+    chosen = forms.select("first.*").groupBy("key").agg(F.collect_list(F.struct("at", "lo", "hi")).alias("open"))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in (x for y in batches for x in common.slices(y, "text", 1 << 20)):
-            data, off = common.buffers(b.column("text"))
-            hashes, open_ = common.ByteHash(data), b.column("open")
-            at, lo, hi = (open_.flatten().field(i).to_numpy().astype(np.int64) for i in range(3))
-            row = np.repeat(np.arange(b.num_rows), [len(x) if x.is_valid else 0 for x in open_])
-            lens = hi - lo + 1
+            data, off, row, at, lo, hi = clipped(b)
+            lens, width = hi - lo + 1, np.int64(len(data) + 1)
             start = np.repeat(at - lo, lens) - (np.arange(lens.sum()) - np.repeat(np.cumsum(lens) - lens, lens))
-            row = np.repeat(row, lens)
-            ok = (start >= 0) & (start + LENGTH <= np.diff(off)[row])
-            width = np.int64(len(data) + 1)
-            row, start = np.divmod(np.unique(row[ok] * width + start[ok]), width)  # anchors' ranges overlap
+            row, start = np.divmod(np.unique(np.repeat(row, lens) * width + start), width)  # anchors' ranges overlap
             where = start + off[row]
-            yield pa.RecordBatch.from_arrays([b.column("key").take(pa.array(row)), pa.array(start.astype(np.int32)), pa.array(hashes.of(where, where + LENGTH).view(np.int64))], names=["key", "start", "hash"])
+            yield pa.RecordBatch.from_arrays([b.column("key").take(pa.array(row)), pa.array(start.astype(np.int32)), pa.array(common.ByteHash(data).of(where, where + LENGTH).view(np.int64))], names=["key", "start", "hash"])
 
-    seen = common.stored(texts.where("open is not null").mapInArrow(hashed, "key bigint, start int, hash bigint"), "windows")
-    again = seen.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
+    seen = common.stored(texts.select("key", "text").join(chosen, "key").mapInArrow(hashed, "key bigint, start int, hash bigint"), "windows")
+    again = common.stored(seen.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), "again")
     more = seen.join(again, "hash", "left_semi").groupBy("key").agg(F.collect_list("start").alias("starts"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,7 +332,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
             for x in (b.slice(i, 1).to_pylist()[0] for i in range(b.num_rows)):
                 raw = x["text"].encode()
                 flags = np.zeros(len(raw) + 1, np.int32)
-                for s in x["settled"] or []:
+                for s in (x["settled"] or []) + (x["alike"] or []):
                     flags[s["start"]] += 1
                     flags[s["end"]] -= 1
                 starts = np.array(x["starts"] or [], np.int64)
@@ -281,7 +346,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["key", "n_removed", "n_spans", "kept", "spans"])
 
-    done = texts.join(more, "key", "left").select("key", "text", "settled", "starts").mapInArrow(cut, "key bigint, n_removed bigint, n_spans bigint, kept string, spans array<struct<start:bigint,end:bigint>>")
+    done = texts.join(more, "key", "left").join(alike, "key", "left").select("key", "text", "settled", "alike", "starts").mapInArrow(cut, "key bigint, n_removed bigint, n_spans bigint, kept string, spans array<struct<start:bigint,end:bigint>>")
     whole = rows.select("doc_id", "key", F.octet_length("text").cast("bigint").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("sha"))
     out = whole.join(done, "key", "left")
     return out.select("doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("n_spans", F.lit(0)).alias("n_spans"), F.coalesce("kept", "sha").alias("kept_sha256"), "spans")
