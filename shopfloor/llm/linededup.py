@@ -43,7 +43,8 @@ def lines_of(docs: DataFrame) -> DataFrame:
 def placed_lines(docs: DataFrame, documents: int) -> DataFrame:
     """The lines, masked, of leaves that ``documents`` lines or more reach, as a stored table."""
     lines = lines_of(docs)
-    leaves = lines.groupBy("leaf").agg(F.count("*").alias("lines")).where(F.col("lines") >= documents).select("leaf")
+    # stored, so that both sides of the join are plain shuffles and a hot leaf can be split
+    leaves = common.stored(lines.groupBy("leaf").agg(F.count("*").alias("lines")).where(F.col("lines") >= documents).select("leaf"), "leaves")
     kept = lines.join(leaves, "leaf", "left_semi").withColumn("line", masked(F.col("line")))
     return common.stored(kept.withColumn("line_key", F.xxhash64("line")), "lines")
 
@@ -73,7 +74,8 @@ def templates(lines: DataFrame, documents: int = DOCUMENTS, fixed: float = FIXED
 def dropped_lines(docs: DataFrame, documents: int = DOCUMENTS, fixed: float = FIXED) -> DataFrame:
     """doc_id, row_key and gone, the numbers of the lines that are dropped."""
     lines = placed_lines(docs, documents)
-    lines = lines.join(templates(lines, documents, fixed).select("line_key", "first"), "line_key")
+    found = common.stored(templates(lines, documents, fixed).select("line_key", "first"), "templates")
+    lines = lines.join(found, "line_key")
     lines = lines.where(~F.col("first").eqNullSafe(F.struct("doc_id", "row_key", "n")))
     return lines.groupBy("doc_id", "row_key").agg(F.collect_set("n").alias("gone"))
 
