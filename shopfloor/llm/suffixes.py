@@ -97,8 +97,8 @@ def spans_of(at: np.ndarray, js: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def suffixes_of(own: DataFrame) -> DataFrame:
     """A row per suffix: key, j, at, form (hash of its prefix's names), pair (of its first two, if it has two), span (bytes
-    of the prefix) and its first three names, 0 past the run."""
-    names = ["key", "j", "at", "form", "pair", "span", "n0", "n1", "n2"]
+    of the prefix), and the forms of the next two suffixes of its run."""
+    names = ["key", "j", "at", "form", "pair", "span", "form1", "form2"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -109,67 +109,72 @@ def suffixes_of(own: DataFrame) -> DataFrame:
                 power, inverse = (common.powers(x, len(name) + 1) for x in (common.BASE, common.BASE_INV))
                 sums = np.concatenate([np.zeros(1, U64), np.cumsum(common.mix(name) * power[:-1])])
                 form = common.mix((sums[stops] - sums[js]) * inverse[js] + (stops - js).astype(U64))
-                padded = np.concatenate([name, np.zeros(2, U64)])
-                first = [np.where(js + k < stops, padded[js + k], U64(0)) for k in range(3)]
-                parts.append((np.full(len(js), keys[i]), js, at[js], form, common.mix(first[0] * U64(31) + common.mix(first[1])), at[stops] + GRAM - at[js], *first))
-            cols = [np.concatenate([p[k] for p in parts]) for k in range(len(names))] if parts else [np.zeros(0, np.int64)] * len(names)
-            none = cols[7] == 0
-            yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64) if c.dtype == U64 else c.astype(np.int32) if n in ("j", "at", "span") else c, mask=none if n == "pair" else None) for n, c in zip(names, cols, strict=True)], names=names)
-
-    schema = "key bigint, j int, at int, form bigint, pair bigint, span int, n0 bigint, n1 bigint, n2 bigint"
+                pair = common.mix(name[js] * U64(31) + common.mix(name[np.minimum(js + 1, len(name) - 1)]))
+                later = []
+                for k in (1, 2):  # of the same run: numbered without a gap
+                    there = np.minimum(np.arange(len(js)) + k, max(len(js) - 1, 0))
+                    later += [form[there], js[there] != js + k]
+                parts.append((np.full(len(js), keys[i]), js, at[js], form, pair, at[stops] + GRAM - at[js], *later[::2], stops - js < 2, *later[1::2]))
+            cols = [np.concatenate([p[k] for p in parts]) for k in range(len(names) + 3)] if parts else [np.zeros(0, np.int64)] * len(names) + [np.zeros(0, bool)] * 3
+            none = dict(zip(("pair", "form1", "form2"), cols[len(names) :], strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64) if c.dtype == U64 else c.astype(np.int32) if n in ("j", "at", "span") else c, mask=none.get(n)) for n, c in zip(names, cols[: len(names)], strict=True)], names=names)
+
+    schema = "key bigint, j int, at int, form bigint, pair bigint, span int, form1 bigint, form2 bigint"
     return own.select("key", "at", "names", "js").mapInArrow(run, schema)
 
 
 def ranked(rows: DataFrame) -> DataFrame:
-    """key, j, rank of the sampled suffixes (j modulo 3 is 1 or 2), in the order of their names over ENOUGH bytes."""
-    level = rows.where("j % 3 <> 0").select("key", "j", "at", "n0", "n1", "n2")
-    step = 1
+    """form, rank of sampled suffixes given as form and pre: triples of names are sorted and named by their rank, then the
+    triples of these names, until one name stands for a whole prefix."""
+    level = rows
     while True:
-        order = level.select("n0", "n1", "n2").distinct().repartitionByRange("n0", "n1", "n2").sortWithinPartitions("n0", "n1", "n2")
-        # increasing within and across sorted partitions, and above 0, the name of what lies beyond a run
+        name = lambda k, d: F.get("pre", 3 * k + d)
+        each = F.transform(F.sequence(F.lit(0), F.expr("cast((size(pre) - 1) div 3 as int)")), lambda k: F.struct(name(k, 0).alias("n0"), F.coalesce(name(k, 1), F.lit(0)).alias("n1"), F.coalesce(name(k, 2), F.lit(0)).alias("n2")))
+        triples = level.select("form", F.posexplode(each).alias("i", "t")).select("form", "i", "t.n0", "t.n1", "t.n2")
+        order = triples.select("n0", "n1", "n2").distinct().repartitionByRange("n0", "n1", "n2").sortWithinPartitions("n0", "n1", "n2")
+        # increasing within and across sorted partitions, and above 0, the name of what lies beyond a prefix
         names = common.stored(order.withColumn("rank", F.monotonically_increasing_id() + 1), "names")
-        level = common.stored(level.join(names, ["n0", "n1", "n2"]).select("key", "j", "at", "rank"), "ranks")
-        here = Window.partitionBy("key", F.col("j") % 3).orderBy("j")
-
-        def ahead(column: str, steps: int, here=here):
-            return F.when(F.lead("j", steps).over(here) == F.col("j") + 3 * steps, F.lead(column, steps).over(here))
-
-        # a name reaches over 3 * step phrases: short ones must be named again
-        reach = level.select("key", "j", "at", F.col("rank").alias("n0"), F.coalesce(ahead("rank", step), F.lit(0)).alias("n1"), F.coalesce(ahead("rank", 2 * step), F.lit(0)).alias("n2"), (ahead("at", step) - F.col("at")).alias("over"))
-        if reach.where(F.col("over") < ENOUGH).isEmpty():
-            return level.select("key", "j", "rank")
-        level = reach.drop("over")
-        step *= 3
+        named = triples.join(names, ["n0", "n1", "n2"]).groupBy("form").agg(F.array_sort(F.collect_list(F.struct("i", "rank"))).alias("r"))
+        level = common.stored(named.select("form", F.col("r.rank").alias("pre")), "ranks")
+        if level.where("size(pre) > 1").isEmpty():
+            return level.select("form", F.get("pre", F.lit(0)).alias("rank"))
 
 
 def prefixes(own: DataFrame, wanted: DataFrame) -> DataFrame:
-    """key, j, pre (the prefix's names) and ends (bytes from the suffix's start to the end of each) of wanted suffixes."""
+    """The wanted suffixes (key, j, form, form1, form2) with pre (the prefix's names) and ends (bytes from the suffix's start
+    to the end of each)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys, parts = b.column("key").to_numpy(), []
+            keys, parts, rows = b.column("key").to_numpy(), [], b.column("wanted").flatten()
             for i in range(b.num_rows):
                 at, name = b.column("at")[i].values.to_numpy(), b.column("names")[i].values.to_numpy()
                 js, stops = spans_of(at, b.column("js")[i].values.to_numpy())
-                some = np.isin(js, b.column("wanted")[i].values.to_numpy())
-                js, lens = js[some], (stops - js)[some]
-                each = np.repeat(js - (np.cumsum(lens) - lens), lens) + np.arange(lens.sum())
-                parts.append((np.full(len(js), keys[i]), js, lens, name[each], at[each + 1] + GRAM - np.repeat(at[js], lens)))
-            key, js, lens, pre, ends = (np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64) for k in range(5))
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(js.astype(np.int32)), common.lists(pre, lens, pa.int64()), common.lists(ends.astype(np.int32), lens, pa.int32())], names=["key", "j", "pre", "ends"])
+                asked = b.column("wanted")[i].values.field("j").to_numpy()
+                lens = stops[np.searchsorted(js, asked)] - asked
+                each = np.repeat(asked - (np.cumsum(lens) - lens), lens) + np.arange(lens.sum())
+                parts.append((np.full(len(asked), keys[i]), lens, name[each], at[each + 1] + GRAM - np.repeat(at[asked], lens)))
+            key, lens, pre, ends = (np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64) for k in range(4))
+            yield pa.RecordBatch.from_arrays([pa.array(key), *(rows.field(n) for n in ("j", "form", "form1", "form2")), common.lists(pre, lens, pa.int64()), common.lists(ends.astype(np.int32), lens, pa.int32())], names=["key", "j", "form", "form1", "form2", "pre", "ends"])
 
-    asked = wanted.groupBy("key").agg(F.collect_list("j").alias("wanted"))
-    return own.join(asked, "key").select("key", "at", "names", "js", "wanted").mapInArrow(run, "key bigint, j int, pre array<bigint>, ends array<int>")
+    asked = wanted.groupBy("key").agg(F.collect_list(F.struct("j", "form", "form1", "form2")).alias("wanted"))
+    return own.join(asked, "key").select("key", "at", "names", "js", "wanted").mapInArrow(run, "key bigint, j int, form bigint, form1 bigint, form2 bigint, pre array<bigint>, ends array<int>")
 
 
 def reaches(own: DataFrame, rows: DataFrame) -> DataFrame:
     """form, reach: the bytes over the longest run of phrases that suffixes of this form share with others. A form that
     stands in several places reaches over all of its prefix; one of each form takes part in the sorts."""
-    forms = common.stored(rows.groupBy("form").agg(F.count("*").alias("n"), F.min(F.struct("key", "j")).alias("first"), F.first("span").alias("span")), "forms")
-    ranks = ranked(rows)
-    all_ranks = common.stored(prefixes(own, forms.select("first.key", "first.j")), "prefixes").withColumn("r", F.col("j") % 3)
+    forms = common.stored(rows.groupBy("form").agg(F.count("*").alias("n"), F.min(F.struct("key", "j", "form1", "form2")).alias("first"), F.first("span").alias("span")), "forms")
+    found = common.stored(prefixes(own, forms.select("form", "first.*")), "prefixes").withColumn("r", F.col("j") % 3)
+    # the suffix itself, the next and the one after, where j, j + 1 and j + 2 are in the cover
+    sample = [F.when(F.col("r") != (0, 2, 1)[d], F.col(c)) for d, c in enumerate(("form", "form1", "form2"))]
+    needed = found.select(F.explode(F.array_compact(F.array(*sample))).alias("form")).distinct()
+    ranks = common.stored(ranked(found.select("form", "pre").join(needed, "form", "left_semi")), "ranked")
+    # where there is none, the suffix's own form stands in as key, for nulls would meet in one task
+    slim = found.select("key", "j", *[F.coalesce(c, "form").alias(f"s{d}") for d, c in enumerate(sample)], *[c.isNotNull().alias(f"has{d}") for d, c in enumerate(sample)])
     for d in range(3):
-        all_ranks = all_ranks.join(ranks.select("key", (F.col("j") - d).alias("j"), F.col("rank").alias(f"rank{d}")), ["key", "j"], "left")
+        slim = slim.join(ranks.select(F.col("form").alias(f"s{d}"), F.col("rank").alias(f"_{d}")), f"s{d}", "left").withColumn(f"rank{d}", F.when(F.col(f"has{d}"), F.col(f"_{d}")))
+    all_ranks = found.join(slim.select("key", "j", "rank0", "rank1", "rank2"), ["key", "j"])
     first, second = F.get("pre", F.lit(0)), F.coalesce(F.get("pre", F.lit(1)), F.lit(0))
     zero = F.lit(0).cast("bigint")
     orders = F.array(
