@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -29,6 +30,28 @@ def written(spark, path: str) -> DataFrame:
     return spark.read.parquet(path).drop("batch_id")
 
 
+def refreshed(load: Callable[[], dict[str, DataFrame]], seconds: float, clock: Callable[[], float] = time.monotonic) -> Callable[[], dict[str, DataFrame]]:
+    """Dimensions that are loaded again once they are older than ``seconds``; a load that fails keeps the old ones."""
+    held, at = load(), clock()
+
+    def get() -> dict[str, DataFrame]:
+        nonlocal held, at
+        if clock() - at >= seconds:
+            try:
+                held = load()
+            except Exception:  # any reader's error: the old copy serves until the next turn
+                pass
+            at = clock()
+        return held
+
+    return get
+
+
+def write_wide(wide: DataFrame, path: str) -> None:
+    """The wide table by shift day, as reports read it."""
+    sink_safe(wide).write.mode("append").partitionBy("shift_date").parquet(path)
+
+
 def sink_safe(wide: DataFrame) -> DataFrame:
     """Missing text is '' in the warehouse."""
     return wide.fillna("")
@@ -115,4 +138,4 @@ def windowed_minutes(deltas: DataFrame) -> DataFrame:
     return out.select(F.col("window.start").alias("ts_minute"), "company", "workshop", "linecode", "partcode", "output_quantity", "record_cnt")
 
 
-__all__ = ["achievements", "alerts_of", "idempotent_append", "minute_deltas_batch", "minute_output", "minutes", "orders_batch", "sink_safe", "start", "wide_batch", "windowed_minutes", "written"]
+__all__ = ["achievements", "alerts_of", "idempotent_append", "minute_deltas_batch", "minute_output", "minutes", "orders_batch", "refreshed", "sink_safe", "start", "wide_batch", "windowed_minutes", "write_wide", "written"]

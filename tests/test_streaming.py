@@ -31,6 +31,40 @@ def test_batches_run_again_give_the_same_minutes(spark, tmp_path):
     assert sum(r.output_quantity for r in first) == live.agg(F.sum("lotquantity")).first()[0]
 
 
+def test_dimensions_are_loaded_again_and_kept_on_failure():
+    now, answers = [0.0], ["one", "two", ValueError()]
+
+    def load():
+        got = answers.pop(0)
+        if isinstance(got, Exception):
+            raise got
+        return got
+
+    get = sinks.refreshed(load, 300, lambda: now[0])
+    assert get() == "one"
+    now[0] = 300
+    assert get() == "two"
+    now[0] = 600
+    assert get() == "two"
+
+
+def test_wide_table_by_shift_day(spark, tmp_path):
+    live = wide.live_wide(wide.enrich(fixtures.log(spark, SF), fixtures.dims(spark, SF)))
+    sinks.write_wide(live.limit(50), str(tmp_path / "w"))
+    back = spark.read.parquet(str(tmp_path / "w"))
+    assert back.count() == 50 and back.where("linecode is null").count() == 0
+
+
+def test_windowed_minutes_equal_the_batch(spark, tmp_path):
+    rows = spark.read.parquet(f"{SF}/events.parquet").select(F.col("ts").cast("timestamp").alias("event_time"), F.col("event_type").alias("company"), F.lit("W").alias("workshop"), F.col("user_id").cast("string").alias("linecode"), F.lit("P").alias("partcode"), F.col("value").cast("decimal(38,4)").alias("qty_delta"), F.lit(1).alias("cnt_delta"))
+    rows.repartition(3).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+    q = sinks.windowed_minutes(stream).writeStream.format("memory").queryName("windowed").outputMode("update").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    want = rows.groupBy(F.date_trunc("minute", "event_time").alias("ts_minute"), "company", "linecode").agg(F.sum("qty_delta").alias("q"))
+    assert sorted(spark.table("windowed").select("ts_minute", "company", "linecode", "output_quantity").collect()) == sorted(want.collect())
+
+
 def test_idle_timer_fires_without_input(spark, tmp_path):
     spark.createDataFrame([("zh", "L1")], "company string, linecode string").write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema("company string, linecode string").parquet(str(tmp_path / "in"))
