@@ -106,9 +106,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             found = [document_features(t) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), pa.array([x[0] for x in found], pa.list_(pa.int32())), pa.array([x[1] for x in found], pa.list_(pa.float32()))], names=["doc_id", "y", "ids", "share"])
 
-    found = rows.mapInArrow(features, "doc_id bigint, y int, ids array<int>, share array<float>").toArrow().sort_by("doc_id")
-    ids, share = (found.column(c).to_pylist() for c in ("ids", "share"))
-    return train([(np.array(i, np.int64), np.array(s), y) for i, s, y in zip(ids, share, found.column("y").to_pylist(), strict=True)])
+    found = rows.mapInArrow(features, "doc_id bigint, y int, ids array<int>, share array<float>").toArrow().sort_by("doc_id").combine_chunks()
+    if not found.num_rows:
+        return train([])
+    ids, share = (found.column(c).combine_chunks() for c in ("ids", "share"))
+    bounds, ids, share = ids.offsets.to_numpy(), ids.values.to_numpy(), share.values.to_numpy()
+    return train([(ids[a:b], share[a:b], int(y)) for a, b, y in zip(bounds[:-1], bounds[1:], found.column("y").to_numpy(), strict=True)])
 
 
 class Words(dict):
