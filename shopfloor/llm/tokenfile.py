@@ -42,9 +42,9 @@ class WaveletMatrix:
         for level in range(bits - 1, -1, -1):
             bit = (ids & ids.dtype.type(1 << level)) != 0
             planes.append(np.packbits(bit, bitorder="little"))
-            low, high = ids[~bit], ids[bit]
+            low, high = np.flatnonzero(~bit), np.flatnonzero(bit)
             zeros.append(len(low))
-            ids = np.concatenate([low, high])
+            ids = np.concatenate([ids.take(low), ids.take(high)])
         return cls(planes, zeros, len(ids))
 
     def to_bytes(self) -> bytes:
@@ -71,8 +71,8 @@ class WaveletMatrix:
         for level, (plane, zeros) in enumerate(zip(reversed(self.planes), reversed(self.zeros), strict=True)):
             bit = np.unpackbits(plane, count=self.n, bitorder="little").view(bool)
             up = np.empty_like(out)
-            up[~bit] = out[:zeros]
-            up[bit] = out[zeros:] | out.dtype.type(1 << level)
+            up[np.flatnonzero(~bit)] = out[:zeros]
+            up[np.flatnonzero(bit)] = out[zeros:] | out.dtype.type(1 << level)
             out = up
         return out.astype(np.uint32)
 

@@ -17,8 +17,10 @@ import numpy as np
 # Letters of the plain alphabet, and the split patterns of the two public vocabularies over it.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 OTHER = re.compile(f"[^\\n\\t\\r\\x20-\\x7e{LETTERS[6:]}]")
-BYTE_LEVEL = f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[0-9]+| ?[^\\s{LETTERS}0-9]+|\\s+(?!\\S)|\\s+"
-WORD_LEVEL = f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^\\s{LETTERS}0-9]+"
+# (letters first: they are most of a text, and no other alternative starts with one)
+SHORT = "'(?:[stmd]|re|ve|ll)"
+BYTE_LEVEL = f" ?[{LETTERS}]+| ?[0-9]+|{SHORT}| ?[^\\s{LETTERS}0-9]+|\\s+(?!\\S)|\\s+"
+WORD_LEVEL = f"[{LETTERS}]+|[0-9]|{SHORT}|[^\\s{LETTERS}0-9]+"
 
 #: Pieces whose ids a worker keeps; past this it starts anew.
 KEPT = 1_000_000
