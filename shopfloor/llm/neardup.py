@@ -6,6 +6,8 @@ values or more are candidates: where few classes share a prefix the search is th
 neighbours share longer ones, so the depth follows the density of the region. Where many similar classes crowd, those
 with the most links are hubs, and every class of the region that is not yet connected to the hub is held against it.
 Candidates are confirmed on full sets, the likeliest first; later rounds take those that still join two components.
+Last, in each region that still has several components, all classes of different components are held against each
+other in bounded blocks: no link between classes that share a region is left out for how crowded it is.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ NEAR, FIRST = 3, 3
 #: Share of equal least hashes under which a candidate isn't confirmed: at similarity 0.75 it lies over 5.5 standard
 #: deviations below the mean.
 LEAST = 0.5
+#: Classes and shingles in a side of a block, on average at most, and pairs whose signatures are compared at once.
+BLOCK, MASS, ONCE = 2048, 1 << 21, 1 << 13
 U64 = np.uint64
 
 
@@ -153,9 +157,9 @@ def edge(rows: pa.Table, part: int, names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()), pa.nulls(m, pa.float64()), pa.array([part] * m, pa.int32()), *own], names=names)
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs a, b whose full shingle sets reach the threshold. ``texts`` has id and text of each class."""
-    among = common.Among(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct())
+def sets_of(ids: DataFrame, texts: DataFrame) -> DataFrame:
+    """id and set of at least these distinct ids. ``texts`` has id and text of each class."""
+    among = common.Among(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in (x for y in batches for x in common.slices(y.filter(among.mask(y)), "text", 2 << 20)):
@@ -163,7 +167,12 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("id"), common.lists(values.view(np.int64), counts, pa.int64())], names=["id", "set"])
 
     rows = texts.select("id", "text", among.places("id").alias("places"))
-    sets = common.stored(rows.mapInArrow(run, "id bigint, set array<bigint>"), "sets")
+    return common.stored(rows.mapInArrow(run, "id bigint, set array<bigint>"), "sets")
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs a, b whose full shingle sets reach the threshold."""
+    sets = sets_of(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), texts)
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -213,6 +222,102 @@ def hub_pairs(placed: DataFrame, links: DataFrame, classes: DataFrame) -> DataFr
     return met.where(sized("na", "nb")).select("a", "b")
 
 
+def blocks(placed: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
+    """The classes of regions that have several components, in blocks in which each class outside of its region's
+    largest component meets all others of the region: block, tree, left, id, component, n. Left are those outside; their
+    number times that of the region's classes, over ``BLOCK``, bounds the rows."""
+    rows = placed.select("tree", "region", "id").join(classes.select("id", "n"), "id").join(labels, "id", "left")
+    rows = common.stored(rows.select("tree", "region", "id", F.coalesce("component", "id").alias("component"), "n").distinct(), "members")
+    parts = rows.groupBy("region", "component").agg(F.count("*").alias("m"), F.sum("n").alias("mass"))
+    whole = parts.groupBy("region").agg(F.count("*").alias("parts"), F.sum("m").alias("m"), F.sum("mass").alias("mass"), F.max(F.struct("m", "mass", "component")).alias("top"))
+    # two classes of a region are neighbours, and so settled
+    whole = whole.where("parts > 1 and m > 2")
+
+    def sides(m: Column, mass: Column) -> Column:
+        return F.ceil(F.greatest(m / BLOCK, mass / MASS)).cast("bigint")
+
+    lefts, rights = sides(F.col("m") - F.col("top.m"), F.col("mass") - F.col("top.mass")), sides(F.col("m"), F.col("mass"))
+    met = rows.join(common.stored(whole.select("region", F.col("top.component").alias("top"), lefts.alias("lefts"), rights.alias("rights")), "unsettled"), "region")
+    place = F.xxhash64("id")
+    left = met.where("component <> top").withColumns({"left": F.lit(True), "i": F.pmod(place, "lefts"), "j": F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("rights") - 1))})
+    right = met.withColumns({"left": F.lit(False), "i": F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("lefts") - 1)), "j": F.pmod(place, "rights")})
+    return left.unionByName(right).select(F.xxhash64("region", "i", "j").alias("block"), "tree", "left", "id", "component", "n")
+
+
+def each_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each block; batches are sorted by block."""
+    kept = None
+    for b in batches:
+        now = pa.Table.from_batches([b])
+        both = now if kept is None else pa.concat_tables([kept, now])
+        block = both.column("block").to_numpy()
+        starts = np.concatenate([[0], np.flatnonzero(block[1:] != block[:-1]) + 1]) if len(block) else np.zeros(1, np.int64)
+        for at, end in zip(starts[:-1], starts[1:], strict=True):
+            yield both.slice(at, end - at)
+        kept = both.slice(starts[-1])
+    if kept is not None and kept.num_rows:
+        yield kept
+
+
+def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of blocks that are in a pair of two components whose signatures and sizes don't rule it out, in the first
+    tree in which the two meet."""
+    for t in each_block(batches):
+        t = t.combine_chunks()
+        left, component, size = (t.column(c).to_numpy() for c in ("left", "component", "n"))
+        tree, sig = t.column("tree")[0].as_py(), t.column("sig").combine_chunks().flatten().to_numpy().reshape(t.num_rows, -1)
+        one, two = np.flatnonzero(left), np.flatnonzero(~left)
+        able = (component[one][:, None] != component[two]) & (100 * np.minimum(size[one][:, None], size[two]) >= SHARE * np.maximum(size[one][:, None], size[two]))
+        p, q = np.nonzero(able)
+        p, q, found = one[p], two[q], np.zeros(t.num_rows, bool)
+        for at in range(0, len(p), ONCE):
+            i, j = p[at : at + ONCE], q[at : at + ONCE]
+            same = sig[i] == sig[j]
+            ok = same.mean(1) >= LEAST
+            i, j, same = i[ok], j[ok], same[ok].reshape(-1, TREES, DEPTH)[:, :tree, :SHALLOW]
+            new = ~same.all(2).any(1)
+            found[i[new]] = found[j[new]] = True
+        if found.any():
+            yield from t.drop_columns(["sig", "tree", "n"]).filter(pa.array(found)).to_batches()
+
+
+def joining(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each block, links that join all components of it that any link joins; rows that aren't left come first."""
+    for t in each_block(batches):
+        t = t.combine_chunks()
+        sets = t.column("set").combine_chunks()
+        ids, size = t.column("id").to_numpy(), sets.value_lengths().to_numpy().astype(np.int64)
+        values = np.unique(sets.flatten().to_numpy(), return_inverse=True)[1]
+        component = np.unique(t.column("component").to_numpy(), return_inverse=True)[1]
+        ends, n = np.cumsum(size), int((~t.column("left").to_numpy()).sum())
+        if not n:
+            continue
+        held, starts, has, out = values[: ends[n - 1]], (ends - size)[:n], np.zeros(values.max() + 1, np.int32), []
+        for x in range(n, len(ids)):
+            able = (component[:n] != component[x]) & (100 * np.minimum(size[:n], size[x]) >= SHARE * np.maximum(size[:n], size[x]))
+            if not able.any():
+                continue
+            own = values[ends[x] - size[x] : ends[x]]
+            has[own] = 1
+            both = np.add.reduceat(has[held], starts)
+            has[own] = 0
+            for y in np.flatnonzero(able & (100 * both >= SHARE * (size[:n] + size[x] - both))):
+                if component[y] != component[x]:
+                    out.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
+                    component[component == component[y]] = component[x]
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(c, np.int64)) for c in zip(*out, strict=True)], names=["a", "b"])
+
+
+def crossing_links(placed: DataFrame, labels: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links that join all components which any link between classes of one region joins."""
+    rows = blocks(placed, labels, classes).join(classes.select("id", "sig"), "id").select("block", "tree", "left", "id", "component", "n", "sig")
+    schema = "block bigint, left boolean, id bigint, component bigint"
+    rows = common.stored(rows.repartition("block").sortWithinPartitions("block").mapInArrow(likely, schema), "likely").distinct()
+    met = rows.join(sets_of(rows.select("id").distinct(), texts).where(F.size("set") > 0), "id").select("block", "left", "id", "component", "set")
+    return common.stored(met.repartition("block").sortWithinPartitions("block", "left").mapInArrow(joining, "a bigint, b bigint"), "links")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """A row per document: doc_id, n_shingles, component_id, kept.
 
@@ -239,6 +344,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             break
         first, links = first.unionByName(rest), links.unionByName(more)
         labels = components(links)
+    more = crossing_links(placed, labels, classes, own)
+    if not more.isEmpty():
+        labels = components(links.unionByName(more))
     ids = classes.join(labels, "id", "left").select("h1", "h2", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component"))
     out = rows.join(ids, ["h1", "h2", "n_shingles"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component"))

@@ -235,6 +235,20 @@ def test_near_duplicates_by_brute_force(spark):
     assert all(got[i].kept == (label[i] == i) for i in range(len(texts)))
 
 
+def test_near_duplicates_in_a_crowd(spark, monkeypatch):
+    # texts at 0.726, so that all share regions, in pairs at 0.766; small blocks, so that regions have several
+    monkeypatch.setattr(neardup, "BLOCK", 40, raising=False)
+    rng = random.Random(5)
+    base, texts = words(rng, 150), []
+    for _ in range(150):
+        pair = words(rng, 5)
+        texts += [f"{base} {pair} {words(rng, 23)}" for _ in range(2)]
+    sets = [shingle_set(t) for t in texts]
+    assert all((len(a & b) >= 0.75 * len(a | b)) == (i // 2 == j // 2) for j, b in enumerate(sets) for i, a in enumerate(sets[:j]))
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(frame(spark, list(enumerate(texts)))).collect()}
+    assert got == {i: i - i % 2 for i in range(len(texts))}
+
+
 def test_components(spark):
     chain = [(k, k + 1) for k in range(50)] + [(100, 101), (103, 101)]
     got = dict(map(tuple, neardup.components(spark.createDataFrame(chain, "a bigint, b bigint")).collect()))
