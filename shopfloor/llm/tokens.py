@@ -2,7 +2,7 @@
 
 The library splits a text into pieces by a fixed pattern and encodes every piece by itself. Workers keep the ids of
 pieces they have met, so the library's merges run once per piece, not once per occurrence. Texts with characters for
-which the split below is not known to equal the library's go to the library whole.
+which the split below is not known to equal the library's, and those that hold an added token, go to the library whole.
 """
 
 from __future__ import annotations
@@ -51,11 +51,13 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             made = json.load(f)
         kind = made["pre_tokenizer"]["type"]
         self.lower = made["normalizer"] is not None
+        # in any case of letters, as the library may look for a token in the lower-cased text
+        added = "|".join(re.escape(x["content"]) for x in made.get("added_tokens") or [] if x["content"])
+        self.added = re.compile(added or "(?!)", re.IGNORECASE)
         self.split = re.compile(WORD_LEVEL if kind == "Sequence" else BYTE_LEVEL).findall
         self._fresh()
 
@@ -82,7 +84,7 @@ class Encoder:
         """The ids of all texts in one array, and how many each text has."""
         if len(self.slot) > KEPT:
             self._fresh()
-        plain = [OTHER.search(t) is None for t in texts]
+        plain = [OTHER.search(t) is None and self.added.search(t) is None for t in texts]
         pieces = [(self.split(t.lower() if self.lower else t) if p else []) for t, p in zip(texts, plain, strict=True)]
         counts = np.fromiter(map(len, pieces), np.int64, len(pieces))
         slots = np.fromiter(map(self.slot.__getitem__, chain.from_iterable(pieces)), np.int64, int(counts.sum()))

@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from shopfloor.llm import common, decontaminate, licenses, linededup, maintext, neardup, packing, quality, suffixes, tokenfile, tokens, topk
 
@@ -179,6 +180,16 @@ def test_encoder_is_the_library(name):
     assert ids.tolist() == [x for w in want for x in w] and counts.tolist() == [len(w) for w in want]
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_encoder_with_added_tokens(name):
+    library = Tokenizer.from_file(tokens.public_path(name))
+    added = [x.content for x in library.get_added_tokens_decoder().values()]
+    texts = ["plain text", *(f"a {x.upper()} b" for x in added), *(f"a {x} b{x}c" for x in added), "<|endoftext|>", "<|endoftext", "more plain text"]
+    ids, counts = tokens.Encoder(tokens.public_path(name)).encode(texts)
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert added and ids.tolist() == [x for w in want for x in w] and counts.tolist() == [len(w) for w in want]
+
+
 def test_html():
     page = """<body><header><h1>Site</h1></header><nav><a href=x>Home</a></nav><div class="post-content"><h2>T&eacute;st</h2><p>First para with <a href=y>link</a> text, ok.<p>Second&nbsp;para
     of it.<ul><li>item one, short<li>item two</ul></div><div class="sidebar"><p>Popular posts here, read more.</p></div><section id="comments"><p>Great post, thanks! I liked it.</p></section>
