@@ -12,16 +12,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 U64 = np.uint64
+#: Spark's setting by which a query's shuffle files go when it ends.
+CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Odd multiplier of the byte hash, and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
 BASE_INV = pow(BASE, -1, 1 << 64)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``, else one made for this session."""
+    """The folder that all executors share: ``spark.checkpoint.dir``, else, on one machine alone, one made for this
+    session."""
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
         path = sc.getCheckpointDir()
     return path.rstrip("/")
@@ -29,13 +34,32 @@ def shared_dir(spark: SparkSession) -> str:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back; this cuts lineage and survives lost
-    executors. The table goes when the session ends."""
+    executors. The shuffles that made it go at once, the table with ``release`` or when the session ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEAN)
+    spark.conf.set(CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN, before)
+    folder(spark, path)[0].deleteOnExit(folder(spark, path)[1])
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def folder(spark: SparkSession, path: str) -> tuple:
+    """The file system of a path, and the path as it takes it."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return spark.read.schema(df.schema).parquet(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def release(*tables: DataFrame) -> None:
+    """Deletes stored tables once all that reads them is stored itself."""
+    for t in tables:
+        fs, target = folder(t.sparkSession, t.stored_at)
+        fs.delete(target, True)
 
 
 def text_key(text: str = "text") -> Column:
@@ -43,6 +67,12 @@ def text_key(text: str = "text") -> Column:
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")), F.col(text).isNull())
 
 
+def fresh(df: DataFrame, n: int) -> list[str]:
+    """``n`` names that no column of ``df`` has."""
+    mark = "_" * (1 + max([len(c) - len(c.lstrip("_")) for c in df.columns], default=0))
+    return [f"{mark}{k}" for k in range(n)]
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-cases A-Z alone."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

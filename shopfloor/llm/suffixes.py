@@ -1,299 +1,466 @@
 """Operator 10: removal of repeated 400-byte strings by a distributed difference-cover suffix sort.
 
-Texts are cut into phrases at anchors, the minimisers of their byte grams, so equal strings are cut alike. A phrase's
-name is the hash of its bytes up to the end of the next anchor's gram. A repeated string holds whole phrases that all
-repeat, so only repeated phrases (of runs long enough) are sorted; nothing that can match is left out.
-
-Suffixes of phrases are sorted by a difference cover: those at positions 1 and 2 modulo 3 are named by the sorted rank of
-their triple, and the names' triples are named in turn, three times the length at each turn, until they reach over all
-that matters. The remaining suffixes join by their first phrase and the rank of the next suffix; any two classes of
-positions have such a common key, so each of three sorts merges two of them. Next to each other in some order, suffixes
-have the longest prefix in common that they share with any. Windows that such prefixes do not settle, near the first
-and last phrase of a match, are compared by a hash of their bytes, with all windows that hold the same phrases.
+Texts are cut into phrases at anchors, the minimisers of their byte grams, so equal strings are cut alike; a phrase's name
+is the hash of its bytes up to the end of the next anchor's gram. A repeated string holds phrases of INSIDE bytes or more
+in a row. Only suffixes that begin with such a row that is somewhere else too are sorted, all of them, copies included;
+nothing that can match is left out.
+
+The sort is a difference cover of the phrases: suffixes at positions 1 and 2 modulo 3 are the sample. The triples of their
+names are sorted and named by rank, and these names stand for the sample's suffixes; where few phrases are too short to
+reach over LENGTH bytes, triples of the names are named in turn, and so on. Then any two suffixes have a distance of 0, 1
+or 2 phrases after which both are in the sample, so three sorts, each of two classes of positions, merge them all: by the
+phrases before, then by the sample's names. Next to each other in some sort, suffixes have the longest prefix in common
+that they share with any, to two phrases; a prefix of LENGTH bytes or more is a match. Windows that such prefixes do not
+settle, near the first and last phrase of a match, are compared by a hash of their bytes, with all windows that begin
+before the same phrases.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopfloor.llm import common
 
 LENGTH = 400
 #: Bytes of a gram, and grams of which one at least is an anchor.
-GRAM, SPREAD = 16, 100
-#: Bytes that a prefix must reach to settle every window of its first phrase.
-ENOUGH = LENGTH + SPREAD
-#: Bytes of whole repeated phrases that every repeated window holds.
+GRAM, SPREAD = 8, 120
+#: Bytes of whole phrases that every repeated window holds; no phrase has as many.
 INSIDE = LENGTH - 2 * SPREAD - GRAM
+#: Names of the sample in a key of the three sorts, and levels of names of names at most: 3**6 phrases, of a byte or more.
+KEYS, LEVELS = 4, 6
+#: Bits of a name: its level, the partition that gave it, and its number there.
+LEVEL_AT, PART_AT = 58, 36
 U64 = np.uint64
 
 
-def anchors(data: np.ndarray, off: np.ndarray, hashes: common.ByteHash) -> np.ndarray:
+def anchors(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     """Positions of grams that are the least, and the first such, of some SPREAD grams in a row inside one text."""
     n = len(data) - GRAM + 1
     if n < SPREAD:
         return np.zeros(0, np.int64)
-    low = U64((1 << max(24, n.bit_length())) - 1)
-    at = np.arange(n)
-    keys = (hashes.of(at, at + GRAM) & ~low) | at.astype(U64)
-    pad = np.full(-n % SPREAD, np.iinfo(U64).max, U64)
-    blocks = np.concatenate([keys, pad]).reshape(-1, SPREAD)
-    before = np.minimum.accumulate(blocks, axis=1).ravel()
-    after = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
+    low = U64((1 << max(20, n.bit_length())) - 1)
+    grams, raw = np.empty(n, U64), data.tobytes()
+    for k in range(min(GRAM, n)):
+        grams[k::GRAM] = np.frombuffer(raw, "<u8", count=(len(raw) - k) // GRAM, offset=k)
+    least = (common.mix(grams * U64(common.BASE)) & ~low) | np.arange(n, dtype=U64)
+    size = 1
+    while size * 2 <= SPREAD:
+        least = np.minimum(least[:-size], least[size:])
+        size *= 2
+    least = np.minimum(least[: n - SPREAD + 1], least[SPREAD - size :])
     starts = np.arange(n - SPREAD + 1)
-    ends = np.repeat(off[1:], np.diff(off))[starts]
-    starts = starts[starts + SPREAD + GRAM - 1 <= ends]
-    return np.unique(np.minimum(after[starts], before[starts + SPREAD - 1]) & low).astype(np.int64)
+    inside = starts + SPREAD + GRAM - 1 <= np.repeat(off[1:], np.diff(off))[starts]
+    found = (least[inside] & low).astype(np.int64)  # never falls
+    return found[np.concatenate([[True], found[1:] != found[:-1]])] if len(found) else found
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, text and key, the same for rows that are the same."""
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("key", F.xxhash64("doc_id", "text"))
+    """doc_id, text and key, the same for texts that are the same."""
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("key", F.xxhash64("text"))
 
 
 def phrases(rows: DataFrame) -> DataFrame:
-    """key, at (anchors' positions) and names (one fewer) of each text of LENGTH bytes or more."""
+    """key, at (anchors' positions), names (one fewer) and rows (of each phrase, the hash of INSIDE bytes or more of phrases
+    from it on, 0 if there are not so many) of texts of LENGTH bytes or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in (x for y in batches for x in common.slices(y, "text", 1 << 20)):
+        for b in (x for y in batches for x in common.slices(y, "text", 1 << 18)):
             data, off = common.buffers(b.column("text"))
-            hashes = common.ByteHash(data)
-            found = anchors(data, off, hashes)
+            hashes, found = common.ByteHash(data), anchors(data, off)
             row = np.searchsorted(off, found, "right") - 1
             counts = np.bincount(row, minlength=b.num_rows)
             inner = row[1:] == row[:-1] if len(row) else np.zeros(0, bool)
-            names = hashes.of(found[:-1][inner], found[1:][inner] + GRAM).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column("key"), common.lists((found - off[row]).astype(np.int32), counts, pa.int32()), common.lists(names, np.maximum(counts - 1, 0), pa.int64())], names=["key", "at", "names"])
+            first, last = found[:-1][inner], found[1:][inner] + GRAM
+            far = np.minimum(np.searchsorted(found, first + INSIDE - GRAM), max(len(found) - 1, 0))
+            whole = row[far] == row[:-1][inner]
+            whole &= found[far] + GRAM - first >= INSIDE
+            held = np.where(whole, hashes.of(first, np.where(whole, found[far] + GRAM, first)), U64(0))
+            place = (found - off[row]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("key"), common.lists(place, counts, pa.int32()), *(common.lists(x.view(np.int64), np.maximum(counts - 1, 0), pa.int64()) for x in (hashes.of(first, last), held))],
+                names=["key", "at", "names", "rows"],
+            )
 
-    return rows.where(F.octet_length("text") >= LENGTH).select("key", "text").mapInArrow(run, "key bigint, at array<int>, names array<bigint>")
+    return rows.where(F.octet_length("text") >= LENGTH).select("key", "text").mapInArrow(run, "key bigint, at array<int>, names array<bigint>, rows array<bigint>")
 
 
 def repeated(found: DataFrame) -> DataFrame:
-    """key, at, names and js (numbers of the phrases that repeat) of texts with repeated phrases, as a stored table."""
-    often = found.select(F.explode("names").alias("name")).groupBy("name").agg(F.count("*").alias("n")).where("n > 1").select("name")
-    often = common.stored(often, "often")  # both sides of the join are then plain shuffles, and a hot name can be split
-    each = found.select("key", F.posexplode("names").alias("j", "name")).join(often, "name", "left_semi")
-    return common.stored(each.groupBy("key").agg(F.collect_list("j").alias("js")).join(found, "key"), "repeated")
-
-
-def spans_of(at: np.ndarray, js: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The phrases inside runs of repeated ones that hold INSIDE bytes or more, and where the prefix of each stops: at the
-    run's end or past ENOUGH bytes."""
-    js = np.sort(js)
-    first = np.concatenate([[True], np.diff(js) > 1])
-    run = np.cumsum(first) - 1
-    starts, ends = js[first], js[np.concatenate([first[1:], [True]])] + 1
-    kept = (at[ends] + GRAM - at[starts] >= INSIDE)[run]
-    js, run = js[kept], run[kept]
-    return js, np.minimum(ends[run], np.searchsorted(at, at[js] + ENOUGH))
-
-
-def suffixes_of(own: DataFrame) -> DataFrame:
-    """A row per suffix: key, j, at, form (hash of its prefix's names), pair (of its first two, if it has two), span (bytes
-    of the prefix), and the forms of the next two suffixes of its run."""
-    names = ["key", "j", "at", "form", "pair", "span", "form1", "form2"]
+    """key, at, names and own (j, the number of a phrase, and row) of texts with rows of phrases that are somewhere else
+    too, as a stored table."""
+    each = found.select("key", F.posexplode("rows").alias("j", "row")).where("row <> 0")
+    # stored, so that both sides of the join are plain shuffles and a hot row can be split
+    often = common.stored(each.groupBy("row").agg(F.count("*").alias("n")).where("n > 1").select("row"), "often")
+    own = each.join(often, "row", "left_semi").groupBy("key").agg(F.collect_list(F.struct("j", "row")).alias("own"))
+    out = common.stored(own.join(found.select("key", "at", "names"), "key"), "repeated")
+    common.release(often)
+    return out
+
+
+@dataclass
+class Runs:
+    """The phrases that rows of repeated phrases cover, and SPREAD bytes more, of all texts of a batch: text, j, position in
+    ``names``, and the position after the last of each one's run; ``own`` tells which begin such a row, ``rows`` its hash."""
+
+    text: np.ndarray
+    j: np.ndarray
+    at: np.ndarray
+    end: np.ndarray
+    own: np.ndarray
+    rows: np.ndarray
+    names: np.ndarray
+    places: np.ndarray
+    first: np.ndarray
+
+    def place(self, at: np.ndarray, text: np.ndarray) -> np.ndarray:
+        """Where in its text a phrase begins, or the last of a text ends but for its gram."""
+        return self.places[at + text]
+
+    def spread(self, values: np.ndarray, j: np.ndarray, text: np.ndarray, kind: type = np.int64) -> np.ndarray:
+        """``values`` of some phrases, in the order of names; 0 for others."""
+        out = np.zeros(len(self.names) + 1, kind)
+        out[self.first[text] + j] = values
+        return out
+
+
+def flat(b: pa.RecordBatch, column: str) -> tuple[pa.Array, np.ndarray]:
+    """The values of a list column, and the text of each."""
+    lists = b.column(column)
+    return lists.flatten(), np.repeat(np.arange(b.num_rows), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+
+
+def runs_of(b: pa.RecordBatch) -> Runs:
+    names, of = flat(b, "names")
+    names, places = names.to_numpy(), flat(b, "at")[0].to_numpy().astype(np.int64)
+    first = np.searchsorted(of, np.arange(b.num_rows))
+    own, text = flat(b, "own")
+    g = first[text] + own.field("j").to_numpy()
+    order = np.argsort(g, kind="stable")
+    g, text, rows = g[order], text[order], own.field("row").to_numpy()[order]
+    # a match may go on for less than SPREAD bytes after its last whole row
+    wide, counts = np.int64(1) << 40, np.bincount(of, minlength=b.num_rows)
+    ends = np.searchsorted(places + np.repeat(np.arange(b.num_rows), counts + 1) * wide, places[g + text] + INSIDE - GRAM + SPREAD + text * wide) - text
+    ends = np.minimum(ends, (first + counts)[text])
+    cover = np.zeros(len(names) + 1, np.int64)
+    np.add.at(cover, g, 1)
+    np.add.at(cover, ends, -1)
+    at = np.flatnonzero(np.cumsum(cover)[:-1] > 0)
+    owner = of[at]
+    fresh = np.concatenate([[True], (at[1:] != at[:-1] + 1) | (owner[1:] != owner[:-1])]) if len(at) else np.zeros(0, bool)
+    run_ends = at[np.append(np.flatnonzero(fresh)[1:] - 1, len(at) - 1)] + 1 if len(at) else at
+    is_own, held = np.zeros(len(names) + 1, bool), np.zeros(len(names) + 1, np.int64)
+    is_own[g], held[g] = True, rows
+    return Runs(owner, at - first[owner], at, run_ends[np.cumsum(fresh) - 1] if len(at) else at, is_own[at], held[at], names, places, first)
+
+
+def ahead(values: np.ndarray, at: np.ndarray, end: np.ndarray, k: int) -> np.ndarray:
+    """The value k phrases on, 0 beyond the run."""
+    return np.where(at + k < end, values[np.minimum(at + k, len(values) - 1)], 0)
+
+
+def levels(r: Runs) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The level of names that a sample phrase needs beyond its keys to reach LENGTH bytes or its run's end, 0 if none; and
+    by level from 1 on which phrases must be named for that."""
+    start, need = r.place(r.at, r.text), np.zeros(len(r.at), np.int64)
+    reached = lambda k: (r.at + k >= r.end) | (r.place(np.minimum(r.at + k, r.end), r.text) + GRAM - start >= LENGTH)
+    short = (r.j % 3 > 0) & ~reached(3 * KEYS)
+    for level in range(LEVELS - 1, 1, -1):
+        need[short & reached(3 ** (level + 1))] = level
+    wanted, later = [], np.zeros(len(r.at), bool)
+    for level in range(LEVELS - 1, 0, -1):
+        named = later | (need == level)
+        wanted.insert(0, named)
+        on = np.zeros(len(r.names) + 1, bool)
+        for d in range(3):
+            k = r.at[named] + d * 3**level
+            on[k[k < r.end[named]]] = True
+        later = on[r.at]
+    return need, wanted
+
+
+def triples(own: DataFrame, level: int) -> DataFrame:
+    """key, j, and the triple a, b, c of the sample's names of the level before (of phrases at level 0)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys, parts = b.column("key").to_numpy(), []
-            for i in range(b.num_rows):
-                at, name = b.column("at")[i].values.to_numpy(), b.column("names")[i].values.to_numpy().view(U64)
-                js, stops = spans_of(at, b.column("js")[i].values.to_numpy())
-                power, inverse = (common.powers(x, len(name) + 1) for x in (common.BASE, common.BASE_INV))
-                sums = np.concatenate([np.zeros(1, U64), np.cumsum(common.mix(name) * power[:-1])])
-                form = common.mix((sums[stops] - sums[js]) * inverse[js] + (stops - js).astype(U64))
-                pair = common.mix(name[js] * U64(31) + common.mix(name[np.minimum(js + 1, len(name) - 1)]))
-                later = []
-                for k in (1, 2):  # of the same run: numbered without a gap
-                    there = np.minimum(np.arange(len(js)) + k, max(len(js) - 1, 0))
-                    later += [form[there], js[there] != js + k]
-                parts.append((np.full(len(js), keys[i]), js, at[js], form, pair, at[stops] + GRAM - at[js], *later[::2], stops - js < 2, *later[1::2]))
-            cols = [np.concatenate([p[k] for p in parts]) for k in range(len(names) + 3)] if parts else [np.zeros(0, np.int64)] * len(names) + [np.zeros(0, bool)] * 3
-            none = dict(zip(("pair", "form1", "form2"), cols[len(names) :], strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64) if c.dtype == U64 else c.astype(np.int32) if n in ("j", "at", "span") else c, mask=none.get(n)) for n, c in zip(names, cols[: len(names)], strict=True)], names=names)
-
-    schema = "key bigint, j int, at int, form bigint, pair bigint, span int, form1 bigint, form2 bigint"
-    return own.select("key", "at", "names", "js").mapInArrow(run, schema)
-
-
-def ranked(rows: DataFrame) -> DataFrame:
-    """form, rank of sampled suffixes given as form and pre: triples of names are sorted and named by their rank, then the
-    triples of these names, until one name stands for a whole prefix."""
-    level = rows
-    while True:
-        name = lambda k, d: F.get("pre", 3 * k + d)
-        each = F.transform(F.sequence(F.lit(0), F.expr("cast((size(pre) - 1) div 3 as int)")), lambda k: F.struct(name(k, 0).alias("n0"), F.coalesce(name(k, 1), F.lit(0)).alias("n1"), F.coalesce(name(k, 2), F.lit(0)).alias("n2")))
-        triples = level.select("form", F.posexplode(each).alias("i", "t")).select("form", "i", "t.n0", "t.n1", "t.n2")
-        order = triples.select("n0", "n1", "n2").distinct().repartitionByRange("n0", "n1", "n2").sortWithinPartitions("n0", "n1", "n2")
-        # increasing within and across sorted partitions, and above 0, the name of what lies beyond a prefix
-        names = common.stored(order.withColumn("rank", F.monotonically_increasing_id() + 1), "names")
-        named = triples.join(names, ["n0", "n1", "n2"]).groupBy("form").agg(F.array_sort(F.collect_list(F.struct("i", "rank"))).alias("r"))
-        level = common.stored(named.select("form", F.col("r.rank").alias("pre")), "ranks")
-        if level.where("size(pre) > 1").isEmpty():
-            return level.select("form", F.get("pre", F.lit(0)).alias("rank"))
-
-
-def prefixes(own: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The wanted suffixes (key, j, form, form1, form2) with pre (the prefix's names) and ends (bytes from the suffix's start
-    to the end of each)."""
+            r = runs_of(b)
+            if level:
+                found, text = flat(b, "t")
+                values, pick = r.spread(found.field("name").to_numpy(), found.field("j").to_numpy(), text), levels(r)[1][level - 1]
+            else:
+                values, pick = np.append(r.names, 0), r.j % 3 > 0
+            cols = [ahead(values, r.at[pick], r.end[pick], k * 3**level) for k in range(3)]
+            yield pa.RecordBatch.from_arrays([b.column("key").take(pa.array(r.text[pick])), pa.array(r.j[pick].astype(np.int32)), *map(pa.array, cols)], names=["key", "j", "a", "b", "c"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keys, parts, rows = b.column("key").to_numpy(), [], b.column("wanted").flatten()
-            for i in range(b.num_rows):
-                at, name = b.column("at")[i].values.to_numpy(), b.column("names")[i].values.to_numpy()
-                js, stops = spans_of(at, b.column("js")[i].values.to_numpy())
-                asked = b.column("wanted")[i].values.field("j").to_numpy()
-                lens = stops[np.searchsorted(js, asked)] - asked
-                each = np.repeat(asked - (np.cumsum(lens) - lens), lens) + np.arange(lens.sum())
-                parts.append((np.full(len(asked), keys[i]), lens, name[each], at[each + 1] + GRAM - np.repeat(at[asked], lens)))
-            key, lens, pre, ends = (np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64) for k in range(4))
-            yield pa.RecordBatch.from_arrays([pa.array(key), *(rows.field(n) for n in ("j", "form", "form1", "form2")), common.lists(pre, lens, pa.int64()), common.lists(ends.astype(np.int32), lens, pa.int32())], names=["key", "j", "form", "form1", "form2", "pre", "ends"])
-
-    asked = wanted.groupBy("key").agg(F.collect_list(F.struct("j", "form", "form1", "form2")).alias("wanted"))
-    return own.join(asked, "key").select("key", "at", "names", "js", "wanted").mapInArrow(run, "key bigint, j int, form bigint, form1 bigint, form2 bigint, pre array<bigint>, ends array<int>")
-
-
-def reaches(own: DataFrame, rows: DataFrame) -> DataFrame:
-    """form, reach: the bytes over the longest run of phrases that suffixes of this form share with others. A form that
-    stands in several places reaches over all of its prefix; one of each form takes part in the sorts."""
-    forms = common.stored(rows.groupBy("form").agg(F.count("*").alias("n"), F.min(F.struct("key", "j", "form1", "form2")).alias("first"), F.first("span").alias("span")), "forms")
-    found = common.stored(prefixes(own, forms.select("form", "first.*")), "prefixes").withColumn("r", F.col("j") % 3)
-    # the suffix itself, the next and the one after, where j, j + 1 and j + 2 are in the cover
-    sample = [F.when(F.col("r") != (0, 2, 1)[d], F.col(c)) for d, c in enumerate(("form", "form1", "form2"))]
-    needed = found.select(F.explode(F.array_compact(F.array(*sample))).alias("form")).distinct()
-    ranks = common.stored(ranked(found.select("form", "pre").join(needed, "form", "left_semi")), "ranked")
-    # where there is none, the suffix's own form stands in as key, for nulls would meet in one task
-    slim = found.select("key", "j", *[F.coalesce(c, "form").alias(f"s{d}") for d, c in enumerate(sample)], *[c.isNotNull().alias(f"has{d}") for d, c in enumerate(sample)])
-    for d in range(3):
-        slim = slim.join(ranks.select(F.col("form").alias(f"s{d}"), F.col("rank").alias(f"_{d}")), f"s{d}", "left").withColumn(f"rank{d}", F.when(F.col(f"has{d}"), F.col(f"_{d}")))
-    all_ranks = found.join(slim.select("key", "j", "rank0", "rank1", "rank2"), ["key", "j"])
-    first, second = F.get("pre", F.lit(0)), F.coalesce(F.get("pre", F.lit(1)), F.lit(0))
-    zero = F.lit(0).cast("bigint")
-    orders = F.array(
-        F.when(F.col("r") != 0, F.struct(F.lit(0).alias("o"), F.coalesce("rank0", zero).alias("x"), zero.alias("y"), zero.alias("z"))),
-        F.when(F.col("r") != 2, F.struct(F.lit(1).alias("o"), first.alias("x"), F.coalesce("rank1", zero).alias("y"), zero.alias("z"))),
-        F.when(F.col("r") != 1, F.struct(F.lit(2).alias("o"), first.alias("x"), second.alias("y"), F.coalesce("rank2", zero).alias("z"))),
-    )
-    placed = all_ranks.select("key", "j", "pre", "ends", F.explode(F.array_compact(orders)).alias("k")).select("k.*", "key", "j", "pre", "ends")
+    return own.mapInArrow(run, "key bigint, j int, a bigint, b bigint, c bigint")
+
+
+def edges_of(table: DataFrame) -> list[list[int]]:
+    """The first and the last row of each sorted partition, two for each: partition, whether it is the last, and values."""
+    return sorted(r.edge for r in table.where("edge is not null").select("edge").collect())
+
+
+def meetings(edges: list[list[int]]) -> Iterator[tuple[list[int], list[int]]]:
+    """The last row of each partition with the first of the one after it."""
+    return ((a[2:], b[2:]) for a, b in zip(edges[1::2], edges[2::2], strict=False))
+
+
+def batch(names: list[str], **columns) -> pa.RecordBatch:
+    kinds = {"key": pa.int64(), "j": pa.int32(), "name": pa.int64(), "most": pa.int64(), "edge": pa.list_(pa.int64())}
+    n = max(len(c) for c in columns.values())
+    return pa.RecordBatch.from_arrays([pa.array(columns[c], kinds[c]) if c in columns else pa.nulls(n, kinds[c]) for c in names], names=names)
+
+
+def named(rows: DataFrame, level: int) -> tuple[DataFrame, DataFrame]:
+    """key, j and name: the rank of each triple a, b, c among all, the same for equal ones, and the stored table it is of.
+
+    Ties are split by key and j, so no partition has to hold all copies of a suffix; a name that runs on over the end of
+    a partition becomes that of its first.
+    """
+    by, columns = ["a", "b", "c"], ["key", "j", "name", "edge"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, last, names = TaskContext.get().partitionId(), None, ["key", "j", "reach", "part", "o", "pre", "ends"]
-        for b in batches:
-            o, keys, js = (b.column(c).to_pylist() for c in ("o", "key", "j"))
-            pre, ends = b.column("pre"), b.column("ends")
-            now = [(o[i], keys[i], js[i], pre[i].values.to_numpy(), ends[i].values.to_numpy()) for i in range(b.num_rows)]
+        part, last = TaskContext.get().partitionId(), None
+        name = ((level + 1) << LEVEL_AT) | (part << PART_AT)
+        for b in (x for x in batches if x.num_rows):
+            v = np.stack([b.column(c).to_numpy() for c in by])
+            new = np.ones(v.shape[1], bool)
+            new[1:] = (v[:, 1:] != v[:, :-1]).any(0)
+            new[0] = last is None or bool((v[:, 0] != last).any())
+            found = name + np.cumsum(new)
             if last is None:
-                yield held(now[0], 2 * part, names)
-            seq = now if last is None else [last, *now]
-            best = np.zeros(len(seq), np.int64)
-            for i in range(1, len(seq)):
-                if seq[i][0] == seq[i - 1][0]:
-                    r = shared(seq[i - 1], seq[i])
-                    best[i - 1], best[i] = max(best[i - 1], r), max(best[i], r)
-            m = len(seq)
-            yield pa.RecordBatch.from_arrays([pa.array([s[1] for s in seq], pa.int64()), pa.array([s[2] for s in seq], pa.int32()), pa.array(best), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.list_(pa.int64())), pa.nulls(m, pa.list_(pa.int32()))], names=names).filter(pa.array(best > 0))
-            last = now[-1]
+                yield batch(columns, edge=[[part, 0, int(found[0]), *v[:, 0].tolist()]])
+            yield batch(columns, key=b.column("key"), j=b.column("j"), name=found)
+            name, last = int(found[-1]), v[:, -1]
         if last is not None:
-            yield held(last, 2 * part + 1, names)
+            yield batch(columns, edge=[[part, 1, name, *last.tolist()]])
+
+    table = common.stored(rows.repartitionByRange(*by, "key", "j").sortWithinPartitions(*by).mapInArrow(run, "key bigint, j int, name bigint, edge array<bigint>"), "names")
+    same: dict[int, int] = {}
+    for (name, *v), (after, *w) in meetings(edges_of(table)):
+        if v == w:
+            same[after] = same.get(name, name)
+    out = table.where("key is not null").select("key", "j", "name")
+    if same:  # as many as there are partitions at most
+        other = table.sparkSession.createDataFrame(list(same.items()), "name bigint, whole bigint")
+        out = out.join(F.broadcast(other), "name", "left").select("key", "j", F.coalesce("whole", "name").alias("name"))
+    return out, table
+
+
+def by_text(rows: DataFrame, column: str, alias: str) -> DataFrame:
+    return rows.groupBy("key").agg(F.collect_list(F.struct("j", column)).alias(alias))
+
+
+def sample_names(own: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``own`` with t, the sample's names of triples of phrases, as a stored table; and x by key, the names of longer
+    prefixes of phrases that need them (none: None)."""
+    names, table = named(triples(own, 0), 0)
+    out = common.stored(own.join(by_text(names, "name", "t"), "key", "left"), "sample")
+    common.release(table)
+    deep, level, found, spent = out, 1, None, []
+    while level < LEVELS:
+        rows = common.stored(triples(deep, level), "triples")
+        spent.append(rows)
+        if rows.isEmpty():
+            break
+        names, table = named(rows, level)
+        names = common.stored(names, "level")
+        deep = common.stored(deep.drop("t").join(by_text(names, "name", "t"), "key"), "deep")
+        spent += [table, names, deep]
+        found = names if found is None else found.unionByName(names)
+        level += 1
+    x = common.stored(by_text(found, "name", "x"), "longer") if found is not None else None
+    common.release(*spent)
+    return out, x
+
+
+def orders(own: DataFrame) -> DataFrame:
+    """Two rows for each suffix: o, the phrases before the sample's names, and its key in that sort: c0 to c5."""
+    width = KEYS + 2
 
-    schema = "key bigint, j int, reach bigint, part int, o int, pre array<bigint>, ends array<int>"
-    found = common.stored(placed.repartitionByRange("o", "x", "y", "z", "key", "j").sortWithinPartitions("o", "x", "y", "z", "key", "j").mapInArrow(run, schema), "reach")
-    # the last row of a partition and the first of the next: as many rows as there are partitions, twice
-    edges = found.where("part is not null")
-    here = Window.orderBy("part")
-    following = edges.withColumn("next", F.lead(F.struct("key", "j", "o", "pre", "ends")).over(here)).where("part % 2 = 1 and next is not null and next.o = o")
-    same = F.aggregate(F.zip_with("pre", "next.pre", lambda p, q: F.coalesce((p == q), F.lit(False))), F.struct(F.lit(0).alias("n"), F.lit(True).alias("go")), lambda s, e: F.struct((s.n + (s.go & e).cast("int")).alias("n"), (s.go & e).alias("go"))).n
-    met = following.withColumn("same", same).where("same > 0").withColumn("reach", F.element_at("ends", F.col("same")).cast("bigint"))
-    pairs = met.select(F.explode(F.array(F.struct("key", "j"), F.struct("next.key", "next.j"))).alias("s"), "reach").select("s.key", "s.j", "reach")
-    best = found.where("part is null").select("key", "j", "reach").unionByName(pairs).groupBy("key", "j").agg(F.max("reach").alias("reach"))
-    alone = forms.select("form", "n", "span", "first.key", "first.j").join(best, ["key", "j"], "left")
-    return alone.select("form", F.when(F.col("n") > 1, F.col("span")).otherwise(F.coalesce("reach", F.lit(0))).cast("bigint").alias("reach"))
-
-
-def shared(a: tuple, b: tuple) -> int:
-    """Bytes to the end of the last phrase of the common prefix of two runs."""
-    n = min(len(a[3]), len(b[3]))
-    differ = np.flatnonzero(a[3][:n] != b[3][:n])
-    n = int(differ[0]) if len(differ) else n
-    return int(a[4][n - 1]) if n else 0
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            r = runs_of(b)
+            found, text = flat(b, "t")
+            t = r.spread(found.field("name").to_numpy(), found.field("j").to_numpy(), text)
+            need, x = levels(r)[0], np.zeros(len(r.names) + 1, np.int64)
+            if b.schema.field("x").type != pa.null() and len(flat(b, "x")[0]):
+                longer, text = flat(b, "x")
+                names, j = longer.field("name").to_numpy(), longer.field("j").to_numpy()
+                wanted = np.zeros(len(r.names) + 1, np.int64)
+                wanted[r.at] = need
+                at = r.first[text] + j
+                right = (names >> LEVEL_AT) - 1 == wanted[at]
+                x[at[right]] = names[right]
+            out = []
+            for o in range(3):
+                pick = r.own & (r.j % 3 != (0, 2, 1)[o])
+                at, end = r.at[pick], r.end[pick]
+                cols = [ahead(t, at, end, o + 3 * k) for k in range(KEYS)] + [ahead(x, at, end, o)]
+                if o:
+                    before = ahead(r.names, at, end, 0)
+                    if o == 2:
+                        before = common.mix(before.view(U64) * U64(31) + ahead(r.names, at, end, 1).view(U64)).view(np.int64)
+                    cols.insert(0, before)
+                else:
+                    cols.append(np.zeros(len(at), np.int64))
+                out.append((np.full(len(at), o, np.int8), r.text[pick], r.j[pick].astype(np.int32), *cols))
+            o, text, j, *cols = (np.concatenate(c) for c in zip(*out, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(o), b.column("key").take(pa.array(text)), pa.array(j), *map(pa.array, cols)], names=["o", "key", "j", *(f"c{k}" for k in range(width))])
+
+    return own.mapInArrow(run, "o tinyint, key bigint, j int, " + ", ".join(f"c{k} bigint" for k in range(width)))
+
+
+def shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Phrases that rows [o, c0 ..] are sure to have in common with others: those of the leading columns that are equal."""
+    same = np.logical_and.accumulate(a == b, axis=0)
+    o = a[0].astype(np.int64)
+    equal = same[1:].sum(0)
+    names = np.minimum(np.where(o > 0, equal - 1, equal), KEYS)
+    out = np.where(equal > 0, o + 3 * np.maximum(names, 0), 0)
+    longer = a[1 + KEYS + (o > 0), np.arange(len(o))]
+    whole = (equal >= KEYS + 1 + (o > 0)) & (longer > 0)
+    return np.where(same[0], np.where(whole, o + 3 ** np.minimum(np.where(whole, longer >> LEVEL_AT, 0), LEVELS), out), 0)
+
+
+def adjacent(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """key, j and most: phrases that a suffix shares with one next to it in a sort, for each sort; and the stored table."""
+    by = ["o", *(c for c in rows.columns if c.startswith("c"))]
+    columns = ["key", "j", "most", "edge"]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, last = TaskContext.get().partitionId(), None
+        for b in (x for x in batches if x.num_rows):
+            v = np.stack([b.column(c).to_numpy().astype(np.int64) for c in by])
+            key, j = b.column("key").to_numpy(), b.column("j").to_numpy()
+            if last is None:
+                yield batch(columns, edge=[[part, 0, int(key[0]), int(j[0]), *v[:, 0].tolist()]])
+            else:
+                v, key, j = np.concatenate([last[2], v], 1), np.append(last[0], key), np.append(last[1], j)
+            both = shared(v[:, 1:], v[:, :-1])
+            most = np.maximum(np.append(both, 0), np.append(0, both))
+            some = most > 0
+            yield batch(columns, key=key[some], j=j[some], most=most[some])
+            last = key[-1:], j[-1:], v[:, -1:]
+        if last is not None:
+            yield batch(columns, edge=[[part, 1, int(last[0][0]), int(last[1][0]), *last[2][:, 0].tolist()]])
 
-def held(row: tuple, part: int, names: list[str]) -> pa.RecordBatch:
-    o, key, j, pre, ends = row
-    return pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), pa.array([j], pa.int32()), pa.array([0], pa.int64()), pa.array([part], pa.int32()), pa.array([o], pa.int32()), pa.array([pre], pa.list_(pa.int64())), pa.array([ends], pa.list_(pa.int32()))], names=names)
+    table = common.stored(rows.repartitionByRange(*by, "key", "j").sortWithinPartitions(*by).mapInArrow(run, "key bigint, j int, most bigint, edge array<bigint>"), "adjacent")
+    across = []
+    for a, b in meetings(edges_of(table)):
+        most = int(shared(np.array([a[2:]], np.int64).T, np.array([b[2:]], np.int64).T)[0])
+        across += [(*x[:2], most) for x in (a, b) if most]
+    out = table.where("key is not null").select("key", "j", "most")
+    if across:  # twice as many as there are partitions at most
+        out = out.unionByName(table.sparkSession.createDataFrame(across, "key bigint, j int, most bigint"))
+    return out, table
 
 
-def windows(rows: DataFrame, reach: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """What is settled (key, start, end: bytes that repeat) and what is open: key, at, lo, hi, the windows that start
-    lo to hi bytes before an anchor and may repeat, with all that hold the same first phrases.
+def settled(own: DataFrame, most: DataFrame) -> DataFrame:
+    """key, settled (start, end: bytes that repeat) and open (row, lo, hi: windows that begin lo to hi bytes before that row
+    of phrases may repeat, and have bytes that are not settled).
 
     Two equal windows have the same anchors but for some before the first that SPREAD grams inside the window decide,
     and some after the last; that first one lies under SPREAD bytes from the start, and phrases match from it on to
-    SPREAD bytes before the end.
+    SPREAD grams before the end.
     """
-    met = common.stored(rows.select("key", "at", "pair", "form").join(common.stored(reach, "reaches"), "form").drop("form"), "met")
-    settled = met.where(F.col("reach") >= LENGTH).select("key", F.col("at").alias("start"), (F.col("at") + F.col("reach")).cast("int").alias("end"))
+    spans = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+    opens = pa.list_(pa.struct([("row", pa.int64()), ("lo", pa.int32()), ("hi", pa.int32())]))
+
+    def grouped(text: np.ndarray, n: int, kind: pa.DataType, *columns: np.ndarray) -> pa.Array:
+        off = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=n))]).astype(np.int32)
+        fields = [kind.value_type.field(i) for i in range(kind.value_type.num_fields)]
+        return pa.ListArray.from_arrays(pa.array(off), pa.StructArray.from_arrays([pa.array(c.astype(f.type.to_pandas_dtype())) for c, f in zip(columns, fields, strict=True)], fields=fields))
 
-    def unsettled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wide = np.int64(1) << 40
         for b in batches:
-            found = []
-            for own in b.column("own"):
-                at, far, pair = (own.values.field(i) for i in range(3))
-                at, far, pair = at.to_numpy().astype(np.int64), far.to_numpy(), pair.to_pylist()
-                sure = np.zeros(int(at.max()) + 2, np.int64)  # by the start of a window
-                long = far >= LENGTH
-                np.add.at(sure, at[long], 1)
-                np.add.at(sure, np.minimum(at[long] + far[long] - LENGTH, at.max()) + 1, -1)
-                before = np.concatenate([[0], np.cumsum(np.cumsum(sure)[:-1] == 0)])  # unsettled starts before each
-                first, last = np.maximum(0, at - SPREAD + 1), at - np.maximum(0, LENGTH + 1 - SPREAD - far)
-                for k in np.flatnonzero((last >= first) & (before[np.maximum(last + 1, 0)] > before[first])).tolist():
-                    if pair[k] is not None:
-                        low = np.searchsorted(before, before[first[k]], "right") - 1  # the first unsettled start
-                        high = np.searchsorted(before, before[last[k] + 1]) - 1  # the last
-                        found.append((pair[k], int(at[k] - high), int(at[k] - low)))
-            cols = list(zip(*found, strict=True)) or [()] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int32()), strict=True)], names=["pair", "lo", "hi"])
-
-    own = met.groupBy("key").agg(F.collect_list(F.struct("at", "reach", "pair")).alias("own")).select("own")
-    ranges = own.mapInArrow(unsettled, "pair bigint, lo int, hi int").groupBy("pair").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    ranges = common.stored(ranges, "ranges")
-    return settled, met.join(ranges, "pair").select("key", "at", "lo", "hi")
+            r = runs_of(b)
+            found, text = flat(b, "most")
+            shares = np.zeros(len(r.names) + 1, np.int64)
+            if len(found):
+                np.maximum.at(shares, r.first[text] + found.field("j").to_numpy(), found.field("most").to_numpy())
+            pick = r.own
+            text, at, end, rows = r.text[pick], r.at[pick], r.end[pick], r.rows[pick]
+            n, start = shares[at], r.place(at, text)
+            reach = r.place(np.minimum(at + n, end), text) + GRAM - start
+            # two phrases more may be shared than the leading columns tell; if all are alike, any number
+            far = r.place(np.minimum(np.where(n >= 3 * KEYS, end, at + n + 2), end), text) + GRAM - start
+            sure = (n > 0) & (reach >= LENGTH)
+            s, e = start[sure] + text[sure] * wide, (start + reach)[sure] + text[sure] * wide
+            top = np.maximum.accumulate(e) if len(e) else e
+            fresh = np.concatenate([[True], s[1:] > top[:-1]]) if len(s) else np.zeros(0, bool)
+            s, e = s[fresh], top[np.append(np.flatnonzero(fresh)[1:] - 1, len(top) - 1)] if len(top) else top
+            base = text * wide
+            low = np.maximum(start - SPREAD + 1, 0) + base
+            high = np.minimum(start, start + far - (LENGTH + 1 - SPREAD)) + base
+            if len(s):  # windows inside a settled span need no look
+                k = np.maximum(np.searchsorted(s, high, "right") - 1, 0)
+                high = np.where((s[k] <= high) & (high + LENGTH <= e[k]), s[k] - 1, high)
+                k = np.maximum(np.searchsorted(s, low, "right") - 1, 0)
+                low = np.where((s[k] <= low) & (low + LENGTH <= e[k]), e[k] - LENGTH + 1, low)
+            some = low <= high
+            yield pa.RecordBatch.from_arrays(
+                [b.column("key"), grouped(s // wide, b.num_rows, spans, s % wide, e % wide), grouped(text[some], b.num_rows, opens, rows[some], (start + base - high)[some], (start + base - low)[some])],
+                names=["key", "settled", "open"],
+            )
+
+    found = own.join(most.groupBy("key").agg(F.collect_list(F.struct("j", "most")).alias("most")), "key", "left")
+    return common.stored(found.select("key", "at", "names", "own", "most").mapInArrow(run, "key bigint, settled array<struct<start:int,end:int>>, open array<struct<row:bigint,lo:int,hi:int>>"), "settled")
+
+
+def opened(own: DataFrame, spans: DataFrame) -> DataFrame:
+    """key, at, lo, hi: the windows before rows of phrases of which any is open somewhere."""
+    ranges = common.stored(spans.select(F.explode("open").alias("w")).groupBy("w.row").agg(F.min("w.lo").alias("lo"), F.max("w.hi").alias("hi")), "ranges")
+    among = common.Among(ranges.select("row"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(among.mask(b)).select(["key", "row", "at"])
+
+    each = own.select("key", "at", F.explode("own").alias("w")).select("key", F.col("w.row").alias("row"), F.get("at", "w.j").alias("at"), among.places("w.row").alias("places"))
+    return each.mapInArrow(run, "key bigint, row bigint, at int").join(ranges, "row").select("key", "at", "lo", "hi")
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """A row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and spans (start, end of each removed run).
 
-    Null texts are empty. Texts of under LENGTH bytes keep all. Rows that are the same row again are documents of their
-    own, so all their bytes go if they have LENGTH or more. A null doc_id is an id like others; other columns are not
-    read.
+    Null texts are empty. Texts of under LENGTH bytes keep all. Equal texts, rows that are the same row again among them,
+    are looked at once; all their bytes go if they have LENGTH or more. A null doc_id is an id like others; other columns
+    are not read.
     """
     rows = keyed(docs)
-    found = common.stored(phrases(rows), "phrases")
-    twice = common.stored(rows.where(F.octet_length("text") >= LENGTH).groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "twice")
-    if not twice.isEmpty():
-        found = common.stored(found.dropDuplicates(["key"]), "phrases")
+    long = rows.where(F.octet_length("text") >= LENGTH)
+    twice = common.stored(long.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "twice")
+    found = common.stored(phrases(rows).dropDuplicates(["key"]), "phrases")
     own = repeated(found)
-    ends = common.stored(suffixes_of(own), "suffixes")
-    settled, open_ = windows(ends, reaches(own, ends))
-    settled = settled.unionByName(rows.join(twice, "key", "left_semi").select("key", F.lit(0).alias("start"), F.octet_length("text").alias("end")).distinct())
-    parts = settled.groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("settled")).join(open_.groupBy("key").agg(F.collect_list(F.struct("at", "lo", "hi")).alias("open")), "key", "full")
+    common.release(found)
+    sample, x = sample_names(own)
+    most, table = adjacent(orders(sample.join(x, "key", "left") if x is not None else sample.withColumn("x", F.lit(None).cast("array<struct<j:int,name:bigint>>"))))
+    spans = settled(own, most)
+    common.release(sample, table, *([x] if x is not None else []))
+    whole = long.join(twice, "key", "left_semi").select("key", F.lit(0).alias("start"), F.octet_length("text").alias("end")).distinct()
+    sure = spans.select("key", F.explode("settled").alias("s")).select("key", "s.*").unionByName(whole)
+    parts = sure.groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("settled")).join(opened(own, spans).groupBy("key").agg(F.collect_list(F.struct("at", "lo", "hi")).alias("open")), "key", "full")
     parts = common.stored(parts, "parts")
+    common.release(own, spans)
     among = common.Among(parts.select("key"))
 
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield b.filter(among.mask(b)).select(["key", "text"])
 
-    few = rows.where(F.octet_length("text") >= LENGTH).select("key", "text", among.places("key").alias("places")).mapInArrow(likely, "key bigint, text string")
-    texts = common.stored(few.join(parts, "key").dropDuplicates(["key"]).select("key", "text", "settled", "open"), "texts")
+    few = long.select("key", "text", among.places("key").alias("places")).mapInArrow(likely, "key bigint, text string")
+    # copies of a text meet once in each partition before they are dealt out
+    texts = common.stored(few.dropDuplicates(["key"]).join(parts, "key").select("key", "text", "settled", "open"), "texts")
+    common.release(parts)
 
     def clipped(b: pa.RecordBatch) -> tuple[np.ndarray, ...]:
         """Bytes, where rows start, and of each open anchor: row, position, and lo and hi of the windows inside the text."""

@@ -1,9 +1,11 @@
 """Each operator against brute force or exact round trips, on edge cases and small frames."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -60,7 +62,7 @@ def test_line_templates_keep_the_first(spark):
     rng = random.Random(1)
     docs = frame(spark, [(k, f"{words(rng, 12)}\nposted on {k}-01-02 by the editor of the day\nshort line") for k in range(12)])
     got = {r.doc_id: r for r in linededup.deduplicate(docs).collect()}
-    assert got[0].n_dropped == 0 and all(got[k].n_dropped == 1 and "posted" not in got[k].text for k in range(1, 12))
+    assert got[0].n_dropped == 0 and all(got[k].n_dropped == 2 and "posted" not in got[k].text for k in range(1, 12))
 
 
 def test_decontamination_by_brute_force(spark):
@@ -70,21 +72,67 @@ def test_decontamination_by_brute_force(spark):
     assert held <= got and len(got) <= len(held) + 1
 
 
-def test_decontamination_scores_are_bm25():
+def test_decontamination_scores_are_bm25(spark, monkeypatch):
     rng = random.Random(2)
-    items = [(k, words(rng, rng.randint(5, 30))) for k in range(40)]
-    index = decontaminate.build(items)
-    text = f"{words(rng, 70)} {items[7][1]} {words(rng, 90)} {items[9][1]}"
-    w = decontaminate.hashed_words(text)
-    got = {(i, at): s for _, at, i, s in decontaminate.search(w, np.array([len(w)]), index)}
+    items = [(k, " ".join(rng.choice(("of", "the", "a", words(rng, 1))) for _ in range(rng.randint(5, 30)))) for k in range(60)]
+    frame_of = spark.createDataFrame(items, "item_id bigint, text string")
+    rows, stride = decontaminate.impacts(frame_of)
+    index = decontaminate.build(rows.toArrow(), stride)
+    own = [t.split() for _, t in items]
+    df, mean = {}, sum(map(len, own)) / len(own)
+    for w in own:
+        for t in set(w):
+            df[t] = df.get(t, 0) + 1
+    k1, b = decontaminate.K1, decontaminate.B
+    one = lambda w, t: math.log1p((len(own) - df[t] + 0.5) / (df[t] + 0.5)) * w.count(t) * (k1 + 1) / (w.count(t) + k1 * (1 - b + b * len(w) / mean))
+    text = f"{words(rng, 70)} {items[7][1]} {words(rng, 90)} {items[9][1]} of the a of the a"
+    said, w = text.split(), decontaminate.hashed_words(text)
     want = {}
-    for at in range(0, len(w), index.stride):
-        own = np.isin(index.terms, w[at : at + 2 * index.stride])
-        for i, s in enumerate(index.impacts[own].sum(0)):
-            if s >= decontaminate.LEAST:
-                want[i, at] = s
-    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-5 for k in want)
-    assert {index.ids[i] for i, _ in got} >= {7, 9}
+    for at in range(0, len(said), stride):
+        held = set(said[at : at + 2 * stride])
+        for i, x in enumerate(own):
+            score = sum(one(x, t) for t in set(x) & held) / sum(one(x, t) for t in set(x))
+            if score >= decontaminate.LEAST:
+                want[i, at] = score
+    for cells in (decontaminate.CELLS, 1):
+        monkeypatch.setattr(decontaminate, "CELLS", cells)
+        got = {(index.ids[i], at): s for _, at, i, s in decontaminate.search(w, np.array([len(w)]), index)}
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-5 for k in want) and {i for i, _ in got} >= {7, 9}
+
+
+def test_decontamination_is_the_same_in_parts(spark, monkeypatch):
+    docs, items = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
+    extra = spark.createDataFrame([(9001, None), (9002, ""), (9003, "...")], "item_id bigint, text string").withColumn("doc_id", F.lit(1))
+    items = items.unionByName(extra, allowMissingColumns=True)
+    whole = {(r.doc_id, r.item_id, round(r.score, 6), r.first_word) for r in decontaminate.contaminated(docs, items).collect()}
+    monkeypatch.setattr(decontaminate, "POSTINGS", 200)
+    assert whole == {(r.doc_id, r.item_id, round(r.score, 6), r.first_word) for r in decontaminate.contaminated(docs, items).collect()}
+
+
+def test_names_that_clash_stay(spark):
+    docs = spark.createDataFrame([(k, f"{'x' * k} own\nthe same line stands here again") for k in range(12)], "doc_id bigint, text string")
+    odd = docs.withColumns({c: F.lit(7) for c in ("_id", "_key", "_gone", "bad_id", "bad_key", "_0", "_1", "_2", "leaf", "n", "first", "item_id")})
+    got = linededup.deduplicate(odd)
+    assert got.columns[: len(odd.columns)] == odd.columns and got.where("_gone = 7 and _0 = 7").agg(F.sum("n_dropped")).first()[0] == 11
+    items = spark.createDataFrame([(1, "the same line stands here again")], "item_id bigint, text string")
+    assert decontaminate.clean(odd, items).count() == 0 and decontaminate.clean(odd, items.limit(0)).columns == odd.columns
+
+
+@pytest.mark.parametrize("n", [300, 4000])
+def test_a_template_is_one_at_every_size(spark, n):
+    field = lambda f, k: F.concat(F.lit(f), F.chr(97 + (F.xxhash64("id", F.lit(f)) % 26 + 26) % 26), F.chr(97 + (F.xxhash64(F.lit(f), "id") % 26 + 26) % 26))
+    line = F.concat(F.lit("posted in the section "), field("sec", 1), F.lit(" by our author "), field("aut", 2), F.lit(" on the site today"))
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), line.alias("text"))
+    assert linededup.deduplicate(docs).agg(F.sum("n_dropped")).first()[0] == n - 1
+
+
+def test_long_lines_recur_in_two_documents(spark):
+    rng = random.Random(8)
+    long, short = words(rng, linededup.LONG), words(rng, linededup.LONG - 1)
+    got = linededup.deduplicate(frame(spark, [(1, f"{long}\n{short}"), (2, f"{long}\n{short}"), (3, None), (4, "one"), (5, "one")])).collect()
+    assert {r.doc_id: r.n_dropped for r in got} == {1: 0, 2: 1, 3: 0, 4: 0, 5: 0}
+    many = linededup.deduplicate(frame(spark, [(k, "Menu") for k in range(10)])).collect()
+    assert sum(r.n_dropped for r in many) == 9
 
 
 def test_item_split():
@@ -135,21 +183,24 @@ def test_quality_score_is_the_mean_of_embeddings(spark):
         assert abs(quality.score(frame(spark, [(1, text)]), model).first().score - want) < 1e-5
 
 
-@pytest.mark.parametrize("block,per", [(7, 3), (4096, 1024)])
+@pytest.mark.parametrize("block,per", [(7, 3), (16, 4), (4096, 1024)])
 def test_top_k_by_brute_force(spark, block, per):
     rng = np.random.default_rng(1)
     v = rng.normal(size=(90, 6)).round(1)
     v[40:60] = v[3]  # ties
-    rows = [(int(i), [float(x) for x in row]) for i, row in enumerate(v)] + [(200, None), (201, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (202, [float("nan")] * 6), (203, [float("inf")] * 6), (204, []), (None, [1.0] * 6), (205, [1.0, 2.0])]
-    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
-    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(df, df.where("vec_id % 10 = 0"), 5, block, per).collect())
-    q = np.floor(1024 * v.astype(np.float32).astype(np.float64)).astype(np.int64)
-    want = []
+    v[61, 2], v[62, 0], v[63, 1], v[70, 3], v[71] = 1e7, -1e12, 3e6, 1e300, [1.7e308, -1e5, 0, 0, 0, 1]
+    rows = [(int(i), [float(x) for x in row]) for i, row in enumerate(v)] + [(200, None), (201, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (202, [float("nan")] * 6), (203, [float("-inf")] * 6), (None, [1.0] * 6), (205, [1.0, 2.0]), (206, []), (207, []), (210, [])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").withColumns({"id": F.lit(1), "v": F.lit("x"), "block": F.lit(3)})
+    asked = df.where("vec_id % 10 = 0")
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(df, asked.unionByName(asked), 5, block, per).collect())
+    q = [[math.floor(Fraction(x) * 1024) for x in row] for row in v.tolist()]
+    want = [(210, 1, 206, 0), (210, 2, 207, 0)]
     for i in range(0, 90, 10):
-        s = q @ q[i]
+        s = [sum(a * b for a, b in zip(x, q[i], strict=True)) for x in q]
         order = sorted((k for k in range(90) if k != i), key=lambda k: (-s[k], k))[:5]
-        want += [(i, n + 1, k, int(s[k])) for n, k in enumerate(order)]
-    assert got == want
+        want += [(i, n + 1, k, max(-(1 << 63), min((1 << 63) - 1, s[k]))) for n, k in enumerate(order)]
+    assert got == sorted(want)
+    assert topk.top_k(df.limit(0), asked).count() == 0 == topk.top_k(df, asked.limit(0)).count()
 
 
 def test_packing_round_trip(spark):
@@ -315,3 +366,37 @@ def test_suffix_dedup_by_brute_force(spark):
         texts.append(words(rng, 20) + "".join(piece) + words(rng, 20))
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffixes.deduplicate(frame(spark, list(enumerate(texts)))).collect()}
     assert [got[i] for i in range(len(texts))] == brute_removal(texts)
+
+
+def test_suffix_dedup_rests_on_the_sort(spark, monkeypatch):
+    rng = random.Random(7)
+    passage = words(rng, 300)
+    docs = frame(spark, [(1, words(rng, 50) + passage + words(rng, 50)), (2, passage), (3, "ab" * 400 + words(rng, 80)), (4, words(rng, 60) + "ab" * 400), (5, "ñ" * 700), (6, passage), (6, passage)])
+    want = [tuple(r) for r in suffixes.deduplicate(docs).drop("spans").orderBy("doc_id", "n_removed").collect()]
+    texts = [r.text for r in docs.orderBy("doc_id").collect()]
+    assert [w[1:] for w in want] == brute_removal(texts)
+    adjacent = suffixes.adjacent
+    monkeypatch.setattr(suffixes, "adjacent", lambda rows: (adjacent(rows)[0].withColumn("most", F.lit(0).cast("bigint")), adjacent(rows)[1]))
+    assert [tuple(r) for r in suffixes.deduplicate(docs).drop("spans").orderBy("doc_id", "n_removed").collect()] != want
+
+
+def test_names_rank_triples_over_partitions(spark):
+    rng = random.Random(9)
+    rows = [(k, j, *(rng.randint(0, 2) for _ in range(3))) for k in range(40) for j in range(20)]
+    got = suffixes.named(spark.createDataFrame(rows, "key bigint, j int, a bigint, b bigint, c bigint").repartition(7), 0)[0].collect()
+    held = {(r.key, r.j): r.name for r in got}
+    assert len(held) == len(rows)
+    order = sorted(rows, key=lambda r: r[2:])
+    assert all((held[a[:2]] == held[b[:2]]) == (a[2:] == b[2:]) and held[a[:2]] <= held[b[:2]] for a, b in zip(order, order[1:]))
+
+
+def test_adjacent_prefixes_are_the_longest(spark):
+    rng = random.Random(10)
+    rows = [(o, k, j, *(rng.randint(1, 2) for _ in range(4)), rng.randint(1, 2) if o else 0, 0) for k in range(30) for j in range(9) for o in [rng.randint(0, 2)]]
+    table = spark.createDataFrame(rows, "o tinyint, key bigint, j int, c0 bigint, c1 bigint, c2 bigint, c3 bigint, c4 bigint, c5 bigint").repartition(5)
+    got = {}
+    for r in suffixes.adjacent(table)[0].collect():
+        got[r.key, r.j] = max(got.get((r.key, r.j), 0), r.most)
+    as_columns = {r[1:3]: np.array([[r[0], *r[3:]]], np.int64).T for r in rows}
+    for k, v in as_columns.items():
+        assert got.get(k, 0) == max(int(suffixes.shared(v, w)[0]) for i, w in as_columns.items() if i != k)
