@@ -1,18 +1,18 @@
 """Operator 4: quality classifier on supervised subword embeddings.
 
-Every word gives itself and its character n-grams as features, hashed to rows of a learned table; of word bigrams
-only those of one word said twice are features, and they share a row. A document is the mean of its rows; a softmax over two classes reads it. Embeddings and softmax are trained together by stochastic
-gradient descent in numpy on a bounded sample of labelled documents.
+Every word gives itself and its character n-grams as features, and how many words ago the text last had it, by powers of
+two; all are hashed to rows of a learned table. A document is the mean of its rows; a softmax over two classes reads it. Embeddings and
+softmax are trained together by stochastic gradient descent in numpy on a bounded sample of labelled documents.
 
 The mean is linear, so a document's log-odds is the mean of one number per feature: embedding times the difference of
-the two softmax rows. Scoring keeps these sums by word, and reads every word of every text.
+the two softmax rows. Scoring adds these up over every word of every text, with the distinct words of a slice of rows
+looked at once; a task holds nothing from one slice to the next.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
-from itertools import chain, pairwise
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -21,16 +21,16 @@ from pyspark.sql import functions as F
 
 from shopfloor.llm import common
 
-#: Labelled documents of each class that training takes at most, those with the least hash of doc_id.
-SAMPLE = 1000
+#: Labelled documents of each class that training takes at most, those with the least hash of doc_id, and distinct
+#: feature rows that one of them brings at most, those with the least hash.
+SAMPLE, FEATURES = 1000, 1 << 13
 BUCKETS, DIM, EPOCHS, RATE, SEED = 1 << 16, 10, 8, 0.1, 11
 GRAMS = (3, 4, 5)
-#: The row of a word that follows itself.
-TWICE = zlib.crc32(b"<twice>") % BUCKETS
 #: Documents with a smaller score are rejected.
 KEEP = 0.3
-#: Words whose sums a worker keeps.
-KEPT = 500_000
+#: Bytes of text that are worked on at once.
+SLICE = 1 << 20
+U64 = np.uint64
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -38,21 +38,68 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))
 
 
-def word_features(word: str) -> list[int]:
-    """Hashed rows of a word: itself, then the n-grams of the word between marks."""
-    marked = f"<{word}>"
-    out = [zlib.crc32(word.encode()) % BUCKETS]
+@dataclass
+class Features:
+    """Of some texts: the distinct word of each word in order and each text's number of words; feature rows of distinct
+    words and whose they are; and for each word in order the row of when the text last had it."""
+
+    which: np.ndarray
+    counts: np.ndarray
+    rows: np.ndarray
+    owner: np.ndarray
+    last: np.ndarray
+
+
+def hashed(x: np.ndarray) -> np.ndarray:
+    return (x % U64(BUCKETS)).astype(np.int64)
+
+
+def features(column: pa.Array) -> Features:
+    data, off = common.buffers(column)
+    start, end, row = common.runs(data, off, common.SOLID)
+    if not len(start):
+        none = np.zeros(0, np.int64)
+        return Features(none, np.zeros(len(column), np.int64), none, none, none)
+    words = common.ByteHash(data).of(start, end)
+    names, first, which = np.unique(words, return_index=True, return_inverse=True)
+    # the distinct words between marks, one after another
+    lens = (end - start)[first] + 2
+    ends = np.cumsum(lens)
+    own = np.repeat(np.arange(len(names)), lens)
+    marked = data[np.clip(np.arange(ends[-1]) + np.repeat(start[first] - 1 - (ends - lens), lens), 0, len(data) - 1)]
+    marked[ends - lens], marked[ends - 1] = 60, 62
+    chars = np.flatnonzero((marked & 0xC0) != 0x80)
+    bounds, own, grams = np.append(chars, len(marked)), own[chars], common.ByteHash(marked)
+    rows, owner = [hashed(common.mix(names + U64(1)))], [np.arange(len(names))]
     for n in GRAMS:
-        out += [zlib.crc32(marked[i : i + n].encode()) % BUCKETS for i in range(len(marked) - n + 1)]
-    return out
+        i = np.arange(max(0, len(chars) - n + 1))
+        i = i[own[i] == own[i + n - 1]]
+        rows.append(hashed(grams.of(bounds[i], bounds[i + n])))
+        owner.append(own[i])
+    order = np.lexsort((which, row))  # stable: a text's places of one word, in order
+    again = (row[order[1:]] == row[order[:-1]]) & (which[order[1:]] == which[order[:-1]])
+    ago = np.zeros(len(which), np.int64)
+    ago[order[1:][again]] = (order[1:] - order[:-1])[again]
+    last = hashed(common.mix(np.frexp(ago.astype(np.float64))[1].astype(U64) + U64(2)))
+    return Features(which, np.bincount(row, minlength=len(column)), np.concatenate(rows), np.concatenate(owner), last)
 
 
 def document_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """The distinct feature rows of a text and the share of each; the shares sum to 1, or there are none."""
-    words = (text or "").split()
-    found = np.array([*chain.from_iterable(map(word_features, words)), *(TWICE for a, b in pairwise(words) if a == b)], np.int64)
-    ids, counts = np.unique(found, return_counts=True)
-    return ids, counts / max(1, len(found))
+    f = features(pa.array([text], pa.string()))
+    times = np.bincount(f.which, minlength=int(f.owner.max(initial=-1)) + 1)
+    ids, at = np.unique(np.concatenate([f.rows, f.last]), return_inverse=True)
+    n = np.bincount(at, weights=np.concatenate([times[f.owner], np.ones(len(f.last))]), minlength=len(ids))
+    return ids, n / max(1.0, n.sum())
+
+
+def sampled_features(text: str | None, most: int = FEATURES) -> tuple[np.ndarray, np.ndarray]:
+    """As above, with at most ``most`` rows."""
+    ids, share = document_features(text)
+    if len(ids) > most:
+        few = np.sort(np.argsort(common.mix(ids.astype(U64)), kind="stable")[:most])
+        ids, share = ids[few], share[few] / share[few].sum()
+    return ids, share
 
 
 class Model:
@@ -101,12 +148,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     few = F.broadcast(picked[0].unionByName(picked[1]).select("doc_id", "y"))  # 2 * sample rows at most
     rows = docs.select("doc_id", "text").join(few, "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
 
-    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def taken(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [document_features(t) for t in b.column("text").to_pylist()]
+            found = [sampled_features(t.as_py()) for t in b.column("text")]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), pa.array([x[0] for x in found], pa.list_(pa.int32())), pa.array([x[1] for x in found], pa.list_(pa.float32()))], names=["doc_id", "y", "ids", "share"])
 
-    found = rows.mapInArrow(features, "doc_id bigint, y int, ids array<int>, share array<float>").toArrow().sort_by("doc_id").combine_chunks()
+    # 2 * sample rows of FEATURES numbers twice at most
+    found = rows.mapInArrow(taken, "doc_id bigint, y int, ids array<int>, share array<float>").toArrow().sort_by("doc_id").combine_chunks()
     if not found.num_rows:
         return train([])
     ids, share = (found.column(c).combine_chunks() for c in ("ids", "share"))
@@ -114,19 +162,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     return train([(ids[a:b], share[a:b], int(y)) for a, b, y in zip(bounds[:-1], bounds[1:], found.column("y").to_numpy(), strict=True)])
 
 
-class Words(dict):
-    """Sums and counts of feature log-odds by word, worked out when a word is first met."""
-
-    def __init__(self, odds: np.ndarray):
-        super().__init__()
-        self.odds, self.sums, self.counts = odds, [], []
-
-    def __missing__(self, word: str) -> int:
-        rows = word_features(word)
-        self[word] = at = len(self.sums)
-        self.sums.append(float(self.odds[rows].sum()))
-        self.counts.append(len(rows))
-        return at
+def log_odds(column: pa.Array, odds: np.ndarray, bias: float) -> np.ndarray:
+    """The log-odds of class 1 of each text."""
+    f = features(column)
+    n = len(f.counts)
+    text = np.repeat(np.arange(n), f.counts)
+    sums, sizes = np.bincount(f.owner, weights=odds[f.rows]), np.bincount(f.owner) + 1
+    total, size = (np.bincount(text, weights=x, minlength=n) for x in (sums[f.which] + odds[f.last], sizes[f.which]))
+    return total / np.maximum(size, 1) + bias
 
 
 def score(docs: DataFrame, model: Model, keep: float = KEEP) -> DataFrame:
@@ -137,19 +180,8 @@ def score(docs: DataFrame, model: Model, keep: float = KEEP) -> DataFrame:
     odds, bias = model.odds, model.bias
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Words(odds)
-        for b in (x for y in batches for x in common.slices(y, "text")):
-            if len(known) > KEPT:
-                known = Words(odds)
-            words = [t.split() if t else [] for t in b.column("text").to_pylist()]
-            counts = np.fromiter(map(len, words), np.int64, len(words))
-            slots = np.fromiter(map(known.__getitem__, chain.from_iterable(words)), np.int64, int(counts.sum()))
-            sums, sizes = np.array(known.sums), np.array(known.counts, np.float64)
-            ends = np.cumsum(counts)
-            twice = np.concatenate([[0], np.cumsum(np.concatenate([[False], slots[1:] == slots[:-1]]))])  # a document's first word doesn't count
-            again = twice[ends] - twice[np.minimum(ends - counts + 1, ends)]
-            per = [np.diff(np.concatenate([[0.0], np.cumsum(a[slots])])[np.concatenate([[0], ends])]) for a in (sums, sizes)] if len(sums) else [np.zeros(len(words))] * 2
-            z = (per[0] + again * odds[TWICE]) / np.maximum(per[1] + again, 1) + bias
+        for b in (x for y in batches for x in common.slices(y, "text", SLICE)):
+            z = log_odds(b.column("text"), odds, bias)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(1 / (1 + np.exp(-z)), pa.float64())], schema=pa.schema([*b.schema, pa.field("score", pa.float64())]))
 
     return docs.mapInArrow(run, kind).withColumn("predicted", (F.col("score") >= keep).cast("int"))
