@@ -22,8 +22,8 @@ SHORT = "'(?:[stmd]|re|ve|ll)"
 BYTE_LEVEL = f" ?[{LETTERS}]+| ?[0-9]+|{SHORT}| ?[^\\s{LETTERS}0-9]+|\\s+(?!\\S)|\\s+"
 WORD_LEVEL = f"[{LETTERS}]+|[0-9]|{SHORT}|[^\\s{LETTERS}0-9]+"
 
-#: Pieces whose ids a worker keeps; past this it starts anew.
-KEPT = 1_000_000
+#: Bytes that the pieces a worker keeps may take, with ABOUT for each beside its text; past this it starts anew.
+KEPT, ABOUT = 40 << 20, 160
 
 
 def public_path(name: str) -> str:
@@ -39,10 +39,12 @@ class Slots(dict):
     def __init__(self):
         super().__init__()
         self.new: list[str] = []
+        self.size = 0
 
     def __missing__(self, piece: str) -> int:
         self[piece] = at = len(self)
         self.new.append(piece)
+        self.size += len(piece) + ABOUT
         return at
 
 
@@ -63,8 +65,8 @@ class Encoder:
 
     def _fresh(self) -> None:
         self.slot = Slots()
-        self.ids = np.zeros(1 << 20, np.uint32)
-        self.off = np.zeros(1 << 18, np.int64)  # slot k: ids[off[k] : off[k + 1]]
+        self.ids = np.zeros(1 << 18, np.uint32)
+        self.off = np.zeros(1 << 16, np.int64)  # slot k: ids[off[k] : off[k + 1]]
 
     def _learn(self) -> None:
         new, self.slot.new = self.slot.new, []
@@ -82,7 +84,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in one array, and how many each text has."""
-        if len(self.slot) > KEPT:
+        if self.slot.size > KEPT:
             self._fresh()
         plain = [OTHER.search(t) is None and self.added.search(t) is None for t in texts]
         pieces = [(self.split(t.lower() if self.lower else t) if p else []) for t, p in zip(texts, plain, strict=True)]
