@@ -1,10 +1,11 @@
 """Operator 2: benchmark decontamination by BM25 over an inverted index of test items with block-max WAND.
 
-Every training passage is a query: two strides of words in a row, so that each item lies whole in some passage. Impacts
-are divided by the score that an item has as its own query, so 1 means all of its terms. Items are in blocks, and a
-block's best impact of each term bounds what a passage can score there; blocks whose bound misses the threshold are
-skipped, the items of all others are scored exactly, and every item over the threshold is checked for overlap of the
-words of its question and of its answer.
+Every training passage is a query: two strides of words in a row, so that each item lies whole in some passage. Document
+frequencies and lengths are those of all items. Impacts are divided by the score that an item has as its own query, so 1
+means all of its terms. A term's posting list is in blocks of items with the best impact of each. Of a passage's terms,
+ordered by their best impact, those before the pivot cannot reach the threshold together, so only the lists from the
+pivot on are opened; blocks whose best impacts miss the threshold are skipped, of the others the postings of all lists
+are added up, and every item over the threshold is checked for overlap of the words of its question and of its answer.
 """
 
 from __future__ import annotations
@@ -25,18 +26,27 @@ K1, B = 1.2, 0.75
 STRIDE, BLOCK, LEAST = 64, 8, 0.6
 #: Words of the n-grams whose overlap is checked, and the share needed of question and of answer.
 GRAM, OVERLAP = 4, 0.6
-#: Items and bytes of text that one index holds at most; more items take more indexes, one pass each.
-ITEMS, BYTES = 1024, 4 << 20
+#: Postings and bytes of text of one part of the index, as the driver and each task hold it; a larger index has more
+#: parts and takes a pass over the corpus for each. Scores do not depend on the parts.
+POSTINGS, BYTES = 4 << 20, 32 << 20
+#: Passages times blocks whose bounds are held at once.
+CELLS = 4 << 20
 
 
 @dataclass
 class Index:
-    """terms (sorted hashes), impacts [term, item], bounds [term, block], and what the check needs of each item."""
+    """Terms (sorted hashes), the best impact of each, and posting lists by term and block: entries (term * blocks +
+    block, sorted) with their best impact and where their postings (item, impact) begin; and what the check needs."""
 
     ids: list
     terms: np.ndarray
-    impacts: np.ndarray
-    bounds: np.ndarray
+    best: np.ndarray
+    entries: np.ndarray
+    entry_best: np.ndarray
+    starts: np.ndarray
+    item: np.ndarray
+    impact: np.ndarray
+    blocks: int
     parts: list[tuple[np.ndarray, np.ndarray]]
     stride: int
 
@@ -55,24 +65,46 @@ def grams(words: np.ndarray) -> np.ndarray:
     return np.unique(common.shingles(words, min(GRAM, max(1, len(words)))))
 
 
-def build(items: list[tuple], stride: int = STRIDE) -> Index | None:
-    """The index of (item_id, text) pairs; items without words are left out."""
-    found = [(i, t, hashed_words(t or "")) for i, t in items]
-    found = sorted((x for x in found if len(x[2])), key=lambda x: (len(x[2]), x[1]))  # alike lengths share blocks
-    if not found:
+def impacts(items: DataFrame) -> tuple[DataFrame, int]:
+    """no, item_id, text, words (how many), terms and impacts of every item that has words, as a stored table, and the
+    words of a stride: as many as the longest item has."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [np.unique(hashed_words(t.as_py() or ""), return_counts=True) for t in b.column("text")]
+            lists = [pa.array([x[k] for x in found], pa.list_(t)) for k, t in ((0, pa.uint64()), (1, pa.int32()))]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([int(x[1].sum()) for x in found], pa.int64()), lists[0].cast(pa.list_(pa.int64()), safe=False), lists[1]], names=["no", "item_id", "text", "words", "terms", "times"])
+
+    rows = items.select(F.col("item_id").cast("bigint").alias("item_id"), "text").withColumn("no", F.monotonically_increasing_id()).select("no", "item_id", "text")
+    rows = common.stored(rows.mapInArrow(count, "no bigint, item_id bigint, text string, words bigint, terms array<bigint>, times array<int>").where("words > 0"), "items")
+    n, mean, most = rows.select(F.count("*"), F.avg("words"), F.max("words")).first()
+    each = rows.select("no", "words", F.explode(F.arrays_zip("terms", "times")).alias("t")).select("no", "words", F.col("t.terms").alias("term"), F.col("t.times").alias("f"))
+    df = common.stored(each.groupBy("term").agg(F.count("*").alias("df")), "frequencies")
+    idf, f = F.log1p((F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5)), F.col("f")
+    one = idf * f * (K1 + 1) / (f + K1 * (1 - B + B * F.col("words") / F.lit(mean)))
+    own = each.join(df, "term").withColumn("impact", one).groupBy("no").agg(F.array_sort(F.collect_list(F.struct("term", "impact"))).alias("p"), F.sum("impact").alias("whole"))
+    out = own.select("no", F.col("p.term").alias("terms"), F.transform("p.impact", lambda x: (x / F.col("whole")).cast("float")).alias("impacts"))
+    return common.stored(rows.select("no", "item_id", "text", "words").join(out, "no"), "impacts"), max(STRIDE, most or 0)
+
+
+def build(items: pa.Table, stride: int) -> Index | None:
+    """The index of some items, as ``impacts`` gives them."""
+    if not items.num_rows:
         return None
-    terms = np.unique(np.concatenate([w for *_, w in found]))
-    counts = np.zeros((len(terms), len(found)), np.float32)
-    for k, (*_, w) in enumerate(found):
-        np.add.at(counts[:, k], np.searchsorted(terms, w), 1)
-    df = (counts > 0).sum(1)
-    idf = np.log1p((len(found) - df + 0.5) / (df + 0.5))
-    lens = counts.sum(0)
-    impacts = idf[:, None] * counts * (K1 + 1) / (counts + K1 * (1 - B + B * lens / lens.mean()))
-    impacts = (impacts / impacts.sum(0)).astype(np.float32)
-    bounds = np.maximum.reduceat(impacts, np.arange(0, len(found), BLOCK), axis=1)
-    parts = [tuple(hashed_words(p) for p in question_and_answer(t)) for _, t, _ in found]
-    return Index([i for i, *_ in found], terms, impacts, bounds, parts, max(stride, max(len(w) for *_, w in found)))
+    items = items.sort_by([("words", "ascending"), ("text", "ascending"), ("no", "ascending")]).combine_chunks()  # alike lengths share blocks
+    sizes = items.column("terms").combine_chunks().value_lengths().to_numpy().astype(np.int64)
+    hashes = items.column("terms").combine_chunks().flatten().to_numpy().view(np.uint64)
+    impact, item = items.column("impacts").combine_chunks().flatten().to_numpy(), np.repeat(np.arange(len(sizes)), sizes)
+    terms, of = np.unique(hashes, return_inverse=True)
+    blocks = -(-len(sizes) // BLOCK)
+    order = np.lexsort((item, of))
+    of, item, impact = of[order], item[order], impact[order]
+    entries, starts = np.unique(of * blocks + item // BLOCK, return_index=True)
+    entry_best = np.maximum.reduceat(impact, starts)
+    best = np.zeros(len(terms), np.float32)
+    np.maximum.at(best, entries // blocks, entry_best)
+    parts = [tuple(hashed_words(p) for p in question_and_answer(t)) for t in items.column("text").to_pylist()]
+    return Index(items.column("item_id").to_pylist(), terms, best, entries, entry_best, np.append(starts, len(item)), item, impact, blocks, parts, stride)
 
 
 def overlap(part: np.ndarray, passage: np.ndarray) -> float:
@@ -92,38 +124,55 @@ def search(words: np.ndarray, counts: np.ndarray, index: Index, least: float = L
     first = np.cumsum(strides) - strides  # stride numbers run on over all rows
     term = np.minimum(np.searchsorted(index.terms, words), n_terms - 1)
     known = index.terms[term] == words
-    pairs = np.unique((first[row[known]] + inside[known] // stride) * n_terms + term[known])
+    where, term = first[row[known]] + inside[known] // stride, term[known]
+    before = inside[known] >= stride  # a word is in the passage that begins with its stride and in the one before
+    pairs = np.unique(np.concatenate([where, where[before] - 1]) * n_terms + np.concatenate([term, term[before]]))
     where, term = np.divmod(pairs, n_terms)
-    have, starts = np.unique(where, return_index=True)
-    if not len(have):
+    order = np.lexsort((index.best[term], where))
+    where, term = where[order], term[order]
+    best = index.best[term].astype(np.float64)
+    sums = np.cumsum(best)
+    fresh = np.concatenate([[True], where[1:] != where[:-1]]) if len(where) else np.zeros(0, bool)
+    if not len(where):
         return []
-    bound = np.zeros((int(strides.sum()) + 1, index.bounds.shape[1]), np.float32)
-    bound[have] = np.add.reduceat(index.bounds[term], starts, axis=0)
-    owner = np.repeat(np.arange(len(counts)), strides)
-    both = np.concatenate([owner[1:] == owner[:-1], [False]])  # the next stride is of the same row
-    total = bound[:-1] + np.where(both[:, None], bound[1:], 0)
-    out = []
-    at, block = np.nonzero(total >= least - 1e-4)
-    ends = np.searchsorted(where, np.arange(int(strides.sum()) + 1))
-    for a, k in zip(at.tolist(), block.tolist(), strict=True):
-        own = np.unique(term[ends[a] : ends[min(a + 1 + int(both[a]), len(ends) - 1)]])
-        scores = index.impacts[own, k * BLOCK : (k + 1) * BLOCK].sum(0)
-        for i in np.flatnonzero(scores >= least).tolist():
-            out.append((int(owner[a]), int(a - first[owner[a]]) * stride, k * BLOCK + i, float(scores[i])))
+    starts = np.flatnonzero(fresh)
+    own = np.cumsum(fresh) - 1
+    sums = sums - (sums - best)[starts][own]
+    least -= 1e-4  # sums of bounds and of postings round apart
+    opened = sums >= least  # from the pivot on
+    rest = np.zeros(len(starts))
+    np.maximum.at(rest, own[~opened], sums[~opened])
+    out, owner, ends = [], np.repeat(np.arange(len(counts)), strides), np.append(starts[1:], len(where))
+    lists = np.searchsorted(index.entries, np.arange(n_terms + 1) * index.blocks)
+    at_once = max(1, CELLS // index.blocks)
+    for low in range(0, len(starts), at_once):
+        mine = np.flatnonzero(opened & (own >= low) & (own < low + at_once))
+        size = (lists[1:] - lists[:-1])[term[mine]]
+        entry = np.repeat(lists[term[mine]] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        cell = np.repeat(own[mine] - low, size) * index.blocks + index.entries[entry] % index.blocks
+        n = min(at_once, len(starts) - low)
+        bound = np.bincount(cell, weights=index.entry_best[entry], minlength=n * index.blocks).reshape(n, index.blocks)
+        for p, k in zip(*(x.tolist() for x in np.nonzero((bound + rest[low : low + n, None] >= least) & (bound > 0))), strict=True):
+            terms = term[starts[low + p] : ends[low + p]]
+            e = np.searchsorted(index.entries, terms * index.blocks + k)
+            e = e[(e < len(index.entries)) & (index.entries[np.minimum(e, len(index.entries) - 1)] == terms * index.blocks + k)]
+            scores = np.zeros(BLOCK)
+            for x in e.tolist():
+                np.add.at(scores, index.item[index.starts[x] : index.starts[x + 1]] - k * BLOCK, index.impact[index.starts[x] : index.starts[x + 1]])
+            a = int(where[starts[low + p]])
+            out += [(int(owner[a]), int(a - first[owner[a]]) * stride, k * BLOCK + i, float(scores[i])) for i in np.flatnonzero(scores >= least).tolist()]
     return out
 
 
-def indexes(items: DataFrame) -> list[Index]:
-    """Every item in some index of bounded size; an item of over BYTES has one to itself."""
-    rows = items.select("item_id", "text")
-    n, size = rows.select(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
-    shards = max(1, -(-n // ITEMS), -(-size // BYTES))
-    out = []
+def indexes(items: DataFrame) -> Iterator[Index]:
+    """Every item in some part of the index; an item beyond the bounds has one to itself."""
+    rows, stride = impacts(items)
+    n, size = rows.select(F.coalesce(F.sum(F.size("terms")), F.lit(0)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    shards = max(1, -(-n // POSTINGS), -(-size // BYTES))
     for k in range(shards):
-        own = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == k).orderBy("item_id", "text").toArrow().to_pylist()
-        made = build([(r["item_id"], r["text"]) for r in own])
-        out += [made] if made else []
-    return out
+        made = build(rows.where(F.pmod(F.xxhash64("no"), F.lit(shards)) == k).toArrow(), stride)
+        if made:
+            yield made
 
 
 PAIRS = "doc_id bigint, row_key bigint, item_id bigint, score double, first_word bigint, question double, answer double"
@@ -161,6 +210,7 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents without a confirmed item, as they are."""
-    bad = contaminated(docs, items).select(F.col("doc_id").alias("bad_id"), F.col("row_key").alias("bad_key")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("bad_id")) & (common.text_key() == F.col("bad_key")), "left_anti")
+    """The documents without a confirmed item, as they are, with all their columns."""
+    own, key = common.fresh(docs, 2)
+    bad = contaminated(docs, items).select(F.col("doc_id").alias(own), F.col("row_key").alias(key)).distinct()
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col(own)) & (common.text_key() == F.col(key)), "left_anti")
