@@ -329,6 +329,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     able = rows.where("doc_id is not null and n_shingles > 0")
     classes = common.stored(able.groupBy("h1", "h2", F.col("n_shingles").alias("n")).agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig")), "classes")
     own = docs.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("id"), "text")
+    if not able.groupBy("doc_id", "h1", "h2", "n_shingles").agg(F.count("*").alias("rows")).where("rows > 1").isEmpty():
+        own = own.distinct()
     placed = common.stored(forest(classes), "forest")
     pairs = common.stored(neighbours(placed, classes), "pairs")
     ends = pairs.select("a", "b", "est", F.explode(F.array("a", "b")).alias("id"))
@@ -336,7 +338,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     first = common.stored(ends.withColumn("rank", rank).where(F.col("rank") <= FIRST).select("a", "b").distinct(), "first")
     links = confirmed(first, own)
     labels = components(links)
-    for _ in range(2):
+    while True:  # until no pair joins two components
         rest = crossing(pairs.select("a", "b").unionByName(hub_pairs(placed, links, classes)).distinct(), labels).join(first, ["a", "b"], "left_anti")
         rest = common.stored(rest, "rest")
         more = confirmed(rest, own)
