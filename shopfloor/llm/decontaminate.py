@@ -3,9 +3,10 @@
 Every training passage is a query: two strides of words in a row, so that each item lies whole in some passage. Document
 frequencies and lengths are those of all items. Impacts are divided by the score that an item has as its own query, so 1
 means all of its terms. A term's posting list is in blocks of items with the best impact of each. Of a passage's terms,
-ordered by their best impact, those before the pivot cannot reach the threshold together, so only the lists from the
-pivot on are opened; blocks whose best impacts miss the threshold are skipped, of the others the postings of all lists
-are added up, and every item over the threshold is checked for overlap of the words of its question and of its answer.
+ordered by their best impact, those before the pivot weigh too little together to matter, so only the lists from the
+pivot on are opened; blocks whose best impacts, with that little, miss the threshold are skipped; of the others all lists
+are looked up, first their best impacts and then, if these still reach it, their postings. Every item over the threshold
+is checked for overlap of the words of its question and of its answer.
 """
 
 from __future__ import annotations
@@ -29,8 +30,9 @@ GRAM, OVERLAP = 4, 0.6
 #: Postings and bytes of text of one part of the index, as the driver and each task hold it; a larger index has more
 #: parts and takes a pass over the corpus for each. Scores do not depend on the parts.
 POSTINGS, BYTES = 4 << 20, 32 << 20
-#: Passages times blocks whose bounds are held at once.
-CELLS = 4 << 20
+#: Best impacts that the terms before a passage's pivot have together at most, and passages times blocks whose bounds are
+#: held at once.
+SLACK, CELLS = 0.1, 4 << 20
 
 
 @dataclass
@@ -139,31 +141,44 @@ def search(words: np.ndarray, counts: np.ndarray, index: Index, least: float = L
     own = np.cumsum(fresh) - 1
     sums = sums - (sums - best)[starts][own]
     least -= 1e-4  # sums of bounds and of postings round apart
-    opened = sums >= least  # from the pivot on
+    opened = sums >= SLACK  # from the pivot on
     rest = np.zeros(len(starts))
     np.maximum.at(rest, own[~opened], sums[~opened])
-    out, owner, ends = [], np.repeat(np.arange(len(counts)), strides), np.append(starts[1:], len(where))
-    lists = np.searchsorted(index.entries, np.arange(n_terms + 1) * index.blocks)
+    able = sums[np.append(starts[1:], len(where)) - 1] >= least
+    owner, sizes = np.repeat(np.arange(len(counts)), strides), np.diff(np.append(starts, len(where)))
+    lists, out = np.searchsorted(index.entries, np.arange(n_terms + 1) * index.blocks), []
     at_once = max(1, CELLS // index.blocks)
     for low in range(0, len(starts), at_once):
-        mine = np.flatnonzero(opened & (own >= low) & (own < low + at_once))
-        size = (lists[1:] - lists[:-1])[term[mine]]
-        entry = np.repeat(lists[term[mine]] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        cell = np.repeat(own[mine] - low, size) * index.blocks + index.entries[entry] % index.blocks
         n = min(at_once, len(starts) - low)
+        mine = np.flatnonzero((opened & able[own])[starts[low] : starts[low + n - 1] + sizes[low + n - 1]]) + starts[low]
+        which, entry = expand(lists[term[mine]], lists[term[mine] + 1])
+        cell = (own[mine] - low)[which] * index.blocks + index.entries[entry] % index.blocks
         bound = np.bincount(cell, weights=index.entry_best[entry], minlength=n * index.blocks).reshape(n, index.blocks)
-        for p, k in zip(*(x.tolist() for x in np.nonzero((bound + rest[low : low + n, None] >= least) & (bound > 0))), strict=True):
-            terms = term[starts[low + p] : ends[low + p]]
-            e = np.searchsorted(index.entries, terms * index.blocks + k)
-            e = e[(e < len(index.entries)) & (index.entries[np.minimum(e, len(index.entries) - 1)] == terms * index.blocks + k)]
-            scores = np.zeros(BLOCK)
-            for x in e.tolist():
-                np.add.at(scores, index.item[index.starts[x] : index.starts[x + 1]] - k * BLOCK, index.impact[index.starts[x] : index.starts[x + 1]])
-            a = int(where[starts[low + p]])
-            out += [(int(owner[a]), int(a - first[owner[a]]) * stride, k * BLOCK + i, float(scores[i])) for i in np.flatnonzero(scores >= least).tolist()]
+        p, k = np.nonzero(bound >= np.maximum(least - rest[low : low + n, None], 1e-9))
+        p += low
+        which, at = expand(starts[p], starts[p] + sizes[p])
+        key = term[at] * index.blocks + k[which]
+        e = np.minimum(np.searchsorted(index.entries, key), len(index.entries) - 1)
+        hit = index.entries[e] == key
+        which, e = which[hit], e[hit]
+        some = (np.bincount(which, weights=index.entry_best[e], minlength=len(p)) >= least)[which]
+        which, e = which[some], e[some]
+        by, at = expand(index.starts[e], index.starts[e + 1])
+        place = which[by] * BLOCK + index.item[at] - k[which[by]] * BLOCK
+        scores = np.bincount(place, weights=index.impact[at], minlength=len(p) * BLOCK)
+        for x in np.flatnonzero(scores >= least).tolist():
+            a = int(where[starts[p[x // BLOCK]]])
+            out.append((int(owner[a]), int(a - first[owner[a]]) * stride, int(k[x // BLOCK]) * BLOCK + x % BLOCK, float(scores[x])))
     return out
 
 
+def expand(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers from each start to before its end, and which range each is of."""
+    size = end - start
+    which = np.repeat(np.arange(len(size)), size)
+    return which, np.arange(len(which)) + np.repeat(start - (np.cumsum(size) - size), size)
+
+
 def indexes(items: DataFrame) -> Iterator[Index]:
     """Every item in some part of the index; an item beyond the bounds has one to itself."""
     rows, stride = impacts(items)
