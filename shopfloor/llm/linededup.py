@@ -4,8 +4,8 @@ A line's words, with variable ones (those that hold a digit) masked, lead down a
 then the first ``DEPTH`` words. In a leaf, a word stays in the template if enough documents, and a large enough share of
 the leaf's, have it in its place; others become variable. The share makes a field's words variable however many lines
 there are. A template that enough documents share and that keeps enough of its words is recurring; so is a masked line
-that by itself is in enough documents, and for one of ``LONG`` words or more two are enough. Recurring lines are dropped
-from every document but the first that has the template.
+that by itself is in enough documents. Recurring lines are dropped from every document but the first that has the
+template. Copies of whole documents in fewer are left to near-dedup.
 """
 
 from __future__ import annotations
@@ -20,8 +20,6 @@ DEPTH = 3
 #: Documents that must share a template, the share of them that must have a word for it to be fixed, and the share of a
 #: template's words that must be fixed.
 DOCUMENTS, SHARE, FIXED = 10, 0.05, 0.7
-#: Words of a line that recurs if ``AGAIN`` documents have it.
-LONG, AGAIN = 50, 2
 MASK = "<*>"
 
 
@@ -37,19 +35,18 @@ def masked(line: Column) -> Column:
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """A row per line with words: doc_id, row_key, n (line number from 0), line (single-spaced), size (words), leaf."""
+    """A row per line with words: doc_id, row_key, n (line number from 0), line (single-spaced), leaf."""
     each = docs.select("doc_id", common.text_key().alias("row_key"), F.posexplode(F.split("text", "\n")).alias("n", "line"))
     each = each.withColumn("line", spaced(F.col("line"))).where("line <> ''")
     size = F.length("line") - F.length(F.replace("line", F.lit(" "))) + 1
-    return each.withColumn("size", size).withColumn("leaf", F.xxhash64("size", masked(F.substring_index("line", " ", DEPTH))))
+    return each.withColumn("size", size).withColumn("leaf", F.xxhash64("size", masked(F.substring_index("line", " ", DEPTH)))).drop("size")
 
 
 def placed_lines(docs: DataFrame, documents: int) -> DataFrame:
     """The lines, masked, of leaves that enough lines reach for one of them to recur, as a stored table."""
     lines = lines_of(docs)
-    enough = F.when(F.col("size") >= LONG, min(AGAIN, documents)).otherwise(documents)
     # stored, so that both sides of the join are plain shuffles and a hot leaf can be split
-    leaves = common.stored(lines.groupBy("leaf", "size").agg(F.count("*").alias("lines")).where(F.col("lines") >= enough).select("leaf"), "leaves")
+    leaves = common.stored(lines.groupBy("leaf").agg(F.count("*").alias("lines")).where(F.col("lines") >= documents).select("leaf"), "leaves")
     kept = lines.join(leaves, "leaf", "left_semi").withColumn("line", masked(F.col("line")))
     out = common.stored(kept.withColumn("line_key", F.xxhash64("line")), "lines")
     common.release(leaves)
@@ -61,9 +58,9 @@ def templates(lines: DataFrame, documents: int = DOCUMENTS, fixed: float = FIXED
     template's first line (doc_id, row_key, n), as a stored table."""
     # copies of a line inside one document count once
     once = (
-        lines.groupBy("leaf", "line", "line_key", "size", "doc_id", "row_key")
+        lines.groupBy("leaf", "line", "line_key", "doc_id", "row_key")
         .agg(F.min("n").alias("n"))
-        .groupBy("leaf", "line", "line_key", "size")
+        .groupBy("leaf", "line", "line_key")
         .agg(F.count("*").alias("documents"), F.min(F.struct("doc_id", "row_key", "n")).alias("first"))
     )
     once = common.stored(once, "once")
@@ -80,8 +77,7 @@ def templates(lines: DataFrame, documents: int = DOCUMENTS, fixed: float = FIXED
     form = common.stored(form.join(once.select("line_key", "documents", "first"), "line_key"), "forms")
     found = form.groupBy("template").agg(F.sum("documents").alias("documents"), F.min("first").alias("first")).where(F.col("documents") >= documents)
     general = common.stored(form.select("line_key", "template").join(found, "template"), "general")
-    alone = F.when(F.col("size") >= LONG, min(AGAIN, documents)).otherwise(documents)
-    single = once.where(F.col("documents") >= alone).join(general.select("line_key"), "line_key", "left_anti")
+    single = once.where(F.col("documents") >= documents).join(general.select("line_key"), "line_key", "left_anti")
     out = common.stored(general.unionByName(single.select("line_key", F.col("line").alias("template"), "documents", "first")), "templates")
     common.release(once, whole, kept, form, general)
     return out
@@ -122,7 +118,7 @@ with lines as (
 ), worded as (
   select doc_id, n, line, len(string_split(line, ' ')) as size, array_to_string(string_split(line, ' ')[1:{DEPTH}], ' ') as head from mask where line <> ''
 ), leaves as (
-  select size, head from worded group by size, head having count(*) >= case when size >= {LONG} then {AGAIN} else {DOCUMENTS} end
+  select size, head from worded group by size, head having count(*) >= {DOCUMENTS}
 ), once as (
   select size, head, line, count(distinct doc_id) as documents, min({{'d': doc_id, 'n': n}}) as first
   from worded join leaves using (size, head) group by size, head, line
@@ -142,7 +138,7 @@ with lines as (
 ), recurring as (
   select line, first from general where documents >= {DOCUMENTS}
   union all
-  select line, first from once where documents >= case when size >= {LONG} then {AGAIN} else {DOCUMENTS} end and line not in (select line from general where documents >= {DOCUMENTS})
+  select line, first from once where documents >= {DOCUMENTS} and line not in (select line from general where documents >= {DOCUMENTS})
 ), gone as (
   select l.doc_id, l.n from worded l join recurring r on l.line = r.line where not (r.first.d = l.doc_id and r.first.n = l.n)
 ), raw as (
