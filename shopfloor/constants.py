@@ -9,7 +9,7 @@ SITES = ("zh", "zz", "hf", "wh", "cq")
 CHANNELS = {"lot": "MANUAL", "barcodeautomatic": "BARCODE"}
 LEVELS = ("NONE", "P3", "P2", "P1")
 OVER_RATIO, LAG_THRESHOLD = 1.0, 0.2
-IDLE_SECONDS, ESCALATE_SECONDS = 3600, 600
+IDLE_SECONDS, ESCALATE_SECONDS, SNAPSHOT_SECONDS = 3600, 600, 10
 DIGEST_ITEMS, DIGESTS_PER_MINUTE = 20, 18
 TOLERANCE = 0.005
 WATERMARK_SECONDS, LATENESS_SECONDS = 60, 120

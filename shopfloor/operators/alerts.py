@@ -72,10 +72,12 @@ def steps(as_of: Column, interval: int) -> Column:
 def escalation_history(alerts: DataFrame, as_of: Column, interval: int = K.ESCALATE_SECONDS) -> DataFrame:
     """A row for each level that an alert takes, with its time as version; a last one, NONE, at its recovery."""
     own = alerts.where(F.col("alert_time") <= as_of).withColumn("_steps", steps(as_of, interval))
-    level = F.get(F.array(*map(F.lit, K.LEVELS[1:])), F.col("step"))
-    ups = own.withColumn("step", F.explode(F.sequence(F.lit(0), "_steps"))).withColumns({"level": level, "changed": F.col("alert_time") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.col("step") * interval).cast("decimal(18,6)"))})
-    ends = own.where(F.col("recover_time") <= as_of).withColumns({"step": F.lit(3), "level": F.lit(K.LEVELS[0]), "changed": F.col("recover_time")})
-    return ups.unionByName(ends).drop("_steps").withColumn("version", S.epoch(F.col("changed")) * 1000)
+    after = lambda s: F.col("alert_time") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (s * interval).cast("decimal(18,6)"))
+    row = lambda step, level, at: F.struct(step.alias("step"), level.alias("level"), at.alias("changed"))
+    ups = F.transform(F.sequence(F.lit(0), "_steps"), lambda s: row(s, F.get(F.array(*map(F.lit, K.LEVELS[1:])), s), after(s)))
+    end = F.when(F.col("recover_time") <= as_of, F.array(row(F.lit(3), F.lit(K.LEVELS[0]), F.col("recover_time")))).otherwise(F.filter(ups, lambda _: F.lit(False)))
+    out = own.withColumn("_row", F.explode(F.concat(ups, end))).select(*alerts.columns, "_row.*")
+    return out.withColumn("version", S.epoch(F.col("changed")) * 1000)
 
 
 def current_alerts(history: DataFrame) -> DataFrame:

@@ -65,14 +65,23 @@ def baseline_order_rate(lots: DataFrame, orders: DataFrame) -> DataFrame:
 
 def reconcile(baseline: DataFrame, result: DataFrame, keys: list[str], tolerance: float = K.TOLERANCE) -> DataFrame:
     """Both quantities side by side, the difference as a share of the baseline, and whether it is within tolerance; a side
-    that is missing counts as 0."""
-    b = baseline.select(*keys, F.col("report_qty").alias("baseline_qty"))
-    r = result.select(*keys, F.col("report_qty").alias("result_qty"))
-    out = b.join(r, keys, "full").fillna(0, ["baseline_qty", "result_qty"])
+    that is missing counts as 0, and missing keys are equal."""
+    zero = F.lit(0).cast("decimal(38,4)")
+    sides = [df.select(*keys, *[(F.col("report_qty").cast("decimal(38,4)") if own else zero).alias(c) for own, c in zip(which, ("baseline_qty", "result_qty"), strict=True)]) for df, which in ((baseline, (True, False)), (result, (False, True)))]
+    out = sides[0].unionByName(sides[1]).groupBy(*keys).agg(*[F.sum(c).alias(c) for c in ("baseline_qty", "result_qty")])
     gap = F.abs(F.col("result_qty") - F.col("baseline_qty"))
     return out.withColumns({"diff": F.col("result_qty") - F.col("baseline_qty"), "within_tolerance": gap <= F.lit(tolerance).cast("decimal(10,6)") * F.abs(F.col("baseline_qty"))})
 
 
+#: How results are read, by grain: columns, falling where marked.
+ORDERS = {"site_shift": ["company", "shift_date"], "workshop_line": ["-report_qty", "company", "workshop", "linecode"], "order": ["-achieve_rate", "company", "productionorder"], "dimension": ["achieve_rate", "company", "workshop", "linecode"]}
+
+
+def ordered(df: DataFrame, grain: str) -> DataFrame:
+    """The result in the order of its grain."""
+    return df.orderBy(*[F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in ORDERS[grain]])
+
+
 def total_check(minutes: DataFrame, live: DataFrame) -> DataFrame:
     """Minute total against detail total, by site and over all."""
     rows = minutes.select("company", F.lit("minute").alias("side"), F.col("output_quantity").alias("q")).unionByName(live.select("company", F.lit("detail").alias("side"), F.col("lotquantity").alias("q")))

@@ -58,6 +58,12 @@ def live_wide(wide: DataFrame, parity: str | None = None) -> DataFrame:
     return last.where(counts(last))
 
 
+def live_of(changes: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """The same as ``live_wide`` of all changes in their wide columns, with only the last version of each record joined."""
+    last = enrich(latest_by_version(changes, RECORD).where("op <> 'd'"), dims)
+    return last.where(counts(last))
+
+
 def asof_order_join(changes: DataFrame, orders: DataFrame) -> DataFrame:
     """Each change with its order as it was then: the last order row whose version isn't later."""
     keys = ["db_name", "productionorderid"]

@@ -137,6 +137,18 @@ TOTALS = f"""{flags('fx_run_shift', 'shift_date, company, datasource, production
   union all select 'MISSING_REPORT', company, count(*), count(recover_time) from gaps group by company
 )"""
 
+HISTORY = """, made as (select * replace (case when productionorderid % 50 = 9 then null else worksiteid end as worksiteid) from fx_order), history as (
+  select *, 1 as v, 'c' as op from made union all select * replace (2 * orderquantity as orderquantity), 2, 'u' from made union all select * replace (2 * orderquantity as orderquantity), 4, 'd' from made where productionorderid % 10 = 7
+)"""
+
+
+def compared(base: str, keys: str) -> str:
+    """Sums q of base and of live manual rows by keys, side by side; missing keys are equal."""
+    return f""", base as ({base}), result as (select {keys}, sum(lotquantity) as q from fx_live where outputtype = 'MANUAL' group by all),
+      sides as (select {keys}, q as b, 0 as r from base union all select {keys}, 0, q from result)
+      select {keys}, sum(b) as baseline_qty, sum(r) as result_qty, sum(r) - sum(b) as diff, abs(sum(r) - sum(b)) <= 0.005 * abs(sum(b)) as within_tolerance from sides group by {keys}"""
+
+
 BODIES: dict[str, str] = {
     "shift_days": """select record_id, version, cast(event_time - interval 510 minutes as date) as shift_date, date_diff('day', date '1970-01-01', cast(event_time - interval 510 minutes as date)) as epoch_day,
       cast(cast(event_time - interval 510 minutes as date) as timestamp) + interval 510 minutes as shift_start, cast(cast(event_time - interval 510 minutes as date) as timestamp) + interval 1950 minutes as shift_end,
@@ -151,6 +163,15 @@ BODIES: dict[str, str] = {
     "snapshot_changes": "select db_name, case when op = 'c' then 0 else version end as version, count(*) as records, sum(qty) as qty from fx_log group by all",
     "route_envelope": ROUTED + FLAT,
     "json_roundtrip": ROUTED + FLAT,
+    "order_changelog": f"{HISTORY} select op, db_name, productionorderid, productionorderno, orderquantity, coalesce(worksiteid, 0) as worksiteid, coalesce(partid, 0) as partid, createddate, duedate, 1000 * v as version_ms from history",
+    "current_orders": f"{HISTORY} select db_name, productionorderid, productionorderno, orderquantity, nullif(worksiteid, 0) as worksiteid, nullif(partid, 0) as partid, createddate, duedate from history where v = 2 and productionorderid % 10 <> 7",
+    "order_topic": f"""{HISTORY} select '{{"company":"' || split_part(db_name, '_', 3) || '","datasource":"' || case when db_name like 'mes_old_%' then 'OLD_MES' else 'NEW_MES' end || '","productionorderid":' || productionorderid || '}}' as key, count(*) as messages, max(orderquantity) as orderquantity from history group by 1""",
+    "raw_to_live": "select * exclude (tbl_name, op, seq) replace (1000 * version as version) from fx_live",
+    "ordered_workshop_line": "select company, workshop, linecode, sum(lotquantity) as report_qty, count(*) as record_cnt from fx_live group by all",
+    "ordered_orders": f"select company, productionorder, max(orderquantity) as order_qty, sum(lotquantity) as report_qty, {rate('sum(lotquantity)', 'max(orderquantity)')} as achieve_rate from fx_live group by company, productionorder",
+    "alert_counters": GAPS + "select 'MISSING_REPORT' as alert_type, level, count(*) as fired from history where level <> 'NONE' group by level",
+    "reconcile_workshop_line": compared(f"select split_part(l.db_name, '_', 3) as company, n_name as workshop, s_name as linecode, sum(qty) as q from (select l.* from {LAST_LOT}) l left join supplier on s_suppkey = workcenterid left join nation on n_nationkey = s_nationkey group by all", "company, workshop, linecode"),
+    "reconcile_order": compared(f"select split_part(l.db_name, '_', 3) as company, case when l.db_name like 'mes_old_%' then 'OLD_MES' else 'NEW_MES' end as datasource, productionorderno as productionorder, sum(qty) as q from {LAST_LOT} group by all", "company, datasource, productionorder"),
     "wide_roundtrip": "select company, shift_date, is_deleted, count(*) as records, sum(lotquantity) as qty from fx_wide group by all",
     "dirty_split": """select case when cast(record_id as bigint) % 97 = 1 then 'op' when cast(record_id as bigint) % 89 = 2 then 'required' when cast(record_id as bigint) % 83 = 3 then 'channel' when cast(record_id as bigint) % 79 = 4 then 'time' else 'ok' end as reason,
       count(*) as records from fx_log where tbl_name = 'lot' group by 1""",
@@ -177,8 +198,10 @@ BODIES: dict[str, str] = {
       select shift_date, company, datasource, productionorder, max_by(workshop, (version, record_id)) as workshop, max_by(struct_pack(l := linecode), (version, record_id)).l as linecode, max(orderquantity) as q, sum(lotquantity) as r from fx_live group by shift_date, company, datasource, productionorder
     ), merged as (select company, workshop, linecode, datasource, productionorder, sum(r) as r, max(q) as q from attributed group by all)
     select company, workshop, linecode, sum(r) as report_qty, cast(sum(q) as bigint) as order_qty, {rate('sum(r)', 'cast(sum(q) as bigint)')} as achieve_rate from merged group by company, workshop, linecode""",
-    "recompute_orders": f"""select shift_date, company, datasource, productionorder, productionorderid, order_quantity, report_quantity, {rate('report_quantity', 'order_quantity')} as achieve_rate, {progress('created', 'due', NOW)} as plan_progress, last_report_time,
-      cast(epoch({NOW}) as bigint) * 1000 as version from fx_shift""",
+    "recompute_orders": f""", attributed as (
+      select shift_date, company, datasource, productionorder, max_by(struct_pack(w := workshop, l := linecode, p := partcode), (version, record_id)) as a from fx_live group by shift_date, company, datasource, productionorder
+    ) select a.w as workshop, a.l as linecode, a.p as partcode, shift_date, company, datasource, productionorder, productionorderid, order_quantity, report_quantity, {rate('report_quantity', 'order_quantity')} as achieve_rate, {progress('created', 'due', NOW)} as plan_progress, last_report_time,
+      cast(epoch({NOW}) as bigint) * 1000 as version from fx_shift join attributed using (shift_date, company, datasource, productionorder)""",
     "recon_site_shift": "select company, shift_date, outputtype, sum(lotquantity) as report_qty, count(*) as record_cnt from fx_live where outputdatetime >= timestamp '1993-01-01' and outputdatetime < timestamp '1997-01-01' group by all",
     "recon_workshop_line": "select company, workshop, linecode, sum(lotquantity) as report_qty, count(*) as record_cnt from fx_live group by all",
     "recon_order": f"select company, datasource, productionorder, order_quantity as order_qty, report_quantity as report_qty, {rate('report_quantity', 'order_quantity')} as achieve_rate from fx_whole",
@@ -194,9 +217,9 @@ BODIES: dict[str, str] = {
       select company, shift_date, coalesce(b.q, 0) as baseline_qty, coalesce(r.q, 0) as result_qty, coalesce(r.q, 0) - coalesce(b.q, 0) as diff, abs(coalesce(r.q, 0) - coalesce(b.q, 0)) <= 0.005 * abs(coalesce(b.q, 0)) as within_tolerance from base b full join result r using (company, shift_date)""",
     "total_check": "select company, sum(m) as minute_qty, sum(d) as detail_qty from (select company, output_quantity as m, 0 as d from fx_minute union all select company, 0, lotquantity from fx_live) group by rollup (company)",
     "order_running_qty": "select record_id, shift_date, productionorder, running as running_qty from fx_run_shift",
-    "over_report_alerts": f"""select 'OVER_REPORT:' || {ORDER_ALERT} as alert_id, 'OVER_REPORT' as alert_type, company, productionorder, orderquantity as order_quantity, running as report_quantity, {rate('running', 'orderquantity')} as achieve_rate,
+    "over_report_alerts": f"""select 'OVER_REPORT:' || {ORDER_ALERT} as alert_id, 'OVER_REPORT' as alert_type, company, linecode, productionorder, orderquantity as order_quantity, running as report_quantity, {rate('running', 'orderquantity')} as achieve_rate,
       outputdatetime as alert_time, cast(null as timestamp) as recover_time from fx_run where orderquantity > 0 and running > orderquantity qualify row_number() over (partition by company, datasource, productionorder order by outputdatetime, record_id, outputtype) = 1""",
-    "lag_alerts": flags("fx_run", "company, datasource, productionorder") + f"""select 'LAG:' || {ORDER_ALERT} as alert_id, 'LAG' as alert_type, company, productionorder, orderquantity as order_quantity, running as report_quantity,
+    "lag_alerts": flags("fx_run", "company, datasource, productionorder") + f"""select 'LAG:' || {ORDER_ALERT} as alert_id, 'LAG' as alert_type, company, linecode, productionorder, orderquantity as order_quantity, running as report_quantity,
       {rate('running', 'orderquantity')} as achieve_rate, outputdatetime as alert_time, until as recover_time from turns where lags""",
     "missing_report_alerts": GAPS + "select alert_id, company, linecode, alert_time, recover_time from gaps",
     "escalation_history": GAPS + "select alert_id, alert_time, step, level, changed, cast(epoch(changed) as bigint) * 1000 as version from history",

@@ -13,12 +13,12 @@ from shopfloor.functions import scalars as S
 from shopfloor.operators import alerts as A
 from shopfloor.operators import digest, minute, orders, profile, reconcile, versions, wide
 from shopfloor.operators.versions import RECORD
-from shopfloor.schemas import REPORT
+from shopfloor.schemas import ORDER, REPORT
 from shopfloor.sources import changelog, fixtures
 from shopfloor.streaming import sinks
 
 IDLE, STEP = 30 * 86400, 10 * 86400  # these inputs span years
-FILES = 4
+PARTS = 3
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,7 +48,7 @@ class Inputs:
 
     @property
     def live(self) -> DataFrame:
-        return wide.live_wide(self.wide)
+        return wide.live_of(self.log, self.dims)
 
     @property
     def deltas(self) -> DataFrame:
@@ -113,6 +113,37 @@ def json_roundtrip(i: Inputs) -> DataFrame:
     return back.select("op", "record_id", "db_name", "finishedquantity", "createddate", F.col("version").alias("version_ms"))
 
 
+def sent_orders(i: Inputs) -> DataFrame:
+    """Order changes as they come back from JSON."""
+    return changelog.order_changes(changelog.parse_envelopes(fixtures.sent_orders(fixtures.order_history(i.dims["orders"])), ORDER))
+
+
+@query
+def order_changelog(i: Inputs) -> DataFrame:
+    return sent_orders(i).where("reason is null").drop("reason", "op_ts").withColumnRenamed("version", "version_ms")
+
+
+@query
+def current_orders(i: Inputs) -> DataFrame:
+    return changelog.current_orders(sent_orders(i))
+
+
+@query
+def order_topic(i: Inputs) -> DataFrame:
+    sent = changelog.encode_orders(changelog.ods_orders(sent_orders(i)))
+    back = changelog.flatten(changelog.route_envelope(changelog.parse_envelopes(sent, ORDER).withColumn("seq", F.lit(0))))
+    keyed = sent.groupBy("key").agg(F.count("*").alias("messages"))
+    return keyed.join(back.select(F.to_json(F.struct(S.company(F.col("db_name")).alias("company"), S.datasource(F.col("db_name")).alias("datasource"), "productionorderid")).alias("key"), "orderquantity").groupBy("key").agg(F.max("orderquantity").alias("orderquantity")), "key")
+
+
+@query
+def raw_to_live(i: Inputs) -> DataFrame:
+    """From JSON envelopes of reports to live wide rows."""
+    read = changelog.flatten(changelog.route_envelope(changelog.parse_envelopes(fixtures.sent_reports(i.log), REPORT)))
+    good, _ = changelog.split_dirty(read)
+    return wide.live_of(changelog.to_changes(good), i.dims).drop("tbl_name", "op", "seq")
+
+
 @query
 def wide_roundtrip(i: Inputs) -> DataFrame:
     sent = changelog.encode_wide(i.wide.select("record_id", "version", "company", "productionorder", "lotquantity", "shift_date", "is_deleted"))
@@ -146,9 +177,7 @@ def live_filter_first(i: Inputs) -> DataFrame:
 @query
 def asof_order_join(i: Inputs) -> DataFrame:
     """Orders that change at version 2, when their quantity doubles, and go at version 4 if their number ends on 7."""
-    own = i.dims["orders"].select("db_name", "productionorderid", "productionorderno", "orderquantity")
-    step = lambda v, op, q: own.withColumns({"version": F.lit(v).cast("bigint"), "op": F.lit(op), "orderquantity": q})
-    history = step(1, "c", F.col("orderquantity")).unionByName(step(2, "u", 2 * F.col("orderquantity"))).unionByName(step(4, "d", F.col("orderquantity")).where("productionorderid % 10 = 7"))
+    history = fixtures.order_history(i.dims["orders"]).select("db_name", "productionorderid", "productionorderno", "orderquantity", "version", "op")
     met = wide.asof_order_join(i.log.select("db_name", "productionorderid", "record_id", "version"), history)
     return met.select("record_id", "version", F.col("order.productionorderno").alias("productionorderno"), F.col("order.orderquantity").alias("orderquantity"))
 
@@ -213,7 +242,7 @@ def dim_achievement(i: Inputs) -> DataFrame:
 
 @query
 def recompute_orders(i: Inputs) -> DataFrame:
-    return orders.recompute_orders(i.live, now()).drop("workshop", "linecode", "partcode")
+    return orders.recompute_orders(i.live, now())
 
 
 @query
@@ -268,6 +297,35 @@ def reconcile_site_shift(i: Inputs) -> DataFrame:
     return reconcile.reconcile(base, result, ["company", "shift_date"])
 
 
+@query
+def reconcile_workshop_line(i: Inputs) -> DataFrame:
+    keys = ["company", "workshop", "linecode"]
+    base = changelog.with_site(reconcile.baseline_workshop_line(fixtures.lots(last_rows(i)), i.dims["orders"], i.dims["workcenters"], i.dims["worksites"])).groupBy(*keys).agg(F.sum("report_qty").alias("report_qty"))
+    return reconcile.reconcile(base, reconcile.totals(i.live.where("outputtype = 'MANUAL'"), keys), keys)
+
+
+@query
+def reconcile_order(i: Inputs) -> DataFrame:
+    keys = ["company", "datasource", "productionorder"]
+    base = changelog.with_site(reconcile.baseline_order_rate(fixtures.lots(last_rows(i)), i.dims["orders"])).groupBy(*keys).agg(F.sum("report_qty").alias("report_qty"))
+    return reconcile.reconcile(base, reconcile.totals(i.live.where("outputtype = 'MANUAL'"), keys), keys)
+
+
+@query
+def ordered_workshop_line(i: Inputs) -> DataFrame:
+    return reconcile.ordered(reconcile.recon_workshop_line(i.live), "workshop_line")
+
+
+@query
+def ordered_orders(i: Inputs) -> DataFrame:
+    return reconcile.ordered(reconcile.recon_order(i.live, with_datasource=False), "order")
+
+
+@query
+def alert_counters(i: Inputs) -> DataFrame:
+    return profile.alert_counters(A.escalation_history(A.missing_report_alerts(i.live, now(), IDLE), now(), STEP))
+
+
 @query
 def total_check(i: Inputs) -> DataFrame:
     return reconcile.total_check(minute.minute_output(i.deltas), i.live)
@@ -280,12 +338,12 @@ def order_running_qty(i: Inputs) -> DataFrame:
 
 @query
 def over_report_alerts(i: Inputs) -> DataFrame:
-    return A.over_report_alerts(i.live, grain="order").drop("linecode")
+    return A.over_report_alerts(i.live, grain="order")
 
 
 @query
 def lag_alerts(i: Inputs) -> DataFrame:
-    return A.lag_alerts(i.live, grain="order").drop("linecode")
+    return A.lag_alerts(i.live, grain="order")
 
 
 @query
@@ -349,15 +407,19 @@ def day_shift_share(i: Inputs) -> DataFrame:
 
 
 def streamed(i: Inputs, batch: Callable[[str], sinks.Batch]) -> str:
-    """Runs the changelog, by version in FILES files, through a foreachBatch sink; the sink's folder."""
+    """Runs the changelog, in PARTS by version, through a foreachBatch sink, each as it comes; the sink's folder."""
     spark = i.spark
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="spark-")
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="spark-")
     path = f"{root}/stream-{uuid.uuid4().hex}"
-    parts = i.log.withColumn("part", F.least(F.col("version"), F.lit(FILES)))
-    for k in range(1, FILES + 1):
-        parts.where(F.col("part") == k).drop("part").coalesce(1).write.mode("append").parquet(f"{path}/in")
-    changes = spark.readStream.schema(i.log.schema).option("maxFilesPerTrigger", 2).parquet(f"{path}/in")
-    sinks.start(changes, batch(path), f"{path}/checkpoint").awaitTermination()
+    parts = i.log.withColumn("part", F.least(F.col("version"), F.lit(PARTS)))
+    for k in range(1, PARTS + 1):
+        parts.where(F.col("part") == k).drop("part").write.mode("append").parquet(f"{path}/in")
+        changes = spark.readStream.schema(i.log.schema).parquet(f"{path}/in")
+        sinks.start(changes, batch(path), f"{path}/checkpoint").awaitTermination()
     return path
 
 

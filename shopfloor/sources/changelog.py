@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from shopfloor import constants as K
 from shopfloor import schemas
 from shopfloor.functions import scalars as S
+from shopfloor.operators.versions import latest_by_version
 
 
 def read_changelog(spark: SparkSession, path: str, row: T.StructType, streaming: bool = False) -> DataFrame:
@@ -24,11 +25,21 @@ def read_kafka(spark: SparkSession, servers: str, topic: str, row: T.StructType,
     if startup not in ("earliest", "latest"):
         raise ValueError(f"startup must be earliest or latest, not {startup}")
     stream = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic).option("startingOffsets", startup).load()
-    return parse_envelopes(stream.select(F.col("value").cast("string").alias("value")), row)
+    return parse_envelopes(stream.select(F.col("value").cast("string").alias("value"), F.col("offset").alias("seq")), row)
+
+
+def write_kafka(messages: DataFrame, servers: str, topic: str, checkpoint: str | None = None):
+    """key and value of a batch to a topic, or of a stream, whose query is started, with ``checkpoint``."""
+    rows = messages.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
+    writer = (rows.writeStream.option("checkpointLocation", checkpoint) if checkpoint else rows.write).format("kafka")
+    writer = writer.option("kafka.bootstrap.servers", servers).option("topic", topic)
+    return writer.start() if checkpoint else writer.save()
 
 
 def parse_envelopes(lines: DataFrame, row: T.StructType) -> DataFrame:
-    return lines.select(F.from_json("value", schemas.envelope(row)).alias("e")).select("e.op", "e.before", "e.after")
+    """op, before and after, and seq (the place in the log, which settles ties of versions) if the lines have it."""
+    seq = ["seq"] if "seq" in lines.columns else []
+    return lines.select(F.from_json("value", schemas.envelope(row)).alias("e"), *seq).select("e.op", "e.before", "e.after", *seq)
 
 
 def parse_wide(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -65,12 +76,52 @@ def load_dims(read: Callable[[str, str], DataFrame], table: str, skip: bool = Tr
 def route_envelope(envelopes: DataFrame) -> DataFrame:
     """op and the row that counts: after for c, r and u, before for d; null for any other."""
     row = F.when(F.col("op") == "d", F.col("before")).when(F.col("op").isin("c", "r", "u"), F.col("after"))
-    return envelopes.select("op", row.alias("row"))
+    return envelopes.select("op", row.alias("row"), *(["seq"] if "seq" in envelopes.columns else []))
 
 
 def flatten(routed: DataFrame) -> DataFrame:
     """op, the row's columns and its version in milliseconds; dirty rows keep nulls."""
-    return routed.select("op", "row.*").withColumn("version", S.parse_op_ts(F.col("op_ts")))
+    return routed.select("op", "row.*", *(["seq"] if "seq" in routed.columns else [])).withColumn("version", S.parse_op_ts(F.col("op_ts")))
+
+
+def to_changes(reports: DataFrame) -> DataFrame:
+    """Flattened reports of both channels as changes that ``enrich`` takes: the quantity and the time of each one's channel,
+    and seq, 0 where the log's place isn't known."""
+    manual = S.channel(F.col("tbl_name")) == "MANUAL"
+    qty = F.when(manual, F.col("finishedquantity")).otherwise(F.col("quantity").cast("decimal(38,4)"))
+    out = reports.withColumns({"qty": qty, "event_time": F.coalesce("createddate", "scantime")})
+    out = out if "seq" in reports.columns else out.withColumn("seq", F.lit(0).cast("bigint"))
+    return out.drop("finishedquantity", "quantity", "createddate", "scantime", "op_ts")
+
+
+NUMBERS = ("orderquantity", "worksiteid", "partid")
+
+
+def order_changes(envelopes: DataFrame) -> DataFrame:
+    """Flattened order changes: upserts with missing numbers as 0, and deletions; reason is set on those that can't be used."""
+    flat = flatten(route_envelope(envelopes))
+    known = F.coalesce(F.col("op").isin("c", "r", "u", "d"), F.lit(False))
+    reason = F.when(~known, "op").when(F.col("productionorderid").isNull() | F.col("db_name").isNull(), "required")
+    return flat.withColumns({c: F.coalesce(c, F.lit(0)) for c in NUMBERS}).withColumn("reason", reason)
+
+
+def current_orders(changes: DataFrame) -> DataFrame:
+    """The order dimension after all usable changes; a number of 0 is none that a dimension has."""
+    order = ("version", "seq") if "seq" in changes.columns else ("version",)
+    last = latest_by_version(changes.where("reason is null"), ["db_name", "productionorderid"], order).where("op <> 'd'")
+    return last.select("db_name", "productionorderid", "productionorderno", "orderquantity", *[F.nullif(c, F.lit(0)).alias(c) for c in NUMBERS[1:]], "createddate", "duedate")
+
+
+def ods_orders(changes: DataFrame) -> DataFrame:
+    """Usable order changes as rows of the order topic, with site."""
+    return with_site(changes.where("reason is null").drop("reason")).withColumn("tbl_name", F.lit("productionorder"))
+
+
+def encode_orders(rows: DataFrame) -> DataFrame:
+    """key and value of the order topic: an envelope with the row after, or before a deletion."""
+    key = F.to_json(F.struct("company", "datasource", "productionorderid"))
+    row, gone = F.struct(*[c for c in rows.columns if c not in ("op", "seq", "version")]), F.col("op") == "d"
+    return rows.select(key.alias("key"), F.to_json(F.struct("op", F.when(gone, row).alias("before"), F.when(~gone, row).alias("after"))).alias("value"))
 
 
 def with_site(df: DataFrame, parity: str | None = None) -> DataFrame:

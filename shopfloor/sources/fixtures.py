@@ -78,6 +78,35 @@ def envelopes(changes: DataFrame) -> DataFrame:
     return changes.select("op", before.alias("before"), F.when(F.col("op") != "d", image).alias("after"), "record_id", "version")
 
 
+def sent_reports(changes: DataFrame) -> DataFrame:
+    """value and seq: the whole log of both channels as JSON envelopes; a deletion carries the row before it."""
+    scan = F.col("tbl_name") == "barcodeautomatic"
+    on, off = (lambda c: F.when(scan, F.col(c))), (lambda c: F.when(~scan, F.col(c)))
+    text = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
+    image = F.struct(
+        "db_name", "tbl_name", "record_id", "productionorderid", off("workcenterid").alias("workcenterid"), off("createdbyid").alias("createdbyid"), off("lotno").alias("lotno"), *[on(c).alias(c) for c in ("lpnbarcode", "modelencode", "model", "users")],
+        off("qty").alias("finishedquantity"), on("qty").cast("int").alias("quantity"), text(off("event_time")).alias("createddate"), text(on("event_time")).alias("scantime"), F.date_format(F.timestamp_seconds("version"), "yyyy-MM-dd HH:mm:ss").alias("op_ts"),
+    )
+    before = F.lag(image).over(Window.partitionBy("db_name", "tbl_name", "record_id").orderBy("version", "seq"))
+    return changes.select(F.to_json(F.struct("op", before.alias("before"), F.when(F.col("op") != "d", image).alias("after"))).alias("value"), "seq")
+
+
+def order_history(orders: DataFrame) -> DataFrame:
+    """Orders as they are made, with double quantity at version 2, and gone at version 4 if their number ends on 7; some
+    without site."""
+    own = orders.withColumn("worksiteid", F.when(F.col("productionorderid") % 50 == 9, None).otherwise(F.col("worksiteid")))
+    step = lambda v, op, q: own.withColumns({"version": F.lit(v).cast("bigint"), "op": F.lit(op), "orderquantity": q})
+    return step(1, "c", F.col("orderquantity")).unionByName(step(2, "u", 2 * F.col("orderquantity"))).unionByName(step(4, "d", 2 * F.col("orderquantity")).where("productionorderid % 10 = 7"))
+
+
+def sent_orders(history: DataFrame) -> DataFrame:
+    """value: order changes as JSON envelopes."""
+    text = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss").alias(c)
+    image = F.struct("db_name", "productionorderid", "productionorderno", "orderquantity", "worksiteid", "partid", text("createddate"), text("duedate"), F.date_format(F.timestamp_seconds("version"), "yyyy-MM-dd HH:mm:ss").alias("op_ts"))
+    gone = F.col("op") == "d"
+    return history.select(F.to_json(F.struct("op", F.when(gone, image).alias("before"), F.when(~gone, image).alias("after"))).alias("value"))
+
+
 def dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     every = F.explode(F.array(*map(F.lit, K.DATABASES))).alias("db_name")
     read = lambda t: table(spark, sf_dir, t)

@@ -2,54 +2,75 @@
 
 from __future__ import annotations
 
+import logging
 import time
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shopfloor import constants as K
 from shopfloor.functions import scalars as S
 from shopfloor.operators.alerts import all_alerts, lag_alerts, over_report_alerts
-from shopfloor.operators.minute import minute_output, minute_rows
+from shopfloor.operators.minute import minute_rows
 from shopfloor.operators.orders import order_achievement
 from shopfloor.operators.versions import RECORD, delete_audit, latest_by_version, signed_deltas, sum_merge
 from shopfloor.operators.wide import counts, enrich, live_wide
 from shopfloor.schemas import MINUTE_KEY
 
 Batch = Callable[[DataFrame, int], None]
+Dims = dict[str, DataFrame] | Callable[[], dict[str, DataFrame]]
 
 
-def idempotent_append(df: DataFrame, path: str, batch_id: int) -> None:
-    """Rows of one micro-batch; a batch that runs again replaces its own."""
-    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+#: Batches after which the state of all records so far is written as one.
+COMPACT = 8
+log = logging.getLogger(__name__)
+
+
+def idempotent_append(df: DataFrame, path: str, batch_id: int, by: tuple[str, ...] = ()) -> dict[str, float]:
+    """Rows of one micro-batch, in folders ``by``; a batch that runs again replaces its own. Rows written and
+    milliseconds taken."""
+    seen, began = Observation(), time.monotonic()
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").partitionBy(*by).parquet(f"{path}/batch_id={batch_id}")
+    return {"rows": seen.get["rows"], "flush_ms": 1000 * (time.monotonic() - began)}
 
 
 def written(spark, path: str) -> DataFrame:
     return spark.read.parquet(path).drop("batch_id")
 
 
-def refreshed(load: Callable[[], dict[str, DataFrame]], seconds: float, clock: Callable[[], float] = time.monotonic) -> Callable[[], dict[str, DataFrame]]:
-    """Dimensions that are loaded again once they are older than ``seconds``; a load that fails keeps the old ones."""
+def refreshed(load: Callable[[], dict[str, DataFrame]], seconds: float, clock: Callable[[], float] = time.monotonic, kept: tuple[str, ...] = ("orders",)) -> Callable[[], dict[str, DataFrame]]:
+    """Dimensions that are loaded again once they are older than ``seconds``, but those ``kept``, which follow their own
+    changes; a load that fails keeps the old ones and is logged."""
     held, at = load(), clock()
 
     def get() -> dict[str, DataFrame]:
         nonlocal held, at
         if clock() - at >= seconds:
             try:
-                held = load()
+                held = {**load(), **{k: held[k] for k in kept if k in held}}
             except Exception:  # any reader's error: the old copy serves until the next turn
-                pass
+                log.exception("dimensions could not be loaded again")
             at = clock()
         return held
 
     return get
 
 
-def write_wide(wide: DataFrame, path: str) -> None:
-    """The wide table by shift day, as reports read it."""
-    sink_safe(wide).write.mode("append").partitionBy("shift_date").parquet(path)
+def write_wide(wide: DataFrame, path: str, batch_id: int) -> dict[str, float]:
+    """A batch of the wide table by shift day, as reports read it; a batch that runs again replaces its own."""
+    return idempotent_append(sink_safe(wide), path, batch_id, ("shift_date",))
+
+
+def alerts_batch(path: str) -> Batch:
+    """Alert rows with alert_ms and recover_ms as times, a recovery of 0 as none; replays replace themselves."""
+
+    def run(df: DataFrame, batch_id: int) -> None:
+        time_of = lambda c: F.timestamp_millis(F.nullif(c, F.lit(0).cast("bigint")))
+        idempotent_append(df.withColumns({"alert_time": time_of("alert_ms"), "recover_time": time_of("recover_ms")}).drop("alert_ms", "recover_ms"), path, batch_id)
+
+    return run
 
 
 def sink_safe(wide: DataFrame) -> DataFrame:
@@ -63,12 +84,13 @@ def start(stream: DataFrame, batch: Batch, checkpoint: str, every: str | None =
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
-def wide_batch(dims: dict[str, DataFrame], path: str) -> Batch:
-    """Each change as a wide row, and deletions apart for the audit; both partitioned by batch."""
+def wide_batch(dims: Dims, path: str) -> Batch:
+    """Each change as a wide row, and deletions apart for the audit; both partitioned by batch. ``dims`` may be what
+    ``refreshed`` gives."""
 
     def run(df: DataFrame, batch_id: int) -> None:
-        wide = enrich(df, dims)
-        idempotent_append(wide, f"{path}/wide", batch_id)
+        idempotent_append(enrich(df, dims() if callable(dims) else dims), f"{path}/wide", batch_id)
+        wide = df.sparkSession.read.parquet(f"{path}/wide/batch_id={batch_id}")  # made once
         idempotent_append(delete_audit(wide), f"{path}/audit", batch_id)
 
     return run
@@ -77,26 +99,37 @@ def wide_batch(dims: dict[str, DataFrame], path: str) -> Batch:
 def minute_deltas_batch(dims: dict[str, DataFrame], path: str) -> Batch:
     """Signed deltas of the batch's records, from their last rows before it and their new ones.
 
-    Deltas add up whatever batch they come in, so nothing is late. The state is the last row of each record so far, read
-    from the batches before this one, so a batch that runs again finds the same state.
+    Deltas add up whatever batch they come in, so nothing is late. The state is the last row of each record: each batch
+    writes those of its own records, and every COMPACT batches all. It is read from the last such batch on and before this
+    one, so a batch reads a bounded number of them, and one that runs again finds the same state.
     """
 
     def run(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
         wide = enrich(df, dims).withColumn("_new", F.lit(True))
         if batch_id:
-            held = spark.read.parquet(f"{path}/state").where(F.col("batch_id") < batch_id).drop("batch_id")
-            held = held.join(wide.select(*RECORD).distinct(), RECORD, "left_semi")
+            everyone = state_before(spark, f"{path}/state", batch_id)
+            held = everyone.join(wide.select(*RECORD).distinct(), RECORD, "left_semi")
             wide = wide.unionByName(latest_by_version(held, RECORD).withColumn("_new", F.lit(False)))
         known = wide.where("_new").select(*RECORD, "version", "seq")
         deltas = signed_deltas(wide.drop("_new"), counts(wide) & ~F.col("is_deleted"), RECORD, ["outputdatetime", "company", "workshop", "linecode", "linename", "partcode"])
         deltas = deltas.join(known, [*RECORD, "version", "seq"], "left_semi")
         idempotent_append(minute_rows(deltas).select(*MINUTE_KEY, "linename", "output_quantity", "record_cnt"), f"{path}/minutes", batch_id)
-        idempotent_append(latest_by_version(wide, RECORD).drop("_new"), f"{path}/state", batch_id)
+        own = wide.drop("_new")
+        if batch_id and batch_id % COMPACT == 0:
+            own = own.unionByName(everyone)
+        idempotent_append(latest_by_version(own, RECORD), f"{path}/state", batch_id)
 
     return run
 
 
+def state_before(spark, path: str, batch_id: int) -> DataFrame:
+    """The rows of all records before a batch, from the last whole state on; a record may have several."""
+    first = (batch_id - 1) // COMPACT * COMPACT
+    rows = spark.read.parquet(path).where((F.col("batch_id") >= first) & (F.col("batch_id") < batch_id))
+    return rows.drop("batch_id")
+
+
 def minutes(spark, path: str) -> DataFrame:
     return sum_merge(written(spark, f"{path}/minutes"), MINUTE_KEY, ["output_quantity", "record_cnt"], ("linename",), drop_zero=True)
 
@@ -136,6 +169,3 @@ def windowed_minutes(deltas: DataFrame) -> DataFrame:
     held = deltas.withWatermark("event_time", f"{late} seconds")
     out = held.groupBy(F.window("event_time", "1 minute"), "company", "workshop", "linecode", "partcode").agg(F.sum("qty_delta").alias("output_quantity"), F.sum("cnt_delta").alias("record_cnt"))
     return out.select(F.col("window.start").alias("ts_minute"), "company", "workshop", "linecode", "partcode", "output_quantity", "record_cnt")
-
-
-__all__ = ["achievements", "alerts_of", "idempotent_append", "minute_deltas_batch", "minute_output", "minutes", "orders_batch", "refreshed", "sink_safe", "start", "wide_batch", "windowed_minutes", "write_wide", "written"]

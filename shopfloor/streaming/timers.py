@@ -1,8 +1,9 @@
-"""Live idle and escalation alerts on processing-time timers, for transformWithState with the RocksDB store."""
+"""Live alerts and order snapshots on processing-time timers, for transformWithState with the RocksDB store."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import ROUND_HALF_UP, Decimal
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -58,3 +59,134 @@ class IdleLine(StatefulProcessor):
 def idle_lines(reports: DataFrame, processor: IdleLine | None = None) -> DataFrame:
     """Level changes of the lines of a stream with company and linecode."""
     return reports.groupBy("company", "linecode").transformWithState(statefulProcessor=processor or IdleLine(), outputStructType=LINE_ALERT, outputMode="Update", timeMode="ProcessingTime")
+
+
+ORDER_ALERT = columns("company string, datasource string, productionorder string, alert_type string, level string, report_quantity decimal(38,4), alert_ms long, recover_ms long, changed_ms long")
+SNAPSHOT = columns("company string, datasource string, productionorder string, order_quantity long, report_quantity decimal(38,4), achieve_rate decimal(10,4), plan_progress decimal(10,4), last_ms long, version long")
+PLACES = Decimal("0.0001")
+KEY = ["company", "datasource", "productionorder"]
+
+
+def share(part: Decimal | int, whole: int) -> Decimal:
+    """Rounded half up at four places; 0 where whole isn't above 0."""
+    return (Decimal(part) / whole).quantize(PLACES, ROUND_HALF_UP) if whole > 0 else Decimal(0)
+
+
+def progress(created: int, due: int, now: int) -> Decimal:
+    """The share of an order's time that is gone; 0 where its dates are missing or due isn't later."""
+    return share(max(0, min(now, due) - created), due - created) if created and due > created else Decimal(0)
+
+
+class OrderState(StatefulProcessor):
+    """The sum of an order's reports, of which each counts with its last version. Rows have record_id, version, qty, is_deleted,
+    event_ms, order_quantity, created_ms and due_ms; those of a batch count in order of version, older ones not at all."""
+
+    ttl_ms = K.STATE_TTL_MS
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.order = handle.getValueState("order", columns("qty decimal(38,4), order_quantity long, created_ms long, due_ms long, last_ms long"), ttlDurationMs=self.ttl_ms)
+        self.records = handle.getMapState("records", columns("record_id string"), columns("qty decimal(38,4), version long"), ttlDurationMs=self.ttl_ms)
+
+    def _take(self, rows: Iterator[Row]) -> Iterator[tuple]:
+        """The order after each row: qty, order_quantity, created_ms, due_ms, last_ms; and the row's time."""
+        found = self.order.get() if self.order.exists() else None
+        total, *_, last = found or (Decimal(0), 0, 0, 0, 0)
+        for r in sorted(rows, key=lambda r: (r.version, r.event_ms)):
+            key = (r.record_id,)
+            old, version = self.records.getValue(key) if self.records.containsKey(key) else (Decimal(0), -1)
+            if r.version <= version:
+                continue
+            new = Decimal(0) if r.is_deleted else r.qty or Decimal(0)
+            # a deletion stays, at 0, so that an older version that comes late doesn't bring the record back
+            self.records.updateValue(key, (new, r.version))
+            total, last = total + new - old, max(last, r.event_ms)
+            state = (total, r.order_quantity or 0, r.created_ms or 0, r.due_ms or 0, last)
+            self.order.update(state)
+            yield *state, r.event_ms
+
+    def close(self) -> None:
+        pass
+
+
+class OrderAlerts(OrderState):
+    """OVER_REPORT once the sum is above the order's quantity times ``ratio``, for good; LAG while the rate is more than
+    ``threshold`` behind the plan at a report's time. Both begin at P3 and rise a level after each ``escalate_ms``."""
+
+    KINDS = ("OVER_REPORT", "LAG")
+
+    def __init__(self, ratio: float = K.OVER_RATIO, threshold: float = K.LAG_THRESHOLD, escalate_ms: int = K.ESCALATE_SECONDS * 1000):
+        self.ratio, self.threshold, self.escalate_ms = Decimal(str(ratio)), Decimal(str(threshold)), escalate_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.alerts = handle.getMapState("alerts", columns("kind string"), columns("level integer, alert_ms long"), ttlDurationMs=self.ttl_ms)
+
+    def _alert(self, kind: str) -> tuple[int, int]:
+        return tuple(self.alerts.getValue((kind,))) if self.alerts.containsKey((kind,)) else (0, 0)
+
+    def _row(self, key, kind: str, level: int, qty: Decimal, since: int, now: int, recovered: int = 0) -> Row:
+        self.alerts.updateValue((kind,), (level, since))
+        return Row(company=key[0], datasource=key[1], productionorder=key[2], alert_type=kind, level=K.LEVELS[level], report_quantity=qty, alert_ms=since, recover_ms=recovered, changed_ms=now)
+
+    def _timer(self, at: int | None) -> None:
+        for old in list(self.handle.listTimers()):
+            self.handle.deleteTimer(old)
+        if at is not None:
+            self.handle.registerTimer(at)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        now = timerValues.getCurrentProcessingTimeInMs()
+        for qty, ordered, created, due, _, at in self._take(rows):
+            if ordered > 0 and qty > ordered * self.ratio and not self._alert("OVER_REPORT")[0]:
+                yield self._row(key, "OVER_REPORT", 1, qty, at, now)
+                self._timer(now + self.escalate_ms)
+            if ordered > 0 and created and due > created:
+                lags, (level, since) = share(qty, ordered) < progress(created, due, at) - self.threshold, self._alert("LAG")
+                if lags and not level:
+                    yield self._row(key, "LAG", 1, qty, at, now)
+                    self._timer(now + self.escalate_ms)
+                elif level and not lags:
+                    yield self._row(key, "LAG", 0, qty, since, now, now)
+                    if not self._alert("OVER_REPORT")[0]:
+                        self._timer(None)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        qty = self.order.get()[0] if self.order.exists() else None
+        kind = next((k for k in self.KINDS if self._alert(k)[0]), None)  # over-report first
+        if qty is None or kind is None:
+            return
+        level, since = self._alert(kind)
+        if level < len(K.LEVELS) - 1:
+            yield self._row(key, kind, level + 1, qty, since, now)
+            if level + 1 < len(K.LEVELS) - 1:
+                self.handle.registerTimer(now + self.escalate_ms)
+
+
+class OrderSnapshots(OrderState):
+    """The order's achievement, at most once in ``every_ms``, by a timer that the first change after the last one sets."""
+
+    def __init__(self, every_ms: int = K.SNAPSHOT_SECONDS * 1000):
+        self.every_ms = every_ms
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        changed = sum(1 for _ in self._take(rows))
+        if changed and not list(self.handle.listTimers()):
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.every_ms)
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        if self.order.exists():
+            qty, ordered, created, due, last = self.order.get()
+            yield Row(company=key[0], datasource=key[1], productionorder=key[2], order_quantity=ordered, report_quantity=qty, achieve_rate=share(qty, ordered), plan_progress=progress(created, due, now), last_ms=last, version=now)
+
+
+def order_alerts(rows: DataFrame, processor: OrderAlerts | None = None) -> DataFrame:
+    """Level changes of the orders' alerts."""
+    return rows.groupBy(*KEY).transformWithState(statefulProcessor=processor or OrderAlerts(), outputStructType=ORDER_ALERT, outputMode="Update", timeMode="ProcessingTime")
+
+
+def order_snapshots(rows: DataFrame, processor: OrderSnapshots | None = None) -> DataFrame:
+    return rows.groupBy(*KEY).transformWithState(statefulProcessor=processor or OrderSnapshots(), outputStructType=SNAPSHOT, outputMode="Update", timeMode="ProcessingTime")

@@ -135,3 +135,32 @@ def test_package_over_the_boundary(spark):
     known = spark.createDataFrame([("d", 1, "PO-1", 5)], "db_name string, productionorderid bigint, productionorderno string, orderquantity bigint")
     (r,) = reconcile.baseline_lpn_shift(scans, known).collect()
     assert (str(r.shift_date), r.report_qty, r.lpn_cnt) == ("2024-05-02", 7, 1)
+
+
+def test_changes_take_their_channels_own_quantity_and_time(spark):
+    rows = spark.createDataFrame([("mes_old_zh", "lot", "c", "1", 5.0, None, "2024-01-01 08:00:00", None), ("mes_old_zh", "barcodeautomatic", "c", "2", None, 3, None, "2024-01-02 09:00:00")], "db_name string, tbl_name string, op string, record_id string, finishedquantity double, quantity int, createddate string, scantime string")
+    rows = rows.withColumns({"finishedquantity": F.col("finishedquantity").cast("decimal(38,4)"), "createddate": F.col("createddate").cast("timestamp_ntz"), "scantime": F.col("scantime").cast("timestamp_ntz"), "op_ts": F.lit(None).cast("string")})
+    got = {r.record_id: (float(r.qty), str(r.event_time), r.seq) for r in changelog.to_changes(rows).collect()}
+    assert got == {"1": (5.0, "2024-01-01 08:00:00", 0), "2": (3.0, "2024-01-02 09:00:00", 0)}
+
+
+def test_orders_that_cannot_be_used(spark):
+    lines = spark.createDataFrame([(x,) for x in ('{"op":"c","after":{"db_name":"mes_old_zh","productionorderid":1}}', '{"op":"d","before":null}', '{"op":"t"}', "no json", '{"op":"u","after":{"db_name":"mes_old_zh"}}')], "value string")
+    got = changelog.order_changes(changelog.parse_envelopes(lines, schemas.ORDER))
+    assert sorted(r.reason or "" for r in got.collect()) == ["", "op", "op", "required", "required"]
+    assert got.where("reason is null").first().orderquantity == 0
+
+
+def test_results_are_read_in_order(spark):
+    rows = spark.createDataFrame([("a", "w", "l", 1), ("b", "w", "l", 3), ("c", "w", "l", 2)], "company string, workshop string, linecode string, report_qty int")
+    assert [r.company for r in reconcile.ordered(rows, "workshop_line").collect()] == ["b", "c", "a"]
+
+
+def test_databases_that_fail_are_left_out(spark):
+    def read(db, table):
+        if db == "mes_old_hf":
+            raise OSError("away")
+        return spark.createDataFrame([(1,)], "userid int")
+
+    found, failed = changelog.load_dims(read, "user")
+    assert found.count() == 9 and set(failed) == {"mes_old_hf"}
