@@ -23,7 +23,7 @@ BYTE_LEVEL = f" ?[{LETTERS}]+| ?[0-9]+|{SHORT}| ?[^\\s{LETTERS}0-9]+|\\s+(?!\\S)
 WORD_LEVEL = f"[{LETTERS}]+|[0-9]|{SHORT}|[^\\s{LETTERS}0-9]+"
 
 #: Bytes that the pieces a worker keeps may take, with ABOUT for each beside its text; past this it starts anew.
-KEPT, ABOUT = 40 << 20, 160
+KEPT, ABOUT = 96 << 20, 340
 
 
 def public_path(name: str) -> str:
