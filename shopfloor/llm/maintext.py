@@ -2,15 +2,16 @@
 
 A page is read into text blocks in page order. A linear classifier gives each block a cost of either label from its
 words, links, tags and the names of the elements around it; these are the capacities from the source (content) and to
-the sink (boilerplate). Blocks next to each other, and blocks of one parent, are joined by smoothness edges. The minimum
-cut of that graph, found by augmenting paths, leaves the main text on the source's side.
+the sink (boilerplate). Blocks next to each other are joined by smoothness edges, the stronger the nearer they are in the
+tree of elements, and so are blocks of one parent. The minimum cut of that graph leaves the main text on the source's
+side: blocks whose cost outweighs their edges are settled first, the rest by shortest augmenting paths, level by level.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -24,7 +25,8 @@ from shopfloor.llm import common
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search section select summary table tbody td tfoot th thead title tr ul".split())
 BREAKS = frozenset({"br"})
 VOID = frozenset("area base br col embed frame hr img input link meta param source track wbr".split())
-RAW = frozenset("iframe noembed noframes noscript object script style svg template textarea title xmp".split())
+RAW = frozenset("iframe noembed noframes script style textarea title xmp".split())
+UNSEEN = frozenset("noscript object svg template".split())
 #: Elements that a start tag of the key ends if they are open nearer than the stop set.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 PARAGRAPH_ENDERS = BLOCKS - {"body", "caption", "head", "html", "legend", "optgroup", "option", "tbody", "td", "tfoot", "th", "thead", "title", "tr"}
@@ -32,9 +34,13 @@ OUTER = frozenset({"ul", "ol", "dl", "table", "select", "body", "html", "article
 
 # The classifier's words. Elements and the parts of class, id and role names that speak for either side.
 CHROME_TAGS = frozenset("nav footer header aside form button select menu dialog search".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 MAIN_TAGS = frozenset("article main".split())
 PROSE = frozenset("p pre blockquote".split())
 CHROME_NAMES = frozenset("ad ads advert advertisement banner breadcrumb breadcrumbs byline comment comments complementary consent contentinfo cookie cookies copyright disqus dropdown footer form gdpr header hidden login masthead menu meta modal nav navbar navigation newsletter notice outbrain pager pagination pagelinks popup privacy promo promoted promotion related replies reply respond search share sharing sidebar signup skip social sponsor sponsored subscribe taboola tags toolbar topbar widget".split())
+#: Names that a wrapper of the whole page may have for its layout.
+LAYOUT_NAMES = frozenset("banner footer header hidden menu nav navbar navigation sidebar tags toolbar topbar widget".split())
+READER_NAMES = frozenset("comment comments disqus replies reply respond".split())
 MAIN_NAMES = frozenset("article body content entry main post story text".split())
 
 TAG = re.compile(r"""<!--.*?(?:-->|--!>|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*(?:"|$)|'[^']*(?:'|$))*)(?:>|$)""", re.S)
@@ -43,7 +49,9 @@ SPACE = re.compile(r"[\s ]+")
 
 # Weights of the classifier, and capacities of the edges: between blocks next to each other, and of one parent.
 WEIGHTS = {"bias": -0.4, "chrome": -6.0, "main": 3.5, "links": -3.0, "length": 0.5, "stops": 0.25, "heading": 0.6, "prose": 0.9, "item": -0.3, "head": -9.0}
-NEXT, SIBLING = 0.4, 0.6
+NEXT, SIBLING = 2.0, 0.6
+#: Steps in the tree of elements past which blocks are as far as can be.
+FAR = 12
 
 
 @dataclass
@@ -54,6 +62,8 @@ class Element:
     main: bool
     heading: bool
     item: bool
+    names: frozenset = frozenset()  # for which it or one around it is chrome; none if for a tag or hidden
+    depth: int = 0
 
 
 @dataclass
@@ -77,17 +87,29 @@ def opened(tag: str, raw: str, parent: Element | None) -> Element:
     hidden = "hidden" in own or own.get("aria-hidden") == "true" or "display:none" in own.get("style", "").replace(" ", "").lower()
     inside = parent is not None and parent.main
     # an article may have a header of its own with the title
-    chrome = hidden or (tag in CHROME_TAGS and not (tag == "header" and inside)) or (bool(names & CHROME_NAMES) and tag not in ("body", "html") and not (tag in MAIN_TAGS))
-    main = tag in MAIN_TAGS or own.get("role") == "main" or bool(names & MAIN_NAMES)
-    return Element(tag, parent, chrome or bool(parent and parent.chrome), main or inside, tag in ("h1", "h2", "h3", "h4", "h5", "h6") or bool(parent and parent.heading), tag == "li" or bool(parent and parent.item))
+    hard = hidden or tag in UNSEEN or (tag in CHROME_TAGS and not (tag == "header" and inside))
+    bad = names & (READER_NAMES if tag in MAIN_TAGS else CHROME_NAMES) if tag not in ("body", "html") else frozenset()
+    role, around = tag in MAIN_TAGS or own.get("role") == "main", bool(parent and parent.chrome)
+    # a main element has its text though a wrapper around it is named for the page's layout
+    if role and around and parent.names and parent.names <= LAYOUT_NAMES:
+        around = False
+    why = frozenset(bad) | (parent.names if around else frozenset())
+    if hard or (around and not parent.names):
+        why = frozenset()
+    main = (role and not bad) or bool(names & MAIN_NAMES) or inside
+    return Element(tag, parent, hard or bool(bad) or around, main, tag in HEADINGS or bool(parent and parent.heading), tag == "li" or bool(parent and parent.item), why, parent.depth + 1 if parent else 0)
 
 
 def blocks_of(page: str) -> list[Block]:
     """Text blocks in page order: runs of text between block elements, line breaks inside them kept as spaces."""
     root = Element("html", None, False, False, False, False)
     stack, out, links = [root], [], 0
+    opens: Counter[str] = Counter()
     block = Block(root)
 
+    def pop() -> None:
+        opens[stack.pop().tag] -= 1
+
     def close() -> None:
         nonlocal block
         if block.parts:
@@ -114,12 +136,12 @@ def blocks_of(page: str) -> list[Block]:
         if m[1]:  # an end tag closes its element and those still open in it, if it is open
             if tag == "a":
                 links = max(0, links - 1)
-            if any(e.tag == tag for e in stack[1:]):
+            if opens[tag]:
                 if tag in BLOCKS:
                     close()
                 while stack[-1].tag != tag:
-                    stack.pop()
-                stack.pop()
+                    pop()
+                pop()
                 if tag in BLOCKS:
                     close()
             elif tag in ("p", "br"):
@@ -135,20 +157,23 @@ def blocks_of(page: str) -> list[Block]:
             block.parts.append(" ")
             continue
         if tag in BLOCKS:
-            if tag in PARAGRAPH_ENDERS and any(e.tag == "p" for e in stack):
+            if tag in PARAGRAPH_ENDERS and opens["p"]:
                 while stack[-1].tag != "p":
-                    stack.pop()
-                stack.pop()
+                    pop()
+                pop()
             ended = ENDS.get(tag, frozenset())
-            near = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag in ended or stack[k].tag in OUTER), 0)
-            if near and stack[near].tag in ended:
-                del stack[near:]
+            if any(opens[x] for x in ended):
+                near = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].tag in ended or stack[k].tag in OUTER), 0)
+                if near and stack[near].tag in ended:
+                    while len(stack) > near:
+                        pop()
             close()
-        if tag in VOID:
+        if tag in VOID or (tag in UNSEEN and m[3].rstrip().endswith("/")):
             continue
         if tag == "a":
             links += 1
         stack.append(opened(tag, m[3], stack[-1]))
+        opens[tag] += 1
         if tag in BLOCKS:
             close()
     close()
@@ -168,52 +193,89 @@ def preference(block: Block, text: str, has_main: bool) -> float:
 def minimum_cut(source: list[float], sink: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
     """Whether each node stays with the source in a minimum cut (the largest such side); edges run both ways."""
     n = len(source)
-    s, t = n, n + 1
-    to: list[list[int]] = [[] for _ in range(n + 2)]  # numbers of edges; the reverse of edge k is k ^ 1
-    head, left = [], []
-
-    def join(a: int, b: int, forth: float, back: float) -> None:
-        to[a].append(len(head))
-        head.append(b)
-        left.append(forth)
-        to[b].append(len(head))
-        head.append(a)
-        left.append(back)
-
-    for i in range(n):
-        straight = min(source[i], sink[i])  # this much flows through the node alone
-        join(s, i, source[i] - straight, 0.0)
-        join(i, t, sink[i] - straight, 0.0)
+    gain, kept, held = [a - b for a, b in zip(source, sink, strict=True)], [None] * n, [0.0] * n
+    near: list[list[tuple[int, float]]] = [[] for _ in range(n)]
+    for a, b, c in edges:
+        for x, y in ((a, b), (b, a)):
+            near[x].append((y, c))
+            held[x] += c
+    # a node whose own cost is more than all its edges is settled, and pulls at those next to it
+    queue = list(range(n))
+    while queue:
+        i = queue.pop()
+        if kept[i] is None and (gain[i] >= held[i] or -gain[i] > held[i]):
+            kept[i] = gain[i] >= held[i]
+            for j, c in near[i]:
+                if kept[j] is None:
+                    gain[j] += c if kept[i] else -c
+                    held[j] -= c
+                    queue.append(j)
+    rest = [i for i in range(n) if kept[i] is None]
+    number = {i: k for k, i in enumerate(rest)}
+    open_edges = [(number[a], number[b], c) for a, b, c in edges if kept[a] is None and kept[b] is None]
+    for i, side in zip(rest, max_flow([gain[i] for i in rest], open_edges), strict=True):
+        kept[i] = side
+    return kept
+
+
+def max_flow(gain: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
+    """The nodes that can't reach the sink when no more flows from nodes of positive gain to those of negative."""
+    to: list[list[int]] = [[] for _ in gain]  # numbers of edges; the reverse of edge k is k ^ 1
+    head, left, gain = [], [], list(gain)
     for a, b, c in edges:
-        join(a, b, c, c)
+        for x, y in ((a, b), (b, a)):
+            to[x].append(len(head))
+            head.append(y)
+            left.append(c)
     while True:
-        came = {s: -1}
-        queue = deque([s])
-        while queue and t not in came:
+        # steps to the nearest node that takes more
+        level = {i: 0 for i, g in enumerate(gain) if g < -1e-9}
+        queue = deque(level)
+        while queue:
             a = queue.popleft()
             for k in to[a]:
-                if left[k] > 1e-9 and head[k] not in came:
-                    came[head[k]] = k
+                if left[k ^ 1] > 1e-9 and head[k] not in level:
+                    level[head[k]] = level[a] + 1
                     queue.append(head[k])
-        if t not in came:
-            break
-        path, a = [], t
-        while a != s:
-            path.append(came[a])
-            a = head[came[a] ^ 1]
-        flow = min(left[k] for k in path)
-        for k in path:
-            left[k] -= flow
-            left[k ^ 1] += flow
-    # the nodes that cannot reach the sink
-    reach, queue = {t}, deque([t])
-    while queue:
-        a = queue.popleft()
-        for k in to[a]:
-            if left[k ^ 1] > 1e-9 and head[k] not in reach:
-                reach.add(head[k])
-                queue.append(head[k])
-    return [i not in reach for i in range(n)]
+        starts = [i for i, g in enumerate(gain) if g > 1e-9 and i in level]
+        if not starts:
+            return [i not in level for i in range(len(gain))]
+        turn = [0] * len(gain)
+        for s in starts:
+            path = []
+            while gain[s] > 1e-9:
+                a = head[path[-1]] if path else s
+                if level[a] == 0 and gain[a] < -1e-9:
+                    flow = min(gain[s], -gain[a], *(left[k] for k in path))
+                    gain[s] -= flow
+                    gain[a] += flow
+                    for k in path:
+                        left[k] -= flow
+                        left[k ^ 1] += flow
+                    path = []
+                elif turn[a] == len(to[a]):
+                    if not path:
+                        break
+                    path.pop()
+                    turn[head[path[-1]] if path else s] += 1
+                else:
+                    k = to[a][turn[a]]
+                    if left[k] > 1e-9 and level.get(head[k], -1) == level[a] - 1:
+                        path.append(k)
+                    else:
+                        turn[a] += 1
+
+
+def apart(a: Element, b: Element) -> int:
+    """Steps from one element to another in their tree, up to FAR."""
+    n = 0
+    while a is not b and n < FAR:
+        if a.depth >= b.depth:
+            a = a.parent
+        else:
+            b = b.parent
+        n += 1
+    return n
 
 
 def main_text(page: str | None) -> str:
@@ -225,15 +287,11 @@ def main_text(page: str | None) -> str:
     edges, last = [], {}
     for i, (b, _) in enumerate(found):
         e = b.element
-        kind = (e.chrome, e.main)
-        if i and kind == (found[i - 1][0].element.chrome, found[i - 1][0].element.main):
-            edges.append((i - 1, i, NEXT))
-        key = (id(e.parent), kind)
-        if key in last and last[key] != i - 1:
-            edges.append((last[key], i, SIBLING))
-        elif key in last:
-            edges.append((i - 1, i, SIBLING))
-        last[key] = i
+        if i:
+            edges.append((i - 1, i, NEXT / (2 + apart(found[i - 1][0].element, e))))
+        if id(e.parent) in last:
+            edges.append((last[id(e.parent)], i, SIBLING))
+        last[id(e.parent)] = i
     kept = minimum_cut([max(x, 0.0) for x in score], [max(-x, 0.0) for x in score], edges)
     return "\n".join(t for (_, t), k in zip(found, kept, strict=True) if k)
 
@@ -241,8 +299,9 @@ def main_text(page: str | None) -> str:
 def extract(pages: DataFrame) -> DataFrame:
     """Adds ``text`` (blocks joined by line breaks, empty if there are none) and ``n_chars`` to every row.
 
-    Null and empty html give an empty text. Rows are worked on by themselves, so null ids and repeated rows stay as they
-    are. Columns named text or n_chars are replaced.
+    Null and empty html give an empty text, an empty table an empty one. Rows are worked on by themselves, so null ids and
+    repeated rows stay as they are. Time grows with a page's length and blocks, however deep or many. Columns named text
+    or n_chars are replaced, any others stay.
     """
     pages = pages.drop("text", "n_chars")
     kind = pages.select("*", F.lit("").alias("text")).schema

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from fractions import Fraction
 
@@ -396,3 +397,47 @@ def test_adjacent_prefixes_are_the_longest(spark):
     as_columns = {r[1:3]: np.array([[r[0], *r[3:]]], np.int64).T for r in rows}
     for k, v in as_columns.items():
         assert got.get(k, 0) == max(int(suffixes.shared(v, w)[0]) for i, w in as_columns.items() if i != k)
+
+
+PROSE = "A long paragraph with many words, commas and stops. " * 4
+
+
+def test_the_cut_changes_labels():
+    page = f"<div><p>{PROSE}</p><div>See the table</div><p>{PROSE}</p></div>"
+    blocks = maintext.blocks_of(page)
+    assert maintext.preference(blocks[1], "See the table", False) < 0
+    assert "See the table" in maintext.main_text(page).split("\n")
+    alone = f"<div><nav>a</nav><div>See the table</div><nav>b</nav></div><p>{PROSE}</p>"
+    assert maintext.main_text(alone) == PROSE.strip()
+
+
+def test_html_wrappers_comments_and_drawings():
+    assert maintext.main_text('<div id="page" class="site sidebar-right"><main><p>A real article, with words.</p></main></div>') == "A real article, with words."
+    assert maintext.main_text('<main><p>Text of it, long enough.</p></main><article class="comment"><p>Great, thanks for it.</p></article>') == "Text of it, long enough."
+    assert maintext.main_text('<main><p>Text of it, long enough.</p></main><div id="comments"><article><p>Great, thanks for it.</p></article></div>') == "Text of it, long enough."
+    assert maintext.main_text("<p>one <svg width=1/> two, three.</p><p>four</p>") == "one two, three.\nfour"
+    assert maintext.main_text("<p>One, two.</p><svg><text>no</text></svg><p>Three, four.</p>") == "One, two.\nThree, four."
+    assert maintext.main_text("<p>One <b a='>' c=\"d>\">two</b x> <!-- no --> three.<p") == "One two three."
+
+
+def test_html_of_many_blocks_and_deep_nesting():
+    page = "<div>" + "".join(f"<p>paragraph {k}, of some words.</p><div><a href=x>link {k}</a></div>" for k in range(10000)) + "</div>"
+    began = time.perf_counter()
+    assert maintext.main_text(page).count("\n") == 9999
+    assert maintext.main_text("<b>" * 20000 + "<p>deep, and down.</p>") == "deep, and down."
+    assert time.perf_counter() - began < 20
+
+
+def test_maximum_flow_on_long_weak_chains():
+    rng = random.Random(3)
+    for _ in range(30):
+        n = rng.randint(2, 9)
+        gain = [rng.choice((-2.0, -1.0, 1.0, 2.0)) for _ in range(n)]
+        edges = [(k, k + 1, 3.0) for k in range(n - 1)] + [(0, n - 1, 1.0)] * (n > 2)
+        kept = maintext.minimum_cut([max(g, 0) for g in gain], [max(-g, 0) for g in gain], edges)
+        cost = lambda side, gain=gain, edges=edges: sum(max(-g, 0) if s else max(g, 0) for g, s in zip(gain, side, strict=True)) + sum(c for a, b, c in edges if side[a] != side[b])
+        assert cost(kept) == min(cost([bool(m >> k & 1) for k in range(n)]) for m in range(1 << n))
+
+
+def test_html_of_an_empty_table(spark):
+    assert maintext.extract(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0
