@@ -3,7 +3,7 @@
 A page is read into text blocks in page order. A linear classifier gives each block a cost of either label from its
 words, links, tags and the names of the elements around it; these are the capacities from the source (content) and to
 the sink (boilerplate). Blocks next to each other are joined by smoothness edges, the stronger the nearer they are in the
-tree of elements, and so are blocks of one parent. The minimum cut of that graph leaves the main text on the source's
+tree of elements, and so are like elements of one parent. The minimum cut of that graph leaves the main text on the source's
 side: blocks whose cost outweighs their edges are settled first, the rest by shortest augmenting paths, level by level.
 """
 
@@ -26,6 +26,7 @@ BLOCKS = frozenset("address article aside blockquote body caption center dd deta
 BREAKS = frozenset({"br"})
 VOID = frozenset("area base br col embed frame hr img input link meta param source track wbr".split())
 RAW = frozenset("iframe noembed noframes script style textarea title xmp".split())
+#: Elements whose text isn't of the page; they end with their parent.
 UNSEEN = frozenset("noscript object svg template".split())
 #: Elements that a start tag of the key ends if they are open nearer than the stop set.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
@@ -49,7 +50,7 @@ SPACE = re.compile(r"[\s ]+")
 
 # Weights of the classifier, and capacities of the edges: between blocks next to each other, and of one parent.
 WEIGHTS = {"bias": -0.4, "chrome": -6.0, "main": 3.5, "links": -3.0, "length": 0.5, "stops": 0.25, "heading": 0.6, "prose": 0.9, "item": -0.3, "head": -9.0}
-NEXT, SIBLING = 2.0, 0.6
+NEXT, SIBLING = 1.6, 0.6
 #: Steps in the tree of elements past which blocks are as far as can be.
 FAR = 12
 
@@ -117,7 +118,7 @@ def blocks_of(page: str) -> list[Block]:
         block = Block(stack[-1])
 
     def add(text: str) -> None:
-        if text:
+        if text and not any(opens[x] for x in UNSEEN):
             text = html.unescape(text)
             block.parts.append(text)
             if links:
@@ -289,9 +290,10 @@ def main_text(page: str | None) -> str:
         e = b.element
         if i:
             edges.append((i - 1, i, NEXT / (2 + apart(found[i - 1][0].element, e))))
-        if id(e.parent) in last:
-            edges.append((last[id(e.parent)], i, SIBLING))
-        last[id(e.parent)] = i
+        alike = id(e.parent), e.tag
+        if alike in last:
+            edges.append((last[alike], i, SIBLING))
+        last[alike] = i
     kept = minimum_cut([max(x, 0.0) for x in score], [max(-x, 0.0) for x in score], edges)
     return "\n".join(t for (_, t), k in zip(found, kept, strict=True) if k)
 
