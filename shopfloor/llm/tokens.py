@@ -10,7 +10,7 @@ from __future__ import annotations
 import functools
 import json
 import re
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 
@@ -22,8 +22,9 @@ SHORT = "'(?:[stmd]|re|ve|ll)"
 BYTE_LEVEL = f" ?[{LETTERS}]+| ?[0-9]+|{SHORT}| ?[^\\s{LETTERS}0-9]+|\\s+(?!\\S)|\\s+"
 WORD_LEVEL = f"[{LETTERS}]+|[0-9]|{SHORT}|[^\\s{LETTERS}0-9]+"
 
-#: Bytes that the pieces a worker keeps may take, with ABOUT for each beside its text; past this it starts anew.
-KEPT, ABOUT = 96 << 20, 340
+#: Bytes that the pieces a worker keeps may take, with ABOUT for each beside its text; past this it forgets the later half,
+#: for the pieces that are met first are the common ones.
+KEPT, ABOUT = 128 << 20, 340
 
 
 def public_path(name: str) -> str:
@@ -68,6 +69,11 @@ class Encoder:
         self.ids = np.zeros(1 << 18, np.uint32)
         self.off = np.zeros(1 << 16, np.int64)  # slot k: ids[off[k] : off[k + 1]]
 
+    def _forget(self) -> None:
+        few, self.slot = islice(self.slot.items(), len(self.slot) // 2), Slots()
+        self.slot.update(few)
+        self.slot.size = sum(map(len, self.slot)) + ABOUT * len(self.slot)
+
     def _learn(self) -> None:
         new, self.slot.new = self.slot.new, []
         if not new:
@@ -85,7 +91,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in one array, and how many each text has."""
         if self.slot.size > KEPT:
-            self._fresh()
+            self._forget()
         plain = [OTHER.search(t) is None and self.added.search(t) is None for t in texts]
         pieces = [(self.split(t.lower() if self.lower else t) if p else []) for t, p in zip(texts, plain, strict=True)]
         counts = np.fromiter(map(len, pieces), np.int64, len(pieces))

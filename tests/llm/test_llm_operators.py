@@ -238,6 +238,19 @@ def test_encoder_with_added_tokens(name):
     assert added and ids.tolist() == [x for w in want for x in w] and counts.tolist() == [len(w) for w in want]
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_encoder_that_forgets_is_the_library(name, monkeypatch):
+    monkeypatch.setattr(tokens, "KEPT", 40_000)
+    library, e, rng = Tokenizer.from_file(tokens.public_path(name)), tokens.Encoder(tokens.public_path(name)), random.Random(12)
+    letters = "abcXYZ019 '\t\n.,-éßÀ€漢 "
+    for _ in range(30):
+        texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 80))) for _ in range(60)]
+        ids, counts = e.encode(texts)
+        want = [library.encode(x, add_special_tokens=False).ids for x in texts]
+        assert ids.tolist() == [x for w in want for x in w] and counts.tolist() == [len(w) for w in want]
+    assert len(e.slot) < 400
+
+
 def test_html():
     page = """<body><header><h1>Site</h1></header><nav><a href=x>Home</a></nav><div class="post-content"><h2>T&eacute;st</h2><p>First para with <a href=y>link</a> text, ok.<p>Second&nbsp;para
     of it.<ul><li>item one, short<li>item two</ul></div><div class="sidebar"><p>Popular posts here, read more.</p></div><section id="comments"><p>Great post, thanks! I liked it.</p></section>
