@@ -24,7 +24,7 @@ WORD_LEVEL = f"[{LETTERS}]+|[0-9]|{SHORT}|[^\\s{LETTERS}0-9]+"
 
 #: Bytes that the pieces a worker keeps may take, with ABOUT for each beside its text; past this it forgets the later half,
 #: for the pieces that are met first are the common ones.
-KEPT, ABOUT = 128 << 20, 340
+KEPT, ABOUT = 192 << 20, 340
 
 
 def public_path(name: str) -> str:
