@@ -89,14 +89,12 @@ def wide_batch(dims: Dims, path: str) -> Batch:
     ``refreshed`` gives."""
 
     def run(df: DataFrame, batch_id: int) -> None:
-        idempotent_append(enrich(df, dims() if callable(dims) else dims), f"{path}/wide", batch_id)
-        wide = df.sparkSession.read.parquet(f"{path}/wide/batch_id={batch_id}")  # made once
-        idempotent_append(delete_audit(wide), f"{path}/audit", batch_id)
+        idempotent_append(delete_audit(made_wide(df, dims, path, batch_id)), f"{path}/audit", batch_id)
 
     return run
 
 
-def minute_deltas_batch(dims: dict[str, DataFrame], path: str) -> Batch:
+def minute_deltas_batch(dims: Dims, path: str) -> Batch:
     """Signed deltas of the batch's records, from their last rows before it and their new ones.
 
     Deltas add up whatever batch they come in, so nothing is late. The state is the last row of each record: each batch
@@ -105,24 +103,33 @@ def minute_deltas_batch(dims: dict[str, DataFrame], path: str) -> Batch:
     """
 
     def run(df: DataFrame, batch_id: int) -> None:
-        spark = df.sparkSession
-        wide = enrich(df, dims).withColumn("_new", F.lit(True))
+        new = made_wide(df, dims, path, batch_id)
+        wide = new.withColumn("_new", F.lit(True))
         if batch_id:
-            everyone = state_before(spark, f"{path}/state", batch_id)
-            held = everyone.join(wide.select(*RECORD).distinct(), RECORD, "left_semi")
+            held = state_before(df.sparkSession, f"{path}/state", batch_id).join(new.select(*RECORD).distinct(), RECORD, "left_semi")
             wide = wide.unionByName(latest_by_version(held, RECORD).withColumn("_new", F.lit(False)))
-        known = wide.where("_new").select(*RECORD, "version", "seq")
+        known = new.select(*RECORD, "version", "seq")
         deltas = signed_deltas(wide.drop("_new"), counts(wide) & ~F.col("is_deleted"), RECORD, ["outputdatetime", "company", "workshop", "linecode", "linename", "partcode"])
         deltas = deltas.join(known, [*RECORD, "version", "seq"], "left_semi")
         idempotent_append(minute_rows(deltas).select(*MINUTE_KEY, "linename", "output_quantity", "record_cnt"), f"{path}/minutes", batch_id)
-        own = wide.drop("_new")
-        if batch_id and batch_id % COMPACT == 0:
-            own = own.unionByName(everyone)
-        idempotent_append(latest_by_version(own, RECORD), f"{path}/state", batch_id)
+        keep_state(wide.drop("_new"), f"{path}/state", batch_id)
 
     return run
 
 
+def made_wide(df: DataFrame, dims: Dims, path: str, batch_id: int) -> DataFrame:
+    """The batch's wide rows as a stored table, joined once for all that reads them."""
+    idempotent_append(enrich(df, dims() if callable(dims) else dims), f"{path}/wide", batch_id)
+    return df.sparkSession.read.parquet(f"{path}/wide/batch_id={batch_id}")
+
+
+def keep_state(own: DataFrame, path: str, batch_id: int) -> None:
+    """Writes the last rows of a batch's own records; every COMPACT batches those of all records so far."""
+    if batch_id and batch_id % COMPACT == 0:
+        own = own.unionByName(state_before(own.sparkSession, path, batch_id))
+    idempotent_append(latest_by_version(own, RECORD), path, batch_id)
+
+
 def state_before(spark, path: str, batch_id: int) -> DataFrame:
     """The rows of all records before a batch, from the last whole state on; a record may have several."""
     first = (batch_id - 1) // COMPACT * COMPACT
@@ -135,19 +142,31 @@ def minutes(spark, path: str) -> DataFrame:
 
 
 def orders_batch(dims: dict[str, DataFrame], path: str, now: Column) -> Batch:
-    """Achievement of the orders that the batch touches, from all rows so far; the batch is the version."""
+    """Achievement of the orders that the batch touches, those that its records leave included; the batch is the version.
+
+    The state is that of ``minute_deltas_batch``: a batch reads the last rows of records, not all of their versions, and
+    joins them to its own orders before anything is sorted.
+    """
+    key = ["db_name", "productionorderid"]
 
     def run(df: DataFrame, batch_id: int) -> None:
-        wide_batch(dims, path)(df, batch_id)
-        spark = df.sparkSession
-        seen = spark.read.parquet(f"{path}/wide").where(F.col("batch_id") <= batch_id)
-        touched = seen.where(F.col("batch_id") == batch_id).select("db_name", "productionorderid").distinct()
-        live = live_wide(seen.drop("batch_id").join(touched, ["db_name", "productionorderid"], "left_semi"))
+        rows = new = made_wide(df, dims, path, batch_id)
+        idempotent_append(delete_audit(new), f"{path}/audit", batch_id)
+        touched = new.select(*key)
+        if batch_id:
+            state = state_before(df.sparkSession, f"{path}/state", batch_id)
+            touched = touched.unionByName(state.join(new.select(*RECORD).distinct(), RECORD, "left_semi").select(*key))
+            # a record's last row may be in another order than an older one
+            near = state.join(touched, key, "left_semi").select(*RECORD).unionByName(new.select(*RECORD)).distinct()
+            rows = new.unionByName(state.join(near, RECORD, "left_semi"))
+        touched = touched.distinct()
+        live = live_wide(rows).join(touched, key, "left_semi")
         made = order_achievement(live, now, "order").withColumns({"version": F.lit(batch_id).cast("bigint"), "seq": F.lit(0)})
         # an order without live rows left is written as gone
-        gone = touched.withColumns({"company": S.company(F.col("db_name")), "datasource": S.datasource(F.col("db_name"))}).join(dims["orders"].select("db_name", "productionorderid", F.col("productionorderno").alias("productionorder")), ["db_name", "productionorderid"])
+        gone = touched.withColumns({"company": S.company(F.col("db_name")), "datasource": S.datasource(F.col("db_name"))}).join(dims["orders"].select("db_name", "productionorderid", F.col("productionorderno").alias("productionorder")), key)
         gone = gone.join(made, ["company", "datasource", "productionorder"], "left_anti").select("company", "datasource", "productionorder", F.lit(batch_id).cast("bigint").alias("version"), F.lit(0).alias("seq"))
         idempotent_append(made.unionByName(gone, allowMissingColumns=True), f"{path}/orders", batch_id)
+        keep_state(new, f"{path}/state", batch_id)
 
     return run
 

@@ -6,6 +6,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from shopfloor.operators import wide
+from shopfloor.operators.orders import order_achievement
 from shopfloor.sources import fixtures
 from shopfloor.streaming import sinks, timers
 
@@ -132,3 +133,20 @@ def test_state_is_read_from_the_last_whole_one(spark, tmp_path, monkeypatch):
     assert set(sinks.state_before(spark, str(tmp_path / "state"), 3).select("record_id").distinct().collect()) == set(log.where("version <= 3").select("record_id").distinct().collect())
     live = wide.live_of(log, dims)
     assert sum(r.output_quantity for r in sinks.minutes(spark, str(tmp_path)).collect()) == live.agg(F.sum("lotquantity")).first()[0]
+
+
+def test_order_batches_equal_all_rows_at_once(spark, tmp_path, monkeypatch):
+    """Over a whole state and after it, with a batch that runs again and records that move to another order."""
+    monkeypatch.setattr(sinks, "COMPACT", 2)
+    log, dims = fixtures.log(spark, SF), fixtures.dims(spark, SF)
+    orders = dims["orders"].groupBy("db_name").agg(F.max("productionorderid").alias("_last"))
+    moved = (F.col("version") == 3) & (F.col("record_id").cast("bigint") % 5 == 0)
+    log = log.join(orders, "db_name").withColumn("productionorderid", F.when(moved, F.col("_last")).otherwise(F.col("productionorderid"))).drop("_last")
+    now = F.lit("1996-06-01 00:00:00").cast("timestamp_ntz")
+    batch = sinks.orders_batch(dims, str(tmp_path), now)
+    for k, rows in ((0, "version = 1"), (1, "version = 2"), (1, "version = 2"), (2, "version = 3"), (3, "version > 3")):
+        batch(log.where(rows), k)
+    columns = ["company", "datasource", "productionorder", "report_quantity", "order_quantity", "last_report_time", "achieve_rate"]
+    want = order_achievement(wide.live_of(log, dims), now, "order").where("productionorder is not null")
+    got = sinks.achievements(spark, str(tmp_path))
+    assert sorted(got.select(*columns).collect()) == sorted(want.select(*columns).collect())
