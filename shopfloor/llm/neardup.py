@@ -1,7 +1,7 @@
 """Operator 8: near-duplicates by an LSH forest of MinHash signatures.
 
-Texts with equal shingle sets are one class. The signature of a class gives each tree of the forest a run of least
-hashes; the trees are the classes sorted by those runs. Classes next to each other that share a prefix of ``SHALLOW``
+Texts with equal shingle sets are one class. The signature of a class gives each tree of the forest a row or a column
+of least hashes; the trees are the classes sorted by those. Classes next to each other that share a prefix of ``SHALLOW``
 values or more are candidates: where few classes share a prefix the search is that shallow, where many do a class's
 neighbours share longer ones, so the depth follows the density of the region. Where many similar classes crowd, those
 with the most links are hubs, and every class of the region that is not yet connected to the hub is held against it.
@@ -23,8 +23,11 @@ from pyspark.sql import functions as F
 from shopfloor.llm import common
 
 WORDS, SHARE = 5, 75
-#: Sorted orders, values in each, and those that neighbours must share.
-TREES, DEPTH, SHALLOW = 16, 6, 3
+#: Least hashes of a signature, sorted orders, values in each, and those that neighbours must share.
+HASHES, TREES, DEPTH, SHALLOW = 96, 24, 6, 3
+#: Where in the signature a tree's values are: the first trees take it in rows of ``DEPTH``, the others in columns of it.
+ROWS = HASHES // DEPTH
+PLACES = np.array([[t * DEPTH + d if t < ROWS else t - ROWS + d * ROWS for d in range(DEPTH)] for t in range(TREES)])
 #: Neighbours before a class that are its candidates, and those confirmed in the first round.
 NEAR, FIRST = 3, 3
 #: Share of equal least hashes under which a candidate isn't confirmed: at similarity 0.75 it lies over 5.5 standard
@@ -55,7 +58,7 @@ def shingle_sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return values[fresh], np.bincount(row[fresh], minlength=len(counts))
 
 
-def signatures(values: np.ndarray, counts: np.ndarray, n: int = TREES * DEPTH) -> np.ndarray:
+def signatures(values: np.ndarray, counts: np.ndarray, n: int = HASHES) -> np.ndarray:
     """[row, n] least hashes, 32 bits of each; rows must not be empty."""
     starts = np.cumsum(counts) - counts
     mult = common.mix(np.arange(1, n + 1, dtype=U64)) | U64(1)
@@ -77,7 +80,7 @@ def shingled(docs: DataFrame) -> DataFrame:
             full = np.flatnonzero(counts)
             starts = (np.cumsum(counts) - counts)[full]
             sums = np.zeros((2, len(counts)), U64)
-            sig = np.zeros((len(counts), TREES * DEPTH), np.int32)
+            sig = np.zeros((len(counts), HASHES), np.int32)
             if len(full):
                 for i, salt in enumerate((0x5851F42D4C957F2D, 0x14057B7EF767814F)):
                     sums[i, full] = np.add.reduceat(common.mix(values ^ U64(salt)), starts)
@@ -92,7 +95,8 @@ def shingled(docs: DataFrame) -> DataFrame:
 def forest(classes: DataFrame) -> DataFrame:
     """A row per class and tree in which it shares ``SHALLOW`` leading values with another class: id, tree, region,
     key (the tree's values)."""
-    trees = classes.select("id", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda t: F.slice("sig", t * DEPTH + 1, DEPTH))).alias("tree", "key"))
+    keys = F.array(*(F.array(*(F.get("sig", int(p)) for p in places)) for places in PLACES))
+    trees = classes.select("id", F.posexplode(keys).alias("tree", "key"))
     trees = trees.withColumn("region", F.xxhash64("tree", F.slice("key", 1, SHALLOW)))
     # stored, so that both sides of the join are plain shuffles and a hot region can be split
     crowded = common.stored(trees.groupBy("region").agg(F.count("*").alias("n")).where("n > 1").select("region"), "crowded")
@@ -125,7 +129,7 @@ def neighbours(placed: DataFrame, classes: DataFrame) -> DataFrame:
     order = Window.orderBy("part")
     met = edges.withColumn("next", F.lead("rows").over(order)).where((F.col("part") % 2 == 1) & F.col("next").isNotNull())
     met = met.select(F.explode("rows").alias("x"), "next").select("x", F.explode("next").alias("y")).where("x.region = y.region")
-    same = F.aggregate(F.zip_with("x.sig", "y.sig", lambda p, q: (p == q).cast("int")), F.lit(0), lambda s, e: s + e) / (TREES * DEPTH)
+    same = F.aggregate(F.zip_with("x.sig", "y.sig", lambda p, q: (p == q).cast("int")), F.lit(0), lambda s, e: s + e) / HASHES
     across = met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"), same.alias("est"), F.col("x.n").alias("na"), F.col("y.n").alias("nb"))
     across = across.where((F.col("est") >= LEAST) & sized("na", "nb")).select("a", "b", "est")
     return found.where("part is null").select("a", "b", "est").unionByName(across).groupBy("a", "b").agg(F.max("est").alias("est"))
@@ -274,7 +278,7 @@ def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             i, j = p[at : at + ONCE], q[at : at + ONCE]
             same = sig[i] == sig[j]
             ok = same.mean(1) >= LEAST
-            i, j, same = i[ok], j[ok], same[ok].reshape(-1, TREES, DEPTH)[:, :tree, :SHALLOW]
+            i, j, same = i[ok], j[ok], same[ok][:, PLACES[:tree, :SHALLOW]]
             new = ~same.all(2).any(1)
             found[i[new]] = found[j[new]] = True
         if found.any():
