@@ -69,7 +69,8 @@ def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> D
     first = first.withColumn("room", room)
     opens = lambda acc, k: F.size(acc).__eq__(0) | (at(F.col("sums"), k + 1) - at(F.col("sums"), F.element_at(acc, -1)) > F.col("room"))
     cut = F.aggregate(F.sequence("before", size - 1), F.array().cast("array<int>"), lambda acc, k: F.when(opens(acc, k), F.concat(acc, F.array(k))).otherwise(acc))
-    cut = first.withColumn("cuts", cut).select("conv_id", "section", "turns", "system", "sums", "cuts", F.posexplode("cuts").alias("window", "begin"))
+    # (outer, though none is empty: else a filter on the cuts would go below the sums and add them up again for each turn)
+    cut = first.withColumn("cuts", cut).select("conv_id", "section", "turns", "system", "sums", "cuts", F.posexplode_outer("cuts").alias("window", "begin"))
     cut = cut.withColumn("end", F.coalesce(at(F.col("cuts"), F.col("window") + 1), size))
     past = F.filter("sums", lambda s, k: (k < F.col("begin")) & (at(F.col("sums"), F.col("begin")) - s <= history))
     cut = cut.withColumn("from", F.col("begin") - F.size(past))
