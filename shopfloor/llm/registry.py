@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopfloor.llm import chat, decontaminate, licenses, linededup, maintext, neardup, packing, phrases, quality, suffixes, tokenfile, topk
+from shopfloor.llm import align, chat, decontaminate, licenses, linededup, maintext, neardup, packing, phrases, quality, suffixes, tokenfile, topk
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -59,6 +59,10 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.deduplicate(read(spark, sf_dir, "documents")).drop("spans")
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.alignments(read(spark, sf_dir, "documents"))
+
+
 def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(read(spark, sf_dir, "documents"))
 
@@ -78,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash_near_dedup": op8_minhash_near_dedup,
     "op9_token_file": op9_token_file,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
+    "op11_tokenizer_alignment": op11_tokenizer_alignment,
     "op12_phrase_mining": op12_phrase_mining,
     "op13_chat_format": op13_chat_format,
 }
