@@ -97,18 +97,23 @@ def flags(rows: str, keys: str, running: str = "running") -> str:
     turns as (select *, lead(outputdatetime) over (partition by {keys} order by outputdatetime, record_id, outputtype) as until from turned where lags <> before)"""
 
 
-GAPS = f""", gaps as (
-  select 'MISSING_REPORT:' || company || ':' || linecode as alert_id, company, linecode, outputdatetime + to_seconds({IDLE}) as alert_time, next as recover_time
-  from (select *, lead(outputdatetime) over (partition by company, linecode order by outputdatetime, record_id, outputtype) as next from fx_live where coalesce(linecode, '') <> '' and outputdatetime <= {NOW})
-  where coalesce(next, {NOW}) >= outputdatetime + to_seconds({IDLE})
-), stepped as (
+def stepped(alerts: str, carried: str) -> str:
+    """The levels of alerts with alert_id, alert_time and recover_time, as rows of ``history``."""
+    return f""", stepped as (
   select *, cast(least(2, greatest(0, (date_diff('second', alert_time, case when recover_time <= {NOW} then recover_time else {NOW} end) - case when recover_time <= {NOW} then 1 else 0 end) // {STEP})) as integer) as steps
-  from gaps where alert_time <= {NOW}
+  from {alerts} where alert_time <= {NOW}
 ), history as (
-  select alert_id, company, linecode, alert_time, step, (['P3', 'P2', 'P1'])[step + 1] as level, alert_time + to_seconds(step * {STEP}) as changed from (select *, unnest(range(0, steps + 1)) as step from stepped)
+  select {carried}, alert_time, step, (['P3', 'P2', 'P1'])[step + 1] as level, alert_time + to_seconds(step * {STEP}) as changed from (select *, unnest(range(0, steps + 1)) as step from stepped)
   union all
-  select alert_id, company, linecode, alert_time, 3, 'NONE', recover_time from stepped where recover_time <= {NOW}
+  select {carried}, alert_time, 3, 'NONE', recover_time from stepped where recover_time <= {NOW}
 )"""
+
+
+GAPS = f""", gaps as (
+  select 'MISSING_REPORT:' || company || ':' || linecode as alert_id, company, linecode, outputdatetime + to_seconds({IDLE}) as alert_time, next as recover_time
+  from (select *, lead(outputdatetime) over (partition by company, linecode order by outputdatetime, record_id, outputtype) as next from fx_live where coalesce(linecode, '') <> '' and outputdatetime <= {NOW})
+  where coalesce(next, {NOW}) >= outputdatetime + to_seconds({IDLE})
+)""" + stepped("gaps", "alert_id, company, linecode")
 DIGEST = """, raised as (
   select date_trunc('day', changed) as flush, company, linecode, case level when 'P3' then 2 when 'P2' then 3 else 4 end as severity from history where level <> 'NONE'
 ), digest as (
@@ -235,5 +240,33 @@ BODIES: dict[str, str] = {
     "day_shift_share": "select company, count(*) as records, count(*) filter (hour(outputdatetime) * 60 + minute(outputdatetime) between 510 and 1050) as day_records from fx_live group by company",
 }
 BODIES["stream_live_wide"] = BODIES["live_wide"]
+BODIES["stream_minute_batches"] = MINUTES
+BODIES["stream_asof_orders"] = BODIES["asof_order_join"]
+BODIES["stream_delete_audit"] = "select record_id, company, tbl_name as table_name, version as ts_ms from fx_wide where op = 'd'"
+LEVELS = "select alert_id, alert_time, level, changed from history"
+BODIES["stream_missing_report"] = GAPS + LEVELS
+BODIES["stream_order_alerts"] = (
+    flags("fx_run", "company, datasource, productionorder")
+    + f""", raised as (
+  select 'OVER_REPORT:' || {ORDER_ALERT} as alert_id, min(outputdatetime) as alert_time, cast(null as timestamp) as recover_time from fx_run where orderquantity > 0 and running > orderquantity group by 1
+  union all select 'LAG:' || {ORDER_ALERT}, outputdatetime, until from turns where lags
+)"""
+    + stepped("raised", "alert_id")
+    + LEVELS
+)
+SNAPSHOTS = f"""select * from (
+with recursive at_times as (
+  select distinct company, datasource, productionorder, outputdatetime as t from fx_live where productionorder is not null
+), jumps as (
+  select a.company, a.datasource, a.productionorder, a.t, min(b.t) as after from at_times a join at_times b on a.company = b.company and a.datasource = b.datasource and a.productionorder = b.productionorder and b.t > a.t + interval 5 days group by all
+), begun as (
+  select company, datasource, productionorder, min(t) as t from at_times group by all
+  union all select b.company, b.datasource, b.productionorder, j.after from begun b join jumps j on b.company = j.company and b.datasource = j.datasource and b.productionorder = j.productionorder and b.t = j.t
+)
+select b.company, b.datasource, b.productionorder, max(orderquantity) as order_quantity, sum(lotquantity) as report_quantity, {rate('sum(lotquantity)', 'max(orderquantity)')} as achieve_rate,
+  {progress('max(ordercreateddate)', 'max(orderduedate)', '(b.t + interval 5 days)')} as plan_progress, cast(epoch(b.t + interval 5 days) as bigint) * 1000 as version
+from begun b join fx_live l on b.company = l.company and b.datasource = l.datasource and b.productionorder = l.productionorder and l.outputdatetime <= b.t + interval 5 days group by b.company, b.datasource, b.productionorder, b.t
+)"""
+BODIES["stream_order_snapshots"] = SNAPSHOTS
 
 ORACLES = {name: INPUTS + body for name, body in BODIES.items()}

@@ -15,7 +15,7 @@ from shopfloor.operators import digest, minute, orders, profile, reconcile, vers
 from shopfloor.operators.versions import RECORD
 from shopfloor.schemas import ORDER, REPORT
 from shopfloor.sources import changelog, fixtures
-from shopfloor.streaming import sinks
+from shopfloor.streaming import sinks, timers
 
 IDLE, STEP = 30 * 86400, 10 * 86400  # these inputs span years
 PARTS = 3
@@ -406,8 +406,16 @@ def day_shift_share(i: Inputs) -> DataFrame:
     return i.live.groupBy("company").agg(F.count("*").alias("records"), F.count_if(S.is_day_shift(F.col("outputdatetime"))).alias("day_records"))
 
 
-def streamed(i: Inputs, batch: Callable[[str], sinks.Batch]) -> str:
-    """Runs the changelog, in PARTS by version, through a foreachBatch sink, each as it comes; the sink's folder."""
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: Batches without rows move the event clock on; on the machine's clock they would never end.
+NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
+Made = tuple[DataFrame, sinks.Batch]
+
+
+def streamed(i: Inputs, make: Callable[[dict[str, DataFrame], str], Made], clock: bool = False, **inputs: tuple[DataFrame, Column]) -> str:
+    """Runs inputs, each with the number of its part of PARTS, through the stream and sink that ``make`` gives, a part
+    after another over one checkpoint; the sink's folder. The changelog, by version, is the input if none is given."""
     spark = i.spark
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
@@ -415,32 +423,112 @@ def streamed(i: Inputs, batch: Callable[[str], sinks.Batch]) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="spark-")
     path = f"{root}/stream-{uuid.uuid4().hex}"
-    parts = i.log.withColumn("part", F.least(F.col("version"), F.lit(PARTS)))
-    for k in range(1, PARTS + 1):
-        parts.where(F.col("part") == k).drop("part").write.mode("append").parquet(f"{path}/in")
-        changes = spark.readStream.schema(i.log.schema).parquet(f"{path}/in")
-        sinks.start(changes, batch(path), f"{path}/checkpoint").awaitTermination()
+    inputs = inputs or {"log": (i.log, F.least(F.col("version"), F.lit(PARTS)))}
+    before = {name: spark.conf.get(name) for name in (PROVIDER, NO_DATA)}
+    spark.conf.set(PROVIDER, ROCKSDB)
+    spark.conf.set(NO_DATA, str(clock).lower())
+    try:
+        for k in range(1, PARTS + 1):
+            for name, (rows, part) in inputs.items():
+                rows.where(part == k).write.mode("append").parquet(f"{path}/in/{name}")
+            streams = {name: spark.readStream.schema(rows.schema).parquet(f"{path}/in/{name}") for name, (rows, _) in inputs.items()}
+            out, batch = make(streams, path)
+            sinks.start(out, batch, f"{path}/checkpoint").awaitTermination()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
     return path
 
 
+def by_batch(batch: Callable[[str], sinks.Batch]) -> Callable[[dict[str, DataFrame], str], Made]:
+    """A sink that takes the changelog itself."""
+    return lambda s, path: (s["log"], batch(path))
+
+
 @query
 def stream_minute_deltas(i: Inputs) -> DataFrame:
-    return sinks.minutes(i.spark, streamed(i, lambda p: sinks.minute_deltas_batch(i.dims, p)))
+    """From the keyed state of records alone."""
+    return sinks.minutes(i.spark, streamed(i, lambda s, path: (timers.minute_deltas(wide.enrich(s["log"], i.dims)), sinks.rows_batch(path, "minutes"))))
+
+
+@query
+def stream_minute_batches(i: Inputs) -> DataFrame:
+    """From the last rows of records that batches keep."""
+    return sinks.minutes(i.spark, streamed(i, by_batch(lambda p: sinks.minute_deltas_batch(i.dims, p))))
 
 
 @query
 def stream_live_wide(i: Inputs) -> DataFrame:
-    path = streamed(i, lambda p: sinks.wide_batch(i.dims, p))
+    path = streamed(i, by_batch(lambda p: sinks.wide_batch(i.dims, p)))
     return wide.live_wide(sinks.written(i.spark, f"{path}/wide")).drop("tbl_name", "op", "seq")
 
 
 @query
 def stream_orders(i: Inputs) -> DataFrame:
-    path = streamed(i, lambda p: sinks.orders_batch(i.dims, p, now()))
+    path = streamed(i, by_batch(lambda p: sinks.orders_batch(lambda: i.dims, p, now())))
     return sinks.achievements(i.spark, path).select(*orders.GRAINS["order"], "achieve_rate", "plan_progress", "finished", "progress_deviation")
 
 
 @query
 def stream_alerts(i: Inputs) -> DataFrame:
-    path = streamed(i, lambda p: sinks.wide_batch(i.dims, p))
+    path = streamed(i, by_batch(lambda p: sinks.wide_batch(i.dims, p)))
     return sinks.alerts_of(sinks.written(i.spark, f"{path}/wide")).groupBy("alert_type", "company").agg(F.count("*").alias("alerts"), F.count("recover_time").alias("recovered"))
+
+
+@query
+def stream_delete_audit(i: Inputs) -> DataFrame:
+    """The audit that the streams write beside their rows."""
+    path = streamed(i, by_batch(lambda p: sinks.wide_batch(i.dims, p)))
+    return sinks.written(i.spark, f"{path}/audit").select("record_id", "company", "table_name", "ts_ms")
+
+
+@query
+def stream_asof_orders(i: Inputs) -> DataFrame:
+    """Reports and order changes as one stream, with the orders' versions in keyed state."""
+    history = fixtures.order_history(i.dims["orders"]).select("db_name", "productionorderid", "productionorderno", "orderquantity", "version", "op")
+    reports = i.log.select("db_name", "productionorderid", "record_id", "version")
+    part = F.least(F.col("version"), F.lit(PARTS))
+    path = streamed(i, lambda s, path: (timers.orders_as_of(s["reports"], s["changes"]), sinks.rows_batch(path)), reports=(reports, part), changes=(history, part))
+    return sinks.written(i.spark, path + "/rows").select("record_id", "version", "productionorderno", "orderquantity")
+
+
+def on_the_clock(i: Inputs, rows: DataFrame, end: Column, make: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The alert table of a stream over rows on the event clock, in parts by time, with the clock set to ``end`` last."""
+    day = F.lit("1994-01-01").cast("timestamp_ntz"), F.lit("1995-06-01").cast("timestamp_ntz")
+    part = F.coalesce(F.when(F.col("event_ms") < timers.millis(day[0]), 1).when(F.col("event_ms") < timers.millis(day[1]), 2), F.lit(PARTS))
+    clock = rows.limit(0).unionByName(i.spark.range(1).select((timers.millis(end) + 500).alias("event_ms")), allowMissingColumns=True)
+    path = streamed(i, lambda s, path: (make(s["rows"]), sinks.alerts_batch(path + "/alerts")), True, rows=(rows.unionByName(clock), part))
+    return sinks.written(i.spark, path + "/alerts")
+
+
+def levels(alerts: DataFrame, alert_id: Column) -> DataFrame:
+    return alerts.select(alert_id.alias("alert_id"), timers.wall(F.unix_millis("alert_time")).alias("alert_time"), "level", timers.wall(F.col("changed_ms")).alias("changed"))
+
+
+@query
+def stream_missing_report(i: Inputs) -> DataFrame:
+    rows = timers.alert_rows(i.live.where(F.col("outputdatetime") <= now())).where("linecode <> ''").select("company", "linecode", "event_ms")
+    lines = timers.IdleLine(IDLE * 1000, STEP * 1000, None, event=True)
+    recovered = F.when(F.col("level") == "NONE", F.col("changed_ms")).otherwise(0)
+    made = on_the_clock(i, rows, now(), lambda s: timers.idle_lines(s, lines, "0 seconds").withColumn("recover_ms", recovered))
+    return levels(made, S.line_alert_id())
+
+
+@query
+def stream_order_alerts(i: Inputs) -> DataFrame:
+    rows = timers.alert_rows(i.live.where(F.col("outputdatetime") <= now())).drop("linecode")
+    alerts = timers.OrderAlerts(escalate_ms=STEP * 1000, event=True, ttl_ms=None)
+    made = on_the_clock(i, rows, now(), lambda s: timers.order_alerts(s, alerts, "0 seconds"))
+    return levels(made, F.concat_ws(":", "alert_type", *timers.KEY))
+
+
+SNAPSHOT_DAYS = 5
+
+
+@query
+def stream_order_snapshots(i: Inputs) -> DataFrame:
+    snapshots = timers.OrderSnapshots(SNAPSHOT_DAYS * 86_400_000, event=True, ttl_ms=None)
+    blank = {"alert_ms": F.lit(0).cast("bigint"), "recover_ms": F.lit(0).cast("bigint")}
+    end = F.lit("2100-01-01").cast("timestamp_ntz")
+    made = on_the_clock(i, timers.alert_rows(i.live).drop("linecode"), end, lambda s: timers.order_snapshots(s, snapshots, "0 seconds").withColumns(blank))
+    return made.select(*timers.KEY, "order_quantity", "report_quantity", "achieve_rate", "plan_progress", "version")

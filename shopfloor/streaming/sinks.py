@@ -137,11 +137,20 @@ def state_before(spark, path: str, batch_id: int) -> DataFrame:
     return rows.drop("batch_id")
 
 
+def rows_batch(path: str, name: str = "rows") -> Batch:
+    """Rows of a keyed stream as they come; a batch that runs again replaces its own."""
+
+    def run(df: DataFrame, batch_id: int) -> None:
+        idempotent_append(df, f"{path}/{name}", batch_id)
+
+    return run
+
+
 def minutes(spark, path: str) -> DataFrame:
     return sum_merge(written(spark, f"{path}/minutes"), MINUTE_KEY, ["output_quantity", "record_cnt"], ("linename",), drop_zero=True)
 
 
-def orders_batch(dims: dict[str, DataFrame], path: str, now: Column) -> Batch:
+def orders_batch(dims: Dims, path: str, now: Column) -> Batch:
     """Achievement of the orders that the batch touches, those that its records leave included; the batch is the version.
 
     The state is that of ``minute_deltas_batch``: a batch reads the last rows of records, not all of their versions, and
@@ -150,7 +159,8 @@ def orders_batch(dims: dict[str, DataFrame], path: str, now: Column) -> Batch:
     key = ["db_name", "productionorderid"]
 
     def run(df: DataFrame, batch_id: int) -> None:
-        rows = new = made_wide(df, dims, path, batch_id)
+        known = dims() if callable(dims) else dims
+        rows = new = made_wide(df, known, path, batch_id)
         idempotent_append(delete_audit(new), f"{path}/audit", batch_id)
         touched = new.select(*key)
         if batch_id:
@@ -163,7 +173,7 @@ def orders_batch(dims: dict[str, DataFrame], path: str, now: Column) -> Batch:
         live = live_wide(rows).join(touched, key, "left_semi")
         made = order_achievement(live, now, "order").withColumns({"version": F.lit(batch_id).cast("bigint"), "seq": F.lit(0)})
         # an order without live rows left is written as gone
-        gone = touched.withColumns({"company": S.company(F.col("db_name")), "datasource": S.datasource(F.col("db_name"))}).join(dims["orders"].select("db_name", "productionorderid", F.col("productionorderno").alias("productionorder")), key)
+        gone = touched.withColumns({"company": S.company(F.col("db_name")), "datasource": S.datasource(F.col("db_name"))}).join(known["orders"].select("db_name", "productionorderid", F.col("productionorderno").alias("productionorder")), key)
         gone = gone.join(made, ["company", "datasource", "productionorder"], "left_anti").select("company", "datasource", "productionorder", F.lit(batch_id).cast("bigint").alias("version"), F.lit(0).alias("seq"))
         idempotent_append(made.unionByName(gone, allowMissingColumns=True), f"{path}/orders", batch_id)
         keep_state(new, f"{path}/state", batch_id)

@@ -1,64 +1,200 @@
-"""Live alerts and order snapshots on processing-time timers, for transformWithState with the RocksDB store."""
+"""Keyed streams on transformWithState, with the RocksDB store: alerts and snapshots with deadlines, signed deltas from the
+last row of each record, and orders that change while reports come in."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from decimal import ROUND_HALF_UP, Decimal
 
-from pyspark.sql import DataFrame, Row
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+import shopfloor
 from shopfloor import constants as K
-from shopfloor.schemas import columns
+from shopfloor.functions import scalars as S
+from shopfloor.operators.versions import RECORD
+from shopfloor.operators.wide import counts
+from shopfloor.schemas import MINUTE_KEY, columns
 
 LINE_ALERT = columns("company string, linecode string, level string, alert_ms long, changed_ms long")
 
 
-class IdleLine(StatefulProcessor):
-    """P3 when a line has had no report for ``idle_ms``, a level more after each ``escalate_ms``, NONE at the next report.
+@contextmanager
+def carried() -> Iterator[None]:
+    """Within this, processors carry this package's code along: Spark starts one of their workers where it may not be
+    importable."""
+    cloudpickle.register_pickle_by_value(shopfloor)
+    try:
+        yield
+    finally:
+        cloudpickle.unregister_pickle_by_value(shopfloor)
+
+
+def with_state(grouped, processor: StatefulProcessor, out: T.StructType, mode: str = "ProcessingTime", initial=None) -> DataFrame:
+    with carried():
+        return grouped.transformWithState(statefulProcessor=processor, outputStructType=out, outputMode="Update", timeMode=mode, **({} if initial is None else {"initialState": initial}))
+
 
-    One timer is pending per line. The state expires after ``ttl_ms``.
+class Clocked(StatefulProcessor):
+    """Rows and deadlines of a key in order of time.
+
+    On the machine's clock rows count as they come, and deadlines are in processing time. On the event clock
+    (``event=True``) rows wait until the watermark has passed them, so that rows out of order count in order, and
+    deadlines fall between them. One timer is pending per key, at the earliest deadline or waiting row. State expires
+    ``ttl_ms`` after a key's last row: by Spark on the machine's clock, by a deadline of its own on the event clock.
+    Rows have event_ms; ``WAITS`` are the columns that a waiting row keeps.
     """
 
-    def __init__(self, idle_ms: int = K.IDLE_SECONDS * 1000, escalate_ms: int = K.ESCALATE_SECONDS * 1000, ttl_ms: int = K.STATE_TTL_MS):
-        self.idle_ms, self.escalate_ms, self.ttl_ms = idle_ms, escalate_ms, ttl_ms
+    WAITS = columns("event_ms long")
+
+    def __init__(self, event: bool = False, ttl_ms: int | None = K.STATE_TTL_MS):
+        self.event, self.ttl_ms = event, ttl_ms
+
+    @property
+    def ttl(self) -> int | None:
+        return None if self.event else self.ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("line", columns("level integer, alert_ms long"), ttlDurationMs=self.ttl_ms)
+        if self.event:
+            self.waiting = handle.getListState("waiting", self.WAITS)
+            self.used = handle.getValueState("used", columns("last_ms long"))
+
+    # What a processor does: read its state, take a row or a deadline that has come, and write its state.
+    def load(self) -> None: ...
+
+    def take(self, key, row, now: int) -> Iterator[Row]: ...
+
+    def due(self) -> int | None: ...
+
+    def fire(self, key, at: int) -> Iterator[Row]: ...
+
+    def save(self) -> None: ...
+
+    def forget(self) -> None: ...
 
-    def _level(self) -> tuple[int, int]:
-        found = self.state.get() if self.state.exists() else None
-        return (found[0], found[1]) if found else (0, 0)
+    def ahead(self) -> bool:
+        """Whether the next deadline goes before a row of the same time."""
+        return False
+
+    @staticmethod
+    def order(row):
+        return row.event_ms
+
+    def _alarm(self, *times: int | None) -> None:
+        at, old = min((t for t in times if t is not None), default=None), list(self.handle.listTimers())
+        for t in old:
+            if t != at:
+                self.handle.deleteTimer(t)
+        if at is not None and at not in old:
+            self.handle.registerTimer(at)
+
+    def _until(self, key, rows: list, now: int) -> Iterator[Row]:
+        """All rows, and all deadlines up to now, in order."""
+        for row in rows:
+            at = row.event_ms if self.event else now
+            while (due := self.due()) is not None and (due < at or due == at and self.ahead()):
+                yield from self.fire(key, due)
+            yield from self.take(key, row, at)
+        while (due := self.due()) is not None and due <= now:
+            yield from self.fire(key, due)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        for _ in rows:
-            pass
-        now = timerValues.getCurrentProcessingTimeInMs()
-        for at in list(self.handle.listTimers()):
-            self.handle.deleteTimer(at)
-        level, since = self._level()
-        self.state.update((0, 0))
-        self.handle.registerTimer(now + self.idle_ms)
-        if level:
-            yield Row(company=key[0], linecode=key[1], level=K.LEVELS[0], alert_ms=since, changed_ms=now)
+        if None in tuple(key):  # the clock's own rows
+            return
+        if self.event:
+            new = [tuple(r[c] for c in self.WAITS.fieldNames()) for r in rows]
+            self.waiting.appendList(new)
+            self._alarm(*self.handle.listTimers(), min(r[self.WAITS.fieldNames().index("event_ms")] for r in new))
+            return
+        self.load()
+        yield from self._until(key, sorted(rows, key=self.order), timerValues.getCurrentProcessingTimeInMs())
+        self.save()
+        self._alarm(self.due())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        level, since = self._level()
-        level, since = min(level + 1, len(K.LEVELS) - 1), since or now
-        self.state.update((level, since))
-        if level < len(K.LEVELS) - 1:
-            self.handle.registerTimer(now + self.escalate_ms)
-        yield Row(company=key[0], linecode=key[1], level=K.LEVELS[level], alert_ms=since, changed_ms=now)
+        self.load()
+        if not self.event:
+            yield from self._until(key, [], expiredTimerInfo.getExpiryTimeInMs())
+            self.save()
+            self._alarm(self.due())
+            return
+        now, kind = timerValues.getCurrentWatermarkInMs(), Row(*self.WAITS.fieldNames())
+        held = sorted((kind(*r) for r in self.waiting.get()), key=self.order) if self.waiting.exists() else []
+        ready, rest = [r for r in held if r.event_ms <= now], [r for r in held if r.event_ms > now]
+        last = max([r.event_ms for r in ready] + [self.used.get()[0] if self.used.exists() else 0])
+        yield from self._until(key, ready, now)
+        ends = last + self.ttl_ms if self.ttl_ms else None
+        if rest:
+            self.waiting.put([tuple(r) for r in rest])
+        elif held:
+            self.waiting.clear()
+        if ends is not None and ends <= now and not rest:
+            self.forget()
+            self.used.clear()
+            self._alarm()
+            return
+        self.save()
+        self.used.update((last,))
+        self._alarm(self.due(), rest[0].event_ms if rest else None, ends)
 
     def close(self) -> None:
         pass
 
 
-def idle_lines(reports: DataFrame, processor: IdleLine | None = None) -> DataFrame:
-    """Level changes of the lines of a stream with company and linecode."""
-    return reports.groupBy("company", "linecode").transformWithState(statefulProcessor=processor or IdleLine(), outputStructType=LINE_ALERT, outputMode="Update", timeMode="ProcessingTime")
+class IdleLine(Clocked):
+    """P3 when a line has had no report for ``idle_ms``, a level more after each ``escalate_ms``, NONE at the next report.
+
+    The lines that should report may be the initial state, each with the time (since_ms) from which it is waited for.
+    """
+
+    def __init__(self, idle_ms: int = K.IDLE_SECONDS * 1000, escalate_ms: int = K.ESCALATE_SECONDS * 1000, ttl_ms: int | None = K.STATE_TTL_MS, event: bool = False):
+        super().__init__(event, ttl_ms)
+        self.idle_ms, self.escalate_ms = idle_ms, escalate_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.state = handle.getValueState("line", columns("level integer, alert_ms long, due_ms long"), ttlDurationMs=self.ttl)
+
+    def load(self) -> None:
+        self.level, self.since, self.next = self.state.get() if self.state.exists() else (0, 0, 0)
+
+    def save(self) -> None:
+        self.state.update((self.level, self.since, self.next))
+
+    def forget(self) -> None:
+        self.state.clear()
+
+    def due(self) -> int | None:
+        return self.next or None
+
+    def ahead(self) -> bool:
+        return self.level == 0  # a gap of just the threshold is one, but no level is due at the moment of recovery
+
+    def _row(self, key, now: int) -> Row:
+        return Row(company=key[0], linecode=key[1], level=K.LEVELS[self.level], alert_ms=self.since, changed_ms=now)
+
+    def take(self, key, row, now: int) -> Iterator[Row]:
+        if self.level:
+            self.level = 0
+            yield self._row(key, now)
+        self.since, self.next = 0, now + self.idle_ms
+
+    def fire(self, key, at: int) -> Iterator[Row]:
+        self.level, self.since = min(self.level + 1, len(K.LEVELS) - 1), self.since or at
+        self.next = at + self.escalate_ms if self.level < len(K.LEVELS) - 1 else 0
+        yield self._row(key, at)
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        since = initialState["since_ms"] if self.event else timerValues.getCurrentProcessingTimeInMs()
+        self.state.update((0, 0, since + self.idle_ms))
+        self.handle.registerTimer(since + self.idle_ms)
+        if self.event:
+            self.used.update((since,))
 
 
 ORDER_ALERT = columns("company string, datasource string, productionorder string, alert_type string, level string, report_quantity decimal(38,4), alert_ms long, recover_ms long, changed_ms long")
@@ -77,116 +213,273 @@ def progress(created: int, due: int, now: int) -> Decimal:
     return share(max(0, min(now, due) - created), due - created) if created and due > created else Decimal(0)
 
 
-class OrderState(StatefulProcessor):
-    """The sum of an order's reports, of which each counts with its last version. Rows have record_id, version, qty, is_deleted,
-    event_ms, order_quantity, created_ms and due_ms; those of a batch count in order of version, older ones not at all."""
+class OrderState(Clocked):
+    """The sum of an order's reports, of which each counts with its last version, older ones not at all. Rows have
+    record_id, version, qty, is_deleted, event_ms, order_quantity, created_ms and due_ms. Those of a batch count in order
+    of version on the machine's clock, those that have waited in order of time on the event clock."""
 
-    ttl_ms = K.STATE_TTL_MS
+    WAITS = columns("record_id string, version long, qty decimal(38,4), is_deleted boolean, event_ms long, order_quantity long, created_ms long, due_ms long")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.order = handle.getValueState("order", columns("qty decimal(38,4), order_quantity long, created_ms long, due_ms long, last_ms long"), ttlDurationMs=self.ttl_ms)
-        self.records = handle.getMapState("records", columns("record_id string"), columns("qty decimal(38,4), version long"), ttlDurationMs=self.ttl_ms)
-
-    def _take(self, rows: Iterator[Row]) -> Iterator[tuple]:
-        """The order after each row: qty, order_quantity, created_ms, due_ms, last_ms; and the row's time."""
-        found = self.order.get() if self.order.exists() else None
-        total, *_, last = found or (Decimal(0), 0, 0, 0, 0)
-        for r in sorted(rows, key=lambda r: (r.version, r.event_ms)):
-            key = (r.record_id,)
-            old, version = self.records.getValue(key) if self.records.containsKey(key) else (Decimal(0), -1)
-            if r.version <= version:
-                continue
-            new = Decimal(0) if r.is_deleted else r.qty or Decimal(0)
-            # a deletion stays, at 0, so that an older version that comes late doesn't bring the record back
-            self.records.updateValue(key, (new, r.version))
-            total, last = total + new - old, max(last, r.event_ms)
-            state = (total, r.order_quantity or 0, r.created_ms or 0, r.due_ms or 0, last)
-            self.order.update(state)
-            yield *state, r.event_ms
-
-    def close(self) -> None:
-        pass
+        super().init(handle)
+        self.order_state = handle.getValueState("order", columns("qty decimal(38,4), order_quantity long, created_ms long, due_ms long, last_ms long"), ttlDurationMs=self.ttl)
+        self.records = handle.getMapState("records", columns("record_id string"), columns("qty decimal(38,4), version long"), ttlDurationMs=self.ttl)
+
+    def order(self, row):
+        return (row.event_ms, row.record_id, row.version) if self.event else (row.version, row.event_ms)
+
+    def load(self) -> None:
+        found = self.order_state.get() if self.order_state.exists() else None
+        self.known = found is not None
+        self.qty, self.ordered, self.created, self.until, self.last = found or (Decimal(0), 0, 0, 0, 0)
+
+    def save(self) -> None:
+        if self.known:
+            self.order_state.update((self.qty, self.ordered, self.created, self.until, self.last))
+
+    def forget(self) -> None:
+        self.order_state.clear()
+        self.records.clear()
+
+    def counted(self, r) -> bool:
+        """Adds a row up, unless its record has a later version."""
+        key = (r.record_id,)
+        old, version = self.records.getValue(key) if self.records.containsKey(key) else (Decimal(0), -1)
+        if r.version <= version:
+            return False
+        new = Decimal(0) if r.is_deleted else r.qty or Decimal(0)
+        # a deletion stays, at 0, so that an older version that comes late doesn't bring the record back
+        self.records.updateValue(key, (new, r.version))
+        self.known, self.qty, self.last = True, self.qty + new - old, max(self.last, r.event_ms)
+        self.ordered, self.created, self.until = r.order_quantity or 0, r.created_ms or 0, r.due_ms or 0
+        return True
 
 
 class OrderAlerts(OrderState):
     """OVER_REPORT once the sum is above the order's quantity times ``ratio``, for good; LAG while the rate is more than
-    ``threshold`` behind the plan at a report's time. Both begin at P3 and rise a level after each ``escalate_ms``."""
+    ``threshold`` behind the plan at a report's time. Both begin at P3 and rise a level after each ``escalate_ms``, each
+    by a deadline of its own."""
 
     KINDS = ("OVER_REPORT", "LAG")
 
-    def __init__(self, ratio: float = K.OVER_RATIO, threshold: float = K.LAG_THRESHOLD, escalate_ms: int = K.ESCALATE_SECONDS * 1000):
+    def __init__(self, ratio: float = K.OVER_RATIO, threshold: float = K.LAG_THRESHOLD, escalate_ms: int = K.ESCALATE_SECONDS * 1000, event: bool = False, ttl_ms: int | None = K.STATE_TTL_MS):
+        super().__init__(event, ttl_ms)
         self.ratio, self.threshold, self.escalate_ms = Decimal(str(ratio)), Decimal(str(threshold)), escalate_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        self.alerts = handle.getMapState("alerts", columns("kind string"), columns("level integer, alert_ms long"), ttlDurationMs=self.ttl_ms)
+        self.alerts = handle.getMapState("alerts", columns("kind string"), columns("level integer, alert_ms long, due_ms long"), ttlDurationMs=self.ttl)
+
+    def load(self) -> None:
+        super().load()
+        # level, when the alert began, and when it rises (0: not any more)
+        self.of = {k: tuple(self.alerts.getValue((k,))) if self.alerts.containsKey((k,)) else (0, 0, 0) for k in self.KINDS}
+        self.was = dict(self.of)
+
+    def save(self) -> None:
+        super().save()
+        for kind, state in self.of.items():
+            if state != self.was[kind]:
+                self.alerts.updateValue((kind,), state)
+
+    def forget(self) -> None:
+        super().forget()
+        self.alerts.clear()
+
+    def _set(self, key, kind: str, level: int, since: int, now: int, recovered: int = 0) -> Row:
+        self.of[kind] = (level, since, now + self.escalate_ms if 0 < level < len(K.LEVELS) - 1 else 0)
+        return Row(company=key[0], datasource=key[1], productionorder=key[2], alert_type=kind, level=K.LEVELS[level], report_quantity=self.qty, alert_ms=since, recover_ms=recovered, changed_ms=now)
+
+    def take(self, key, row, now: int) -> Iterator[Row]:
+        if not self.counted(row) or self.ordered <= 0:
+            return
+        if self.qty > self.ordered * self.ratio and not self.of["OVER_REPORT"][0]:
+            yield self._set(key, "OVER_REPORT", 1, row.event_ms, now)
+        if self.created and self.until > self.created:
+            lags = share(self.qty, self.ordered) < progress(self.created, self.until, row.event_ms) - self.threshold
+            level, since, _ = self.of["LAG"]
+            if lags and not level:
+                yield self._set(key, "LAG", 1, row.event_ms, now)
+            elif level and not lags:
+                yield self._set(key, "LAG", 0, since, now, now)
 
-    def _alert(self, kind: str) -> tuple[int, int]:
-        return tuple(self.alerts.getValue((kind,))) if self.alerts.containsKey((kind,)) else (0, 0)
+    def due(self) -> int | None:
+        return min((at for _, _, at in self.of.values() if at), default=None)
 
-    def _row(self, key, kind: str, level: int, qty: Decimal, since: int, now: int, recovered: int = 0) -> Row:
-        self.alerts.updateValue((kind,), (level, since))
-        return Row(company=key[0], datasource=key[1], productionorder=key[2], alert_type=kind, level=K.LEVELS[level], report_quantity=qty, alert_ms=since, recover_ms=recovered, changed_ms=now)
+    def fire(self, key, at: int) -> Iterator[Row]:
+        for kind, (level, since, due) in list(self.of.items()):
+            if due == at:
+                yield self._set(key, kind, level + 1, since, at)
 
-    def _timer(self, at: int | None) -> None:
-        for old in list(self.handle.listTimers()):
-            self.handle.deleteTimer(old)
-        if at is not None:
-            self.handle.registerTimer(at)
 
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        now = timerValues.getCurrentProcessingTimeInMs()
-        for qty, ordered, created, due, _, at in self._take(rows):
-            if ordered > 0 and qty > ordered * self.ratio and not self._alert("OVER_REPORT")[0]:
-                yield self._row(key, "OVER_REPORT", 1, qty, at, now)
-                self._timer(now + self.escalate_ms)
-            if ordered > 0 and created and due > created:
-                lags, (level, since) = share(qty, ordered) < progress(created, due, at) - self.threshold, self._alert("LAG")
-                if lags and not level:
-                    yield self._row(key, "LAG", 1, qty, at, now)
-                    self._timer(now + self.escalate_ms)
-                elif level and not lags:
-                    yield self._row(key, "LAG", 0, qty, since, now, now)
-                    if not self._alert("OVER_REPORT")[0]:
-                        self._timer(None)
+class OrderSnapshots(OrderState):
+    """The order's achievement, at most once in ``every_ms``, by a deadline that the first change after the last one sets."""
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        qty = self.order.get()[0] if self.order.exists() else None
-        kind = next((k for k in self.KINDS if self._alert(k)[0]), None)  # over-report first
-        if qty is None or kind is None:
-            return
-        level, since = self._alert(kind)
-        if level < len(K.LEVELS) - 1:
-            yield self._row(key, kind, level + 1, qty, since, now)
-            if level + 1 < len(K.LEVELS) - 1:
-                self.handle.registerTimer(now + self.escalate_ms)
+    def __init__(self, every_ms: int = K.SNAPSHOT_SECONDS * 1000, event: bool = False, ttl_ms: int | None = K.STATE_TTL_MS):
+        super().__init__(event, ttl_ms)
+        self.every_ms = every_ms
 
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.next_state = handle.getValueState("next", columns("due_ms long"), ttlDurationMs=self.ttl)
 
-class OrderSnapshots(OrderState):
-    """The order's achievement, at most once in ``every_ms``, by a timer that the first change after the last one sets."""
+    def load(self) -> None:
+        super().load()
+        self.next = self.next_state.get()[0] if self.next_state.exists() else 0
 
-    def __init__(self, every_ms: int = K.SNAPSHOT_SECONDS * 1000):
-        self.every_ms = every_ms
+    def save(self) -> None:
+        super().save()
+        self.next_state.update((self.next,))
 
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        changed = sum(1 for _ in self._take(rows))
-        if changed and not list(self.handle.listTimers()):
-            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.every_ms)
-        yield from ()
+    def forget(self) -> None:
+        super().forget()
+        self.next_state.clear()
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        if self.order.exists():
-            qty, ordered, created, due, last = self.order.get()
-            yield Row(company=key[0], datasource=key[1], productionorder=key[2], order_quantity=ordered, report_quantity=qty, achieve_rate=share(qty, ordered), plan_progress=progress(created, due, now), last_ms=last, version=now)
+    def take(self, key, row, now: int) -> Iterator[Row]:
+        if self.counted(row) and not self.next:
+            self.next = now + self.every_ms
+        return iter(())
+
+    def due(self) -> int | None:
+        return self.next or None
+
+    def fire(self, key, at: int) -> Iterator[Row]:
+        self.next = 0
+        if self.known:
+            yield Row(company=key[0], datasource=key[1], productionorder=key[2], order_quantity=self.ordered, report_quantity=self.qty, achieve_rate=share(self.qty, self.ordered), plan_progress=progress(self.created, self.until, at), last_ms=self.last, version=at)
+
+
+def clocked(rows: DataFrame, delay: str) -> DataFrame:
+    """Rows with the event clock: event_time from event_ms, and a watermark."""
+    return rows.withColumn("event_time", F.timestamp_millis("event_ms")).withWatermark("event_time", delay)
+
+
+def keyed(rows: DataFrame, keys: list[str], processor: Clocked, out: T.StructType, delay: str, initial: DataFrame | None) -> DataFrame:
+    rows = clocked(rows, delay) if processor.event else rows
+    return with_state(rows.groupBy(*keys), processor, out, "EventTime" if processor.event else "ProcessingTime", None if initial is None else initial.groupBy(*keys))
+
+
+#: How far out of order rows may be on the event clock; later ones are dropped and counted by Spark.
+DELAY = f"{K.WATERMARK_SECONDS + K.LATENESS_SECONDS} seconds"
+
+
+def idle_lines(reports: DataFrame, processor: IdleLine | None = None, delay: str = DELAY, expected: DataFrame | None = None) -> DataFrame:
+    """Level changes of the lines of a stream with company and linecode, and event_ms on the event clock. ``expected``
+    (company, linecode, since_ms) are lines that are waited for though they never report."""
+    processor = processor or IdleLine()
+    rows = reports if processor.event else reports.withColumn("event_ms", F.lit(0).cast("bigint"))
+    return keyed(rows, ["company", "linecode"], processor, LINE_ALERT, delay, expected)
 
 
-def order_alerts(rows: DataFrame, processor: OrderAlerts | None = None) -> DataFrame:
+def order_alerts(rows: DataFrame, processor: OrderAlerts | None = None, delay: str = DELAY) -> DataFrame:
     """Level changes of the orders' alerts."""
-    return rows.groupBy(*KEY).transformWithState(statefulProcessor=processor or OrderAlerts(), outputStructType=ORDER_ALERT, outputMode="Update", timeMode="ProcessingTime")
+    return keyed(rows, KEY, processor or OrderAlerts(), ORDER_ALERT, delay, None)
+
+
+def order_snapshots(rows: DataFrame, processor: OrderSnapshots | None = None, delay: str = DELAY) -> DataFrame:
+    return keyed(rows, KEY, processor or OrderSnapshots(), SNAPSHOT, delay, None)
+
+
+def millis(ts: Column) -> Column:
+    """Milliseconds of a wall clock."""
+    return S.epoch(ts) * 1000
+
+
+def alert_rows(live: DataFrame) -> DataFrame:
+    """Wide rows as the processors of orders and lines take them."""
+    return live.select(*KEY, "linecode", F.concat_ws(":", "record_id", "outputtype").alias("record_id"), "version", F.col("lotquantity").alias("qty"), "is_deleted", millis(F.col("outputdatetime")).alias("event_ms"), F.col("orderquantity").alias("order_quantity"), millis(F.col("ordercreateddate")).alias("created_ms"), millis(F.col("orderduedate")).alias("due_ms"))
+
+
+def wall(ms: Column) -> Column:
+    """The wall clock of milliseconds."""
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (ms / 1000).cast("decimal(18,6)"))
+
+
+class Normalizer(StatefulProcessor):
+    """What a record's last row adds to the minutes is kept as its state; a newer one takes that back and adds its own, an
+    older or repeated one does nothing. Rows have version, seq, live, the minute's key, linename and qty."""
+
+    HELD = "version long, seq long, live boolean, minute long, company string, workshop string, linecode string, partcode string, linename string, qty decimal(38,4)"
+
+    def __init__(self, ttl_ms: int | None = K.STATE_TTL_MS):
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", columns(self.HELD), ttlDurationMs=self.ttl_ms)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        names = columns(self.HELD).fieldNames()
+        new = max((tuple(r[c] for c in names) for r in rows), key=lambda r: r[:2])
+        old = self.last.get() if self.last.exists() else None
+        if old is not None and tuple(old[:2]) >= new[:2]:
+            return
+        self.last.update(new)
+        for row, sign in ((old, -1), (new, 1)):
+            if row is not None and row[2]:
+                yield Row(**dict(zip(names[3:9], row[3:9], strict=True)), output_quantity=sign * row[9], record_cnt=sign)
+
+    def close(self) -> None:
+        pass
+
+
+DELTA = columns("minute long, company string, workshop string, linecode string, partcode string, linename string, output_quantity decimal(38,4), record_cnt long")
+
+
+def minute_deltas(wide: DataFrame, processor: Normalizer | None = None) -> DataFrame:
+    """Signed minute rows of a stream of wide rows, from keyed state alone."""
+    rows = wide.select(*RECORD, "version", F.col("seq").cast("bigint").alias("seq"), F.coalesce(counts(wide) & ~F.col("is_deleted"), F.lit(False)).alias("live"), (F.floor(S.epoch(F.col("outputdatetime")) / 60)).alias("minute"), "company", "workshop", "linecode", "partcode", "linename", F.col("lotquantity").alias("qty"))
+    out = with_state(rows.groupBy(*RECORD), processor or Normalizer(), DELTA)
+    at = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.col("minute").cast("int"))
+    return out.withColumn("ts_minute", at).select(*MINUTE_KEY, "linename", "output_quantity", "record_cnt")
+
+
+class AsOfOrders(StatefulProcessor):
+    """An order's versions as state, deletions among them; each report gets the last one that isn't later than itself.
+
+    A report may come late, for all versions stay until the state expires, but not before its order's change has. The
+    orders that there are already may be the initial state.
+    """
+
+    def __init__(self, order: T.StructType, report: T.StructType, ttl_ms: int | None = K.STATE_TTL_MS):
+        self.names, self.report, self.ttl_ms = order.fieldNames(), report.fieldNames(), ttl_ms
+        self.order = T.StructType([T.StructField("is_deleted", T.BooleanType()), *order.fields])
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.versions = handle.getMapState("versions", columns("version long"), self.order, ttlDurationMs=self.ttl_ms)
+
+    def _keep(self, row) -> None:
+        self.versions.updateValue((row.version,), (row.is_deleted, *(row.order[c] for c in self.names)))
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        reports = []
+        for r in rows:
+            if r.report is None:
+                self._keep(r)
+            else:
+                reports.append(r)
+        if not reports:
+            return
+        known = sorted(((k[0], tuple(v)) for k, v in self.versions.iterator()), key=lambda kv: kv[0]) if self.versions.exists() else []
+        for r in reports:
+            met = next((v for at, v in reversed(known) if at <= r.version), None)
+            found = met[1:] if met and not met[0] else (None,) * len(self.names)
+            yield Row(**dict(zip(self.report, (r.report[c] for c in self.report), strict=True)), **dict(zip(self.names, found, strict=True)))
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self._keep(initialState)
+
+    def close(self) -> None:
+        pass
 
 
-def order_snapshots(rows: DataFrame, processor: OrderSnapshots | None = None) -> DataFrame:
-    return rows.groupBy(*KEY).transformWithState(statefulProcessor=processor or OrderSnapshots(), outputStructType=SNAPSHOT, outputMode="Update", timeMode="ProcessingTime")
+def orders_as_of(reports: DataFrame, orders: DataFrame, snapshot: DataFrame | None = None, ttl_ms: int | None = K.STATE_TTL_MS) -> DataFrame:
+    """A stream of reports with their orders, as ``asof_order_join`` gives them in batch; ``orders`` is a stream of changes
+    (with op and version), ``snapshot`` a table of such from before it began."""
+    keys = ["db_name", "productionorderid"]
+    names = [c for c in orders.columns if c not in (*keys, "version", "op")]
+    held = lambda d: d.select(*keys, "version", (F.col("op") == "d").alias("is_deleted"), F.struct(*names).alias("order"))
+    kinds = T.StructType([f for f in orders.schema if f.name in names]), T.StructType([f for f in reports.schema])
+    one = reports.select(*keys, "version", F.lit(None).cast("boolean").alias("is_deleted"), F.lit(None).cast(kinds[0]).alias("order"), F.struct(*reports.columns).alias("report"))
+    both = one.unionByName(held(orders).withColumn("report", F.lit(None).cast(kinds[1])))
+    out = T.StructType([*kinds[1].fields, *kinds[0].fields])
+    return with_state(both.groupBy(*keys), AsOfOrders(*kinds, ttl_ms), out, initial=None if snapshot is None else held(snapshot).groupBy(*keys))
