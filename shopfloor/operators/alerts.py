@@ -16,7 +16,7 @@ COLUMNS = ["alert_id", "alert_type", "company", "linecode", "productionorder", "
 
 def over_report_alerts(live: DataFrame, ratio: float = K.OVER_RATIO, grain: str = "order_shift") -> DataFrame:
     """The first report that takes an order above its quantity times ratio; it never recovers."""
-    over = order_running_qty(live, grain).where((F.col("orderquantity") > 0) & (F.col("running_qty") > F.col("orderquantity") * F.lit(ratio)))
+    over = order_running_qty(live.where("productionorder is not null"), grain).where((F.col("orderquantity") > 0) & (F.col("running_qty") > F.col("orderquantity") * F.lit(ratio)))
     first = Window.partitionBy(*GRAINS[grain]).orderBy("outputdatetime", "record_id", "outputtype")
     out = over.withColumn("_n", F.row_number().over(first)).where("_n = 1")
     return shaped(out, "OVER_REPORT", grain, F.col("outputdatetime"), F.expr(NO_TIME))
@@ -25,7 +25,7 @@ def over_report_alerts(live: DataFrame, ratio: float = K.OVER_RATIO, grain: str
 def lag_alerts(live: DataFrame, threshold: float = K.LAG_THRESHOLD, grain: str = "order_shift") -> DataFrame:
     """Episodes in which an order's rate is more than threshold behind its plan; the first report that isn't ends one."""
     created, due, qty = F.col("ordercreateddate"), F.col("orderduedate"), F.col("orderquantity")
-    rows = order_running_qty(live, grain)
+    rows = order_running_qty(live.where("productionorder is not null"), grain)
     able = (qty > 0) & created.isNotNull() & (S.epoch(due) > S.epoch(created))
     rows = rows.withColumn("rate", S.rate4(F.col("running_qty"), qty)).withColumn("plan", S.plan_progress(created, due, F.col("outputdatetime")))
     rows = rows.withColumn("lags", F.coalesce(able & (F.col("rate") < F.col("plan") - F.lit(threshold).cast("decimal(10,4)")), F.lit(False)))
@@ -44,9 +44,11 @@ def shaped(rows: DataFrame, kind: str, grain: str, at: Column, until: Column) ->
 def missing_report_alerts(live: DataFrame, as_of: Column, idle_seconds: int = K.IDLE_SECONDS, keep_empty: bool = False) -> DataFrame:
     """Lines without a report for idle_seconds or more; the next report recovers. Reports without a line are left out
     unless keep_empty."""
-    rows = live if keep_empty else live.where(F.coalesce("linecode", F.lit("")) != "")
-    w = Window.partitionBy("company", "linecode").orderBy("outputdatetime", "record_id", "outputtype")
-    gaps = rows.where(F.col("outputdatetime") <= as_of).withColumn("_next", F.lead("outputdatetime").over(w))
+    rows = (live if keep_empty else live.where(F.coalesce("linecode", F.lit("")) != "")).where(F.col("outputdatetime") <= as_of)
+    # no gap of idle_seconds lies inside a stretch of that length, so a line's stretches are ordered, not its reports
+    stretch = F.floor(S.epoch(F.col("outputdatetime")) / max(1, idle_seconds)).alias("stretch")
+    each = rows.groupBy("company", "linecode", stretch).agg(F.min("outputdatetime").alias("_first"), F.max("outputdatetime").alias("outputdatetime"))
+    gaps = each.withColumn("_next", F.lead("_first").over(Window.partitionBy("company", "linecode").orderBy("stretch")))
     idle = F.expr(f"interval {idle_seconds} seconds")
     out = gaps.where(F.coalesce("_next", as_of) >= F.col("outputdatetime") + idle)
     none = lambda t: F.lit(None).cast(t)

@@ -40,3 +40,16 @@ def order_running_qty(live: DataFrame, grain: str = "order_shift") -> DataFrame:
     """Each report with its order's quantity so far, in order of time and record."""
     w = Window.partitionBy(*GRAINS[grain]).orderBy("outputdatetime", "record_id", "outputtype").rowsBetween(Window.unboundedPreceding, 0)
     return live.withColumn("running_qty", F.sum("lotquantity").over(w))
+
+
+def running_in_blocks(live: DataFrame, grain: str = "order_shift") -> DataFrame:
+    """The same as ``order_running_qty``, for orders too large for one task: reports are summed within hours, and an hour
+    begins with the sum of the hours before, so that only an order's hours are ever ordered together."""
+    keys, hour = GRAINS[grain], F.date_trunc("hour", F.col("outputdatetime")).alias("_hour")
+    before = Window.partitionBy(*keys).orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
+    sums = live.groupBy(*keys, hour).agg(F.sum("lotquantity").alias("_sum"))
+    sums = sums.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_hour").alias("_at"), F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(*keys, "_hour").orderBy("outputdatetime", "record_id", "outputtype").rowsBetween(Window.unboundedPreceding, 0)
+    rows = live.select("*", hour).withColumn("_own", F.sum("lotquantity").over(inside))
+    met = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys] + [F.col("_hour").eqNullSafe(F.col("_at"))]
+    return rows.join(sums, met).withColumn("running_qty", (F.col("_before") + F.col("_own")).cast("decimal(38,4)")).select(*live.columns, "running_qty")

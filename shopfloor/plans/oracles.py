@@ -241,6 +241,7 @@ BODIES: dict[str, str] = {
 }
 BODIES["stream_live_wide"] = BODIES["live_wide"]
 BODIES["stream_minute_batches"] = MINUTES
+BODIES["order_running_blocks"] = BODIES["order_running_qty"]
 BODIES["stream_asof_orders"] = BODIES["asof_order_join"]
 BODIES["stream_delete_audit"] = "select record_id, company, tbl_name as table_name, version as ts_ms from fx_wide where op = 'd'"
 LEVELS = "select alert_id, alert_time, level, changed from history"

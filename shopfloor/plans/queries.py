@@ -336,6 +336,11 @@ def order_running_qty(i: Inputs) -> DataFrame:
     return orders.order_running_qty(i.live).select("record_id", "shift_date", "productionorder", "running_qty")
 
 
+@query
+def order_running_blocks(i: Inputs) -> DataFrame:
+    return orders.running_in_blocks(i.live).select("record_id", "shift_date", "productionorder", "running_qty")
+
+
 @query
 def over_report_alerts(i: Inputs) -> DataFrame:
     return A.over_report_alerts(i.live, grain="order")
