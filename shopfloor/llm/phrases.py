@@ -24,7 +24,7 @@ SCANS = ((1,), (2,), (3,), (4, 5))
 SALTS = 16
 #: Most bits of a sieve. It lets more through beyond some 5 million phrases, which costs time alone.
 SIEVE = 1 << 26
-SLICE = 6 << 20
+SLICE = 1 << 20
 BREAK = np.zeros(256, bool)
 BREAK[[33, 44, 46, 58, 59, 63, 10, 11, 12, 13]] = True
 INSIDE = ~BREAK
