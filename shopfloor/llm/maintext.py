@@ -42,6 +42,9 @@ CHROME_NAMES = frozenset("ad ads advert advertisement banner breadcrumb breadcru
 #: Names that a wrapper of the whole page may have for its layout.
 LAYOUT_NAMES = frozenset("banner footer header hidden menu nav navbar navigation sidebar tags toolbar topbar widget".split())
 READER_NAMES = frozenset("comment comments disqus replies reply respond".split())
+#: Parts of a name after which, or before which, the rest says how a page is laid out or set, not what the element holds.
+STATED = frozenset("no has with without not is show hide hides shows".split())
+SETTINGS = frozenset("open closed enabled disabled allowed on off active inactive left right".split())
 MAIN_NAMES = frozenset("article body content entry main post story text".split())
 
 TAG = re.compile(r"""<!--.*?(?:-->|--!>|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*(?:"|$)|'[^']*(?:'|$))*)(?:>|$)""", re.S)
@@ -49,7 +52,7 @@ ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'
 SPACE = re.compile(r"[\s ]+")
 
 # Weights of the classifier, and capacities of the edges: between blocks next to each other, and of one parent.
-WEIGHTS = {"bias": -0.4, "chrome": -6.0, "main": 3.5, "links": -3.0, "length": 0.5, "stops": 0.25, "heading": 0.6, "prose": 0.9, "item": -0.3, "head": -9.0}
+WEIGHTS = {"bias": -0.4, "chrome": -8.0, "main": 3.5, "links": -3.0, "length": 0.5, "stops": 0.25, "heading": 0.6, "prose": 0.9, "item": -0.3, "head": -9.0}
 NEXT, SIBLING = 1.6, 0.6
 #: Steps in the tree of elements past which blocks are as far as can be.
 FAR = 12
@@ -82,17 +85,33 @@ def attributes(raw: str) -> dict[str, str]:
     return {m[0].lower(): html.unescape(m[1] or m[2] or m[3] or "") for m in ATTRIBUTE.findall(raw)} if raw.strip() else {}
 
 
+def parts_of(listed: str) -> tuple[set[str], set[str]]:
+    """All parts of the names in a class, id or role, and those of names that tell what the element is: no-sidebar,
+    has-comments and comments-open say something of the page around it."""
+    every, telling = set(), set()
+    for name in re.sub(r"(?<=[a-z])(?=[A-Z])", "-", listed).lower().split():
+        own = re.findall(r"[a-z]+", name)
+        every.update(own)
+        if own and own[0] not in STATED and not (len(own) > 1 and own[-1] in SETTINGS):
+            telling.update(own)
+    return every, telling
+
+
 def opened(tag: str, raw: str, parent: Element | None) -> Element:
     own = attributes(raw)
-    names = set(re.findall(r"[a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", " ".join(own.get(k, "") for k in ("class", "id", "role"))).lower()))
+    names, telling = parts_of(" ".join(own.get(k, "") for k in ("class", "id", "role")))
     hidden = "hidden" in own or own.get("aria-hidden") == "true" or "display:none" in own.get("style", "").replace(" ", "").lower()
     inside = parent is not None and parent.main
     # an article may have a header of its own with the title
-    hard = hidden or tag in UNSEEN or (tag in CHROME_TAGS and not (tag == "header" and inside))
-    bad = names & (READER_NAMES if tag in MAIN_TAGS else CHROME_NAMES) if tag not in ("body", "html") else frozenset()
+    own_header = tag == "header" and inside
+    # a form may be a page's wrapper, if it isn't inside what the page is about
+    wrapper = tag == "form" and not inside and not (parent and parent.chrome)
+    hard = hidden or tag in UNSEEN or (tag in CHROME_TAGS and not own_header and not wrapper)
+    bad = telling & (READER_NAMES if tag in MAIN_TAGS else CHROME_NAMES) if tag not in ("body", "html") else frozenset()
+    bad = bad - {"header"} if own_header else bad | {"form"} if wrapper else bad
     role, around = tag in MAIN_TAGS or own.get("role") == "main", bool(parent and parent.chrome)
     # a main element has its text though a wrapper around it is named for the page's layout
-    if role and around and parent.names and parent.names <= LAYOUT_NAMES:
+    if around and parent.names and (role and parent.names <= LAYOUT_NAMES or (role or "article" in names) and parent.names <= LAYOUT_NAMES | {"form"}):
         around = False
     why = frozenset(bad) | (parent.names if around else frozenset())
     if hard or (around and not parent.names):
@@ -188,7 +207,8 @@ def preference(block: Block, text: str, has_main: bool) -> float:
     w = WEIGHTS
     value = w["bias"] + w["length"] * min(4.0, n / 60) + w["stops"] * min(4, len(re.findall(r"[.!?,;:]", text))) + w["links"] * share
     value += w["prose"] * (e.tag in PROSE) + w["chrome"] * e.chrome + w["heading"] * e.heading + w["item"] * e.item * (1 + 2 * share)
-    return value + (w["main"] if e.main else -1.5 if has_main else 0.0)
+    # what is beside an article, or beneath it, isn't of it for being inside its element
+    return value + (0.0 if e.chrome else w["main"] if e.main else -1.5 if has_main else 0.0)
 
 
 def minimum_cut(source: list[float], sink: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
@@ -295,6 +315,8 @@ def main_text(page: str | None) -> str:
             edges.append((last[alike], i, SIBLING))
         last[alike] = i
     kept = minimum_cut([max(x, 0.0) for x in score], [max(-x, 0.0) for x in score], edges)
+    if not any(kept):  # a page of a few words, which nothing speaks for or against
+        kept = [not b.element.chrome and 2 * b.linked < len(t) for b, t in found]
     return "\n".join(t for (_, t), k in zip(found, kept, strict=True) if k)
 
 
