@@ -240,7 +240,7 @@ BODIES: dict[str, str] = {
     "day_shift_share": "select company, count(*) as records, count(*) filter (hour(outputdatetime) * 60 + minute(outputdatetime) between 510 and 1050) as day_records from fx_live group by company",
 }
 BODIES["stream_live_wide"] = BODIES["live_wide"]
-BODIES["stream_minute_batches"] = MINUTES
+BODIES["stream_minute_keyed"] = MINUTES
 BODIES["order_running_blocks"] = BODIES["order_running_qty"]
 BODIES["stream_asof_orders"] = BODIES["asof_order_join"]
 BODIES["stream_delete_audit"] = "select record_id, company, tbl_name as table_name, version as ts_ms from fx_wide where op = 'd'"

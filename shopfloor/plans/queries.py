@@ -451,13 +451,13 @@ def by_batch(batch: Callable[[str], sinks.Batch]) -> Callable[[dict[str, DataFra
 
 
 @query
-def stream_minute_deltas(i: Inputs) -> DataFrame:
+def stream_minute_keyed(i: Inputs) -> DataFrame:
     """From the keyed state of records alone."""
     return sinks.minutes(i.spark, streamed(i, lambda s, path: (timers.minute_deltas(wide.enrich(s["log"], i.dims)), sinks.rows_batch(path, "minutes"))))
 
 
 @query
-def stream_minute_batches(i: Inputs) -> DataFrame:
+def stream_minute_deltas(i: Inputs) -> DataFrame:
     """From the last rows of records that batches keep."""
     return sinks.minutes(i.spark, streamed(i, by_batch(lambda p: sinks.minute_deltas_batch(i.dims, p))))
 
