@@ -11,6 +11,19 @@ from shopfloor.operators.versions import RECORD, latest_by_version
 from shopfloor.schemas import WIDE
 
 
+#: Parts that rows without a key are dealt to where a join shuffles.
+SPREAD = 1024
+
+
+def met(rows: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """A left join on db_name and key in which rows without a key, which meet nothing, are dealt over SPREAD parts of each
+    database instead of one."""
+    part = F.when(F.col(key).isNull(), 1 + F.pmod(F.xxhash64("record_id", "version", "seq"), F.lit(SPREAD))).otherwise(0)
+    # always 0, but no constant: Spark would take a constant out of the keys that rows are dealt by
+    zero = F.pmod(F.xxhash64(key), F.lit(1))
+    return rows.withColumn("_part", part).join(dim.withColumn("_part", zero), ["db_name", key, "_part"], "left").drop("_part")
+
+
 def enrich(changes: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """Every change in the wide columns, without filters; db_name, tbl_name, op and seq stay.
 
@@ -21,11 +34,12 @@ def enrich(changes: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     rows = changes.withColumns({"company": S.company(db), "datasource": S.datasource(db), "outputtype": S.channel(F.col("tbl_name"))})
     manual = F.col("outputtype") == "MANUAL"
     orders = dims["orders"].withColumnsRenamed({"createddate": "ordercreateddate", "duedate": "orderduedate"})
-    rows = rows.join(orders, ["db_name", "productionorderid"], "left")
+    rows = met(rows, orders, "productionorderid")
     # scans don't look up part, line or user: a null key meets nothing
     rows = rows.withColumns({"partid": F.when(manual, F.col("partid")), "workcenterid": F.when(manual, F.col("workcenterid")), "createdbyid": F.when(manual, F.col("createdbyid"))})
-    rows = rows.join(dims["parts"], ["db_name", "partid"], "left").join(dims["workcenters"], ["db_name", "workcenterid"], "left").join(dims["users"], ["db_name", "createdbyid"], "left")
-    rows = rows.withColumn("worksiteid", F.coalesce("worksiteid", "wc_worksiteid")).join(dims["worksites"], ["db_name", "worksiteid"], "left")
+    for name, key in (("parts", "partid"), ("workcenters", "workcenterid"), ("users", "createdbyid")):
+        rows = met(rows, dims[name], key)
+    rows = met(rows.withColumn("worksiteid", F.coalesce("worksiteid", "wc_worksiteid")), dims["worksites"], "worksiteid")
     by = lambda a, b: F.when(manual, F.col(a)).otherwise(F.col(b))
     built = rows.withColumns(
         {
@@ -76,10 +90,13 @@ def asof_order_join(changes: DataFrame, orders: DataFrame) -> DataFrame:
     return both.where("_side = 1").select("_row.*", F.col("_asof.o").alias("order"))
 
 
+#: What is empty where a dimension was not found.
+MISSING = {"order_miss": "productionorder", "part_miss": "partcode", "line_miss": "linecode", "workshop_miss": "workshop", "user_miss": "username"}
+
+
 def dim_miss_profile(wide: DataFrame) -> DataFrame:
     """Rows whose dimensions were not found, by channel."""
-    missing = {"order_miss": "productionorder", "part_miss": "partcode", "line_miss": "linecode", "workshop_miss": "workshop", "user_miss": "username"}
-    return wide.groupBy("outputtype").agg(F.count("*").alias("records"), *[F.count_if(F.coalesce(c, F.lit("")) == "").alias(k) for k, c in missing.items()])
+    return wide.groupBy("outputtype").agg(F.count("*").alias("records"), *[F.count_if(F.coalesce(c, F.lit("")) == "").alias(k) for k, c in MISSING.items()])
 
 
 def dim_miss_rows(changes: DataFrame, dim: DataFrame, keys: list[str]) -> DataFrame:
