@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopfloor import constants as K
@@ -46,8 +46,7 @@ def baseline_manual_shift(lots: DataFrame, orders: DataFrame) -> DataFrame:
 
 def baseline_lpn_shift(scans: DataFrame, orders: DataFrame) -> DataFrame:
     """Scans summed by package first; a package counts on the shift day of its last scan."""
-    packages = scans.groupBy("db_name", "lpnbarcode", "productionorderid", "modelencode", "model", "users").agg(F.sum("quantity").alias("qty"), F.max("scantime").alias("scan_time")).where("qty > 0")
-    rows = with_orders(packages, orders).withColumns({"shift_date": S.shift_date(F.col("scan_time")), "channel": F.lit("BARCODE")})
+    rows = package_scans(scans, orders).withColumn("channel", F.lit("BARCODE"))
     return totals(rows, ["db_name", "shift_date", "channel"], "qty", "lpn_cnt")
 
 
@@ -73,6 +72,65 @@ def reconcile(baseline: DataFrame, result: DataFrame, keys: list[str], tolerance
     return out.withColumns({"diff": F.col("result_qty") - F.col("baseline_qty"), "within_tolerance": gap <= F.lit(tolerance).cast("decimal(10,6)") * F.abs(F.col("baseline_qty"))})
 
 
+def sides(baseline: DataFrame, result: DataFrame, levels: list[str], record: list[str]) -> DataFrame:
+    """Rows of both sides, each with ``qty``, in the columns levels, record, baseline_qty, baseline_cnt, result_qty and
+    result_cnt."""
+    qty, one, no = F.col("qty").cast("decimal(38,4)"), F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    zero = F.lit(0).cast("decimal(38,4)")
+    of = lambda df, own: df.select(*levels, *record, *[c.alias(n) for c, n in zip((qty, one, zero, no) if own else (zero, no, qty, one), SIDES, strict=True)])
+    return of(baseline, True).unionByName(of(result, False))
+
+
+SIDES = ("baseline_qty", "baseline_cnt", "result_qty", "result_cnt")
+
+
+def group_hashes(both: DataFrame, levels: list[str], record: list[str]) -> DataFrame:
+    """Sums of the finest groups, and of each side the sum of its rows' hashes, which no order of rows changes. Two seeds
+    make 128 bits."""
+    row = lambda side, seed: F.when(F.col(f"{side}_cnt") > 0, F.xxhash64(F.lit(seed), *record, f"{side}_qty")).otherwise(0).cast("decimal(38,0)")
+    hashes = {f"{side}_h{seed}": F.sum(row(side, seed)) for side in ("baseline", "result") for seed in (1, 2)}
+    return both.groupBy(*levels).agg(*[F.sum(c).alias(c) for c in SIDES], *[h.alias(n) for n, h in hashes.items()])
+
+
+def unequal() -> Column:
+    return (F.col("baseline_h1") != F.col("result_h1")) | (F.col("baseline_h2") != F.col("result_h2"))
+
+
+def difference_tree(baseline: DataFrame, result: DataFrame, levels: list[str], record: list[str], tolerance: float = K.TOLERANCE) -> DataFrame:
+    """The groups of every level (``level`` columns deep, 0 being all) whose rows differ between the sides, with their
+    sums, how many finest groups below differ, and whether the sums are within tolerance, as opposite differences are.
+
+    Both sides are read and shuffled once, for the finest groups; the levels above are added up from these.
+    """
+    finest = group_hashes(sides(baseline, result, levels, record), levels, record)
+    own = finest.withColumn("unequal", unequal()).select(*levels, "unequal", *SIDES)
+    above = own.rollup(*levels).agg(F.grouping_id().alias("_id"), F.count_if("unequal").alias("groups"), *[F.sum(c).alias(c) for c in SIDES]).where("groups > 0")
+    level = F.lit(len(levels)) - F.bit_count(F.col("_id"))
+    gap = F.abs(F.col("result_qty") - F.col("baseline_qty"))
+    return above.select(level.cast("bigint").alias("level"), *levels, "groups", *SIDES, (gap <= F.lit(tolerance).cast("decimal(10,6)") * F.abs(F.col("baseline_qty"))).alias("within_tolerance"))
+
+
+def differing_records(baseline: DataFrame, result: DataFrame, levels: list[str], record: list[str]) -> DataFrame:
+    """The records behind the groups whose hashes differ: quantity and rows of each side, where they aren't equal.
+
+    Only rows of such groups are grouped by record; missing keys are equal. A group in which the sides' rows are the same
+    by 128 bits is taken for equal.
+    """
+    both = sides(baseline, result, levels, record)
+    some = group_hashes(both, levels, record).where(unequal()).select(*[F.col(c).alias(f"_{c}") for c in levels])
+    same = F.lit(True)
+    for c in levels:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    out = both.join(some, same, "left_semi").groupBy(*levels, *record).agg(*[F.sum(c).alias(c) for c in SIDES])
+    return out.where("baseline_qty <> result_qty or baseline_cnt <> result_cnt")
+
+
+def package_scans(scans: DataFrame, orders: DataFrame) -> DataFrame:
+    """The source's packages of known orders, each with the sum of its scans, on the shift day of the last of them."""
+    last = scans.groupBy("db_name", "lpnbarcode", "productionorderid", "modelencode", "model", "users").agg(F.sum("quantity").alias("qty"), F.max("scantime").alias("at")).where("qty > 0")
+    return with_orders(last, orders).withColumn("shift_date", S.shift_date(F.col("at"))).withColumnRenamed("productionorderno", "productionorder")
+
+
 #: How results are read, by grain: columns, falling where marked.
 ORDERS = {"site_shift": ["company", "shift_date"], "workshop_line": ["-report_qty", "company", "workshop", "linecode"], "order": ["-achieve_rate", "company", "productionorder"], "dimension": ["achieve_rate", "company", "workshop", "linecode"]}
 

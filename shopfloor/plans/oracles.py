@@ -270,4 +270,72 @@ from begun b join fx_live l on b.company = l.company and b.datasource = l.dataso
 )"""
 BODIES["stream_order_snapshots"] = SNAPSHOTS
 
+BODIES["reconcile_scan_shift"] = """, packages as (
+  select l.company, l.db_name, lpnbarcode, productionorderid, modelencode, model, users, sum(qty) as q, cast(max(event_time) - interval 510 minutes as date) as shift_date
+  from (select *, split_part(db_name, '_', 3) as company from fx_last) l where op <> 'd' and tbl_name = 'barcodeautomatic' group by l.company, l.db_name, lpnbarcode, productionorderid, modelencode, model, users having sum(qty) > 0
+), known as (
+  select p.*, productionorderno as productionorder from packages p join fx_order o on p.db_name = o.db_name and p.productionorderid = o.productionorderid where productionorderno not like 'FG%'
+), sides as (
+  select company, shift_date, q as b, 0 as r from known union all select company, shift_date, 0, lotquantity from fx_live where outputtype = 'BARCODE'
+)
+select company, shift_date, sum(b) as baseline_qty, sum(r) as result_qty, sum(r) - sum(b) as diff, abs(sum(r) - sum(b)) <= 0.005 * abs(sum(b)) as within_tolerance from sides group by company, shift_date"""
+BODIES["reconcile_scan_packages"] = BODIES["reconcile_scan_shift"].split(", sides as")[0] + """, sides as (
+  select company, shift_date, productionorder, lpnbarcode, q as b, 1 as bc, 0 as r, 0 as rc from known
+  union all select company, shift_date, productionorder, lpnbarcode, 0, 0, sum(lotquantity), 1 from fx_live where outputtype = 'BARCODE' group by company, shift_date, productionorder, lpnbarcode
+)
+select company, shift_date, productionorder, lpnbarcode, sum(b) as baseline_qty, cast(sum(bc) as bigint) as baseline_cnt, sum(r) as result_qty, cast(sum(rc) as bigint) as result_cnt
+from sides group by company, shift_date, productionorder, lpnbarcode having sum(b) <> sum(r) or sum(bc) <> sum(rc)"""
+RECORDS = f""", sides as (
+  select split_part(l.db_name, '_', 3) as company, s_name as linecode, productionorderno as productionorder, record_id, qty as b, 1 as bc, 0 as r, 0 as rc from (select l.*, o.productionorderno from {LAST_LOT}) l left join supplier on s_suppkey = workcenterid
+  union all
+  select company, linecode, productionorder, record_id, 0, 0, lotquantity, 1 from (select * from fx_counts where counts qualify row_number() over (partition by db_name, tbl_name, record_id order by version desc, seq desc) = 1) where not is_deleted and outputtype = 'MANUAL'
+), differing as (
+  select company, linecode, productionorder, record_id, sum(b) as baseline_qty, cast(sum(bc) as bigint) as baseline_cnt, sum(r) as result_qty, cast(sum(rc) as bigint) as result_cnt from sides group by all having sum(b) <> sum(r) or sum(bc) <> sum(rc)
+)"""
+BODIES["reconcile_records"] = RECORDS + " select * from differing"
+BODIES["reconcile_tree"] = RECORDS + """, finest as (
+  select company, linecode, productionorder, sum(b) as b, sum(bc) as bc, sum(r) as r, sum(rc) as rc from sides group by all
+), marked as (
+  select f.*, exists (select 1 from differing d where d.company is not distinct from f.company and d.linecode is not distinct from f.linecode and d.productionorder is not distinct from f.productionorder) as unequal from finest f
+)
+select 3 - grouping(company) - grouping(linecode) - grouping(productionorder) as level, company, linecode, productionorder, count(*) filter (unequal) as groups, sum(b) as baseline_qty, cast(sum(bc) as bigint) as baseline_cnt, sum(r) as result_qty, cast(sum(rc) as bigint) as result_cnt,
+  abs(sum(r) - sum(b)) <= 0.005 * abs(sum(b)) as within_tolerance from marked group by rollup (company, linecode, productionorder) having count(*) filter (unequal) > 0"""
+PARTED = f""", parted as (select *, least(version, 3) as part from fx_delta), clocks as (
+  select p as part, (select max(outputdatetime) from fx_wide where least(version, 3) < p) as seen from range(1, 4) t(p)
+), flagged as (
+  select date_trunc('minute', outputdatetime) as ts_minute, company, workshop, linecode, partcode, linename, qty_delta, cnt_delta, part, coalesce(date_trunc('minute', outputdatetime) + interval 1 minute <= seen - to_seconds({360 * 86400}), false) as late_flag from parted join clocks using (part)
+)"""
+BODIES["stream_late_minutes"] = PARTED + """ select ts_minute, company, workshop, linecode, partcode, late_flag, min(linename) as linename, sum(qty_delta) as output_quantity, sum(cnt_delta) as record_cnt from flagged
+  group by ts_minute, company, workshop, linecode, partcode, late_flag having sum(qty_delta) <> 0 or sum(cnt_delta) <> 0"""
+BODIES["stream_late_counts"] = PARTED + " select part - 1 as batch_id, count(*) filter (late_flag) as late, count(*) filter (not late_flag) as in_time from flagged group by part"
+BODIES["stream_replayed_log"] = "select coalesce(nullif(productionorder, ''), record_id) as key, count(*) as messages, count(distinct (db_name, tbl_name, record_id)) as records, sum(lotquantity) as qty from fx_wide group by 1"
+MISSES = {"order_miss": "productionorder", "part_miss": "partcode", "line_miss": "linecode", "workshop_miss": "workshop", "user_miss": "username"}
+BODIES["stream_metrics"] = (
+    TOTALS.rsplit(", totals as", 1)[0]
+    + f""", raised as (
+  select 'OVER_REPORT' as kind, outputdatetime as alert_time, cast(null as timestamp) as recover_time from over_shift
+  union all select 'LAG', outputdatetime, until from turns where lags
+  union all select 'MISSING_REPORT', alert_time, recover_time from gaps
+), kinds as (select kind, level from (values ('OVER_REPORT'), ('LAG'), ('MISSING_REPORT')) k(kind), (values ('P3'), ('P2'), ('P1')) l(level)), risen as (
+  select kind, unnest(['P3', 'P2', 'P1'][1:1 + cast(least(2, greatest(0, (date_diff('second', alert_time, case when recover_time <= {NOW} then recover_time else {NOW} end) - case when recover_time <= {NOW} then 1 else 0 end) // {STEP})) as integer)]) as level
+  from raised where alert_time <= {NOW}
+)
+select 'alert_fired.' || kind || '_' || level as metric, count(r.k) as value from kinds left join (select kind, level, 1 as k from risen) r using (kind, level) group by kind, level
+union all select 'quality.changes', count(*) from fx_counts union all select 'quality.dirty', count(*) from fx_counts where outputdatetime is null
+union all select 'quality.deleted', count(*) from fx_counts where is_deleted union all select 'quality.filtered', count(*) from fx_counts where not counts
+"""
+    + "\n".join(f"union all select 'dim_miss.{channel}_{name}', count(*) from fx_counts where outputtype = '{channel}' and coalesce({c}, '') = ''" for channel in ("MANUAL", "BARCODE") for name, c in MISSES.items())
+)
+BODIES["stream_digest_limit"] = GAPS + DIGEST + """ select * from (
+with recursive queued as materialized (
+  select flush, company, alert_type, row_number() over (order by flush, company, alert_type) as n from digest
+), replayed as (
+  select cast(0 as bigint) as n, cast([] as timestamp[]) as held, false as sent
+  union all
+  select q.n, case when len(list_filter(held, lambda t: q.flush - interval 30 days <= t)) < 18 then list_append(list_filter(held, lambda t: q.flush - interval 30 days <= t), q.flush) else list_filter(held, lambda t: q.flush - interval 30 days <= t) end,
+    len(list_filter(held, lambda t: q.flush - interval 30 days <= t)) < 18
+  from replayed r join queued q on q.n = r.n + 1
+)
+select company, alert_type, flush, sent from replayed join queued using (n))"""
+
 ORACLES = {name: INPUTS + body for name, body in BODIES.items()}

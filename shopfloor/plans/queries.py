@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from shopfloor.operators import digest, minute, orders, profile, reconcile, vers
 from shopfloor.operators.versions import RECORD
 from shopfloor.schemas import ORDER, REPORT
 from shopfloor.sources import changelog, fixtures
-from shopfloor.streaming import sinks, timers
+from shopfloor.streaming import metrics, sinks, timers
 
 IDLE, STEP = 30 * 86400, 10 * 86400  # these inputs span years
 PARTS = 3
@@ -311,6 +312,40 @@ def reconcile_order(i: Inputs) -> DataFrame:
     return reconcile.reconcile(base, reconcile.totals(i.live.where("outputtype = 'MANUAL'"), keys), keys)
 
 
+@query
+def reconcile_scan_shift(i: Inputs) -> DataFrame:
+    keys = ["company", "shift_date"]
+    base = changelog.with_site(reconcile.baseline_lpn_shift(fixtures.scans(last_rows(i)), i.dims["orders"])).groupBy(*keys).agg(F.sum("report_qty").alias("report_qty"))
+    return reconcile.reconcile(base, reconcile.totals(i.live.where("outputtype = 'BARCODE'"), keys), keys)
+
+
+@query
+def reconcile_scan_packages(i: Inputs) -> DataFrame:
+    """The packages behind the shift days that differ: scans count on their own day, packages on that of the last scan."""
+    levels, record = ["company", "shift_date", "productionorder"], ["lpnbarcode"]
+    base = changelog.with_site(reconcile.package_scans(fixtures.scans(last_rows(i)), i.dims["orders"]))
+    result = i.live.where("outputtype = 'BARCODE'").groupBy(*levels, *record).agg(F.sum("lotquantity").alias("qty"))
+    return reconcile.differing_records(base, result, levels, record)
+
+
+def compared_records(i: Inputs) -> tuple[DataFrame, DataFrame, list[str], list[str]]:
+    """The manual source as it stands, and the rows that are left if those that don't count go before versions are chosen."""
+    rows = reconcile.with_orders(fixtures.lots(last_rows(i)).where("finishedquantity > 0"), i.dims["orders"]).join(i.dims["workcenters"], ["db_name", "workcenterid"], "left")
+    base = changelog.with_site(rows).withColumnsRenamed({"productionorderno": "productionorder", "finishedquantity": "qty"})
+    result = wide.live_wide(i.wide, "filter_first").where("outputtype = 'MANUAL'").withColumnRenamed("lotquantity", "qty")
+    return base, result, ["company", "linecode", "productionorder"], ["record_id"]
+
+
+@query
+def reconcile_records(i: Inputs) -> DataFrame:
+    return reconcile.differing_records(*compared_records(i))
+
+
+@query
+def reconcile_tree(i: Inputs) -> DataFrame:
+    return reconcile.difference_tree(*compared_records(i))
+
+
 @query
 def ordered_workshop_line(i: Inputs) -> DataFrame:
     return reconcile.ordered(reconcile.recon_workshop_line(i.live), "workshop_line")
@@ -418,9 +453,23 @@ NO_DATA = "spark.sql.streaming.noDataMicroBatches.enabled"
 Made = tuple[DataFrame, sinks.Batch]
 
 
-def streamed(i: Inputs, make: Callable[[dict[str, DataFrame], str], Made], clock: bool = False, **inputs: tuple[DataFrame, Column]) -> str:
+@contextmanager
+def stores(spark: SparkSession, clock: bool) -> Iterator[None]:
+    """Within this, streams keep state in RocksDB, and have batches without rows only on the event clock."""
+    before = {name: spark.conf.get(name) for name in (PROVIDER, NO_DATA)}
+    spark.conf.set(PROVIDER, ROCKSDB)
+    spark.conf.set(NO_DATA, str(clock).lower())
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def streamed(i: Inputs, make: Callable[[dict[str, DataFrame], str], Made], clock: bool = False, watch: Callable[[str], metrics.Metrics] | None = None, **inputs: tuple[DataFrame, Column]) -> str:
     """Runs inputs, each with the number of its part of PARTS, through the stream and sink that ``make`` gives, a part
-    after another over one checkpoint; the sink's folder. The changelog, by version, is the input if none is given."""
+    after another over one checkpoint; the sink's folder. The changelog, by version, is the input if none is given.
+    ``watch`` gives a listener to the stream's figures."""
     spark = i.spark
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
@@ -429,19 +478,23 @@ def streamed(i: Inputs, make: Callable[[dict[str, DataFrame], str], Made], clock
         root = tempfile.mkdtemp(prefix="spark-")
     path = f"{root}/stream-{uuid.uuid4().hex}"
     inputs = inputs or {"log": (i.log, F.least(F.col("version"), F.lit(PARTS)))}
-    before = {name: spark.conf.get(name) for name in (PROVIDER, NO_DATA)}
-    spark.conf.set(PROVIDER, ROCKSDB)
-    spark.conf.set(NO_DATA, str(clock).lower())
+    seen = watch(path) if watch else None
+    if seen:
+        spark.streams.addListener(seen)
     try:
-        for k in range(1, PARTS + 1):
-            for name, (rows, part) in inputs.items():
-                rows.where(part == k).write.mode("append").parquet(f"{path}/in/{name}")
-            streams = {name: spark.readStream.schema(rows.schema).parquet(f"{path}/in/{name}") for name, (rows, _) in inputs.items()}
-            out, batch = make(streams, path)
-            sinks.start(out, batch, f"{path}/checkpoint").awaitTermination()
+        with stores(spark, clock):
+            for k in range(1, PARTS + 1):
+                for name, (rows, part) in inputs.items():
+                    rows.where(part == k).write.mode("append").parquet(f"{path}/in/{name}")
+                streams = {name: spark.readStream.schema(rows.schema).parquet(f"{path}/in/{name}") for name, (rows, _) in inputs.items()}
+                out, batch = make(streams, path)
+                running = sinks.start(out, batch, f"{path}/checkpoint")
+                running.awaitTermination()
+                if seen and not seen.settled(running):
+                    raise RuntimeError("the events of a stream did not come")
     finally:
-        for name, value in before.items():
-            spark.conf.set(name, value)
+        if seen:
+            spark.streams.removeListener(seen)
     return path
 
 
@@ -497,12 +550,62 @@ def stream_asof_orders(i: Inputs) -> DataFrame:
     return sinks.written(i.spark, path + "/rows").select("record_id", "version", "productionorderno", "orderquantity")
 
 
-def on_the_clock(i: Inputs, rows: DataFrame, end: Column, make: Callable[[DataFrame], DataFrame]) -> DataFrame:
+#: Seconds of disorder and of lateness allowed, for inputs that span years.
+LATE = 60 * 86400, 300 * 86400
+
+
+@query
+def stream_late_minutes(i: Inputs) -> DataFrame:
+    """Minutes of deltas in time and of late ones, apart."""
+    return sinks.late_minutes(i.spark, streamed(i, by_batch(lambda p: sinks.minute_deltas_batch(i.dims, p, LATE))))
+
+
+@query
+def stream_late_counts(i: Inputs) -> DataFrame:
+    """Late and other deltas by batch."""
+    return sinks.late_rows(i.spark, streamed(i, by_batch(lambda p: sinks.minute_deltas_batch(i.dims, p, LATE))))
+
+
+@query
+def stream_replayed_log(i: Inputs) -> DataFrame:
+    """The wide topic as a file log that has every batch twice, read once, by key."""
+
+    def make(s: dict[str, DataFrame], path: str) -> Made:
+        send = sinks.log_batch(f"{path}/log", sinks.wide_messages)
+
+        def twice(df: DataFrame, batch_id: int) -> None:
+            send(df, batch_id)
+            send(df, batch_id)
+
+        return wide.enrich(s["log"], i.dims), twice
+
+    path = streamed(i, make)
+    with stores(i.spark, False):
+        sinks.start(sinks.read_log(i.spark, f"{path}/log"), sinks.rows_batch(path, "once"), f"{path}/read").awaitTermination()
+    once = sinks.written(i.spark, f"{path}/once")
+    good, _ = changelog.parse_wide(once)
+    keyed = good.withColumn("key", F.coalesce(F.nullif("productionorder", F.lit("")), "record_id")).groupBy("key").agg(F.sum("lotquantity").alias("qty"))
+    return once.groupBy("key").agg(F.count("*").alias("messages"), F.countDistinct("id").alias("records")).join(keyed, "key")
+
+
+@query
+def stream_metrics(i: Inputs) -> DataFrame:
+    """The counters that the listener gathers from a stream of changes and one of alerts."""
+    made: list[str] = []
+    watch = lambda path: made.append(path) or metrics.Metrics(i.spark, f"{path}/metrics")
+    streamed(i, lambda s, path: (metrics.observed_changes(wide.enrich(s["log"], i.dims)), sinks.rows_batch(path, "wide")), watch=watch)
+    alerts = i.history.select("alert_id", "alert_type", "level", "step", "changed")
+    streamed(i, lambda s, path: (metrics.observed_alerts(s["alerts"]), sinks.rows_batch(path, "alerts")), watch=watch, alerts=(alerts, F.least(F.col("step") + 1, F.lit(PARTS))))
+    one = metrics.read(i.spark, f"{made[0]}/metrics").unionByName(metrics.read(i.spark, f"{made[1]}/metrics"))
+    return metrics.totals(one)
+
+
+def on_the_clock(i: Inputs, rows: DataFrame, end: Column, make: Callable[[DataFrame], DataFrame], sink: Callable[[str], sinks.Batch] = lambda path: sinks.alerts_batch(path + "/alerts")) -> DataFrame:
     """The alert table of a stream over rows on the event clock, in parts by time, with the clock set to ``end`` last."""
     day = F.lit("1994-01-01").cast("timestamp_ntz"), F.lit("1995-06-01").cast("timestamp_ntz")
     part = F.coalesce(F.when(F.col("event_ms") < timers.millis(day[0]), 1).when(F.col("event_ms") < timers.millis(day[1]), 2), F.lit(PARTS))
     clock = rows.limit(0).unionByName(i.spark.range(1).select((timers.millis(end) + 500).alias("event_ms")), allowMissingColumns=True)
-    path = streamed(i, lambda s, path: (make(s["rows"]), sinks.alerts_batch(path + "/alerts")), True, rows=(rows.unionByName(clock), part))
+    path = streamed(i, lambda s, path: (make(s["rows"]), sink(path)), True, rows=(rows.unionByName(clock), part))
     return sinks.written(i.spark, path + "/alerts")
 
 
@@ -537,3 +640,15 @@ def stream_order_snapshots(i: Inputs) -> DataFrame:
     end = F.lit("2100-01-01").cast("timestamp_ntz")
     made = on_the_clock(i, timers.alert_rows(i.live).drop("linecode"), end, lambda s: timers.order_snapshots(s, snapshots, "0 seconds").withColumns(blank))
     return made.select(*timers.KEY, "order_quantity", "report_quantity", "achieve_rate", "plan_progress", "version")
+
+
+LIMIT_DAYS = 30
+
+
+@query
+def stream_digest_limit(i: Inputs) -> DataFrame:
+    """Which digests are sent, with at most as many as in a minute in any 30 days."""
+    rows = digests(i).select(F.lit("all").alias("channel"), "company", "alert_type", timers.millis(F.col("flush")).alias("event_ms"))
+    limit = timers.RollingLimit(window_ms=LIMIT_DAYS * 86_400_000, event=True, ttl_ms=None)
+    made = on_the_clock(i, rows, F.lit("2100-01-01").cast("timestamp_ntz"), lambda s: timers.limited(s, limit, "0 seconds"), lambda path: sinks.rows_batch(path, "alerts"))
+    return made.select("company", "alert_type", timers.wall(F.col("event_ms")).alias("flush"), "sent")

@@ -166,9 +166,13 @@ def encode_changelog(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.select(F.to_json(F.struct(*keys)).alias("key"), F.to_json(F.struct("op", "before", "after")).alias("value"))
 
 
+def wide_message(names: list[str]) -> dict[str, Column]:
+    """key and value of the wide topic: by order, or by record where there is none."""
+    return {"key": F.coalesce(F.nullif("productionorder", F.lit("")), "record_id"), "value": F.to_json(F.struct(*names))}
+
+
 def encode_wide(wide: DataFrame) -> DataFrame:
-    key = F.coalesce(F.nullif("productionorder", F.lit("")), "record_id")
-    return wide.select(key.alias("key"), F.to_json(F.struct(*wide.columns)).alias("value"))
+    return wide.select(*[c.alias(n) for n, c in wide_message(wide.columns).items()])
 
 
 def encode_alert(alerts: DataFrame) -> DataFrame:

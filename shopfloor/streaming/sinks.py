@@ -17,7 +17,8 @@ from shopfloor.operators.minute import minute_rows
 from shopfloor.operators.orders import order_achievement
 from shopfloor.operators.versions import RECORD, delete_audit, latest_by_version, signed_deltas, sum_merge
 from shopfloor.operators.wide import counts, enrich, live_wide
-from shopfloor.schemas import MINUTE_KEY
+from shopfloor.schemas import MINUTE_KEY, columns
+from shopfloor.sources.changelog import wide_message
 
 Batch = Callable[[DataFrame, int], None]
 Dims = dict[str, DataFrame] | Callable[[], dict[str, DataFrame]]
@@ -94,12 +95,15 @@ def wide_batch(dims: Dims, path: str) -> Batch:
     return run
 
 
-def minute_deltas_batch(dims: Dims, path: str) -> Batch:
+def minute_deltas_batch(dims: Dims, path: str, late: tuple[int, int] | None = None) -> Batch:
     """Signed deltas of the batch's records, from their last rows before it and their new ones.
 
-    Deltas add up whatever batch they come in, so nothing is late. The state is the last row of each record: each batch
-    writes those of its own records, and every COMPACT batches all. It is read from the last such batch on and before this
-    one, so a batch reads a bounded number of them, and one that runs again finds the same state.
+    Deltas add up whatever batch they come in, so none is dropped for being late. The state is the last row of each record:
+    each batch writes those of its own records, and every COMPACT batches all. It is read from the last such batch on and
+    before this one, so a batch reads a bounded number of them, and one that runs again finds the same state.
+
+    With ``late``, the seconds of disorder and of lateness allowed, deltas of minutes that were over by then, on the clock
+    of the batches before, are written beside the others with late_flag; ``late_rows`` counts them.
     """
 
     def run(df: DataFrame, batch_id: int) -> None:
@@ -111,12 +115,39 @@ def minute_deltas_batch(dims: Dims, path: str) -> Batch:
         known = new.select(*RECORD, "version", "seq")
         deltas = signed_deltas(wide.drop("_new"), counts(wide) & ~F.col("is_deleted"), RECORD, ["outputdatetime", "company", "workshop", "linecode", "linename", "partcode"])
         deltas = deltas.join(known, [*RECORD, "version", "seq"], "left_semi")
-        idempotent_append(minute_rows(deltas).select(*MINUTE_KEY, "linename", "output_quantity", "record_cnt"), f"{path}/minutes", batch_id)
+        rows = minute_rows(deltas).select(*MINUTE_KEY, "linename", "output_quantity", "record_cnt")
+        if late is None:
+            idempotent_append(rows, f"{path}/minutes", batch_id)
+        else:
+            over = late_since(df.sparkSession, f"{path}/clock", batch_id, *late)
+            idempotent_append(rows.withColumn("late_flag", F.coalesce(F.col("ts_minute") + F.expr("interval 1 minute") <= over, F.lit(False))), f"{path}/minutes", batch_id, ("late_flag",))
+            keep_clock(new, f"{path}/clock", batch_id)
         keep_state(wide.drop("_new"), f"{path}/state", batch_id)
 
     return run
 
 
+def clock_before(spark, path: str, batch_id: int):
+    """The greatest event time of all batches before one, which the last of them wrote; None before the first."""
+    return spark.read.parquet(f"{path}/batch_id={batch_id - 1}").first()["seen"] if batch_id else None
+
+
+def keep_clock(rows: DataFrame, path: str, batch_id: int) -> None:
+    """Writes the greatest event time up to and with a batch; one that runs again writes the same."""
+    before = F.lit(clock_before(rows.sparkSession, path, batch_id)).cast("timestamp_ntz")
+    idempotent_append(rows.agg(F.greatest(F.max("outputdatetime"), before).alias("seen")), path, batch_id)
+
+
+def late_since(spark, path: str, batch_id: int, disorder: int, allowed: int) -> Column:
+    """The time whose minutes, once over by then, are late in a batch; null in the first."""
+    return F.lit(clock_before(spark, path, batch_id)).cast("timestamp_ntz") - F.expr(f"interval {disorder + allowed} seconds")
+
+
+def late_rows(spark, path: str) -> DataFrame:
+    """Late and other deltas by batch."""
+    return spark.read.parquet(f"{path}/minutes").groupBy("batch_id").agg(F.count_if(F.col("late_flag").cast("boolean")).alias("late"), F.count_if(~F.col("late_flag").cast("boolean")).alias("in_time"))
+
+
 def made_wide(df: DataFrame, dims: Dims, path: str, batch_id: int) -> DataFrame:
     """The batch's wide rows as a stored table, joined once for all that reads them."""
     idempotent_append(enrich(df, dims() if callable(dims) else dims), f"{path}/wide", batch_id)
@@ -146,6 +177,42 @@ def rows_batch(path: str, name: str = "rows") -> Batch:
     return run
 
 
+def late_minutes(spark, path: str) -> DataFrame:
+    """Minutes of deltas in time, and of late ones, apart; together they are ``minutes``."""
+    rows = written(spark, f"{path}/minutes").withColumn("late_flag", F.col("late_flag").cast("boolean"))
+    return sum_merge(rows, [*MINUTE_KEY, "late_flag"], ["output_quantity", "record_cnt"], ("linename",), drop_zero=True)
+
+
+#: What a message of a file log has.
+LOG = columns("id string, version long, seq long, key string, value string, sent timestamp")
+
+
+def log_batch(path: str, encode: Callable[[DataFrame], DataFrame]) -> Batch:
+    """Messages of a batch at the end of a log of JSON lines, with the time at which they are sent. A batch that runs again
+    is in the log again: ``read_log`` gives it once. ``encode`` makes id, version, seq, key and value."""
+
+    def run(df: DataFrame, batch_id: int) -> None:
+        encode(df).withColumn("sent", F.current_timestamp()).select(*LOG.fieldNames()).write.mode("append").json(path)
+
+    return run
+
+
+def read_log(spark, path: str, within: str = "1 hour") -> DataFrame:
+    """The messages of a log as a stream, each (id, version, seq) once, if it is sent again within that time.
+
+    The clock is the log's own, the time of sending, so rows that report old events are no late ones; state goes once the
+    log is ``within`` past them.
+    """
+    lines = spark.readStream.schema(LOG).json(path)
+    return lines.withWatermark("sent", within).dropDuplicatesWithinWatermark(["id", "version", "seq"])
+
+
+def wide_messages(wide: DataFrame) -> DataFrame:
+    """The wide topic's messages with what tells a change from all others."""
+    names = [c for c in wide.columns if c not in ("db_name", "tbl_name", "op", "seq")]
+    return wide.select(F.concat_ws(":", *RECORD).alias("id"), "version", F.col("seq").cast("bigint").alias("seq"), *[c.alias(n) for n, c in wide_message(names).items()])
+
+
 def minutes(spark, path: str) -> DataFrame:
     return sum_merge(written(spark, f"{path}/minutes"), MINUTE_KEY, ["output_quantity", "record_cnt"], ("linename",), drop_zero=True)
 

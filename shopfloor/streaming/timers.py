@@ -213,6 +213,50 @@ def progress(created: int, due: int, now: int) -> Decimal:
     return share(max(0, min(now, due) - created), due - created) if created and due > created else Decimal(0)
 
 
+SENT = columns("channel string, company string, alert_type string, event_ms long, sent boolean")
+
+
+class RollingLimit(Clocked):
+    """A channel's messages in order of time: one is sent unless ``most`` were sent in the ``window_ms`` up to it, the
+    moment at which the window began included; those not sent don't count. State is the times of at most ``most`` sent."""
+
+    WAITS = columns("company string, alert_type string, event_ms long")
+
+    def __init__(self, most: int = K.DIGESTS_PER_MINUTE, window_ms: int = 60_000, event: bool = False, ttl_ms: int | None = K.STATE_TTL_MS):
+        super().__init__(event, ttl_ms)
+        self.most, self.window_ms = most, window_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.times = handle.getListState("sent", columns("at_ms long"), ttlDurationMs=self.ttl)
+
+    @staticmethod
+    def order(row):
+        return (row.event_ms, row.company or "", row.alert_type or "")
+
+    def load(self) -> None:
+        self.sent = [t[0] for t in self.times.get()] if self.times.exists() else []
+
+    def save(self) -> None:
+        if self.sent:
+            self.times.put([(t,) for t in self.sent])
+        elif self.times.exists():
+            self.times.clear()
+
+    def forget(self) -> None:
+        self.times.clear()
+
+    def take(self, key, row, now: int) -> Iterator[Row]:
+        self.sent = [t for t in self.sent if now - t <= self.window_ms]
+        free = len(self.sent) < self.most
+        if free:
+            self.sent.append(now)
+        yield Row(channel=key[0], company=row.company, alert_type=row.alert_type, event_ms=now, sent=free)
+
+    def due(self) -> int | None:
+        return None
+
+
 class OrderState(Clocked):
     """The sum of an order's reports, of which each counts with its last version, older ones not at all. Rows have
     record_id, version, qty, is_deleted, event_ms, order_quantity, created_ms and due_ms. Those of a batch count in order
@@ -380,6 +424,14 @@ def order_snapshots(rows: DataFrame, processor: OrderSnapshots | None = None, de
     return keyed(rows, KEY, processor or OrderSnapshots(), SNAPSHOT, delay, None)
 
 
+def limited(messages: DataFrame, processor: RollingLimit | None = None, delay: str = DELAY) -> DataFrame:
+    """A stream of messages with channel, company, alert_type and, on the event clock, event_ms; each with whether it is
+    sent."""
+    processor = processor or RollingLimit()
+    rows = messages if processor.event else messages.withColumn("event_ms", F.lit(0).cast("bigint"))
+    return keyed(rows, ["channel"], processor, SENT, delay, None)
+
+
 def millis(ts: Column) -> Column:
     """Milliseconds of a wall clock."""
     return S.epoch(ts) * 1000
