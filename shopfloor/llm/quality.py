@@ -21,10 +21,12 @@ from pyspark.sql import functions as F
 
 from shopfloor.llm import common
 
-#: Labelled documents of each class that training takes at most, those with the least hash of doc_id, and distinct
-#: feature rows that one of them brings at most, those with the least hash.
-SAMPLE, FEATURES = 1000, 1 << 13
-BUCKETS, DIM, EPOCHS, RATE, SEED = 1 << 16, 10, 8, 0.1, 11
+#: Labelled documents of each class that training takes at most, those with the least hash of doc_id. Their feature rows
+#: all count, BUCKETS for each at most.
+SAMPLE = 1000
+#: Steps of training: as many rounds over the examples as make them, so that few examples are learnt as well as many.
+STEPS = 16_000
+BUCKETS, DIM, RATE, SEED = 1 << 16, 10, 0.1, 11
 GRAMS = (3, 4, 5)
 #: Documents with a smaller score are rejected.
 KEEP = 0.3
@@ -93,15 +95,6 @@ def document_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return ids, n / max(1.0, n.sum())
 
 
-def sampled_features(text: str | None, most: int = FEATURES) -> tuple[np.ndarray, np.ndarray]:
-    """As above, with at most ``most`` rows."""
-    ids, share = document_features(text)
-    if len(ids) > most:
-        few = np.sort(np.argsort(common.mix(ids.astype(U64)), kind="stable")[:most])
-        ids, share = ids[few], share[few] / share[few].sum()
-    return ids, share
-
-
 class Model:
     """Log-odds of class 1 for each feature row, and the bias."""
 
@@ -109,8 +102,9 @@ class Model:
         self.odds, self.bias = odds, bias
 
 
-def train(examples: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = EPOCHS) -> Model:
-    """Both classes weigh the same in total; without examples of both, every score is one half."""
+def train(examples: list[tuple[np.ndarray, np.ndarray, int]], least: int = STEPS) -> Model:
+    """Whole rounds over the examples, of ``least`` steps or more. Both classes weigh the same in total; without examples
+    of both, every score is one half."""
     ones = sum(y for *_, y in examples)
     if not 0 < ones < len(examples):
         return Model(np.zeros(BUCKETS, np.float32), 0.0)
@@ -120,6 +114,7 @@ def train(examples: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = EPOC
     bias = np.zeros(2, np.float32)
     weight = np.array([len(examples) / 2 / (len(examples) - ones), len(examples) / 2 / ones])
     weight = weight / weight.max()
+    epochs = -(-least // len(examples))
     steps, done = epochs * len(examples), 0
     for _ in range(epochs):
         for k in rng.permutation(len(examples)):
@@ -150,10 +145,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     def taken(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [sampled_features(t.as_py()) for t in b.column("text")]
+            found = [document_features(t.as_py()) for t in b.column("text")]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), pa.array([x[0] for x in found], pa.list_(pa.int32())), pa.array([x[1] for x in found], pa.list_(pa.float32()))], names=["doc_id", "y", "ids", "share"])
 
-    # 2 * sample rows of FEATURES numbers twice at most
+    # 2 * sample rows of two lists of BUCKETS numbers at most
     found = rows.mapInArrow(taken, "doc_id bigint, y int, ids array<int>, share array<float>").toArrow().sort_by("doc_id").combine_chunks()
     if not found.num_rows:
         return train([])

@@ -171,6 +171,35 @@ def test_quality_learns_and_never_sees_held_out(spark):
     assert np.array_equal(model.odds, quality.fit(docs, flipped).odds)
 
 
+def test_quality_of_held_out_documents_by_the_given_labels(spark):
+    """All documents and labels of the table, and a floor for those whose labels were not learnt from."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    got = quality.score(docs, quality.fit(docs, labels)).join(labels.select("doc_id", "quality"), "doc_id").where(quality.held_out()).select("score", "predicted", "quality").collect()
+    good, bad = ([r for r in got if r.quality == y] for y in (1, 0))
+    above = np.mean([(g.score > b.score) + (g.score == b.score) / 2 for g in good for b in bad])
+    assert above > 0.9 and np.mean([r.predicted for r in good]) > 0.95 and np.mean([1 - r.predicted for r in bad]) > 0.5, (above, len(good), len(bad))
+
+
+def test_quality_learns_from_every_feature_of_long_documents(spark):
+    """Documents with more distinct words than any other part of training has rows for one text, told apart by a few."""
+    rng = random.Random(8)
+    texts = [(k, " ".join([*(f"w{rng.random()}" for _ in range(400)), *(["fine"] * 120 if k % 2 else ["poor"] * 120)])) for k in range(60)]
+    docs = frame(spark, texts)
+    model = quality.fit(docs, spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id bigint, quality int"))
+    assert max(len(quality.document_features(t)[0]) for _, t in texts) > 1 << 13
+    got = quality.score(docs, model).where(quality.held_out()).collect()
+    assert got and np.mean([(r.score > 0.5) == bool(r.doc_id % 2) for r in got]) > 0.9
+
+
+def test_quality_without_usable_labels_is_one_half(spark):
+    """No labels, labels of one class, and labels that disagree for one doc_id; of repeated rows one is learnt from."""
+    docs = frame(spark, [(k, f"text {k}") for k in range(20)] + [(1, "text 1"), (2, "another text")])
+    kind = "doc_id bigint, quality int"
+    for labels in ([], [(k, 1) for k in range(20)], [(k, y) for k in range(20) for y in (0, 1)], [(None, 1), (3, None), (4, 7)]):
+        assert {r.score for r in quality.score(docs, quality.fit(docs, spark.createDataFrame(labels, kind))).collect()} == {0.5}
+
+
 def test_quality_score_is_the_mean_of_embeddings(spark):
     rng = np.random.default_rng(0)
     model = quality.Model(rng.normal(size=quality.BUCKETS).astype(np.float32), 0.3)
