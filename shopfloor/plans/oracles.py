@@ -338,4 +338,38 @@ with recursive queued as materialized (
 )
 select company, alert_type, flush, sent from replayed join queued using (n))"""
 
+BODIES["shift_windows"] = "select cast(cast(event_time - interval 510 minutes as date) as timestamp) + interval 510 minutes as shift_start, count(*) as changes, 0 as differing from fx_log group by 1"
+BODIES["parsed_times"] = "select productionorderid, case when productionorderid % 4 < 3 then createddate end as parsed, case when productionorderid % 4 < 3 then epoch_ms(createddate) else 0 end as ms from fx_order"
+RAISED = (
+    TOTALS.rsplit(", totals as", 1)[0]
+    + """, raised as (
+  select 'OVER_REPORT' as alert_type, outputdatetime as alert_time, cast(null as timestamp) as recover_time from over_shift
+  union all select 'LAG', outputdatetime, until from turns where lags
+  union all select 'MISSING_REPORT', alert_time, recover_time from gaps
+)"""
+)
+BODIES["next_levels"] = RAISED + stepped("raised", "alert_type").replace("stepped as", "all_steps as").replace("from stepped", "from all_steps").replace("history as", "levels as") + """
+select alert_type, level, case level when 'NONE' then 'P3' when 'P3' then 'P2' else 'P1' end as next_level, count(*) as alerts from levels group by alert_type, level"""
+BODIES["datasource_parity"] = """select case when productionorderid % 7 = 0 then 'x_' || db_name else db_name end as db_name,
+  case when productionorderid % 7 = 0 then null when db_name like 'mes_old_%' then 'OLD_MES' else 'NEW_MES' end as datasource,
+  case when productionorderid % 7 <> 0 and db_name like 'mes_old_%' then 'OLD_MES' else 'NEW_MES' end as datasource_sql, count(*) as changes from fx_log group by all"""
+BODIES["digest_messages"] = GAPS + DIGEST + """, told as (
+  select flush, company, items, '[' || level || '] MISSING_REPORT - ' || company || case when items > 1 then '（共 ' || items || ' 条）' else '' end as title from digest
+), named as (
+  select date_trunc('day', changed) as flush, company, array_to_string(list_sort(list_distinct(list(linecode)))[1:20], '、') as names from history where level <> 'NONE' group by 1, 2
+)
+select cast(t.flush as timestamp) as flush, t.company, 'MISSING_REPORT' as alert_type, items,
+  '{"msgtype":"markdown","markdown":{"title":"' || title || '","text":"#### ' || title || '\\n- 产线：' || names || case when items > 20 then ' 等 ' || items || ' 项' else '' end || '\\n"}}' as message
+from told t join named n on t.flush = n.flush and t.company = n.company"""
+TEXTS = ("productionorder", "lpnbarcode", "username", "partcode", "partname", "linecode", "linename", "workcentertype", "workshop")
+BODIES["stream_raw_wide"] = "select * exclude (tbl_name, op, seq) replace (1000 * version as version, " + ", ".join(f"coalesce({c}, '') as {c}" for c in TEXTS) + ") from fx_live"
+BODIES["stream_raw_audit"] = "select company, tbl_name as table_name, count(*) as deleted, count(*) as messages from fx_wide where op = 'd' group by all"
+BODIES["stream_dirty_lines"] = """select least(seq, 3) - 1 as batch_id, case when cast(record_id as bigint) % 97 = 1 and op = 'c' then 'op' when cast(record_id as bigint) % 83 = 3 then 'channel'
+    when cast(record_id as bigint) % 79 = 4 and (op = 'c' or op = 'd' and version = 2) then 'time' else 'ok' end as reason, count(*) as records from fx_log group by all"""
+BODIES["stream_minute_images"] = MINUTES
+BODIES["stream_refreshed_dims"] = "select db_name, record_id, version, case when db_name <> 'mes_new_cq' then linename || ' v' || least(version, 2) end as linename, orderquantity + 1 as orderquantity from fx_wide"
+BODIES["stream_alert_topic"] = GAPS + "select company || ':' || linecode || ':' as key, level, count(*) as messages from history group by all"
+BODIES["stream_alert_digest"] = GAPS + DIGEST + "select flush, company, alert_type, alerts from digest"
+BODIES["stream_windowed_minutes"] = "select date_trunc('minute', outputdatetime) as ts_minute, company, linecode, sum(lotquantity) as output_quantity, count(*) as record_cnt from fx_live group by all"
+
 ORACLES = {name: INPUTS + body for name, body in BODIES.items()}

@@ -16,7 +16,7 @@ from shopfloor.operators import digest, minute, orders, profile, reconcile, vers
 from shopfloor.operators.versions import RECORD
 from shopfloor.schemas import ORDER, REPORT
 from shopfloor.sources import changelog, fixtures
-from shopfloor.streaming import metrics, sinks, timers
+from shopfloor.streaming import jobs, metrics, sinks, timers
 
 IDLE, STEP = 30 * 86400, 10 * 86400  # these inputs span years
 PARTS = 3
@@ -466,10 +466,11 @@ def stores(spark: SparkSession, clock: bool) -> Iterator[None]:
             spark.conf.set(name, value)
 
 
-def streamed(i: Inputs, make: Callable[[dict[str, DataFrame], str], Made], clock: bool = False, watch: Callable[[str], metrics.Metrics] | None = None, **inputs: tuple[DataFrame, Column]) -> str:
+def streamed(i: Inputs, make: Callable[[dict[str, DataFrame], str], Made], clock: bool = False, watch: Callable[[str], metrics.Metrics] | None = None, lines: bool = False, **inputs: tuple[DataFrame, Column]) -> str:
     """Runs inputs, each with the number of its part of PARTS, through the stream and sink that ``make`` gives, a part
     after another over one checkpoint; the sink's folder. The changelog, by version, is the input if none is given.
-    ``watch`` gives a listener to the stream's figures."""
+    ``watch`` gives a listener to the stream's figures. Inputs that are ``lines`` have reports' envelopes, with seq, as
+    value, and reach the stream through text files."""
     spark = i.spark
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
@@ -485,8 +486,13 @@ def streamed(i: Inputs, make: Callable[[dict[str, DataFrame], str], Made], clock
         with stores(spark, clock):
             for k in range(1, PARTS + 1):
                 for name, (rows, part) in inputs.items():
-                    rows.where(part == k).write.mode("append").parquet(f"{path}/in/{name}")
-                streams = {name: spark.readStream.schema(rows.schema).parquet(f"{path}/in/{name}") for name, (rows, _) in inputs.items()}
+                    own = rows.where(part == k)
+                    if lines:
+                        own.select("value").write.mode("append").text(f"{path}/in/{name}")
+                    else:
+                        own.write.mode("append").parquet(f"{path}/in/{name}")
+                read = lambda name, rows: changelog.read_changelog(spark, f"{path}/in/{name}", REPORT, True, True) if lines else spark.readStream.schema(rows.schema).parquet(f"{path}/in/{name}")
+                streams = {name: read(name, rows) for name, (rows, _) in inputs.items()}
                 out, batch = make(streams, path)
                 running = sinks.start(out, batch, f"{path}/checkpoint")
                 running.awaitTermination()
@@ -652,3 +658,162 @@ def stream_digest_limit(i: Inputs) -> DataFrame:
     limit = timers.RollingLimit(window_ms=LIMIT_DAYS * 86_400_000, event=True, ttl_ms=None)
     made = on_the_clock(i, rows, F.lit("2100-01-01").cast("timestamp_ntz"), lambda s: timers.limited(s, limit, "0 seconds"), lambda path: sinks.rows_batch(path, "alerts"))
     return made.select("company", "alert_type", timers.wall(F.col("event_ms")).alias("flush"), "sent")
+
+
+@query
+def shift_windows(i: Inputs) -> DataFrame:
+    """Changes by daily window that begins with the shift; windows are shift days."""
+    day = F.window("event_time", "1 day", "1 day", "510 minutes")
+    rows = i.log.select(day["start"].alias("shift_start"), S.shift_start(S.shift_date(F.col("event_time"))).alias("own"))
+    return rows.groupBy("shift_start").agg(F.count("*").alias("changes"), F.count_if(F.col("own") != F.col("shift_start")).alias("differing"))
+
+
+@query
+def parsed_times(i: Inputs) -> DataFrame:
+    """Times as sources write them: with a T, with a space, with milliseconds, and texts that are none."""
+    day, form = F.col("createddate"), F.col("productionorderid") % 4
+    text = F.when(form == 0, F.date_format(day, "yyyy-MM-dd'T'HH:mm:ss")).when(form == 1, F.date_format(day, "yyyy-MM-dd HH:mm:ss")).when(form == 2, F.date_format(day, "yyyy-MM-dd HH:mm:ss.SSS")).otherwise("soon")
+    return i.dims["orders"].select("productionorderid", S.parse_time(text).alias("parsed"), S.parse_op_ts(text).alias("ms"))
+
+
+@query
+def next_levels(i: Inputs) -> DataFrame:
+    """How many alerts stand at each level, and the level they rise to next."""
+    return i.history.groupBy("alert_type", "level", S.escalate(F.col("level")).alias("next_level")).agg(F.count("*").alias("alerts"))
+
+
+@query
+def datasource_parity(i: Inputs) -> DataFrame:
+    """Sources of databases with known and unknown names, by both readings."""
+    db = F.when(F.col("productionorderid") % 7 == 0, F.concat(F.lit("x_"), "db_name")).otherwise(F.col("db_name"))
+    rows = i.log.select(db.alias("db_name"))
+    return rows.groupBy("db_name", S.datasource(F.col("db_name")).alias("datasource"), S.datasource(F.col("db_name"), "sql").alias("datasource_sql")).agg(F.count("*").alias("changes"))
+
+
+@query
+def digest_messages(i: Inputs) -> DataFrame:
+    """The digests as a chat channel takes them."""
+    raised = A.escalation_history(A.missing_report_alerts(i.live, now(), IDLE), now(), STEP).where("level <> 'NONE'")
+    return digest.digest_messages(digest.digest_groups(raised, F.date_trunc("day", F.col("changed")).cast("timestamp_ntz")))
+
+
+def sent(i: Inputs, log: DataFrame | None = None) -> dict[str, tuple[DataFrame, Column]]:
+    """The changelogs of both channels as lines of JSON, each a source of its own."""
+    rows, part = i.log if log is None else log, F.least(F.col("seq"), F.lit(PARTS))
+    each = {name: fixtures.sent_reports(rows.where(c), placed=True) for name, c in (("lots", "tbl_name <> 'barcodeautomatic'"), ("scans", "tbl_name = 'barcodeautomatic'"))}
+    return {name: (lines, part) for name, lines in each.items()}
+
+
+def both(batch: Callable[[str], sinks.Batch]) -> Callable[[dict[str, DataFrame], str], Made]:
+    """A sink that takes the envelopes of both channels."""
+    return lambda s, path: (s["lots"].unionByName(s["scans"]), batch(path))
+
+
+@query
+def stream_raw_wide(i: Inputs) -> DataFrame:
+    """From lines of JSON of both channels to the detail table by month, and its live rows."""
+    path = streamed(i, both(lambda p: jobs.detail_batch(i.dims, p, months=True)), lines=True, **sent(i))
+    return wide.live_wide(sinks.written(i.spark, f"{path}/wide")).drop("tbl_name", "op", "seq", "shift_month")
+
+
+@query
+def stream_raw_audit(i: Inputs) -> DataFrame:
+    """Deletions that the detail job audits, and messages that its topic has of them, by order or record."""
+    path = streamed(i, both(lambda p: jobs.detail_batch(i.dims, p, months=True)), lines=True, **sent(i))
+    audit = sinks.written(i.spark, f"{path}/audit").groupBy("company", "table_name").agg(F.count("*").alias("deleted"))
+    topic = i.spark.read.schema(sinks.LOG).json(f"{path}/topic")
+    good, _ = changelog.parse_wide(topic)
+    gone = good.where("is_deleted").groupBy("company", F.when(F.col("outputtype") == "MANUAL", "lot").otherwise("barcodeautomatic").alias("table_name")).agg(F.count("*").alias("messages"))
+    return audit.join(gone, ["company", "table_name"], "full")
+
+
+@query
+def stream_dirty_lines(i: Inputs) -> DataFrame:
+    """Lines that can't be used, by batch and reason."""
+    key = F.col("record_id").cast("bigint")
+    dirty = i.log.withColumns({"op": F.when((key % 97 == 1) & (F.col("op") == "c"), "t").otherwise(F.col("op")), "tbl_name": F.when(key % 83 == 3, "stock").otherwise(F.col("tbl_name")), "event_time": F.when((key % 79 == 4) & (F.col("op") == "c"), None).otherwise(F.col("event_time"))})
+    path = streamed(i, both(lambda p: jobs.detail_batch(i.dims, p, months=True)), lines=True, **sent(i, dirty))
+    return i.spark.read.parquet(f"{path}/rows").groupBy("batch_id", "reason").agg(F.count("*").alias("records"))
+
+
+@query
+def stream_minute_images(i: Inputs) -> DataFrame:
+    """From the images that envelopes carry, without any state."""
+    return sinks.minutes(i.spark, streamed(i, both(lambda p: jobs.image_minutes_batch(i.dims, p)), lines=True, **sent(i)))
+
+
+@query
+def stream_refreshed_dims(i: Inputs) -> DataFrame:
+    """Lines are loaded again before each batch, database by database; one database can't be read, and the last load fails
+    whole, so the one before serves. Orders stay as they were first loaded."""
+    held: list[Callable[[], dict[str, DataFrame]]] = []
+    loads = 0
+
+    def make(s: dict[str, DataFrame], path: str) -> Made:
+        nonlocal loads
+        loads += 1
+        made = i.dims["workcenters"].where("db_name <> 'mes_new_cq'").withColumn("linename", F.concat("linename", F.lit(f" v{loads}")))
+        made.write.partitionBy("db_name").parquet(f"{path}/dims/load={loads}")
+
+        def load() -> dict[str, DataFrame]:
+            if loads == PARTS:
+                raise OSError("no connection")
+            read = lambda db, name: i.spark.read.parquet(f"{path}/dims/load={loads}/db_name={db}")
+            lines, failed = changelog.load_dims(read, "workcenters")
+            assert set(failed) == {"mes_new_cq"} and lines is not None
+            return {**i.dims, "workcenters": lines, "orders": i.dims["orders"].withColumn("orderquantity", F.col("orderquantity") + loads)}
+
+        if not held:
+            held.append(sinks.refreshed(load, 0))
+        return s["log"], sinks.wide_batch(held[0], path)
+
+    path = streamed(i, make)
+    return sinks.written(i.spark, f"{path}/wide").select("db_name", "record_id", "version", "linename", "orderquantity")
+
+
+def alert_job(i: Inputs) -> str:
+    """The folder of an alert job over the lines, on the event clock; the topic has every batch twice."""
+    rows = timers.alert_rows(i.live.where(F.col("outputdatetime") <= now())).where("linecode <> ''").select("company", "linecode", "event_ms")
+    lines = timers.IdleLine(IDLE * 1000, STEP * 1000, None, event=True)
+    recovered = F.when(F.col("level") == "NONE", F.col("changed_ms")).otherwise(0)
+    more = {"alert_id": S.line_alert_id(), "alert_type": F.lit("MISSING_REPORT"), "productionorder": F.lit(None).cast("string"), "recover_ms": recovered}
+    folder: list[str] = []
+
+    def sink(path: str) -> sinks.Batch:
+        folder[:] = [path]
+        send = jobs.alert_batch(path)
+
+        def twice(df: DataFrame, batch_id: int) -> None:
+            send(df, batch_id)
+            send(df, batch_id)
+
+        return twice
+
+    on_the_clock(i, rows, now(), lambda s: timers.idle_lines(s, lines, "0 seconds").withColumns(more), sink)
+    return folder[0]
+
+
+@query
+def stream_alert_topic(i: Inputs) -> DataFrame:
+    """The alert topic, read once, by key and level."""
+    path = alert_job(i)
+    with stores(i.spark, False):
+        sinks.start(sinks.read_log(i.spark, f"{path}/topic"), sinks.rows_batch(path, "once"), f"{path}/read").awaitTermination()
+    level = F.get_json_object("value", "$.level")
+    return sinks.written(i.spark, f"{path}/once").groupBy("key", level.alias("level")).agg(F.count("*").alias("messages"))
+
+
+@query
+def stream_alert_digest(i: Inputs) -> DataFrame:
+    """Alerts in the digests of a job that runs its batches twice, by day and company."""
+    rows = sinks.written(i.spark, f"{alert_job(i)}/digests")
+    return rows.groupBy("flush", "company", "alert_type").agg(F.sum("alerts").alias("alerts"))
+
+
+@query
+def stream_windowed_minutes(i: Inputs) -> DataFrame:
+    """Sums of minutes by event-time window, each given out once, when the watermark has passed it."""
+    rows = timers.alert_rows(i.live).select("company", "linecode", "qty", "event_ms")
+    made = lambda s: sinks.windowed_minutes(s.select(F.timestamp_millis("event_ms").alias("event_time"), "company", F.lit("").alias("workshop"), "linecode", F.lit("").alias("partcode"), F.col("qty").alias("qty_delta"), F.when(F.col("company").isNotNull(), 1).otherwise(0).alias("cnt_delta")))
+    found = on_the_clock(i, rows, F.lit("2100-01-01").cast("timestamp_ntz"), made, lambda path: sinks.rows_batch(path, "alerts"))
+    return found.where("company is not null").select(timers.wall(F.unix_millis("ts_minute")).alias("ts_minute"), "company", "linecode", "output_quantity", "record_cnt")

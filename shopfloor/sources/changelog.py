@@ -14,10 +14,11 @@ from shopfloor.functions import scalars as S
 from shopfloor.operators.versions import latest_by_version
 
 
-def read_changelog(spark: SparkSession, path: str, row: T.StructType, streaming: bool = False) -> DataFrame:
-    """op, before, after from files with one JSON envelope a line."""
+def read_changelog(spark: SparkSession, path: str, row: T.StructType, streaming: bool = False, placed: bool = False) -> DataFrame:
+    """op, before, after from files with one JSON envelope a line; ``placed`` envelopes have seq too."""
     reader = spark.readStream if streaming else spark.read
-    return parse_envelopes(reader.text(path), row)
+    lines = reader.text(path)
+    return parse_envelopes(lines.withColumn("seq", F.get_json_object("value", "$.seq").cast("bigint")) if placed else lines, row)
 
 
 def read_kafka(spark: SparkSession, servers: str, topic: str, row: T.StructType, startup: str = "latest") -> DataFrame:
@@ -79,9 +80,25 @@ def route_envelope(envelopes: DataFrame) -> DataFrame:
     return envelopes.select("op", row.alias("row"), *(["seq"] if "seq" in envelopes.columns else []))
 
 
-def flatten(routed: DataFrame) -> DataFrame:
-    """op, the row's columns and its version in milliseconds; dirty rows keep nulls."""
-    return routed.select("op", "row.*", *(["seq"] if "seq" in routed.columns else [])).withColumn("version", S.parse_op_ts(F.col("op_ts")))
+def image_changes(envelopes: DataFrame) -> DataFrame:
+    """The images of usable envelopes as flattened rows with a sign: what an update or a deletion takes back, -1, and what a
+    change, an update or a snapshot row adds, 1."""
+    had = F.when(F.col("op").isin("u", "d"), F.col("before"))
+    has = F.when(F.col("op").isin("c", "r", "u"), F.col("after"))
+    image = lambda sign, row: F.struct(F.lit(sign).alias("sign"), row.alias("row"))
+    both = envelopes.select("op", F.explode(F.array(image(-1, had), image(1, has))).alias("i"), *(["seq"] if "seq" in envelopes.columns else []))
+    rows = flatten(both.where("i.row is not null").select("op", "i.row", "i.sign", *(["seq"] if "seq" in envelopes.columns else [])), ("sign",))
+    return rows.where(dirty_reason().isNull())
+
+
+def without_images(envelopes: DataFrame) -> DataFrame:
+    """Updates and deletions that don't say what they replace."""
+    return envelopes.where(F.col("op").isin("u", "d") & F.col("before").isNull())
+
+
+def flatten(routed: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
+    """op, the row's columns, ``more`` and its version in milliseconds; dirty rows keep nulls."""
+    return routed.select("op", "row.*", *more, *(["seq"] if "seq" in routed.columns else [])).withColumn("version", S.parse_op_ts(F.col("op_ts")))
 
 
 def to_changes(reports: DataFrame) -> DataFrame:
@@ -175,6 +192,8 @@ def encode_wide(wide: DataFrame) -> DataFrame:
     return wide.select(*[c.alias(n) for n, c in wide_message(wide.columns).items()])
 
 
-def encode_alert(alerts: DataFrame) -> DataFrame:
+def encode_alert(alerts: DataFrame, also: dict[str, Column] | None = None) -> DataFrame:
+    """key and value of the alert topic, and what else is wanted beside them."""
     key = F.concat_ws(":", *[F.coalesce(c, F.lit("")) for c in ("company", "linecode", "productionorder")])
-    return alerts.select(F.when(key == "::", F.col("alert_id")).otherwise(key).alias("key"), F.to_json(F.struct(*alerts.columns)).alias("value"))
+    more = [c.alias(n) for n, c in (also or {}).items()]
+    return alerts.select(*more, F.when(key == "::", F.col("alert_id")).otherwise(key).alias("key"), F.to_json(F.struct(*alerts.columns)).alias("value"))

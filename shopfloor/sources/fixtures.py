@@ -78,8 +78,9 @@ def envelopes(changes: DataFrame) -> DataFrame:
     return changes.select("op", before.alias("before"), F.when(F.col("op") != "d", image).alias("after"), "record_id", "version")
 
 
-def sent_reports(changes: DataFrame) -> DataFrame:
-    """value and seq: the whole log of both channels as JSON envelopes; a deletion carries the row before it."""
+def sent_reports(changes: DataFrame, placed: bool = False) -> DataFrame:
+    """value and seq: the whole log of both channels as JSON envelopes, ``placed`` ones with seq inside; a deletion carries
+    the row before it."""
     scan = F.col("tbl_name") == "barcodeautomatic"
     on, off = (lambda c: F.when(scan, F.col(c))), (lambda c: F.when(~scan, F.col(c)))
     text = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
@@ -88,7 +89,7 @@ def sent_reports(changes: DataFrame) -> DataFrame:
         off("qty").alias("finishedquantity"), on("qty").cast("int").alias("quantity"), text(off("event_time")).alias("createddate"), text(on("event_time")).alias("scantime"), F.date_format(F.timestamp_seconds("version"), "yyyy-MM-dd HH:mm:ss").alias("op_ts"),
     )
     before = F.lag(image).over(Window.partitionBy("db_name", "tbl_name", "record_id").orderBy("version", "seq"))
-    return changes.select(F.to_json(F.struct("op", before.alias("before"), F.when(F.col("op") != "d", image).alias("after"))).alias("value"), "seq")
+    return changes.select(F.to_json(F.struct("op", before.alias("before"), F.when(F.col("op") != "d", image).alias("after"), *(["seq"] if placed else []))).alias("value"), "seq")
 
 
 def order_history(orders: DataFrame) -> DataFrame:

@@ -59,9 +59,13 @@ def refreshed(load: Callable[[], dict[str, DataFrame]], seconds: float, clock: C
     return get
 
 
-def write_wide(wide: DataFrame, path: str, batch_id: int) -> dict[str, float]:
-    """A batch of the wide table by shift day, as reports read it; a batch that runs again replaces its own."""
-    return idempotent_append(sink_safe(wide), path, batch_id, ("shift_date",))
+def write_wide(wide: DataFrame, path: str, batch_id: int, months: bool = False) -> dict[str, float]:
+    """A batch of the wide table by shift day, as reports read it, or by month where batches span years; a batch that runs
+    again replaces its own. Rows of a folder meet first, so that it has few files; Spark splits a large one."""
+    by = "shift_month" if months else "shift_date"
+    rows = sink_safe(wide)
+    rows = rows.withColumn(by, F.date_format("shift_date", "yyyyMM")) if months else rows
+    return idempotent_append(rows.hint("rebalance", by), path, batch_id, (by,))
 
 
 def alerts_batch(path: str) -> Batch:
