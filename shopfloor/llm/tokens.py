@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import functools
 import json
+import os
 import re
 from itertools import chain, islice
 
@@ -51,6 +52,8 @@ class Slots(dict):
 
 class Encoder:
     def __init__(self, path: str):
+        # a task has one core; the library's threads would wait for each other at others' cost
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
