@@ -35,6 +35,8 @@ NEAR, FIRST = 3, 3
 LEAST = 0.5
 #: Classes and shingles in a side of a block, on average at most, and pairs whose signatures are compared at once.
 BLOCK, MASS, ONCE = 2048, 1 << 21, 1 << 13
+#: Rows with a text or with sets that Python gets at once at most, and bytes of text that are shingled at once.
+WIDE, TEXT = 500, 1 << 19
 U64 = np.uint64
 
 
@@ -75,7 +77,7 @@ def shingled(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, the set's 128-bit hash (h1, h2), and the signature (null for empty sets)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in (x for y in batches for x in common.slices(y, "text", 2 << 20)):
+        for b in (x for y in batches for x in common.slices(y, "text", TEXT)):
             values, counts = shingle_sets(b.column("text"))
             full = np.flatnonzero(counts)
             starts = (np.cumsum(counts) - counts)[full]
@@ -166,12 +168,12 @@ def sets_of(ids: DataFrame, texts: DataFrame) -> DataFrame:
     among = common.Among(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in (x for y in batches for x in common.slices(y.filter(among.mask(y)), "text", 2 << 20)):
+        for b in (x for y in batches for x in common.slices(y.filter(among.mask(y)), "text", TEXT)):
             values, counts = shingle_sets(b.column("text"))
             yield pa.RecordBatch.from_arrays([b.column("id"), common.lists(values.view(np.int64), counts, pa.int64())], names=["id", "set"])
 
     rows = texts.select("id", "text", among.places("id").alias("places"))
-    return common.stored(rows.mapInArrow(run, "id bigint, set array<bigint>"), "sets")
+    return common.stored(rows.mapInArrow(run, "id bigint, set array<bigint>"), "sets", WIDE)
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -189,7 +191,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"]).filter(pa.array(ok))
 
     met = pairs.join(sets.withColumnsRenamed({"id": "a", "set": "sa"}), "a").join(sets.withColumnsRenamed({"id": "b", "set": "sb"}), "b")
-    return common.stored(met.select("a", "b", "sa", "sb").mapInArrow(check, "a bigint, b bigint"), "links")
+    return common.stored(met.select("a", "b", "sa", "sb").mapInArrow(check, "a bigint, b bigint"), "links", WIDE)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -319,7 +321,7 @@ def crossing_links(placed: DataFrame, labels: DataFrame, classes: DataFrame, tex
     schema = "block bigint, left boolean, id bigint, component bigint"
     rows = common.stored(rows.repartition("block").sortWithinPartitions("block").mapInArrow(likely, schema), "likely").distinct()
     met = rows.join(sets_of(rows.select("id").distinct(), texts).where(F.size("set") > 0), "id").select("block", "left", "id", "component", "set")
-    return common.stored(met.repartition("block").sortWithinPartitions("block", "left").mapInArrow(joining, "a bigint, b bigint"), "links")
+    return common.stored(met.repartition("block").sortWithinPartitions("block", "left").mapInArrow(joining, "a bigint, b bigint"), "links", WIDE)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -329,7 +331,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     document, linked by any of their texts, kept or not together; rows with a null doc_id are linked with nothing and kept. Other columns are not
     read.
     """
-    rows = common.stored(shingled(docs), "shingled")
+    rows = common.stored(shingled(docs), "shingled", WIDE)
     able = rows.where("doc_id is not null and n_shingles > 0")
     classes = common.stored(able.groupBy("h1", "h2", F.col("n_shingles").alias("n")).agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig")), "classes")
     own = docs.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("id"), "text")
