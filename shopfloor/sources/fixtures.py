@@ -96,8 +96,10 @@ def order_history(orders: DataFrame) -> DataFrame:
     """Orders as they are made, with double quantity at version 2, and gone at version 4 if their number ends on 7; some
     without site."""
     own = orders.withColumn("worksiteid", F.when(F.col("productionorderid") % 50 == 9, None).otherwise(F.col("worksiteid")))
-    step = lambda v, op, q: own.withColumns({"version": F.lit(v).cast("bigint"), "op": F.lit(op), "orderquantity": q})
-    return step(1, "c", F.col("orderquantity")).unionByName(step(2, "u", 2 * F.col("orderquantity"))).unionByName(step(4, "d", 2 * F.col("orderquantity")).where("productionorderid % 10 = 7"))
+    step = lambda v, op, times: F.struct(F.lit(v).cast("bigint").alias("version"), F.lit(op).alias("op"), (times * F.col("orderquantity")).alias("_quantity"))
+    made, gone = [step(1, "c", 1), step(2, "u", 2)], step(4, "d", 2)
+    steps = own.select("*", F.inline(F.when(F.col("productionorderid") % 10 == 7, F.array(*made, gone)).otherwise(F.array(*made))))
+    return steps.withColumn("orderquantity", F.col("_quantity")).drop("_quantity")
 
 
 def sent_orders(history: DataFrame) -> DataFrame:
