@@ -22,7 +22,7 @@ def test_customers_and_parts_meet_orders_without_a_broadcast(spark):
     assert plan.count("SortMergeJoin") >= 2
 
 
-@pytest.mark.parametrize("name", ["current_alerts"])
+@pytest.mark.parametrize("name", ["current_alerts", "wide_roundtrip"])
 def test_queries_broadcast_no_growing_dimension(spark, name):
     """With a limit of a few KB, as if the tables were larger, only the fixed list of databases and the nations are sent."""
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
