@@ -5,6 +5,7 @@ from pathlib import Path
 
 import pytest
 
+from shopfloor.plans import queries
 from shopfloor.sources import fixtures
 
 DATA = Path("/root/testdata/sf0.001")
@@ -30,3 +31,16 @@ def test_rows_are_not_sorted_with_whole_images(spark):
     plan = plan_of(spark, lambda: fixtures.envelopes(changes))
     below = plan[plan.index("Window [lag(") :]
     assert "date_format" not in below.split("\n", 1)[1]
+
+
+@pytest.mark.parametrize("name", ["alert_totals", "digest_messages", "digest_rate_limit", "dim_achievement", "escalation_history", "lag_alerts", "latest_alerts", "live_wide", "minute_merge", "minute_output", "minute_salted", "next_levels", "order_achievement", "order_running_blocks", "order_running_qty", "signed_deltas", "total_check"])
+def test_no_query_broadcasts_a_growing_dimension(spark, name):
+    """With a limit of a few KB, as if the tables were larger."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32k")
+    try:
+        plan = queries.QUERIES[name](spark, str(DATA))._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    sent = [line for line in plan.splitlines() if "BroadcastHashJoin" in line or "BroadcastNestedLoopJoin" in line]
+    assert not [line for line in sent if any(key in line for key in ("partid", "createdbyid", "workcenterid", "custkey"))]
