@@ -19,6 +19,7 @@ from shopfloor.functions import scalars as S
 from shopfloor.operators.versions import RECORD
 from shopfloor.operators.wide import counts
 from shopfloor.schemas import MINUTE_KEY, columns
+from shopfloor.streaming.buckets import BUCKETS, Bucketed
 
 LINE_ALERT = columns("company string, linecode string, level string, alert_ms long, changed_ms long")
 
@@ -39,6 +40,12 @@ def with_state(grouped, processor: StatefulProcessor, out: T.StructType, mode: s
         return grouped.transformWithState(statefulProcessor=processor, outputStructType=out, outputMode="Update", timeMode=mode, **({} if initial is None else {"initialState": initial}))
 
 
+def bucketed(rows: DataFrame, keys: list[str], processor: StatefulProcessor, out: T.StructType, mode: str = "ProcessingTime", ttl_ms: int | None = None, buckets: int = BUCKETS) -> DataFrame:
+    """The same as ``with_state`` of rows grouped by ``keys``, with the keys' states in buckets."""
+    dealt = rows.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)))
+    return with_state(dealt.groupBy("_bucket"), Bucketed(processor, keys, ttl_ms, mode == "EventTime"), out, mode)
+
+
 class Clocked(StatefulProcessor):
     """Rows and deadlines of a key in order of time.
 
@@ -399,8 +406,11 @@ def clocked(rows: DataFrame, delay: str) -> DataFrame:
 
 
 def keyed(rows: DataFrame, keys: list[str], processor: Clocked, out: T.StructType, delay: str, initial: DataFrame | None) -> DataFrame:
-    rows = clocked(rows, delay) if processor.event else rows
-    return with_state(rows.groupBy(*keys), processor, out, "EventTime" if processor.event else "ProcessingTime", None if initial is None else initial.groupBy(*keys))
+    """Keys in buckets; with an initial state, which Spark hands over key by key, each is its own."""
+    rows, mode = clocked(rows, delay) if processor.event else rows, "EventTime" if processor.event else "ProcessingTime"
+    if initial is None:
+        return bucketed(rows, keys, processor, out, mode, processor.ttl)
+    return with_state(rows.groupBy(*keys), processor, out, mode, initial.groupBy(*keys))
 
 
 #: How far out of order rows may be on the event clock; later ones are dropped and counted by Spark.
@@ -480,7 +490,8 @@ DELTA = columns("minute long, company string, workshop string, linecode string,
 def minute_deltas(wide: DataFrame, processor: Normalizer | None = None) -> DataFrame:
     """Signed minute rows of a stream of wide rows, from keyed state alone."""
     rows = wide.select(*RECORD, "version", F.col("seq").cast("bigint").alias("seq"), F.coalesce(counts(wide) & ~F.col("is_deleted"), F.lit(False)).alias("live"), (F.floor(S.epoch(F.col("outputdatetime")) / 60)).alias("minute"), "company", "workshop", "linecode", "partcode", "linename", F.col("lotquantity").alias("qty"))
-    out = with_state(rows.groupBy(*RECORD), processor or Normalizer(), DELTA)
+    processor = processor or Normalizer()
+    out = bucketed(rows, RECORD, processor, DELTA, ttl_ms=processor.ttl_ms)
     at = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.col("minute").cast("int"))
     return out.withColumn("ts_minute", at).select(*MINUTE_KEY, "linename", "output_quantity", "record_cnt")
 
@@ -534,4 +545,6 @@ def orders_as_of(reports: DataFrame, orders: DataFrame, snapshot: DataFrame | No
     one = reports.select(*keys, "version", F.lit(None).cast("boolean").alias("is_deleted"), F.lit(None).cast(kinds[0]).alias("order"), F.struct(*reports.columns).alias("report"))
     both = one.unionByName(held(orders).withColumn("report", F.lit(None).cast(kinds[1])))
     out = T.StructType([*kinds[1].fields, *kinds[0].fields])
-    return with_state(both.groupBy(*keys), AsOfOrders(*kinds, ttl_ms), out, initial=None if snapshot is None else held(snapshot).groupBy(*keys))
+    if snapshot is None:
+        return bucketed(both, keys, AsOfOrders(*kinds, ttl_ms), out, ttl_ms=ttl_ms)
+    return with_state(both.groupBy(*keys), AsOfOrders(*kinds, ttl_ms), out, initial=held(snapshot).groupBy(*keys))
