@@ -23,7 +23,7 @@ def test_inputs_are_made_once_and_go_when_taken(spark, lines):
             yield b
 
     value = F.lit('{"op":"c","after":{"record_id":"1"},"seq":1}').alias("value")
-    rows = spark.range(9).select("id", value).mapInArrow(count, columns("id long, value string"))
+    rows = spark.range(9).select("id", value).mapInArrow(count, "id long, value string")
     seen, settings = [], []
 
     def make(streams, path):
