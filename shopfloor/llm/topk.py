@@ -3,19 +3,25 @@
 Components become integers. A block of rows is stored as one bitmap per component and bit. A query's component times
 a block's component is a sum of bitmaps, one for each pair of their bits; full adders on whole bitmaps add all of them
 into the slices of the scores. Rows are then taken from the most significant slice downward, and rows that tie with the
-last place are settled by their ids. Queries and rows meet in blocks of bounded size on a key of both block numbers.
+last place are settled by their ids. Rows lie in blocks of bounded size; queries go to all of them, a bounded number at a
+time, and a task keeps only the best of its blocks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shopfloor.llm.common import stored
+
 SCALE, BLOCK, QUERIES, TOGETHER = 1024, 4096, 1024, 64
+#: Bytes of queries that go to every task at once, and blocks with a part of queries that Spark hands to Python at once.
+AT_ONCE, HAND = 8 << 20, 4
 #: Bits of magnitude that rows of one block or queries of one part may differ in.
 LIKE = 16
 #: Largest magnitude of the plain 64-bit path: sums over 2**20 components fit.
@@ -134,6 +140,11 @@ def plain_best(index: np.ndarray, low: int, ids: np.ndarray, who: int, query: li
     return sorted(((i, s) for i, s in enumerate(found) if ids[i] != who), key=lambda x: (-x[1], x[0]))[:k]
 
 
+def first(found: list[tuple], k: int) -> list[tuple]:
+    """The k greatest places, ties to smaller ids."""
+    return sorted(sorted(found, key=lambda row: row[2]), key=lambda row: row[4], reverse=True)[:k]
+
+
 def build_index(vectors: DataFrame, block: int = BLOCK) -> DataFrame:
     """A row per block of vectors of one length and magnitude: dims, width, block, ids (ascending), bits, low, bitmaps."""
 
@@ -162,16 +173,14 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, block: int = BLOC
         return rows.withColumns({"dims": F.size("v"), "width": width()})
 
     rows, asked = prepared(vectors), prepared(queries).distinct()
-    n_rows, n_asked = rows.count(), asked.count()
+    n_rows, (n_asked, most_dims) = rows.count(), asked.agg(F.count(F.lit(1)), F.max("dims")).first()
     blocks, parts = max(1, -(-n_rows // block)), max(1, -(-n_asked // per))
     rows = rows.withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(blocks)))
     form = F.xxhash64("v")
     sets = asked.withColumn("part", F.pmod(F.xxhash64("id", "v"), F.lit(parts))).groupBy("dims", F.col("width").alias("query_width"), "part").agg(F.collect_list(F.struct("id", form.alias("form"), "v")).alias("asked"))
-    index = build_index(rows, block).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).withColumn("part", F.col("part").cast("bigint"))
-    sets = sets.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).withColumn("block", F.col("block").cast("bigint"))
-    met = index.join(sets, ["dims", "block", "part"])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        most: dict[tuple[int, int], list[tuple]] = {}  # the task's best of each query
         for b in (x.slice(i, 1) for x in batches for i in range(x.num_rows)):
             dims, bits, low = (int(b.column(c)[0].as_py()) for c in ("dims", "bits", "low"))
             ids = b.column("ids").flatten().to_numpy()
@@ -192,10 +201,25 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, block: int = BLOC
                 for q, r in enumerate(picked):
                     for i, x in zip(r.tolist(), (value_of(sums, q, r) + extra[q]).tolist(), strict=True):
                         put(at + q, i, x)
-            kinds = [pa.int64()] * 4 + [pa.binary()]
-            cols = list(zip(*found, strict=True)) or [()] * 5
+            for row in found:
+                own = most.setdefault(row[:2], [])
+                own.append(row)
+                if len(own) >= 4 * k:
+                    own[:] = first(own, k)
+        left = [row for own in most.values() for row in first(own, k)]
+        kinds = [pa.int64()] * 4 + [pa.binary()]
+        for at in range(0, len(left), 10_000):
+            cols = zip(*left[at : at + 10_000], strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["query_id", "form", "vec_id", "score", "place"])
 
     order = Window.partitionBy("query_id", "form").orderBy(F.desc("place"), "vec_id")
-    found = met.select("dims", "bits", "low", "ids", "bitmaps", "asked").mapInArrow(search, schema)
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    def ranked(asked: DataFrame) -> DataFrame:
+        """All blocks meet some of the queries, which every task gets: AT_ONCE bytes of them at most, or one part."""
+        met = build_index(rows, block).join(F.broadcast(asked), "dims").select("dims", "bits", "low", "ids", "bitmaps", "asked")
+        found = met.mapInArrow(search, schema)
+        return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+    together = max(1, AT_ONCE // max(1, 8 * (most_dims or 0) * per))
+    turns = [stored(ranked(sets.where(F.col("part").between(p, p + together - 1))), "top", HAND) for p in range(0, parts, together)]
+    return reduce(DataFrame.unionByName, turns)
